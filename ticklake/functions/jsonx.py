@@ -17,7 +17,7 @@ def parse(text: Column) -> Column:
 def type_of(v: Column, path: str) -> Column:
     """Variant type name at ``path`` ('STRING', 'BIGINT', 'DECIMAL(3,2)', 'VOID',
     'OBJECT<..>', ...) or NULL when the key is absent."""
-    return F.schema_of_variant(F.try_variant_get(v, path))
+    return F.schema_of_variant(F.try_variant_get(v, path, "variant"))
 
 
 def is_object(v: Column) -> Column:

@@ -126,4 +126,55 @@ def catalog() -> dict[str, Query]:
     }
     for name in B.QUESTIONS:
         q[f"bi_{name}"] = _bi(name)
+    _edge(q)
     return {k: _q(v) for k, v in q.items()}
+
+
+# --- stream edge ---------------------------------------------------------
+
+def _edge(q: dict[str, Callable[[Inputs], DataFrame]]) -> None:
+    from ticklake.functions.contract import with_contract
+    from ticklake.operators import deadletter as DL
+    from ticklake.operators import normalize as N
+
+    def log(i: Inputs) -> DataFrame:
+        return D.raw_log(i.events)
+
+    def validity_split(i: Inputs) -> DataFrame:
+        """Accepted + rejected = input, per feed, in one pass over the log."""
+        lg = DL.classify(log(i))
+        parsed = N.parse_events(lg, keep=("feed", "reason"))
+        by_feed = lg.groupBy("feed").agg(
+            F.count(F.lit(1)).alias("input_rows"),
+            F.count_if(F.col("reason").isNull()).alias("accepted_rows"),
+            F.count_if(F.col("reason").isNotNull()).alias("rejected_rows"))
+        unified = parsed.groupBy("feed").agg(F.count(F.lit(1)).alias("unified_rows"))
+        return by_feed.join(unified, "feed", "left").select(
+            "feed", "input_rows", "accepted_rows", "rejected_rows",
+            F.coalesce("unified_rows", F.lit(0)).alias("unified_rows"))
+
+    def contract(i: Inputs) -> DataFrame:
+        c = with_contract(log(i), "raw_value")
+        return c.select("event_id", "feed", (F.size("violations") == 0).alias("is_valid"),
+                        F.array_join("violations", ",").alias("violations"))
+
+    def rule_counts(i: Inputs) -> DataFrame:
+        c = with_contract(log(i), "raw_value")
+        return (c.select(F.explode("violations").alias("rule")).groupBy("rule")
+                .agg(F.count(F.lit(1)).alias("messages")))
+
+    def joined(df: DataFrame) -> DataFrame:
+        return df.withColumn("violations", F.array_join("violations", ","))
+
+    q.update({
+        "unified_prices": lambda i: N.parse_events(log(i)),
+        "dead_letters": lambda i: DL.dead_letters(DL.classify(log(i))),
+        "dead_letters_compat": lambda i: DL.dead_letters(DL.classify(log(i), compat=True)),
+        "dlq_counts": lambda i: (DL.dead_letters(DL.classify(log(i))).groupBy("source_topic", "reason")
+                                 .agg(F.count(F.lit(1)).alias("messages"))),
+        "validity_split": validity_split,
+        "contract_violations": contract,
+        "contract_rule_counts": rule_counts,
+        "normalize_snapshot": lambda i: joined(N.normalize_snapshot(D.snapshot_bodies(i.events))),
+        "normalize_trades": lambda i: joined(N.normalize_trades(D.trade_frames(i.events))),
+    })

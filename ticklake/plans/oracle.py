@@ -167,4 +167,179 @@ UNION ALL {sel_clean} FROM fresh"""),
   FROM cmp ORDER BY coin_id"""),
         "bi_ops_latest": _w(GOLD, "SELECT coin_id, price_usd, change_24h, last_recorded_at FROM latest ORDER BY coin_id"),
     }
+    q.update(edge_oracle())
     return q
+
+
+# --- stream edge: JSON log, contract, normalisers, dead letters ---
+LOG = BASE + r""",
+log AS (
+  SELECT event_id, source AS feed,
+    CASE WHEN source = 'coingecko' THEN 'coingecko.prices.raw' ELSE 'binance.trades.raw' END AS topic,
+    ts AS kafka_ts,
+    CASE WHEN event_id % 61 = 0 THEN '[1, 2, 3]' WHEN event_id % 59 = 0 THEN 'not json at all' ELSE concat('{',
+      CASE WHEN event_id % 13 = 0 THEN '' ELSE concat('"coin_id": "', coin_id, '", ') END,
+      '"symbol": "', symbol, '", ',
+      '"price_usd": ', CASE WHEN event_id % 17 = 0 THEN 'null' WHEN event_id % 19 = 0 THEN '"n/a"'
+        WHEN event_id % 23 = 0 THEN '"12.5"' WHEN event_id % 2 = 0 THEN CAST(event_id % 500 + 1 AS VARCHAR)
+        ELSE concat(CAST(event_id % 500 + 1 AS VARCHAR), '.25') END, ', ',
+      CASE WHEN event_id % 29 = 0 THEN '' ELSE concat('"event_time": "', substring(CAST(ts AS VARCHAR), 1, 10), 'T',
+        substring(CAST(ts AS VARCHAR), 12, 8),
+        CASE WHEN event_id % 31 = 0 THEN '' ELSE concat('.', lpad(CAST(event_id % 1000000 AS VARCHAR), 6, '0')) END,
+        CASE WHEN event_id % 37 = 0 THEN 'Z' WHEN event_id % 41 = 0 THEN '+02:00' ELSE '+00:00' END, '", ') END,
+      '"market_cap": null, "change_24h": null',
+      CASE WHEN event_id % 43 = 0 THEN '' ELSE concat(', "source": "', source, '"') END,
+      CASE WHEN event_id % 47 = 0 THEN ', "extra": 1' ELSE '' END,
+      CASE WHEN event_id % 53 = 0 THEN '' ELSE '}' END) END AS raw_value
+  FROM base),
+lj AS (SELECT *, coalesce(json_valid(raw_value), false) AS ok FROM log),
+lf AS (
+  SELECT *,
+    CASE WHEN ok AND json_type(raw_value, '$.coin_id') NOT IN ('OBJECT', 'ARRAY') THEN json_extract_string(raw_value, '$.coin_id') END AS coin_text,
+    CASE WHEN ok AND json_type(raw_value, '$.symbol') NOT IN ('OBJECT', 'ARRAY') THEN json_extract_string(raw_value, '$.symbol') END AS symbol_text,
+    CASE WHEN ok AND json_type(raw_value, '$.source') NOT IN ('OBJECT', 'ARRAY') THEN json_extract_string(raw_value, '$.source') END AS source_text,
+    TRY_CAST(CASE WHEN ok AND json_type(raw_value, '$.price_usd') NOT IN ('OBJECT', 'ARRAY') THEN json_extract_string(raw_value, '$.price_usd') END AS DOUBLE) AS price_num,
+    TRY_CAST(CASE WHEN ok AND json_type(raw_value, '$.market_cap') NOT IN ('OBJECT', 'ARRAY') THEN json_extract_string(raw_value, '$.market_cap') END AS DOUBLE) AS cap_num,
+    TRY_CAST(CASE WHEN ok AND json_type(raw_value, '$.change_24h') NOT IN ('OBJECT', 'ARRAY') THEN json_extract_string(raw_value, '$.change_24h') END AS DOUBLE) AS change_num,
+    CASE WHEN ok AND json_type(raw_value, '$.event_time') NOT IN ('OBJECT', 'ARRAY') THEN json_extract_string(raw_value, '$.event_time') END AS time_text
+  FROM lj),
+lt AS (
+  SELECT *, CASE WHEN regexp_matches(regexp_replace(time_text, '([+-][0-9]{2}:[0-9]{2})$', ''), '\.[0-9]{6}$')
+    THEN try_strptime(regexp_replace(time_text, '([+-][0-9]{2}:[0-9]{2})$', ''), '%Y-%m-%dT%H:%M:%S.%f') END AS event_ts
+  FROM lf),
+classified AS (
+  SELECT *,
+    CASE WHEN coin_text IS NULL THEN 'invalid_json_or_missing_coin_id'
+         WHEN price_num IS NULL THEN 'missing_or_invalid_price_usd'
+         WHEN time_text IS NULL THEN 'missing_event_time' END AS reason_compat,
+    CASE WHEN coin_text IS NULL THEN 'invalid_json_or_missing_coin_id'
+         WHEN price_num IS NULL THEN 'missing_or_invalid_price_usd'
+         WHEN time_text IS NULL THEN 'missing_event_time'
+         WHEN event_ts IS NULL THEN 'unparseable_event_time' END AS reason
+  FROM lt),
+unified AS (
+  SELECT feed, coin_text AS coin_id, coalesce(source_text, feed) AS source, symbol_text AS symbol, price_num AS price_usd,
+    cap_num AS market_cap, change_num AS change_24h, date_trunc('millisecond', event_ts) AS recorded_at,
+    strftime(event_ts, '%Y-%m-%d') AS dt
+  FROM lt WHERE event_ts IS NOT NULL AND coin_text IS NOT NULL AND price_num IS NOT NULL)"""
+
+_NUM = "('BIGINT', 'UBIGINT', 'DOUBLE')"
+CONTRACT = LOG + rf""",
+cv AS (
+  SELECT event_id, feed, CASE WHEN ok AND json_type(raw_value) = 'OBJECT' THEN list_concat(
+    list_transform(list_filter(['coin_id', 'symbol', 'price_usd', 'event_time', 'source'],
+      lambda k: NOT list_contains(json_keys(raw_value), k)), lambda k: 'missing:' || k),
+    list_transform(list_filter(json_keys(raw_value),
+      lambda k: NOT list_contains(['coin_id', 'symbol', 'price_usd', 'market_cap', 'change_24h', 'event_time', 'source'], k)),
+      lambda k: 'extra:' || k),
+    list_filter([
+      CASE WHEN json_type(raw_value, '$.coin_id') IS NOT NULL AND NOT coalesce(json_type(raw_value, '$.coin_id') = 'VARCHAR'
+        AND json_extract_string(raw_value, '$.coin_id') IN ('bitcoin', 'ethereum', 'solana'), false) THEN 'coin_id' END,
+      CASE WHEN json_type(raw_value, '$.symbol') IS NOT NULL AND NOT coalesce(json_type(raw_value, '$.symbol') = 'VARCHAR'
+        AND length(json_extract_string(raw_value, '$.symbol')) BETWEEN 2 AND 8, false) THEN 'symbol' END,
+      CASE WHEN json_type(raw_value, '$.price_usd') IS NOT NULL AND NOT coalesce(json_type(raw_value, '$.price_usd') IN {_NUM}
+        AND TRY_CAST(json_extract(raw_value, '$.price_usd') AS DOUBLE) > 0, false) THEN 'price_usd' END,
+      CASE WHEN json_type(raw_value, '$.market_cap') IS NOT NULL AND NOT (json_type(raw_value, '$.market_cap') IN {_NUM}
+        OR json_type(raw_value, '$.market_cap') = 'NULL') THEN 'market_cap' END,
+      CASE WHEN json_type(raw_value, '$.change_24h') IS NOT NULL AND NOT (json_type(raw_value, '$.change_24h') IN {_NUM}
+        OR json_type(raw_value, '$.change_24h') = 'NULL') THEN 'change_24h' END,
+      CASE WHEN json_type(raw_value, '$.event_time') IS NOT NULL AND json_type(raw_value, '$.event_time') <> 'VARCHAR' THEN 'event_time' END,
+      CASE WHEN json_type(raw_value, '$.source') IS NOT NULL AND NOT coalesce(json_type(raw_value, '$.source') = 'VARCHAR'
+        AND json_extract_string(raw_value, '$.source') IN ('coingecko', 'binance'), false) THEN 'source' END
+    ], lambda x: x IS NOT NULL)) ELSE ['not_an_object'] END AS violations
+  FROM lj)"""
+
+SNAPSHOTS = BASE + r""",
+snap AS (
+  SELECT event_id AS poll_id, ts AS received_at, concat('{', '"', coin_id, '": {',
+    CASE WHEN event_id % 11 = 0 THEN '' WHEN event_id % 13 = 0 THEN '"usd": 0, ' ELSE concat('"usd": ', printf('%.2f', value), ', ') END,
+    '"usd_market_cap": ', printf('%.2f', value * 1000),
+    ', "usd_24h_change": ', CASE WHEN event_id % 3 = 0 THEN 'null' ELSE printf('%.6f', value / 100) END, '}',
+    ', "tether": {"usd": 1.0, "usd_market_cap": null, "usd_24h_change": ', CAST(event_id % 7 AS VARCHAR), '}', '}') AS payload
+  FROM base),
+ent AS (SELECT poll_id, received_at, payload, unnest(json_keys(payload)) AS coin_id FROM snap
+        WHERE json_valid(payload) AND json_type(payload) = 'OBJECT'),
+entq AS (SELECT poll_id, received_at, coin_id, json_extract(payload, concat('$."', coin_id, '"')) AS q FROM ent),
+snap_ev AS (
+  SELECT poll_id, coin_id,
+    coalesce(CASE coin_id WHEN 'bitcoin' THEN 'btc' WHEN 'ethereum' THEN 'eth' WHEN 'solana' THEN 'sol' END, coin_id) AS symbol,
+    TRY_CAST(json_extract_string(q, '$.usd') AS DOUBLE) AS price_usd,
+    TRY_CAST(json_extract_string(q, '$.usd_market_cap') AS DOUBLE) AS market_cap,
+    TRY_CAST(json_extract_string(q, '$.usd_24h_change') AS DOUBLE) AS change_24h,
+    strftime(received_at, '%Y-%m-%dT%H:%M:%S.%f') || '+00:00' AS event_time,
+    'coingecko' AS source,
+    json_type(q, '$.usd') IN ('BIGINT', 'UBIGINT', 'DOUBLE') AS usd_is_number
+  FROM entq WHERE json_type(q, '$.usd') IS NOT NULL AND json_type(q, '$.usd') <> 'NULL')"""
+
+TRADES = BASE + r""",
+tr0 AS (
+  SELECT event_id, ts,
+    CASE WHEN event_id % 7 = 0 THEN lower(upper(symbol) || 'USDT') ELSE upper(symbol) || 'USDT' END AS pair,
+    CASE WHEN event_id % 9 = 0 THEN epoch_us(ts) // 1000 - (epoch_us(ts) // 1000) % 1000 ELSE epoch_us(ts) // 1000 END AS ms,
+    value
+  FROM base),
+tr1 AS (
+  SELECT event_id, concat('{"e": "', CASE WHEN event_id % 11 = 0 THEN 'depthUpdate' ELSE 'trade' END,
+    '", "s": "', pair, '", "p": "', CASE WHEN event_id % 17 = 0 THEN 'abc' ELSE printf('%.2f', value) END, '"',
+    CASE WHEN event_id % 13 = 0 THEN '' ELSE concat(', "T": ', CAST(ms AS VARCHAR)) END, '}') AS trade, pair
+  FROM tr0),
+frames AS (
+  SELECT event_id AS frame_id,
+    CASE WHEN event_id % 3 = 0 THEN concat('{"stream": "', lower(pair), '@trade", "data": ', trade, '}') ELSE trade END AS payload
+  FROM tr1),
+unwrapped AS (
+  SELECT frame_id, CASE WHEN json_type(payload, '$.data') = 'OBJECT' THEN json_extract(payload, '$.data') ELSE payload END AS t
+  FROM frames WHERE json_valid(payload)),
+tr_ev AS (
+  SELECT frame_id,
+    CASE upper(json_extract_string(t, '$.s')) WHEN 'BTCUSDT' THEN 'bitcoin' WHEN 'ETHUSDT' THEN 'ethereum' WHEN 'SOLUSDT' THEN 'solana' END AS coin_id,
+    CASE upper(json_extract_string(t, '$.s')) WHEN 'BTCUSDT' THEN 'btc' WHEN 'ETHUSDT' THEN 'eth' WHEN 'SOLUSDT' THEN 'sol' END AS symbol,
+    TRY_CAST(trim(json_extract_string(t, '$.p')) AS DOUBLE) AS price_usd,
+    CAST(NULL AS DOUBLE) AS market_cap, CAST(NULL AS DOUBLE) AS change_24h,
+    strftime(epoch_ms(TRY_CAST(json_extract_string(t, '$.T') AS BIGINT)), '%Y-%m-%dT%H:%M:%S.%f') || '+00:00' AS event_time,
+    'binance' AS source, json_extract_string(t, '$.e') AS e, TRY_CAST(json_extract_string(t, '$.T') AS BIGINT) AS ms
+  FROM unwrapped)"""
+
+
+def _typed_violations() -> str:
+    return """array_to_string(list_filter([
+      CASE WHEN NOT coalesce(coin_id IN ('bitcoin', 'ethereum', 'solana'), false) THEN 'coin_id' END,
+      CASE WHEN NOT coalesce(length(symbol) BETWEEN 2 AND 8, false) THEN 'symbol' END,
+      CASE WHEN NOT coalesce(price_usd > 0 AND NOT isnan(price_usd), false) THEN 'price_usd' END,
+      CASE WHEN event_time IS NULL THEN 'event_time' END,
+      CASE WHEN NOT coalesce(source IN ('coingecko', 'binance'), false) THEN 'source' END], lambda x: x IS NOT NULL)"""
+
+
+def edge_oracle() -> dict[str, str]:
+    ev_cols = "coin_id, symbol, price_usd, market_cap, change_24h, event_time, source"
+    return {
+        "unified_prices": _w(LOG, """SELECT coin_id, source, symbol, price_usd, market_cap, change_24h, recorded_at, dt
+  FROM unified"""),
+        "dead_letters": _w(LOG, """SELECT topic AS source_topic, raw_value, reason, kafka_ts AS failed_at
+  FROM classified WHERE reason IS NOT NULL"""),
+        "dead_letters_compat": _w(LOG, """SELECT topic AS source_topic, raw_value, reason_compat AS reason, kafka_ts AS failed_at
+  FROM classified WHERE reason_compat IS NOT NULL"""),
+        "dlq_counts": _w(LOG, """SELECT topic AS source_topic, reason, count(*) AS messages
+  FROM classified WHERE reason IS NOT NULL GROUP BY 1, 2"""),
+        "validity_split": _w(LOG, """SELECT feed, count(*) AS input_rows,
+  count(*) FILTER (WHERE reason IS NULL) AS accepted_rows,
+  count(*) FILTER (WHERE reason IS NOT NULL) AS rejected_rows,
+  (SELECT count(*) FROM unified u WHERE u.feed = c.feed) AS unified_rows
+  FROM classified c GROUP BY feed"""),
+        "contract_violations": _w(CONTRACT, """SELECT event_id, feed, len(violations) = 0 AS is_valid,
+  array_to_string(violations, ',') AS violations FROM cv"""),
+        "contract_rule_counts": _w(CONTRACT, """SELECT rule, count(*) AS messages
+  FROM (SELECT unnest(violations) AS rule FROM cv) GROUP BY rule"""),
+        "normalize_snapshot": _w(SNAPSHOTS, f"""SELECT poll_id, {ev_cols},
+  array_to_string(list_concat(list_filter([
+      CASE WHEN NOT coalesce(coin_id IN ('bitcoin', 'ethereum', 'solana'), false) THEN 'coin_id' END,
+      CASE WHEN NOT coalesce(length(symbol) BETWEEN 2 AND 8, false) THEN 'symbol' END,
+      CASE WHEN NOT coalesce(price_usd > 0 AND NOT isnan(price_usd), false) THEN 'price_usd' END,
+      CASE WHEN event_time IS NULL THEN 'event_time' END,
+      CASE WHEN NOT coalesce(source IN ('coingecko', 'binance'), false) THEN 'source' END], lambda x: x IS NOT NULL),
+    CASE WHEN usd_is_number THEN [] ELSE ['price_usd:type'] END), ',') AS violations
+  FROM snap_ev"""),
+        "normalize_trades": _w(TRADES, f"""SELECT frame_id, {ev_cols},
+  {_typed_violations()}, ',') AS violations
+  FROM tr_ev WHERE e = 'trade' AND coin_id IS NOT NULL AND ms IS NOT NULL"""),
+    }
