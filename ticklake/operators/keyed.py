@@ -78,3 +78,25 @@ def previous(df: DataFrame, keys: Sequence[str], order_col: str, values: Sequenc
     joined = inner.join(carry, on=[*keys, bkt], how="left")
     prev = F.coalesce(F.col("_prev"), F.col("_carry"))
     return joined.select(*df.columns, *[prev[v].alias(prefix + v) for v in values])
+
+
+def running_max(df: DataFrame, keys: Sequence[str], order_col: str, value: str, out: str, *,
+                bucket_seconds: int | None = 3600) -> DataFrame:
+    """``out`` = max of ``value`` over rows of the same key with
+    ``order_col`` <= the current row's (a running max; NULLs ignored).
+
+    Bucketed like ``previous``: a running max inside (key, bucket) plus the
+    max of all earlier buckets from a per-bucket table.
+    """
+    if bucket_seconds is None:
+        w = Window.partitionBy(*keys).orderBy(order_col).rowsBetween(Window.unboundedPreceding, 0)
+        return df.withColumn(out, F.max(value).over(w))
+    bkt = "_bkt"
+    b = df.withColumn(bkt, time_bucket(F.col(order_col), bucket_seconds))
+    w_in = Window.partitionBy(*keys, bkt).orderBy(order_col).rowsBetween(Window.unboundedPreceding, 0)
+    inner = b.withColumn("_in", F.max(value).over(w_in))
+    per_bucket = b.groupBy(*keys, bkt).agg(F.max(value).alias("_bmax"))
+    w_b = Window.partitionBy(*keys).orderBy(bkt).rowsBetween(Window.unboundedPreceding, -1)
+    carry = per_bucket.select(*keys, bkt, F.max("_bmax").over(w_b).alias("_carry"))
+    joined = inner.join(carry, on=[*keys, bkt], how="left")
+    return joined.select(*df.columns, F.greatest("_in", "_carry").alias(out))

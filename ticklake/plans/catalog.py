@@ -127,6 +127,7 @@ def catalog() -> dict[str, Query]:
     for name in B.QUESTIONS:
         q[f"bi_{name}"] = _bi(name)
     _edge(q)
+    _throttle(q)
     return {k: _q(v) for k, v in q.items()}
 
 
@@ -178,3 +179,15 @@ def _edge(q: dict[str, Callable[[Inputs], DataFrame]]) -> None:
         "normalize_snapshot": lambda i: joined(N.normalize_snapshot(D.snapshot_bodies(i.events))),
         "normalize_trades": lambda i: joined(N.normalize_trades(D.trade_frames(i.events))),
     })
+
+
+# --- throttle --------------------------------------------------------------
+
+def _throttle(q: dict[str, Callable[[Inputs], DataFrame]]) -> None:
+    from ticklake.operators.throttle import throttle
+
+    def ticks(i: Inputs) -> DataFrame:
+        return D.tick_base(i.events).select("event_id", "coin_id", "ts")
+
+    q["throttled_ticks"] = lambda i: throttle(ticks(i), "coin_id", "ts", 600, tie_break=("event_id",))
+    q["throttled_ticks_hourly"] = lambda i: throttle(ticks(i), "coin_id", "ts", 3600, tie_break=("event_id",))

@@ -168,6 +168,8 @@ UNION ALL {sel_clean} FROM fresh"""),
         "bi_ops_latest": _w(GOLD, "SELECT coin_id, price_usd, change_24h, last_recorded_at FROM latest ORDER BY coin_id"),
     }
     q.update(edge_oracle())
+    for name, n in (("throttled_ticks", 600), ("throttled_ticks_hourly", 3600)):
+        q[name] = _throttle_sql(n)
     return q
 
 
@@ -343,3 +345,16 @@ def edge_oracle() -> dict[str, str]:
   {_typed_violations()}, ',') AS violations
   FROM tr_ev WHERE e = 'trade' AND coin_id IS NOT NULL AND ms IS NOT NULL"""),
     }
+
+
+def _throttle_sql(seconds: int) -> str:
+    """Sequential definition as a recursive CTE: from the first tick of a
+    key, the next kept tick is the first at or after last kept + N."""
+    return "WITH RECURSIVE " + BASE + f""",
+t AS (SELECT event_id, coin_id, ts FROM base),
+kept(coin_id, ts) AS (
+  SELECT coin_id, min(ts) FROM t GROUP BY coin_id
+  UNION ALL
+  SELECT t.coin_id, min(t.ts) FROM kept JOIN t ON t.coin_id = kept.coin_id
+    AND t.ts >= kept.ts + INTERVAL {int(seconds)} SECOND GROUP BY t.coin_id)
+SELECT t.event_id, t.coin_id, t.ts FROM t JOIN kept ON t.coin_id = kept.coin_id AND t.ts = kept.ts"""
