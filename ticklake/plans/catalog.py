@@ -128,6 +128,7 @@ def catalog() -> dict[str, Query]:
         q[f"bi_{name}"] = _bi(name)
     _edge(q)
     _throttle(q)
+    _quality(q)
     return {k: _q(v) for k, v in q.items()}
 
 
@@ -191,3 +192,18 @@ def _throttle(q: dict[str, Callable[[Inputs], DataFrame]]) -> None:
 
     q["throttled_ticks"] = lambda i: throttle(ticks(i), "coin_id", "ts", 600, tie_break=("event_id",))
     q["throttled_ticks_hourly"] = lambda i: throttle(ticks(i), "coin_id", "ts", 3600, tie_break=("event_id",))
+
+
+# --- quality -----------------------------------------------------------------
+
+def _quality(q: dict[str, Callable[[Inputs], DataFrame]]) -> None:
+    from ticklake.operators import checks as C
+    from ticklake.plans import quality as QL
+
+    def rels(i: Inputs) -> dict[str, DataFrame]:
+        gold = {**i.gold(), "changes": G.changes(i.clean)}
+        return QL.relations(i.raw, i.stg, i.clean, gold, as_of=i.as_of)
+
+    q["dq_results"] = lambda i: QL.quality_results(rels(i), as_of=i.as_of)
+    q["source_volume"] = lambda i: C.source_volume(rels(i)["raw_24h"])
+    q["coin_coverage"] = lambda i: C.coin_coverage(rels(i)["raw_24h"])

@@ -168,6 +168,7 @@ UNION ALL {sel_clean} FROM fresh"""),
         "bi_ops_latest": _w(GOLD, "SELECT coin_id, price_usd, change_24h, last_recorded_at FROM latest ORDER BY coin_id"),
     }
     q.update(edge_oracle())
+    q.update(quality_oracle())
     for name, n in (("throttled_ticks", 600), ("throttled_ticks_hourly", 3600)):
         q[name] = _throttle_sql(n)
     return q
@@ -358,3 +359,71 @@ kept(coin_id, ts) AS (
   SELECT t.coin_id, min(t.ts) FROM kept JOIN t ON t.coin_id = kept.coin_id
     AND t.ts >= kept.ts + INTERVAL {int(seconds)} SECOND GROUP BY t.coin_id)
 SELECT t.event_id, t.coin_id, t.ts FROM t JOIN kept ON t.coin_id = kept.coin_id AND t.ts = kept.ts"""
+
+
+# --- quality results ---------------------------------------------------------
+
+def _lit_list(values) -> str:
+    return ", ".join("'" + str(v) + "'" for v in values)
+
+
+def _rule_sql(zone: str, rel: str, rule) -> str:
+    head = f"'{zone}' AS zone, '{rule.kind}' AS check_name, '{','.join(rule.columns)}' AS column_name"
+    if rule.kind == "unique":
+        cols = ", ".join(rule.columns)
+        cond = "n > 1" + (f" AND {rule.columns[0]} IS NOT NULL" if len(rule.columns) == 1 else "")
+        failed = f"(SELECT count(*) FROM (SELECT {cols}, count(*) AS n FROM {rel} GROUP BY {cols}) g WHERE {cond})"
+        return (f"SELECT {head}, {failed} AS failed_rows, (SELECT count(*) FROM {rel}) AS total_rows, "
+                f"{failed} = 0 AND (SELECT count(*) FROM {rel}) > 0 AS success")
+    c = rule.columns[0] if rule.columns else None
+    t = rule.threshold
+    if rule.kind == "not_null":
+        failed = f"count(*) FILTER (WHERE {c} IS NULL)"
+        ok = f"{failed} = 0"
+    elif rule.kind == "accepted_values":
+        failed = f"count(*) FILTER (WHERE {c} IS NOT NULL AND {c} NOT IN ({_lit_list(rule.values)}))"
+        ok = f"{failed} = 0"
+    elif rule.kind == "min_gt":
+        failed = f"count(*) FILTER (WHERE {c} <= {t})"
+        ok = f"coalesce(min({c}) > {t}, false)"
+    elif rule.kind == "row_count_min":
+        failed = f"CAST(CASE WHEN count(*) < {t} THEN 1 ELSE 0 END AS BIGINT)"
+        ok = f"count(*) >= {t}"
+    elif rule.kind == "row_count_eq":
+        failed = f"CAST(CASE WHEN count(*) <> {t} THEN 1 ELSE 0 END AS BIGINT)"
+        ok = f"count(*) = {t}"
+    elif rule.kind == "freshness":
+        age = f"CAST(epoch_us((SELECT as_of FROM ref_time)) - epoch_us(max({c})) AS DOUBLE) / 60000000.0"
+        ok = f"coalesce({age} <= {t}, false)"
+        failed = f"CAST(CASE WHEN {ok} THEN 0 ELSE 1 END AS BIGINT)"
+    else:
+        raise ValueError(rule.kind)
+    return f"SELECT {head}, {failed} AS failed_rows, count(*) AS total_rows, ({ok}) AND count(*) > 0 AS success FROM {rel}"
+
+
+QUALITY = GOLD + f""",
+changes AS ({CHANGES_SELECT}),
+raw_24h AS (SELECT * FROM raw WHERE recorded_at >= (SELECT as_of FROM ref_time) - INTERVAL 24 HOUR),
+silver_24h AS (SELECT * FROM clean WHERE recorded_at >= (SELECT as_of FROM ref_time) - INTERVAL 24 HOUR),
+latest_as_ts AS (SELECT coin_id, symbol, price_usd, market_cap, change_24h, last_recorded_at AS recorded_at FROM latest),
+comparison AS (SELECT * FROM cmp),
+latest_by_source AS (SELECT * FROM lbs)"""
+
+
+def quality_oracle() -> dict[str, str]:
+    from ticklake.plans.quality import MODEL_TESTS, ZONE_SUITES
+    parts = [_rule_sql(z, rel, r) for z, rel, rules in ZONE_SUITES + MODEL_TESTS for r in rules]
+    vol = """SELECT 'raw' AS zone, s.source, coalesce(n, 0) AS row_count, coalesce(n, 0) >= 1 AS success
+  FROM (VALUES ('coingecko'), ('binance')) s(source)
+  LEFT JOIN (SELECT source, count(*) AS n FROM raw_24h GROUP BY source) c ON c.source = s.source"""
+    cov = """SELECT 'raw' AS zone, s.source, coalesce(k, 0) AS coins_seen,
+    array_to_string(list_filter(['bitcoin', 'ethereum', 'solana'], lambda x: NOT list_contains(coalesce(seen, []), x)), ',') AS missing_coins,
+    coalesce(k, 0) = 3 AS success
+  FROM (VALUES ('coingecko'), ('binance')) s(source)
+  LEFT JOIN (SELECT source, count(DISTINCT coin_id) AS k, list(DISTINCT coin_id) AS seen FROM raw_24h
+             WHERE coin_id IN ('bitcoin', 'ethereum', 'solana') GROUP BY source) c ON c.source = s.source"""
+    return {
+        "dq_results": _w(QUALITY, "\nUNION ALL\n".join(parts)),
+        "source_volume": _w(QUALITY, vol),
+        "coin_coverage": _w(QUALITY, cov),
+    }
