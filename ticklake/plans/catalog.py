@@ -129,6 +129,7 @@ def catalog() -> dict[str, Query]:
     _edge(q)
     _throttle(q)
     _quality(q)
+    _sinks(q)
     return {k: _q(v) for k, v in q.items()}
 
 
@@ -207,3 +208,88 @@ def _quality(q: dict[str, Callable[[Inputs], DataFrame]]) -> None:
     q["dq_results"] = lambda i: QL.quality_results(rels(i), as_of=i.as_of)
     q["source_volume"] = lambda i: C.source_volume(rels(i)["raw_24h"])
     q["coin_coverage"] = lambda i: C.coin_coverage(rels(i)["raw_24h"])
+
+
+# --- sinks, lake, backfills ----------------------------------------------------
+
+def _sinks(q: dict[str, Callable[[Inputs], DataFrame]]) -> None:
+    from ticklake.operators import backfill as BF
+    from ticklake.operators import normalize as N
+    from ticklake.operators import sinks as SK
+    from ticklake.session import work_path
+
+    def unified(i: Inputs) -> DataFrame:
+        return N.parse_events(D.raw_log(i.events), keep=("event_id", "topic", "kafka_ts"))
+
+    lake_cols = ["symbol", "price_usd", "market_cap", "change_24h", "recorded_at", "source", "coin_id", "dt"]
+
+    def land(i: Inputs) -> str:
+        """Two micro-batches (one per topic) landed, then the first replayed."""
+        path = work_path(i.spark, "lake")
+        u = unified(i)
+        batches = [u.where(F.col("topic") == t) for t in ("coingecko.prices.raw", "binance.trades.raw")]
+        for n, b in enumerate(batches):
+            SK.append_lake(b.select(*lake_cols), path, n)
+        SK.append_lake(batches[0].select(*lake_cols), path, 0)
+        return path
+
+    def lake_roundtrip(i: Inputs) -> DataFrame:
+        return SK.read_lake(i.spark, land(i)).select(*lake_cols)
+
+    def lake_compaction(i: Inputs) -> DataFrame:
+        """Land, compact the oldest day of every (source, coin) that has one, read back."""
+        path = land(i)
+        # the compaction targets are a bounded listing of partition values (distinct partitions)
+        for r in (SK.read_lake(i.spark, path).groupBy("source", "coin_id").agg(F.min("dt").alias("dt"))
+                  .where(F.col("coin_id") == "bitcoin").collect()):
+            SK.compact_lake(i.spark, path, r.source, r.coin_id, r.dt)
+        return SK.read_lake(i.spark, path).select(*lake_cols)
+
+    def lake_inventory(i: Inputs) -> DataFrame:
+        return SK.lake_inventory(i.spark, land(i)).select("partition", "file_size")
+
+    def upsert_state(i: Inputs) -> DataFrame:
+        """Raw keyed table after two overlapping batches; the second restates
+        prices (+1) for its keys, the first write's ingested_at is kept."""
+        path = work_path(i.spark, "raw")
+        u = unified(i)
+        b0 = (u.where(F.col("kafka_ts") < i.as_of - F.expr("INTERVAL 10 DAYS"))
+               .withColumn("ingested_at", i.as_of))
+        b1 = (u.where(F.col("kafka_ts") >= i.as_of - F.expr("INTERVAL 20 DAYS"))
+               .withColumn("price_usd", F.col("price_usd") + 1)
+               .withColumn("ingested_at", i.as_of + F.expr("INTERVAL 1 HOUR")))
+        cols = ["coin_id", "source", "symbol", "price_usd", "market_cap", "change_24h", "recorded_at",
+                "ingested_at", "dt", "kafka_ts", "event_id"]
+        for n, b in enumerate((b0, b1)):
+            SK.upsert_by_key(b.select(*cols), path, ["coin_id", "source", "recorded_at"], ["kafka_ts", "event_id"],
+                             batch_id=n)
+        # a replayed batch id is a no-op
+        SK.upsert_by_key(b0.select(*cols), path, ["coin_id", "source", "recorded_at"], ["kafka_ts", "event_id"],
+                         batch_id=0)
+        return i.spark.read.parquet(path).select(*cols[:9])
+
+    def seed_history(i: Inputs) -> DataFrame:
+        existing = D.ticks(i.events)
+        grid = BF.history_grid(i.spark, i.as_of)
+        return existing.unionByName(SK.insert_if_absent(existing, grid, ["coin_id", "source", "recorded_at"]))
+
+    def backfill_legacy(i: Inputs) -> DataFrame:
+        zone = D.ticks(i.events)
+        legacy = zone.drop("source")
+        return zone.unionByName(BF.copy_legacy(legacy, zone))
+
+    def migration_key_check(i: Inputs) -> DataFrame:
+        legacy = D.ticks(i.events).withColumn(
+            "source", F.when(F.col("source") == "binance", F.col("source")))
+        _, check = BF.add_source_column(legacy)
+        return check
+
+    q.update({
+        "lake_roundtrip": lake_roundtrip,
+        "lake_compaction": lake_compaction,
+        "lake_inventory": lake_inventory,
+        "upsert_state": upsert_state,
+        "seed_history": seed_history,
+        "backfill_legacy": backfill_legacy,
+        "migration_key_check": migration_key_check,
+    })
