@@ -130,6 +130,7 @@ def catalog() -> dict[str, Query]:
     _throttle(q)
     _quality(q)
     _sinks(q)
+    _ops(q)
     return {k: _q(v) for k, v in q.items()}
 
 
@@ -293,3 +294,29 @@ def _sinks(q: dict[str, Callable[[Inputs], DataFrame]]) -> None:
         "backfill_legacy": backfill_legacy,
         "migration_key_check": migration_key_check,
     })
+
+
+# --- operations ------------------------------------------------------------------
+
+def _ops(q: dict[str, Callable[[Inputs], DataFrame]]) -> None:
+    from ticklake.operators import deadletter as DL
+    from ticklake.operators import ops as O
+
+    def il(i: Inputs) -> DataFrame:
+        return D.ingest_log(i.events)
+
+    def dlq(i: Inputs) -> DataFrame:
+        return DL.dead_letters(DL.classify(D.raw_log(i.events)))
+
+    both = F.col("kind") == "error"
+    q.update({
+        "ops_throughput": lambda i: O.throughput(il(i)),
+        "ops_last_price": lambda i: O.last_price(il(i)),
+        "ops_counters": lambda i: O.counters(il(i), dlq(i)),
+        "ops_errors_1h": lambda i: O.window_count(il(i), as_of=i.as_of, seconds=3600, where=both),
+        "ops_poll_age": lambda i: O.poll_age(il(i), as_of=i.as_of),
+        "ops_feed_b_10m": lambda i: O.window_count(
+            il(i), as_of=i.as_of, seconds=600,
+            where=(F.col("kind") == "published") & (F.col("service") == "binance")),
+        "alerts": lambda i: O.alerts(il(i), dlq(i), D.progress_log(i.events), as_of=i.as_of),
+    })

@@ -170,6 +170,7 @@ UNION ALL {sel_clean} FROM fresh"""),
     q.update(edge_oracle())
     q.update(quality_oracle())
     q.update(sinks_oracle())
+    q.update(ops_oracle())
     for name, n in (("throttled_ticks", 600), ("throttled_ticks_hourly", 3600)):
         q[name] = _throttle_sql(n)
     return q
@@ -516,3 +517,63 @@ def sinks_oracle() -> dict[str, str]:
        recorded_at, count(*) AS n FROM ticks GROUP BY 1, 2, 3) WHERE n > 1) = 0 AND (SELECT count(*) FROM ticks) > 0
       AS success"""),
     }
+
+
+# --- operations ------------------------------------------------------------------
+
+OPS = LOG + ",\n" + ASOF + """,
+il AS (
+  SELECT ts, source AS service, CASE WHEN coin_id = 'error' THEN 'error' ELSE 'published' END AS kind,
+    CASE WHEN coin_id <> 'error' THEN coin_id END AS coin_id, CASE WHEN coin_id <> 'error' THEN value END AS price_usd,
+    CASE WHEN coin_id = 'error' THEN CASE WHEN event_id % 2 = 0 THEN 'http' ELSE 'publish' END END AS error_type
+  FROM base),
+dlq AS (SELECT topic AS source_topic, raw_value, reason, kafka_ts AS failed_at FROM classified WHERE reason IS NOT NULL),
+progress AS (SELECT time_bucket(INTERVAL 1 MINUTE, ts) + INTERVAL 1 MINUTE AS batch_ts, count(*) AS input_rows
+             FROM events GROUP BY 1)"""
+
+
+def _alert_sql(a) -> str:
+    table, col = {"log": ("il", "ts"), "dlq": ("dlq", "failed_at"), "progress": ("progress", "batch_ts")}[a.table]
+    filters = "".join(f" AND {c} = '{v}'" for c, v in a.where)
+    t = "((SELECT as_of FROM ref_time) - to_seconds(k * 15))"
+    if a.kind == "stale":
+        m = (f"CAST(epoch_us({t}) - epoch_us((SELECT max({col}) FROM {table} WHERE {col} <= {t}{filters})) AS DOUBLE)"
+             " / 1000000.0")
+    else:
+        m = (f"CAST((SELECT count(*) FROM {table} WHERE {col} > {t} - to_seconds({a.range_seconds}) "
+             f"AND {col} <= {t}{filters}) AS DOUBLE)")
+    op = "=" if a.op == "==" else a.op
+    steps = a.hold_seconds // 15
+    return (f"SELECT '{a.name}' AS name, '{a.severity}' AS severity, '{a.service}' AS service, "
+            f"bool_and(coalesce(m {op} {a.threshold}, false)) AS firing, "
+            f"CAST(max(m) FILTER (WHERE k = 0) AS DOUBLE) AS value "
+            f"FROM (SELECT k, {m} AS m FROM range(0, {steps + 1}) r(k))")
+
+
+def ops_oracle() -> dict[str, str]:
+    from ticklake.operators.ops import ALERTS
+    return {
+        "ops_throughput": _w(OPS, """SELECT window_start, window_start + INTERVAL 5 MINUTE AS window_end,
+    count(*) / 300.0 AS msgs_per_sec
+  FROM (SELECT time_bucket(INTERVAL 1 MINUTE, ts) - to_minutes(k) AS window_start
+        FROM il, range(0, 5) r(k) WHERE kind = 'published') GROUP BY window_start"""),
+        "ops_last_price": _w(OPS, """SELECT coin_id, price_usd, last_published_at FROM (
+    SELECT coin_id, price_usd, ts AS last_published_at, row_number() OVER (PARTITION BY coin_id ORDER BY ts DESC) AS rn
+    FROM il WHERE kind = 'published' AND service = 'coingecko') WHERE rn = 1"""),
+        "ops_counters": _w(OPS, """SELECT 'messages_published_total' AS counter,
+    concat_ws(',', 'service=' || service, 'coin_id=' || coin_id) AS labels, count(*) AS value
+  FROM il WHERE kind = 'published' GROUP BY service, coin_id
+  UNION ALL
+  SELECT 'errors_total', concat_ws(',', 'service=' || service, 'error_type=' || error_type), count(*)
+  FROM il WHERE kind = 'error' GROUP BY service, error_type
+  UNION ALL
+  SELECT 'dlq_messages_total', concat_ws(',', 'source_topic=' || source_topic, 'reason=' || reason), count(*)
+  FROM dlq GROUP BY source_topic, reason"""),
+        "ops_errors_1h": _w(OPS, """SELECT count(*) FILTER (WHERE kind = 'error'
+    AND ts > (SELECT as_of FROM ref_time) - INTERVAL 3600 SECOND AND ts <= (SELECT as_of FROM ref_time)) AS value FROM il"""),
+        "ops_poll_age": _w(OPS, """SELECT CAST(epoch_us((SELECT as_of FROM ref_time)) - epoch_us(max(ts)) AS DOUBLE) / 1000000.0
+    AS seconds_since_poll FROM il WHERE kind = 'published' AND service = 'coingecko'"""),
+        "ops_feed_b_10m": _w(OPS, """SELECT count(*) FILTER (WHERE kind = 'published' AND service = 'binance'
+    AND ts > (SELECT as_of FROM ref_time) - INTERVAL 600 SECOND AND ts <= (SELECT as_of FROM ref_time)) AS value FROM il"""),
+        "alerts": _w(OPS, "\nUNION ALL\n".join(_alert_sql(a) for a in ALERTS)),
+    }

@@ -176,3 +176,27 @@ def trade_frames(events: DataFrame) -> DataFrame:
         F.col("ts").alias("received_at"),
         F.when(eid % 3 == 0, wrapped).otherwise(trade).alias("payload"),
     )
+
+
+def ingest_log(events: DataFrame) -> DataFrame:
+    """Ingest-service log: every event is one published message of its feed,
+    except ``error`` events, which are errors of that feed's service.
+    Columns: ts, service, kind ('published' | 'error'), coin_id, price_usd, error_type.
+    """
+    b = tick_base(events)
+    is_err = F.col("coin_id") == "error"
+    return b.select(
+        "ts", F.col("source").alias("service"),
+        F.when(is_err, F.lit("error")).otherwise(F.lit("published")).alias("kind"),
+        F.when(~is_err, F.col("coin_id")).alias("coin_id"),
+        F.when(~is_err, F.col("value")).alias("price_usd"),
+        F.when(is_err, F.when(F.col("event_id") % 2 == 0, F.lit("http")).otherwise(F.lit("publish"))).alias("error_type"),
+    )
+
+
+def progress_log(events: DataFrame, *, trigger_minutes: int = 1) -> DataFrame:
+    """Streaming-query progress: one row per trigger interval that had input
+    (batch time = interval end, input rows). Columns: batch_ts, input_rows."""
+    w = F.window("ts", f"{int(trigger_minutes)} minutes")
+    return (events.groupBy(w.alias("w")).agg(F.count(F.lit(1)).alias("input_rows"))
+            .select(F.col("w.end").cast("timestamp_ntz").alias("batch_ts"), "input_rows"))
