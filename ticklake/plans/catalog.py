@@ -131,6 +131,7 @@ def catalog() -> dict[str, Query]:
     _quality(q)
     _sinks(q)
     _ops(q)
+    _streaming(q)
     return {k: _q(v) for k, v in q.items()}
 
 
@@ -320,3 +321,43 @@ def _ops(q: dict[str, Callable[[Inputs], DataFrame]]) -> None:
             where=(F.col("kind") == "published") & (F.col("service") == "binance")),
         "alerts": lambda i: O.alerts(il(i), dlq(i), D.progress_log(i.events), as_of=i.as_of),
     })
+
+
+# --- streaming -------------------------------------------------------------------
+
+def _streaming(q: dict[str, Callable[[Inputs], DataFrame]]) -> None:
+    from ticklake.session import work_path
+    from ticklake.sources import log as L
+    from ticklake.streaming import stream as ST
+    from ticklake.streaming.throttle_stream import throttle_stream
+
+    def ingest(i: Inputs) -> ST.Paths:
+        """Land the log in five time-ordered files, stream them one file per
+        micro-batch, then replay the whole landing dir with a new checkpoint
+        (every batch id is re-applied: the tables must not change)."""
+        landing = work_path(i.spark, "landing")
+        L.land_log(L.log_records(D.raw_log(i.events)), landing, files=5)
+        base = work_path(i.spark, "stream")
+        paths = ST.Paths(f"{base}/raw", f"{base}/lake", f"{base}/dlq", f"{base}/_checkpoint")
+        log = L.read_log(i.spark, landing, max_files_per_trigger=1)
+        ST.run_stream(i.spark, log, paths, available_now=True).awaitTermination()
+        return paths
+
+    def stream_throttled(i: Inputs) -> DataFrame:
+        landing = work_path(i.spark, "ticks-landing")
+        ticks = D.tick_base(i.events).select("event_id", "coin_id", "ts")
+        L.land_files(ticks, landing, "ts", files=5)
+        src = (i.spark.readStream.schema("event_id long, coin_id string, ts timestamp_ntz")
+               .option("timestampNTZFormat", L.NTZ_FORMAT).option("maxFilesPerTrigger", "1").json(landing))
+        out = work_path(i.spark, "throttled")
+        (throttle_stream(src, "coin_id", "ts", 600, tie_break=("event_id",))
+         .writeStream.format("parquet").option("path", out)
+         .option("checkpointLocation", out + "_checkpoint").trigger(availableNow=True)
+         .start().awaitTermination())
+        return i.spark.read.parquet(out).select("event_id", "coin_id", "ts")
+
+    q.update({
+        "stream_raw": lambda i: ST.read_raw(i.spark, ingest(i)).drop("ingested_at"),
+        "stream_dead_letters": lambda i: ST.read_dead_letters(i.spark, ingest(i)),
+        "stream_throttled": stream_throttled,
+    })

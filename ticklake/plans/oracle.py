@@ -171,6 +171,14 @@ UNION ALL {sel_clean} FROM fresh"""),
     q.update(quality_oracle())
     q.update(sinks_oracle())
     q.update(ops_oracle())
+    q["stream_throttled"] = _throttle_sql(600)
+    q["stream_dead_letters"] = _w(LOG, """SELECT topic AS source_topic, raw_value, reason,
+  date_trunc('millisecond', kafka_ts) AS failed_at FROM classified WHERE reason IS NOT NULL""")
+    q["stream_raw"] = _w(UNIFIED_IDS, """SELECT coin_id, source, symbol, CAST(price_usd AS DECIMAL(20,8)) AS price_usd,
+    CAST(market_cap AS DECIMAL(30,2)) AS market_cap, CAST(change_24h AS DECIMAL(10,4)) AS change_24h, recorded_at, dt
+  FROM (SELECT *, row_number() OVER (PARTITION BY coin_id, source, recorded_at, dt
+          ORDER BY date_trunc('millisecond', kafka_ts) DESC, event_id DESC) AS rn
+        FROM uid) WHERE rn = 1""")
     for name, n in (("throttled_ticks", 600), ("throttled_ticks_hourly", 3600)):
         q[name] = _throttle_sql(n)
     return q
