@@ -60,6 +60,10 @@ def merge_by_key(existing: DataFrame | None, batch: DataFrame, key: Sequence[str
     return kept.unionByName(new.select(*existing.columns))
 
 
+def table_exists(spark: SparkSession, path: str) -> bool:
+    return _exists(spark, path)
+
+
 def _exists(spark: SparkSession, path: str) -> bool:
     try:
         spark.read.parquet(path).schema  # noqa: B018 (listing only)

@@ -132,6 +132,7 @@ def catalog() -> dict[str, Query]:
     _sinks(q)
     _ops(q)
     _streaming(q)
+    _misc(q)
     return {k: _q(v) for k, v in q.items()}
 
 
@@ -361,3 +362,64 @@ def _streaming(q: dict[str, Callable[[Inputs], DataFrame]]) -> None:
         "stream_dead_letters": lambda i: ST.read_dead_letters(i.spark, ingest(i)),
         "stream_throttled": stream_throttled,
     })
+
+
+# --- readers, publishing, replay, declared freshness ---------------------------------
+
+def _misc(q: dict[str, Callable[[Inputs], DataFrame]]) -> None:
+    from ticklake.functions import jsonx
+    from ticklake.functions.timefmt import as_column, seconds_between
+    from ticklake.operators import deadletter as DL
+    from ticklake.operators import normalize as N
+    from ticklake.operators import sinks as SK
+    from ticklake.session import work_path
+    from ticklake.sources import log as L
+
+    def debug_view(i: Inputs) -> DataFrame:
+        """The debug consumer's projection of the feed log."""
+        recs = L.log_records(D.raw_log(i.events))
+        v = jsonx.parse(F.col("value"))
+        return recs.select("partition", "offset", jsonx.scalar_text(v, "$.coin_id").alias("coin_id"),
+                           jsonx.scalar_text(v, "$.price_usd").alias("price_usd"),
+                           jsonx.scalar_text(v, "$.event_time").alias("event_time"))
+
+    def dlq_messages(i: Inputs) -> DataFrame:
+        """Dead-letter topic: the classifier's records as JSON, plus foreign
+        messages (whole document texts) that landed on the topic."""
+        dead = DL.to_dlq_json(DL.dead_letters(DL.classify(D.raw_log(i.events))))
+        junk = i.table("documents").select(F.col("text").alias("value"))
+        return dead.unionByName(junk).select(F.col("value").cast("binary").alias("value"))
+
+    def publish_records(i: Inputs) -> DataFrame:
+        t = N.normalize_trades(D.trade_frames(i.events))
+        return L.to_log(t.where(F.size("violations") == 0), key_cols=("coin_id", "source"))
+
+    def source_freshness(i: Inputs) -> DataFrame:
+        """Declared source freshness of the raw table: warn after 10, error
+        after 30 minutes without a new row."""
+        age = seconds_between(as_column(i.as_of), F.max("recorded_at"))
+        return i.raw.agg(F.max("recorded_at").alias("max_loaded_at"), age.alias("age_seconds")).select(
+            F.lit("raw.crypto_prices").alias("source_name"), "max_loaded_at", "age_seconds",
+            F.when(F.col("age_seconds") > 30 * 60, "error").when(F.col("age_seconds") > 10 * 60, "warn")
+             .otherwise("pass").alias("status"))
+
+    def lake_replay(i: Inputs) -> DataFrame:
+        """Rebuild a keyed raw table from the lake (insert-if-absent)."""
+        lake = work_path(i.spark, "lake")
+        u = N.parse_events(D.raw_log(i.events))
+        SK.append_lake(u, lake, 0)
+        raw = work_path(i.spark, "raw-replay")
+        SK.append_if_absent(SK.read_lake(i.spark, lake).select(*u.columns), raw,
+                            ["coin_id", "source", "recorded_at"], partition_by=("dt",))
+        return i.spark.read.parquet(raw).select(*u.columns)
+
+    q.update({
+        "log_debug_view": debug_view,
+        "dlq_monitor": lambda i: DL.parse_dead_letters(dlq_messages(i)),
+        "dlq_monitor_counts": lambda i: (DL.parse_dead_letters(dlq_messages(i)).groupBy("source_topic", "reason")
+                                         .agg(F.count(F.lit(1)).alias("messages"))),
+        "publish_records": publish_records,
+        "latest_ticks_top": lambda i: i.clean.orderBy(F.col("recorded_at").desc(), "coin_id", "source").limit(10),
+        "source_freshness": source_freshness,
+        "lake_replay": lake_replay,
+    })

@@ -171,6 +171,7 @@ UNION ALL {sel_clean} FROM fresh"""),
     q.update(quality_oracle())
     q.update(sinks_oracle())
     q.update(ops_oracle())
+    q.update(misc_oracle())
     q["stream_throttled"] = _throttle_sql(600)
     q["stream_dead_letters"] = _w(LOG, """SELECT topic AS source_topic, raw_value, reason,
   date_trunc('millisecond', kafka_ts) AS failed_at FROM classified WHERE reason IS NOT NULL""")
@@ -585,3 +586,47 @@ def ops_oracle() -> dict[str, str]:
     AND ts > (SELECT as_of FROM ref_time) - INTERVAL 600 SECOND AND ts <= (SELECT as_of FROM ref_time)) AS value FROM il"""),
         "alerts": _w(OPS, "\nUNION ALL\n".join(_alert_sql(a) for a in ALERTS)),
     }
+
+
+# --- readers, publishing, replay, declared freshness ---------------------------------
+
+def misc_oracle() -> dict[str, str]:
+    dlq_msgs = LOG + r""",
+dmsg AS (
+  SELECT CAST(to_json({'source_topic': topic, 'raw_value': raw_value, 'reason': reason,
+                  'failed_at': strftime(kafka_ts, '%Y-%m-%d %H:%M:%S.%g') || 'Z'}) AS VARCHAR) AS value
+  FROM classified WHERE reason IS NOT NULL
+  UNION ALL SELECT text FROM documents),
+dm0 AS (SELECT value, coalesce(json_valid(value), false) AS ok FROM dmsg),
+dm1 AS (SELECT value, ok, ok AND json_type(CASE WHEN ok THEN value END) = 'OBJECT' AS obj FROM dm0),
+dm AS (SELECT ok, obj, CASE WHEN obj THEN value END AS jv FROM dm1),
+parsed AS (
+  SELECT CASE WHEN obj THEN coalesce(CASE WHEN json_extract_string(jv, '$.source_topic') NOT IN ('', 'false', '0', '0.0')
+              THEN json_extract_string(jv, '$.source_topic') END, 'unknown') ELSE 'unknown' END AS source_topic,
+         json_extract_string(jv, '$.raw_value') AS raw_value,
+         CASE WHEN NOT ok THEN 'dlq_message_undecodable' WHEN NOT obj THEN 'dlq_message_not_an_object'
+              ELSE coalesce(CASE WHEN json_extract_string(jv, '$.reason') NOT IN ('', 'false', '0', '0.0')
+                   THEN json_extract_string(jv, '$.reason') END, 'unknown') END AS reason,
+         json_extract_string(jv, '$.failed_at') AS failed_at
+  FROM dm)"""
+    return {
+        "log_debug_view": _w(LOG, """SELECT 0 AS partition, event_id AS offset, coin_text AS coin_id,
+    CASE WHEN ok AND json_type(raw_value, '$.price_usd') NOT IN ('OBJECT', 'ARRAY') THEN json_extract_string(raw_value, '$.price_usd') END
+      AS price_usd, time_text AS event_time FROM lf"""),
+        "dlq_monitor": _w(dlq_msgs, "SELECT source_topic, raw_value, reason, failed_at FROM parsed"),
+        "dlq_monitor_counts": _w(dlq_msgs, "SELECT source_topic, reason, count(*) AS messages FROM parsed GROUP BY 1, 2"),
+        "publish_records": _w(TRADES, f"""SELECT coin_id || ':' || source AS key,
+    CAST(to_json({{'coin_id': coin_id, 'symbol': symbol, 'price_usd': price_usd, 'market_cap': market_cap,
+              'change_24h': change_24h, 'event_time': event_time, 'source': source}}) AS VARCHAR) AS value
+  FROM tr_ev WHERE e = 'trade' AND coin_id IS NOT NULL AND ms IS NOT NULL AND {_typed_violations()}, ',') = ''"""),
+        "latest_ticks_top": _w(CLEAN, "SELECT * FROM clean ORDER BY recorded_at DESC, coin_id, source LIMIT 10"),
+        "source_freshness": _w(RAW + ",\n" + ASOF, """SELECT 'raw.crypto_prices' AS source_name, max(recorded_at) AS max_loaded_at,
+    CAST(epoch_us((SELECT as_of FROM ref_time)) - epoch_us(max(recorded_at)) AS DOUBLE) / 1000000.0 AS age_seconds,
+    CASE WHEN CAST(epoch_us((SELECT as_of FROM ref_time)) - epoch_us(max(recorded_at)) AS DOUBLE) / 1000000.0 > 1800 THEN 'error'
+         WHEN CAST(epoch_us((SELECT as_of FROM ref_time)) - epoch_us(max(recorded_at)) AS DOUBLE) / 1000000.0 > 600 THEN 'warn'
+         ELSE 'pass' END AS status FROM raw"""),
+        "lake_replay": _w(LOG, """SELECT coin_id, source, symbol, price_usd, market_cap, change_24h, recorded_at, dt FROM (
+    SELECT *, row_number() OVER (PARTITION BY coin_id, source, recorded_at
+      ORDER BY symbol NULLS LAST, price_usd NULLS LAST, market_cap NULLS LAST, change_24h NULLS LAST, dt NULLS LAST) AS rn
+    FROM unified) WHERE rn = 1"""),
+    }

@@ -52,6 +52,15 @@ def clean_prices(stg: DataFrame, existing: DataFrame | None = None, *,
     """
     if existing is None:
         return _dedupe(stg)
+    new = new_rows(stg, existing, hwm_by=hwm_by, lookback_seconds=lookback_seconds)
+    kept = existing.join(new.select(*KEY), on=list(KEY), how="left_anti")
+    merged = kept.unionByName(new, allowMissingColumns=True)
+    return merged.select(*new.columns)
+
+
+def new_rows(stg: DataFrame, existing: DataFrame, *, hwm_by: Sequence[str] = (),
+             lookback_seconds: int | None = None) -> DataFrame:
+    """The deduplicated staging rows an incremental run adds or replaces."""
     epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
     if hwm_by:
         marks = existing.groupBy(*hwm_by).agg(F.max("recorded_at").alias("_hwm"))
@@ -63,7 +72,4 @@ def clean_prices(stg: DataFrame, existing: DataFrame | None = None, *,
         mark = existing.select(F.coalesce(F.max("recorded_at"), epoch)).scalar()
     if lookback_seconds:
         mark = mark - F.expr(f"INTERVAL {int(lookback_seconds)} SECONDS")
-    new = _dedupe(fresh.where(F.col("recorded_at") > mark).select(*stg.columns))
-    kept = existing.join(new.select(*KEY), on=list(KEY), how="left_anti")
-    merged = kept.unionByName(new, allowMissingColumns=True)
-    return merged.select(*new.columns)
+    return _dedupe(fresh.where(F.col("recorded_at") > mark).select(*stg.columns))
