@@ -52,8 +52,9 @@ def normalize_snapshot(df: DataFrame, *, payload: str = "payload", received_at:
                     .otherwise(F.array().cast("array<string>")))
     out = ev.withColumn("violations", viol).drop("_usd_is_number")
     if compat:
-        poll_ok = F.min(is_valid(F.col("violations")).cast("int")).over(Window.partitionBy("poll_id")) == 1
-        out = out.where(poll_ok)
+        # a poll holds a handful of coins: a window over poll_id is a small group
+        poll_ok = F.min(is_valid(F.col("violations")).cast("int")).over(Window.partitionBy("poll_id"))
+        out = out.withColumn("_poll_ok", poll_ok).where(F.col("_poll_ok") == 1).drop("_poll_ok")
     return out
 
 

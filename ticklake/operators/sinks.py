@@ -105,7 +105,8 @@ def upsert_by_key(batch: DataFrame, path: str, key: Sequence[str], order: Sequen
         state = merge_by_key(None, batch, [*key, *parts], order, keep_first=keep_first)
     staging = work_path(spark, "upsert-staging")
     state.write.mode("overwrite").partitionBy(*parts).parquet(staging)
-    (spark.read.parquet(staging).select(*batch.columns)
+    # explicit schema: an empty batch leaves no data files to infer it from
+    (spark.read.schema(state.schema).parquet(staging).select(*batch.columns)
      .write.mode("overwrite").partitionBy(*parts).parquet(path))
     if batch_id is not None:
         _mark(spark, path, batch_id)
@@ -132,7 +133,7 @@ def append_if_absent(batch: DataFrame, path: str, key: Sequence[str], order: Seq
     rows = insert_if_absent(existing, batch, key, order)
     staging = work_path(spark, "insert-staging")
     rows.write.mode("overwrite").parquet(staging)
-    w = spark.read.parquet(staging).write.mode("append")
+    w = spark.read.schema(rows.schema).parquet(staging).write.mode("append")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)

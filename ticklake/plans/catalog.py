@@ -310,12 +310,11 @@ def _ops(q: dict[str, Callable[[Inputs], DataFrame]]) -> None:
     def dlq(i: Inputs) -> DataFrame:
         return DL.dead_letters(DL.classify(D.raw_log(i.events)))
 
-    both = F.col("kind") == "error"
     q.update({
         "ops_throughput": lambda i: O.throughput(il(i)),
         "ops_last_price": lambda i: O.last_price(il(i)),
         "ops_counters": lambda i: O.counters(il(i), dlq(i)),
-        "ops_errors_1h": lambda i: O.window_count(il(i), as_of=i.as_of, seconds=3600, where=both),
+        "ops_errors_1h": lambda i: O.window_count(il(i), as_of=i.as_of, seconds=3600, where=F.col("kind") == "error"),
         "ops_poll_age": lambda i: O.poll_age(il(i), as_of=i.as_of),
         "ops_feed_b_10m": lambda i: O.window_count(
             il(i), as_of=i.as_of, seconds=600,

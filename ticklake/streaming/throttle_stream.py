@@ -23,7 +23,7 @@ from ticklake.functions.timefmt import micros
 
 
 def throttle_stream(sdf: DataFrame, key: str, ts: str, seconds: float, *, tie_break: tuple[str, ...] = ()) -> DataFrame:
-    """Throttled ticks of a streaming (or batch) DataFrame; same columns."""
+    """Throttled ticks of a streaming DataFrame; same columns."""
     n_us = int(round(seconds * 1_000_000))
     base = sdf.withColumn("_ts_us", micros(F.col(ts)))
     out_schema = T.StructType([f for f in sdf.schema.fields])
