@@ -31,9 +31,10 @@ def _flags(pairs: list[tuple[Column, str]]) -> Column:
 
 
 def json_violations(raw: Column, *, coins: Sequence[str] = TRACKED_COINS, sources: Sequence[str] = SOURCES,
-                    strict_time: bool = False) -> Column:
-    """Violations of the contract for JSON text ``raw`` (array<string>)."""
-    v = jsonx.parse(raw)
+                    strict_time: bool = False, parsed: Column | None = None) -> Column:
+    """Violations of the contract for JSON text ``raw`` (array<string>).
+    ``parsed``: the text's VARIANT when it is already projected as a column."""
+    v = parsed if parsed is not None else jsonx.parse(raw)
     keys = jsonx.keys(raw)
     missing = F.transform(F.array_except(_arr(CONTRACT_REQUIRED), keys), lambda k: F.concat(F.lit("missing:"), k))
     extra = F.transform(F.array_except(keys, _arr(CONTRACT_FIELDS)), lambda k: F.concat(F.lit("extra:"), k))
@@ -66,7 +67,9 @@ def json_violations(raw: Column, *, coins: Sequence[str] = TRACKED_COINS, source
 
 def with_contract(df: DataFrame, raw_col: str, **kw) -> DataFrame:
     """Add ``violations`` for the JSON text in ``raw_col``; valid = empty."""
-    return df.withColumn("violations", json_violations(F.col(raw_col), **kw))
+    return (jsonx.with_variant(df, raw_col, "_v_contract")
+            .withColumn("violations", json_violations(F.col(raw_col), parsed=F.col("_v_contract"), **kw))
+            .drop("_v_contract"))
 
 
 def typed_violations(*, coins: Sequence[str] = TRACKED_COINS, sources: Sequence[str] = SOURCES) -> Column:

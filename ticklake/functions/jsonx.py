@@ -14,6 +14,13 @@ def parse(text: Column) -> Column:
     return F.try_parse_json(text)
 
 
+def with_variant(df, text_col: str, name: str = "_v"):
+    """Project the parsed document once as a column. Expressions that read
+    fields must use this column: Spark keeps a multiply-referenced,
+    non-trivial projection instead of inlining (and re-parsing) it per use."""
+    return df.withColumn(name, parse(F.col(text_col)))
+
+
 def type_of(v: Column, path: str) -> Column:
     """Variant type name at ``path`` ('STRING', 'BIGINT', 'DECIMAL(3,2)', 'VOID',
     'OBJECT<..>', ...) or NULL when the key is absent."""
@@ -47,3 +54,18 @@ def scalar_double(v: Column, path: str) -> Column:
 def keys(text: Column) -> Column:
     """Top-level keys of a JSON object text, NULL otherwise."""
     return F.json_object_keys(text)
+
+
+def filter_parsed(df, cond: Column):
+    """Rows of ``df`` where ``cond`` holds, for conditions over fields read
+    from a projected VARIANT.
+
+    A plain ``where`` would be pushed below the projection that parses the
+    document, with the parse substituted into every predicate reference
+    (one JSON parse per reference). Predicates are never pushed through a
+    generator, so the rows are kept by exploding a one-element array that
+    is NULL (no row) when ``cond`` is false: every document is parsed once.
+    """
+    row = F.struct(*[F.col(c) for c in df.columns])
+    kept = df.select(F.explode(F.when(F.coalesce(cond, F.lit(False)), F.array(row))).alias("_row"))
+    return kept.select("_row.*")

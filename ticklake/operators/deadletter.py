@@ -12,15 +12,15 @@ from ticklake.schemas import (REASON_BAD_PRICE, REASON_BAD_TIME, REASON_NO_COIN,
                               REASON_NOT_OBJECT, REASON_UNDECODABLE)
 
 
-def reason(raw: Column, *, compat: bool = False) -> Column:
-    """First failing rule of a raw message, NULL when it is accepted.
+def reason(v: Column, *, compat: bool = False) -> Column:
+    """First failing rule of a message (``v``: its parsed VARIANT, NULL for
+    invalid JSON), NULL when it is accepted.
 
     ``compat=True`` gives exactly the reference's three reasons; an accepted
     message whose event time does not parse is then silently lost downstream.
     The default adds ``unparseable_event_time`` so that accepted + rejected
     always equals the input.
     """
-    v = jsonx.parse(raw)
     time_text = jsonx.scalar_text(v, "$.event_time")
     r = (F.when(jsonx.scalar_text(v, "$.coin_id").isNull(), F.lit(REASON_NO_COIN))
           .when(jsonx.scalar_double(v, "$.price_usd").isNull(), F.lit(REASON_BAD_PRICE))
@@ -31,13 +31,14 @@ def reason(raw: Column, *, compat: bool = False) -> Column:
 
 
 def classify(log: DataFrame, *, value: str = "raw_value", compat: bool = False) -> DataFrame:
-    return log.withColumn("reason", reason(F.col(value), compat=compat))
+    return (jsonx.with_variant(log, value, "_v_dlq")
+            .withColumn("reason", reason(F.col("_v_dlq"), compat=compat)).drop("_v_dlq"))
 
 
 def dead_letters(classified: DataFrame, *, topic: str = "topic", value: str = "raw_value",
                  ts: str = "kafka_ts") -> DataFrame:
     """Rejected messages as DLQ records; ``failed_at`` is the record time."""
-    return classified.where(F.col("reason").isNotNull()).select(
+    return jsonx.filter_parsed(classified, F.col("reason").isNotNull()).select(
         F.col(topic).alias("source_topic"), F.col(value).alias("raw_value"), "reason",
         F.col(ts).alias("failed_at"))
 
@@ -62,8 +63,8 @@ def parse_dead_letters(msgs: DataFrame, *, value: str = "value", keep: tuple[str
     ``dlq_message_not_an_object``; empty fields default to ``unknown``.
     """
     text = F.col(value).cast("string")
-    utf8 = F.is_valid_utf8(text)
-    v = F.when(utf8, F.try_parse_json(text))
+    msgs = msgs.withColumn("_v", F.when(F.is_valid_utf8(text), F.try_parse_json(text)))
+    v = F.col("_v")
     is_obj = jsonx.is_object(v)
 
     def field(name: str) -> Column:

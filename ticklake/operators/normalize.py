@@ -36,7 +36,7 @@ def normalize_snapshot(df: DataFrame, *, payload: str = "payload", received_at:
         F.col(poll_id).alias("poll_id"), F.col(received_at).alias("_recv"),
         F.explode(F.from_json(F.col(payload), "map<string, variant>")).alias("coin_id", "_q"))
     usd_type = jsonx.type_of(F.col("_q"), "$.usd")
-    ev = entries.where(usd_type.isNotNull() & (usd_type != "VOID")).select(
+    ev = jsonx.filter_parsed(entries, usd_type.isNotNull() & (usd_type != "VOID")).select(
         "poll_id",
         "coin_id",
         F.coalesce(F.element_at(_map_literal(symbols), F.col("coin_id")), F.col("coin_id")).alias("symbol"),
@@ -74,14 +74,15 @@ def normalize_trades(df: DataFrame, *, payload: str = "payload", frame_id: str =
     rejected, the stream goes on). ``python_time`` drops a zero fraction
     from ``event_time`` like ``isoformat()``.
     """
-    t = unwrap(F.try_parse_json(F.col(payload)))
+    parsed = jsonx.with_variant(df, payload).select(F.col(frame_id).alias("frame_id"), unwrap(F.col("_v")).alias("_t"))
+    t = F.col("_t")
     pair = F.upper(F.try_variant_get(t, "$.s", "string"))
     coin = F.element_at(_map_literal({k: v[0] for k, v in pairs.items()}), pair)
     sym = F.element_at(_map_literal({k: v[1] for k, v in pairs.items()}), pair)
     ms = F.try_variant_get(t, "$.T", "bigint")
-    kept = df.select(F.col(frame_id).alias("frame_id"), t.alias("_t"), coin.alias("coin_id"), sym.alias("symbol"),
-                     ms.alias("_ms"), F.try_variant_get(t, "$.e", "string").alias("_e"))
-    kept = kept.where((F.col("_e") == "trade") & F.col("coin_id").isNotNull() & F.col("_ms").isNotNull())
+    kept = parsed.select("frame_id", "_t", coin.alias("coin_id"), sym.alias("symbol"),
+                         ms.alias("_ms"), F.try_variant_get(t, "$.e", "string").alias("_e"))
+    kept = jsonx.filter_parsed(kept, (F.col("_e") == "trade") & F.col("coin_id").isNotNull() & F.col("_ms").isNotNull())
     ev = kept.select(
         "frame_id", "coin_id", "symbol",
         F.trim(F.try_variant_get("_t", "$.p", "string")).try_cast("double").alias("price_usd"),
@@ -103,8 +104,8 @@ def parse_events(log: DataFrame, *, value: str = "raw_value", feed: str = "feed"
     are filtered. Output: coin_id, source, symbol, price_usd, market_cap,
     change_24h, recorded_at (ms), dt.
     """
-    v = jsonx.parse(F.col(value))
-    typed = log.select(
+    v = F.col("_v")
+    typed = jsonx.with_variant(log, value).select(
         *keep,
         jsonx.scalar_text(v, "$.coin_id").alias("coin_id"),
         F.coalesce(jsonx.scalar_text(v, "$.source"), F.col(feed)).alias("source"),
@@ -114,7 +115,8 @@ def parse_events(log: DataFrame, *, value: str = "raw_value", feed: str = "feed"
         jsonx.scalar_double(v, "$.change_24h").alias("change_24h"),
         parse_event_time(jsonx.scalar_text(v, "$.event_time"), strict_fraction=strict_fraction).alias("_event_ts"),
     )
-    good = typed.where(F.col("_event_ts").isNotNull() & F.col("coin_id").isNotNull() & F.col("price_usd").isNotNull())
+    good = jsonx.filter_parsed(typed, F.col("_event_ts").isNotNull() & F.col("coin_id").isNotNull()
+                               & F.col("price_usd").isNotNull())
     return good.select(
         *keep, "coin_id", "source", "symbol", "price_usd", "market_cap", "change_24h",
         to_millis(F.col("_event_ts")).alias("recorded_at"),
