@@ -94,31 +94,42 @@ def normalize_trades(df: DataFrame, *, payload: str = "payload", frame_id: str =
     return ev.withColumn("violations", typed_violations())
 
 
-def parse_events(log: DataFrame, *, value: str = "raw_value", feed: str = "feed", strict_fraction: bool = True,
-                 keep: tuple[str, ...] = ()) -> DataFrame:
-    """Typed read of JSON log messages (the unified price view).
-
-    Missing or mistyped fields are NULL, a broken document gives no fields;
-    quoted and integer numbers are accepted for doubles. ``source`` defaults
-    to the feed name. Rows without a parseable event time, a coin or a price
-    are filtered. Output: coin_id, source, symbol, price_usd, market_cap,
-    change_24h, recorded_at (ms), dt.
-    """
-    v = F.col("_v")
-    typed = jsonx.with_variant(log, value).select(
-        *keep,
+def typed_fields(v: Column, feed: Column, *, strict_fraction: bool = True) -> list[Column]:
+    """The unified view's typed columns read from a parsed message ``v``
+    (``_event_ts`` is the full-precision event time)."""
+    return [
         jsonx.scalar_text(v, "$.coin_id").alias("coin_id"),
-        F.coalesce(jsonx.scalar_text(v, "$.source"), F.col(feed)).alias("source"),
+        F.coalesce(jsonx.scalar_text(v, "$.source"), feed).alias("source"),
         jsonx.scalar_text(v, "$.symbol").alias("symbol"),
         jsonx.scalar_double(v, "$.price_usd").alias("price_usd"),
         jsonx.scalar_double(v, "$.market_cap").alias("market_cap"),
         jsonx.scalar_double(v, "$.change_24h").alias("change_24h"),
         parse_event_time(jsonx.scalar_text(v, "$.event_time"), strict_fraction=strict_fraction).alias("_event_ts"),
-    )
+    ]
+
+
+def accepted(typed: DataFrame) -> DataFrame:
+    """Rows the unified view keeps, in its output columns (keeps extra columns first)."""
+    extra = [c for c in typed.columns if c not in (*EVENT_COLUMNS, "_event_ts", "reason", "_v")]
     good = jsonx.filter_parsed(typed, F.col("_event_ts").isNotNull() & F.col("coin_id").isNotNull()
                                & F.col("price_usd").isNotNull())
     return good.select(
-        *keep, "coin_id", "source", "symbol", "price_usd", "market_cap", "change_24h",
+        *extra, "coin_id", "source", "symbol", "price_usd", "market_cap", "change_24h",
         to_millis(F.col("_event_ts")).alias("recorded_at"),
         F.date_format("_event_ts", "yyyy-MM-dd").alias("dt"),
     )
+
+
+def parse_events(log: DataFrame, *, value: str = "raw_value", feed: str = "feed", strict_fraction: bool = True,
+                 keep: tuple[str, ...] = ()) -> DataFrame:
+    """Typed read of JSON log messages (the unified price view).
+
+    Missing or mistyped fields are NULL, a broken document gives no fields;
+    quoted and integer numbers are accepted for doubles. ``source`` defaults
+    to the feed name. Rows without a parseable event time, a coin or a price
+    are filtered. Output: coin_id, source, symbol, price_usd, market_cap,
+    change_24h, recorded_at (ms), dt.
+    """
+    typed = jsonx.with_variant(log, value).select(
+        *keep, *typed_fields(F.col("_v"), F.col(feed), strict_fraction=strict_fraction))
+    return accepted(typed)

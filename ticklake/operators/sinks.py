@@ -102,7 +102,12 @@ def upsert_by_key(batch: DataFrame, path: str, key: Sequence[str], order: Sequen
         existing = existing.join(touched, on=parts, how="left_semi").select(*batch.columns)
         state = merge_by_key(existing, batch, [*key, *parts], order, keep_first=keep_first)
     else:
+        # first write: nothing is read from the target, write it directly
         state = merge_by_key(None, batch, [*key, *parts], order, keep_first=keep_first)
+        state.select(*batch.columns).write.mode("overwrite").partitionBy(*parts).parquet(path)
+        if batch_id is not None:
+            _mark(spark, path, batch_id)
+        return True
     staging = work_path(spark, "upsert-staging")
     state.write.mode("overwrite").partitionBy(*parts).parquet(staging)
     # explicit schema: an empty batch leaves no data files to infer it from

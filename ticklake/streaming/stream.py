@@ -2,9 +2,9 @@
 
     log (Kafka or landing files)
       -> foreachBatch(batch, id):
-           persist the batch once
-           reason   = classify(value)             (dead-letter rules)
-           good     = parse_events(value)          (typed, filtered)
+           parse each message once -> reason + typed fields   (persisted)
+           good     = accepted rows of the unified view
+           dead     = rows with a dead-letter reason
            raw      <- upsert by (coin_id, source, recorded_at)   [batch id marker]
            lake     <- append under source/coin_id/dt/batch=id    [replay-safe]
            dlq      <- rejected rows under batch=id               [replay-safe]
@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ticklake.functions import jsonx
 from ticklake.operators import deadletter as DL
 from ticklake.operators import normalize as N
 from ticklake.operators import sinks as SK
@@ -49,12 +50,19 @@ def _feed(topic_col: str = "topic"):
     return F.coalesce(F.element_at(m, F.col(topic_col)), F.col(topic_col))
 
 
-def split_batch(batch: DataFrame, *, compat: bool = False) -> tuple[DataFrame, DataFrame]:
+def classify_and_type(batch: DataFrame, *, compat: bool = False) -> DataFrame:
+    """One parse per message: the dead-letter reason and the typed fields."""
+    logged = jsonx.with_variant(batch, "value")
+    v = F.col("_v")
+    return logged.select("topic", "partition", "offset", "timestamp", "value",
+                         DL.reason(v, compat=compat).alias("reason"), *N.typed_fields(v, _feed()))
+
+
+def split_batch(batch: DataFrame, *, compat: bool = False, typed: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """(good typed rows, dead letters) of one batch of log records."""
-    logged = batch.withColumn("feed", _feed())
-    classified = DL.classify(logged, value="value", compat=compat)
-    good = N.parse_events(classified, value="value", keep=("topic", "partition", "offset", "timestamp"))
-    dead = DL.dead_letters(classified, topic="topic", value="value", ts="timestamp")
+    typed = typed if typed is not None else classify_and_type(batch, compat=compat)
+    good = N.accepted(typed.drop("value"))
+    dead = DL.dead_letters(typed, topic="topic", value="value", ts="timestamp")
     return good, dead
 
 
@@ -73,9 +81,11 @@ def to_raw(good: DataFrame, ingested_at=None) -> DataFrame:
 def process_batch(batch: DataFrame, batch_id: int, paths: Paths, *, compat: bool = False) -> None:
     """Write one micro-batch to raw, lake and dead letters (idempotent)."""
     ensure_conf(batch.sparkSession)
-    b = batch.persist()
+    # the parsed batch is used by three writes: persist it once (recomputed
+    # from the replayable source if an executor is lost)
+    b = classify_and_type(batch, compat=compat).persist()
     try:
-        good, dead = split_batch(b, compat=compat)
+        good, dead = split_batch(batch, typed=b)
         SK.upsert_by_key(to_raw(good).select(*RAW_OUT, "timestamp", "partition", "offset"), paths.raw,
                          list(KEY), ["timestamp", "partition", "offset"], batch_id=batch_id)
         SK.append_lake(good.select(*LAKE_OUT), paths.lake, batch_id)
