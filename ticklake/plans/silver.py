@@ -70,6 +70,12 @@ def new_rows(stg: DataFrame, existing: DataFrame, *, hwm_by: Sequence[str] = (),
         # scalar subquery: computed once, then a plain literal in the filter
         fresh = stg
         mark = existing.select(F.coalesce(F.max("recorded_at"), epoch)).scalar()
+        if "dt" in existing.columns:
+            # day-partitioned table: only the newest partition can hold the max,
+            # and the newest partition value comes from the file listing
+            newest = existing.select(F.max("dt")).scalar()
+            mark = (existing.where(F.col("dt") == newest)
+                    .select(F.coalesce(F.max("recorded_at"), epoch)).scalar())
     if lookback_seconds:
         mark = mark - F.expr(f"INTERVAL {int(lookback_seconds)} SECONDS")
     return _dedupe(fresh.where(F.col("recorded_at") > mark).select(*stg.columns))
