@@ -15,7 +15,9 @@ def as_column(value) -> Column:
     if isinstance(value, Column):
         return value
     if isinstance(value, _dt.datetime):
-        return F.lit(value.replace(tzinfo=None)).cast("timestamp_ntz")
+        # as text: a naive datetime handed to the JVM would be shifted by the
+        # Python process's local time zone
+        return F.lit(value.replace(tzinfo=None).isoformat(sep=" ")).cast("timestamp_ntz")
     return F.lit(str(value)).cast("timestamp_ntz")
 
 

@@ -36,10 +36,13 @@ class Inputs:
     def events(self) -> DataFrame:
         return self.table("events")
 
-    @property
+    @cached_property
     def as_of(self) -> Column:
-        """Newest event time, as a scalar subquery (never the wall clock)."""
-        return self.events.select(F.max("ts")).scalar()
+        """Newest event time (never the wall clock). Evaluated once per query
+        (one aggregate over one column) and used as a literal: every report
+        shares it, and time-window predicates become pushed scan filters."""
+        from ticklake.functions.timefmt import as_column
+        return as_column(self.events.agg(F.max("ts")).first()[0])
 
     @cached_property
     def raw(self) -> DataFrame:
@@ -85,18 +88,27 @@ def _q(fn: Callable[[Inputs], DataFrame]) -> Query:
     return run
 
 
+def _materialized_first_load(i: Inputs, first: DataFrame) -> DataFrame:
+    """The first run's silver table, written (day-partitioned) under the
+    shared work folder and read back, as a scheduled run would find it."""
+    from ticklake.session import work_path
+    path = work_path(i.spark, "silver-first-load")
+    first.withColumn("dt", F.date_format("recorded_at", "yyyy-MM-dd")).write.partitionBy("dt").parquet(path)
+    return i.spark.read.parquet(path)
+
+
 def _silver_incremental(i: Inputs) -> DataFrame:
     """Two runs: a first load of everything older than a week before as_of,
     then an incremental run over the whole staging view."""
     cut = i.as_of - F.expr("INTERVAL 7 DAYS")
-    first = S.clean_prices(i.stg.where(F.col("recorded_at") < cut))
+    first = _materialized_first_load(i, S.clean_prices(i.stg.where(F.col("recorded_at") < cut)))
     return S.clean_prices(i.stg, existing=first)
 
 
 def _silver_late(i: Inputs) -> DataFrame:
     """First load holds one feed only; the incremental run's global
     high-water mark then skips the other feed's older rows."""
-    first = S.clean_prices(i.stg.where(F.col("source") == "coingecko"))
+    first = _materialized_first_load(i, S.clean_prices(i.stg.where(F.col("source") == "coingecko")))
     return S.clean_prices(i.stg, existing=first)
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
+from ticklake.functions.timefmt import as_column
 from ticklake.operators.keyed import dedupe_by_key
 from ticklake.schemas import CAP, CHANGE, KEY, PRICE
 
@@ -67,15 +68,17 @@ def new_rows(stg: DataFrame, existing: DataFrame, *, hwm_by: Sequence[str] = (),
         fresh = stg.join(marks, on=list(hwm_by), how="left")
         mark = F.coalesce(F.col("_hwm"), epoch)
     else:
-        # scalar subquery: computed once, then a plain literal in the filter
+        # evaluated once (a bounded aggregate) and used as a literal, so the
+        # filter can reach the scan of the staging source
         fresh = stg
-        mark = existing.select(F.coalesce(F.max("recorded_at"), epoch)).scalar()
+        src = existing
         if "dt" in existing.columns:
             # day-partitioned table: only the newest partition can hold the max,
-            # and the newest partition value comes from the file listing
-            newest = existing.select(F.max("dt")).scalar()
-            mark = (existing.where(F.col("dt") == newest)
-                    .select(F.coalesce(F.max("recorded_at"), epoch)).scalar())
+            # and partition values come from the file listing
+            newest = existing.agg(F.max("dt")).first()[0]
+            src = existing.where(F.col("dt") == newest)
+        value = src.agg(F.max("recorded_at")).first()[0]
+        mark = as_column(value) if value is not None else epoch
     if lookback_seconds:
         mark = mark - F.expr(f"INTERVAL {int(lookback_seconds)} SECONDS")
     return _dedupe(fresh.where(F.col("recorded_at") > mark).select(*stg.columns))
