@@ -220,7 +220,21 @@ def _quality(q: dict[str, Callable[[Inputs], DataFrame]]) -> None:
         gold = {**i.gold(), "changes": G.changes(i.clean)}
         return QL.relations(i.raw, i.stg, i.clean, gold, as_of=i.as_of)
 
-    q["dq_results"] = lambda i: QL.quality_results(rels(i), as_of=i.as_of)
+    def dq_results(i: Inputs) -> DataFrame:
+        """Checks read the zone tables as written by a run: raw and silver are
+        materialised once under the work folder, every suite reads them."""
+        from ticklake.session import work_path
+        raw_p, clean_p = work_path(i.spark, "dq-raw"), work_path(i.spark, "dq-silver")
+        i.raw.write.parquet(raw_p)
+        raw = i.spark.read.parquet(raw_p)
+        S.clean_prices(S.stg_prices(raw)).write.parquet(clean_p)
+        clean = i.spark.read.parquet(clean_p)
+        lbs, latest = G.latest_by_source(clean), G.latest(clean)
+        gold = {"latest": latest, "latest_by_source": lbs, "comparison": G.comparison(lbs), "daily": G.daily(clean),
+                "changes": G.changes(clean)}
+        return QL.quality_results(QL.relations(raw, S.stg_prices(raw), clean, gold, as_of=i.as_of), as_of=i.as_of)
+
+    q["dq_results"] = dq_results
     q["source_volume"] = lambda i: C.source_volume(rels(i)["raw_24h"])
     q["coin_coverage"] = lambda i: C.coin_coverage(rels(i)["raw_24h"])
 
