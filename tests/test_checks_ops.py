@@ -79,3 +79,12 @@ def test_stale_rule_needs_a_series(spark):
     assert O.evaluate(a, _log(spark, [("2024-01-01 00:00:00", "binance", "published")]), as_of=AS_OF).first().firing is False
     r = O.evaluate(a, _log(spark, [("2024-01-01 11:50:00", "coingecko", "published")]), as_of=AS_OF).first()
     assert r.firing is True and r.value == 600.0
+
+
+def test_lag_alert_gauge(spark):
+    prog = spark.createDataFrame([(f"2024-01-01 11:{m:02d}:00", 6000 if m >= 49 else 10) for m in range(40, 60)],
+                                 "batch_ts string, offsets_behind long").withColumn("batch_ts", F.col("batch_ts").cast("timestamp_ntz"))
+    r = O.lag_alert(prog, as_of=AS_OF).first()
+    assert r.firing is True and r.value == 6000.0
+    r = O.lag_alert(prog.where(F.col("batch_ts") >= "2024-01-01 11:52:00"), as_of=AS_OF).first()
+    assert r.firing is False

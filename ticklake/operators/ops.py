@@ -75,12 +75,13 @@ class Alert:
     severity: str
     service: str
     hold_seconds: int
-    kind: str                # "stale" | "count"
+    kind: str                # "stale" | "count" | "gauge" (sum of value_col over the latest sample)
     range_seconds: int = 0   # counted range for "count"
     op: str = ">"            # comparison of the metric with the threshold
     threshold: float = 0
     table: str = "log"       # "log" | "dlq" | "progress"
     where: tuple = ()        # (column, value) equality filters
+    value_col: str = ""      # gauge column
 
 
 # fixed values: the alert rules (name, severity, service, hold, metric and threshold)
@@ -96,6 +97,14 @@ ALERTS = (
     Alert("StreamNoRunningJobs", "critical", "stream", 180, "stale", op=">", threshold=180, table="progress"),
     Alert("DeadLetterMessagesDetected", "warning", "dlq-monitor", 300, "count", 900, ">", 0, table="dlq"),
 )
+# consumer lag over the streaming progress table (offsets behind the latest, summed over sources)
+LAG_ALERT = Alert("ConsumerLagHigh", "warning", "stream", 600, "gauge", 300, ">", 5000, table="progress",
+                  value_col="offsets_behind")
+
+
+def lag_alert(progress: DataFrame, *, as_of) -> DataFrame:
+    """Lag > 5000 messages held for 10 minutes, from ``streaming.progress``."""
+    return evaluate(LAG_ALERT, progress, as_of=as_of, ts_col="batch_ts")
 
 
 def _cmp(x: Column, op: str, v: float) -> Column:
@@ -117,6 +126,10 @@ def evaluate(alert: Alert, df: DataFrame, *, as_of, ts_col: str = "ts") -> DataF
             last = F.max(F.when(ts <= t, ts))
             # no series yet -> no sample -> the rule cannot fire
             m = seconds_between(t, last)
+        elif alert.kind == "gauge":
+            # the latest sample at or before t (a sample older than the range is stale: no value)
+            lo = t - F.expr(f"INTERVAL {alert.range_seconds} SECONDS")
+            m = F.max_by(F.col(alert.value_col), F.when((ts <= t) & (ts > lo), ts)).cast("double")
         else:
             lo = t - F.expr(f"INTERVAL {alert.range_seconds} SECONDS")
             m = F.count_if((ts > lo) & (ts <= t)).cast("double")
