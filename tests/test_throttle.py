@@ -74,3 +74,24 @@ def test_stream_matches_batch(spark, tmp_dir):
     stream = {r.id for r in spark.read.parquet(f"{tmp_dir}/out").collect()}
     batch = {r.id for r in throttle(df, "coin_id", "ts", 7).collect()}
     assert stream == batch
+
+
+def test_random_chains_across_tiny_batches(spark):
+    """Mixed singleton and long chains, several keys, Arrow batches of 3 rows."""
+    import random
+    rnd = random.Random(7)
+    data, base = [], dt.datetime(2024, 1, 1)
+    for key in ("bitcoin", "ethereum", "solana"):
+        t = base
+        for i in range(400):
+            t += dt.timedelta(seconds=rnd.choice([1, 2, 3, 5, 8, 13, 30]))
+            data.append({"event_id": len(data), "coin_id": key, "ts": t})
+    df = spark.createDataFrame([(r["event_id"], r["coin_id"], r["ts"].isoformat(sep=" ")) for r in data],
+                               "event_id long, coin_id string, ts string").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
+    try:
+        for n in (4, 10, 25):
+            got = {r.event_id for r in throttle(df, "coin_id", "ts", n, tie_break=("event_id",), partitions=2).collect()}
+            assert got == _sequential(data, n), n
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")

@@ -56,22 +56,28 @@ def _fold(key: str, n_us: int):
             ch = pdf["_chain"].to_numpy(dtype=np.int64)
             kept = np.zeros(len(pdf), dtype=bool)
             change = np.flatnonzero((ks[1:] != ks[:-1]) | (ch[1:] != ch[:-1])) + 1
-            bounds = np.concatenate(([0], change, [len(pdf)]))
-            for a, b in zip(bounds[:-1], bounds[1:]):
+            starts = np.concatenate(([0], change))
+            ends = np.concatenate((change, [len(pdf)]))
+            # the first segment may continue the previous batch's chain
+            cont = state is not None and state[0] == ks[0] and state[1] == ch[0]
+            # every other segment starts a chain: its first tick is kept (vectorised);
+            # only segments longer than one tick need the jump loop
+            kept[starts[1:] if cont else starts] = True
+            for j in np.flatnonzero((ends - starts > 1) | ((np.arange(len(starts)) == 0) & cont)):
+                a, b = int(starts[j]), int(ends[j])
                 seg = ts[a:b]
-                if state is not None and state[0] == ks[a] and state[1] == ch[a]:
-                    last = state[2]
-                    i = int(np.searchsorted(seg, last + n_us, side="left"))
-                else:
-                    last, i = None, 0
+                last = state[2] if (j == 0 and cont) else int(seg[0])
+                i = int(np.searchsorted(seg, last + n_us, side="left"))
                 while i < len(seg):
                     kept[a + i] = True
                     last = int(seg[i])
                     i = int(np.searchsorted(seg, last + n_us, side="left"))
-                if last is not None:
+                if j == len(starts) - 1:
                     state = (ks[a], ch[a], last)
-                elif state is None or state[0] != ks[a] or state[1] != ch[a]:
-                    state = None
+            # carry the state of the batch's last chain into the next batch
+            a = int(starts[-1])
+            if not (len(starts) == 1 and cont) and ends[-1] - starts[-1] == 1:
+                state = (ks[a], ch[a], int(ts[a]))
             yield pdf.assign(_kept=kept)
     return run
 
