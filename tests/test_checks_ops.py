@@ -56,6 +56,9 @@ def test_pipeline_builds_gold_and_gates(spark, tmp_dir):
     again = run_pipeline(spark, raw, tmp_dir, as_of=as_of)
     assert spark.read.parquet(f"{tmp_dir}/silver").count() == spark.read.parquet(f"{tmp_dir}/silver").distinct().count()
     assert "silver" in again.built
+    full = run_pipeline(spark, raw, tmp_dir, as_of=as_of, full_refresh=True)
+    assert "silver" in full.built and spark.read.parquet(f"{tmp_dir}/silver").count() == \
+        spark.read.parquet(f"{tmp_dir}/silver").select("coin_id", "source", "recorded_at").distinct().count()
     gated = run_pipeline(spark, raw, tmp_dir + "/g", as_of=as_of, gate_on=("stg_prices",))
     assert "stg_prices" in gated.failed and "silver" in gated.skipped
 

@@ -88,3 +88,19 @@ def test_event_time_traps(spark):
     assert str(out["ok+02"]["recorded_at"]) == "2024-01-01 10:00:00.123000"
     assert out["quoted"]["price_usd"] == 1.5 and out["quoted"]["source"] == "binance"
     assert out["ok+02"]["dt"] == "2024-01-01"
+
+
+def test_payload_landing_dir_to_events(spark, tmp_dir):
+    """Snapshot bodies landed as text files (one body per line) -> events."""
+    from ticklake.sources.log import read_payloads
+    body = json.dumps({"bitcoin": {"usd": 1.0, "usd_market_cap": 2.0, "usd_24h_change": 0.1}})
+    spark.createDataFrame([(body,), (body,)], "value string").coalesce(1).write.text(f"{tmp_dir}/polls")
+    bodies = read_payloads(spark, f"{tmp_dir}/polls", streaming=False).withColumn("poll_id", F.monotonically_increasing_id())
+    out = rows(normalize_snapshot(bodies))
+    assert len(out) == 2 and out[0]["coin_id"] == "bitcoin" and out[0]["event_time"].endswith("+00:00")
+
+
+def test_log_preview_is_display_only(spark):
+    from ticklake.operators.deadletter import preview
+    df = spark.createDataFrame([("x" * 300,), (None,)], "raw string")
+    assert [len(r[0]) for r in df.select(preview(F.col("raw"))).collect()] == [200, 0]
