@@ -136,3 +136,11 @@ def test_bi_null_order(spark):
     cmp = spark.createDataFrame([("a", "x", None, 1.0), ("b", "y", 2.0, 1.0), ("c", "z", 1.0, 1.0)],
                                 "coin_id string, symbol string, spread_pct double, spread_usd double")
     assert [r.coin_id for r in B.spread_ranking(cmp).collect()] == ["b", "c", "a"]
+
+
+def test_changes_with_split_hot_buckets_equal_plain(spark):
+    ev = D.table(spark, SF_CHECK, "events")
+    clean = S.clean_prices(S.stg_prices(D.dirty_ticks(ev).drop("event_id")))
+    key = ["coin_id", "source", "recorded_at"]
+    split = rows(G.changes(clean, bucket_seconds=7 * 86400, max_rows=50), key)
+    assert split == rows(G.changes(clean, bucket_seconds=None), key)

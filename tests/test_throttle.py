@@ -95,3 +95,16 @@ def test_random_chains_across_tiny_batches(spark):
             assert got == _sequential(data, n), n
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_hot_buckets_split_at_quantiles(spark):
+    """With a tiny per-task bound every hour bucket is split; results are unchanged."""
+    ticks = D.tick_base(D.table(spark, SF_CHECK, "events")).select("event_id", "coin_id", "ts")
+    from ticklake.operators.keyed import segments
+    seg = segments(ticks, ["coin_id"], "ts", bucket_seconds=30 * 86400, max_rows=100)
+    sizes = [r["n"] for r in rows(seg.groupBy("coin_id", "_seg").agg(F.count(F.lit(1)).alias("n")))]
+    assert max(sizes) < 300 and len(sizes) > 5 * 10
+    want = {r.event_id for r in throttle(ticks, "coin_id", "ts", 600, tie_break=("event_id",), bucket_seconds=None).collect()}
+    got = {r.event_id for r in throttle(ticks, "coin_id", "ts", 600, tie_break=("event_id",),
+                                        bucket_seconds=30 * 86400, max_rows=100).collect()}
+    assert got == want

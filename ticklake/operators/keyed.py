@@ -8,9 +8,11 @@ operators give the same rows with plans that split hot keys:
 * top-1 / dedupe are aggregates of a struct (``max``/``min``), which Spark
   runs as partial + final hash aggregation: a hot key is reduced map-side
   before the shuffle.
-* ``previous`` runs the window inside (key, time bucket) and carries the last
-  row of the previous non-empty bucket through a per-bucket table, so the
-  largest task is one bucket of one key rather than the whole key.
+* ``previous`` runs the window inside (key, segment) and carries the last
+  row of the previous non-empty segment through a per-segment table.
+  Segments are time buckets, and a bucket that is itself hot is split at
+  row quantiles (``segments``), so no task holds more than about
+  ``MAX_SEGMENT_ROWS`` rows of one key.
 """
 
 from __future__ import annotations
@@ -20,7 +22,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ticklake.functions.timefmt import time_bucket
+from ticklake.functions.timefmt import micros, time_bucket
 
 
 def _nulls_last_parts(cols: Sequence[str]) -> list[Column]:
@@ -53,8 +55,37 @@ def dedupe_by_key(df: DataFrame, keys: Sequence[str], tie_break: Sequence[str],
     return out.select(*keys, *[F.col(f"_pick.{c}").alias(c) for c in (*tie_break, *rest)])
 
 
+# rows above which a (key, time bucket) is split further, and the split fan-out
+MAX_SEGMENT_ROWS = 4_000_000
+SPLIT_FANOUT = 64
+
+
+def segments(df: DataFrame, keys: Sequence[str], order_col: str, *, bucket_seconds: int = 3600,
+             max_rows: int = MAX_SEGMENT_ROWS, fanout: int = SPLIT_FANOUT) -> DataFrame:
+    """Add ``_seg``: a number increasing with ``order_col`` within each key,
+    such that no (key, _seg) group is much larger than ``max_rows``.
+
+    Segments are time buckets; a bucket holding more than ``max_rows`` rows
+    (a burst, or a key with most of the data) is split at approximate row
+    quantiles of ``order_col`` into up to ``fanout`` parts. Counting and the
+    quantile sketches are partial aggregates, so a hot bucket is summarised
+    map-side; only hot buckets are sketched. Equal ``order_col`` values
+    always share a segment.
+    """
+    us = micros(F.col(order_col))
+    b = df.withColumn("_bkt", time_bucket(F.col(order_col), bucket_seconds))
+    counts = b.groupBy(*keys, "_bkt").agg(F.count(F.lit(1)).alias("_n"))
+    hot = counts.where(F.col("_n") > max_rows).select(*keys, "_bkt")
+    probs = [i / fanout for i in range(1, fanout)]
+    bounds = (b.join(hot, on=[*keys, "_bkt"], how="left_semi")
+               .groupBy(*keys, "_bkt").agg(F.percentile_approx(us, probs, 10_000).alias("_bounds")))
+    seg = b.join(bounds, on=[*keys, "_bkt"], how="left")
+    sub = F.coalesce(F.size(F.filter(F.col("_bounds"), lambda x: x <= us)), F.lit(0))
+    return seg.withColumn("_seg", F.col("_bkt") * F.lit(fanout) + sub).drop("_bkt", "_bounds")
+
+
 def previous(df: DataFrame, keys: Sequence[str], order_col: str, values: Sequence[str], *,
-             bucket_seconds: int | None = 3600, prefix: str = "prev_") -> DataFrame:
+             bucket_seconds: int | None = 3600, prefix: str = "prev_", max_rows: int = MAX_SEGMENT_ROWS) -> DataFrame:
     """Add ``prefix + v`` = value of ``v`` on the previous row (by ``order_col``)
     of the same key: ``lag(v) over (partition by keys order by order_col)``.
 
@@ -65,8 +96,8 @@ def previous(df: DataFrame, keys: Sequence[str], order_col: str, values: Sequenc
         w = Window.partitionBy(*keys).orderBy(order_col)
         return df.select("*", *[F.lag(v).over(w).alias(prefix + v) for v in values])
 
-    bkt = "_bkt"
-    b = df.withColumn(bkt, time_bucket(F.col(order_col), bucket_seconds))
+    bkt = "_seg"
+    b = df if bkt in df.columns else segments(df, keys, order_col, bucket_seconds=bucket_seconds, max_rows=max_rows)
     row = F.struct(*[F.col(v) for v in values])
     w_in = Window.partitionBy(*keys, bkt).orderBy(order_col)
     inner = b.withColumn("_prev", F.lag(row).over(w_in))
@@ -80,8 +111,9 @@ def previous(df: DataFrame, keys: Sequence[str], order_col: str, values: Sequenc
     return joined.select(*df.columns, *[prev[v].alias(prefix + v) for v in values])
 
 
+
 def running_max(df: DataFrame, keys: Sequence[str], order_col: str, value: str, out: str, *,
-                bucket_seconds: int | None = 3600) -> DataFrame:
+                bucket_seconds: int | None = 3600, max_rows: int = MAX_SEGMENT_ROWS) -> DataFrame:
     """``out`` = max of ``value`` over rows of the same key with
     ``order_col`` <= the current row's (a running max; NULLs ignored).
 
@@ -91,8 +123,8 @@ def running_max(df: DataFrame, keys: Sequence[str], order_col: str, value: str,
     if bucket_seconds is None:
         w = Window.partitionBy(*keys).orderBy(order_col).rowsBetween(Window.unboundedPreceding, 0)
         return df.withColumn(out, F.max(value).over(w))
-    bkt = "_bkt"
-    b = df.withColumn(bkt, time_bucket(F.col(order_col), bucket_seconds))
+    bkt = "_seg"
+    b = df if bkt in df.columns else segments(df, keys, order_col, bucket_seconds=bucket_seconds, max_rows=max_rows)
     w_in = Window.partitionBy(*keys, bkt).orderBy(order_col).rowsBetween(Window.unboundedPreceding, 0)
     inner = b.withColumn("_in", F.max(value).over(w_in))
     per_bucket = b.groupBy(*keys, bkt).agg(F.max(value).alias("_bmax"))

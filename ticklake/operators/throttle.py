@@ -30,18 +30,23 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ticklake.functions.timefmt import micros
-from ticklake.operators.keyed import previous, running_max
+from ticklake.operators.keyed import MAX_SEGMENT_ROWS, previous, running_max, segments
 
 
-def chains(df: DataFrame, key: str, ts: str, seconds: float, *, bucket_seconds: int | None = 3600) -> DataFrame:
+def chains(df: DataFrame, key: str, ts: str, seconds: float, *, bucket_seconds: int | None = 3600,
+           max_rows: int = MAX_SEGMENT_ROWS) -> DataFrame:
     """Add ``_ts_us`` (event time in microseconds) and ``_chain`` (start of the
     tick's chain, microseconds)."""
     n_us = int(round(seconds * 1_000_000))
     base = df.withColumn("_ts_us", micros(F.col(ts)))
+    if bucket_seconds is not None:
+        # one segmentation shared by both sequence passes
+        base = segments(base, [key], ts, bucket_seconds=bucket_seconds, max_rows=max_rows)
     prev = previous(base, [key], ts, ["_ts_us"], bucket_seconds=bucket_seconds, prefix="_prev")
     gap_start = F.col("_prev_ts_us").isNull() | ((F.col("_ts_us") - F.col("_prev_ts_us")) >= F.lit(n_us))
     flagged = prev.withColumn("_start", F.when(gap_start, F.col("_ts_us"))).drop("_prev_ts_us")
-    return running_max(flagged, [key], ts, "_start", "_chain", bucket_seconds=bucket_seconds).drop("_start")
+    out = running_max(flagged, [key], ts, "_start", "_chain", bucket_seconds=bucket_seconds).drop("_start")
+    return out.drop("_seg") if "_seg" in out.columns else out
 
 
 def _fold(key: str, n_us: int):
@@ -83,13 +88,14 @@ def _fold(key: str, n_us: int):
 
 
 def throttle(df: DataFrame, key: str, ts: str, seconds: float, *, tie_break: tuple[str, ...] = (),
-             bucket_seconds: int | None = 3600, partitions: int | None = None) -> DataFrame:
+             bucket_seconds: int | None = 3600, partitions: int | None = None,
+             max_rows: int = MAX_SEGMENT_ROWS) -> DataFrame:
     """Rows of ``df`` that pass the per-``key`` throttle on event time ``ts``.
 
     Ties on ``ts`` are ordered by ``tie_break`` columns (the first is kept).
     """
     n_us = int(round(seconds * 1_000_000))
-    c = chains(df, key, ts, seconds, bucket_seconds=bucket_seconds)
+    c = chains(df, key, ts, seconds, bucket_seconds=bucket_seconds, max_rows=max_rows)
     parts = [partitions] if partitions else []
     ordered = (c.repartition(*parts, key, "_chain")
                 .sortWithinPartitions(key, "_chain", "_ts_us", *tie_break))

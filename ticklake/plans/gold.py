@@ -59,11 +59,13 @@ def daily(clean: DataFrame) -> DataFrame:
                  F.count(F.lit(1)).alias("sample_count")))
 
 
-def changes(clean: DataFrame, *, bucket_seconds: int | None = 3600) -> DataFrame:
+def changes(clean: DataFrame, *, bucket_seconds: int | None = 3600, max_rows: int | None = None) -> DataFrame:
     """Tick-to-tick change per (coin, source): previous price, difference,
-    percent. ``bucket_seconds`` splits each key's history into time buckets
-    so no task holds a whole key (None = one plain window)."""
-    prev = previous(clean, ["coin_id", "source"], "recorded_at", ["price_usd"], bucket_seconds=bucket_seconds)
+    percent. ``bucket_seconds`` splits each key's history into time buckets,
+    and buckets above ``max_rows`` rows at row quantiles, so no task holds a
+    whole key or a whole burst (None = one plain window)."""
+    kw = {"max_rows": max_rows} if max_rows else {}
+    prev = previous(clean, ["coin_id", "source"], "recorded_at", ["price_usd"], bucket_seconds=bucket_seconds, **kw)
     p, lp = F.col("price_usd"), F.col("prev_price_usd")
     return prev.select(
         "coin_id", "source", "symbol", "price_usd", "market_cap", "change_24h", "recorded_at",
