@@ -29,10 +29,14 @@ def test_latest_by_source_is_a_partial_aggregate(spark):
     assert "partial_max" in p and "partial_min" in p
 
 
-def test_changes_window_is_partitioned_by_time_bucket(spark):
+def test_changes_window_is_partitioned_by_segment(spark):
+    """The lag window is keyed by (coin, source, segment), never by the bare key."""
     clean = S.clean_prices(S.stg_prices(D.dirty_ticks(D.table(spark, SF_SMALL, "events")).drop("event_id")))
     p = _plan(G.changes(clean))
-    assert "_bkt" in p and "Window [lag(" in p.replace("\n", " ") or "lag(" in p
+    lag_windows = [ln for ln in p.split("\n") if "Window [lag(" in ln]
+    assert lag_windows and all("_seg" in ln for ln in lag_windows)
+    plain = _plan(G.changes(clean, bucket_seconds=None))
+    assert any("Window [lag(" in ln and "_seg" not in ln for ln in plain.split("\n"))
 
 
 def test_no_python_udf_outside_the_throttle(spark):

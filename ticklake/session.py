@@ -30,6 +30,17 @@ def ensure_conf(spark: SparkSession) -> SparkSession:
     return spark
 
 
+# Sizing defaults for large runs (overridable per call or by the cluster's
+# spark-defaults): AQE coalesces small shuffle partitions towards the advisory
+# size and splits skewed ones; scans split files at maxPartitionBytes.
+SCALE_DEFAULTS = {
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.parquet.aggregatePushdown": "true",
+}
+
+
 def get_session(master: str | None = None, app: str = "ticklake", **conf: str) -> SparkSession:
     """Build (or reuse) a session with the library defaults.
 
@@ -40,7 +51,7 @@ def get_session(master: str | None = None, app: str = "ticklake", **conf: str) -
     if master or not os.environ.get("SPARK_MASTER"):
         b = b.master(master or "local[*]")
     b = b.config("spark.ui.enabled", "false")
-    for k, v in {**REQUIRED_SQL_CONF, **conf}.items():
+    for k, v in {**SCALE_DEFAULTS, **REQUIRED_SQL_CONF, **conf}.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
