@@ -18,6 +18,7 @@ def test_stream_replay_and_batch_equality(spark, tmp_dir):
     q.awaitTermination()
     prog = progress_frame(spark, q)
     assert prog.agg(F.sum("input_rows")).first()[0] == 1000
+    assert prog.agg(F.sum(F.col("observed")["ingest_counters.messages"])).first()[0] == 1000
     raw1 = rows(ST.read_raw(spark, paths).drop("ingested_at"), ["coin_id", "source", "recorded_at"])
     lake1 = spark.read.parquet(paths.lake).count()
     # a second query over the same landing dir with a new checkpoint re-applies batch ids 0..2

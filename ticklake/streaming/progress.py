@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 PROGRESS_SCHEMA = ("query_name string, batch_id long, batch_ts timestamp_ntz, input_rows long, "
-                   "input_rows_per_second double, processed_rows_per_second double, offsets_behind long")
+                   "input_rows_per_second double, processed_rows_per_second double, offsets_behind long, "
+                   "observed map<string, bigint>")
 
 
 def progress_frame(spark: SparkSession, query: StreamingQuery) -> DataFrame:
@@ -20,9 +21,12 @@ def progress_frame(spark: SparkSession, query: StreamingQuery) -> DataFrame:
             m = s.metrics or {}
             behind += int(float(m.get("maxOffsetsBehindLatest", 0) or 0))
         ts = p.timestamp.replace("T", " ").rstrip("Z")
+        observed = {}
+        for name, row in (p.observedMetrics or {}).items():
+            for k, v in row.asDict().items():
+                observed[f"{name}.{k}"] = int(v) if v is not None else None
         rows.append((p.name, p.batchId, ts, p.numInputRows, float(p.inputRowsPerSecond or 0.0),
-                     float(p.processedRowsPerSecond or 0.0), behind))
-    df = spark.createDataFrame(rows, "query_name string, batch_id long, batch_ts string, input_rows long, "
-                                     "input_rows_per_second double, processed_rows_per_second double, offsets_behind long")
+                     float(p.processedRowsPerSecond or 0.0), behind, observed))
+    df = spark.createDataFrame(rows, PROGRESS_SCHEMA.replace("batch_ts timestamp_ntz", "batch_ts string"))
     return df.selectExpr("query_name", "batch_id", "cast(batch_ts as timestamp_ntz) as batch_ts", "input_rows",
-                         "input_rows_per_second", "processed_rows_per_second", "offsets_behind")
+                         "input_rows_per_second", "processed_rows_per_second", "offsets_behind", "observed")

@@ -99,6 +99,10 @@ def run_stream(spark: SparkSession, log: DataFrame, paths: Paths, *, trigger: st
                available_now: bool = False, compat: bool = False, name: str | None = None) -> StreamingQuery:
     """Start the ingest query (``log`` is a streaming log DataFrame)."""
     ensure_conf(spark)
+    # live counters (no extra job): messages per topic-feed, reported in each progress event
+    log = log.observe("ingest_counters", F.count(F.lit(1)).alias("messages"),
+                      F.count_if(F.col("topic") == TOPIC_SNAPSHOTS).alias("snapshot_messages"),
+                      F.count_if(F.col("topic") == TOPIC_TRADES).alias("trade_messages"))
     w = (log.writeStream
          .foreachBatch(lambda df, bid: process_batch(df, bid, paths, compat=compat))
          .option("checkpointLocation", paths.checkpoint))
