@@ -83,6 +83,14 @@ def parse_dead_letters(msgs: DataFrame, *, value: str = "value", keep: tuple[str
     )
 
 
+def dedupe_delivered(msgs: DataFrame, *, id_cols: tuple[str, ...] = ("topic", "partition", "offset")) -> DataFrame:
+    """At-least-once topics can deliver a record twice: keep one row per log
+    position (an aggregate, so a heavily repeated record is reduced map-side)."""
+    rest = [c for c in msgs.columns if c not in id_cols]
+    picked = msgs.groupBy(*id_cols).agg(F.first(F.struct(*[F.col(c) for c in rest])).alias("_r"))
+    return picked.select(*id_cols, *[F.col(f"_r.{c}").alias(c) for c in rest])
+
+
 def preview(raw: Column, n: int = 200) -> Column:
     """First ``n`` characters for log lines (display only)."""
     return F.substring(F.coalesce(raw, F.lit("")), 1, n)
