@@ -46,3 +46,20 @@ def test_publish_keys(spark):
                                "event_time string, source string")
     r = L.to_log(df, key_cols=("coin_id", "source")).first()
     assert r.key == "bitcoin:binance" and '"market_cap":null' in r.value
+
+
+def test_dlq_topic_and_monitor_stream(spark, tmp_dir):
+    """Ingest writes dead letters as topic JSON; the monitor stream counts them."""
+    from ticklake.operators.deadletter import classify, dead_letters
+    from ticklake.streaming.dlq_monitor import run_monitor
+    landing = f"{tmp_dir}/landing"
+    recs = L.log_records(D.raw_log(D.table(spark, SF_SMALL, "events")))
+    L.land_log(recs, landing, files=2)
+    paths = ST.Paths(f"{tmp_dir}/raw", f"{tmp_dir}/lake", f"{tmp_dir}/dlq", f"{tmp_dir}/ck")
+    ST.run_stream(spark, L.read_log(spark, landing, max_files_per_trigger=1), paths, available_now=True,
+                  dlq_format="json").awaitTermination()
+    run_monitor(spark, paths.dlq, f"{tmp_dir}/counters", f"{tmp_dir}/ck-mon", available_now=True).awaitTermination()
+    got = {(r["source_topic"], r["reason"]): r["messages"] for r in rows(spark.read.parquet(f"{tmp_dir}/counters"))}
+    want = {(r["source_topic"], r["reason"]): r["count"] for r in rows(
+        dead_letters(classify(D.raw_log(D.table(spark, SF_SMALL, "events")))).groupBy("source_topic", "reason").count())}
+    assert got == want and sum(got.values()) > 0

@@ -357,7 +357,7 @@ def _streaming(q: dict[str, Callable[[Inputs], DataFrame]]) -> None:
     from ticklake.streaming import stream as ST
     from ticklake.streaming.throttle_stream import throttle_stream
 
-    def ingest(i: Inputs) -> ST.Paths:
+    def ingest(i: Inputs, dlq_format: str = "parquet") -> ST.Paths:
         """Land the log in five time-ordered files, stream them one file per
         micro-batch, then replay the whole landing dir with a new checkpoint
         (every batch id is re-applied: the tables must not change)."""
@@ -366,9 +366,17 @@ def _streaming(q: dict[str, Callable[[Inputs], DataFrame]]) -> None:
         base = work_path(i.spark, "stream")
         paths = ST.Paths(f"{base}/raw", f"{base}/lake", f"{base}/dlq", f"{base}/_checkpoint")
         log = L.read_log(i.spark, landing, max_files_per_trigger=1)
-        ST.run_stream(i.spark, log, paths, available_now=True).awaitTermination()
+        ST.run_stream(i.spark, log, paths, available_now=True, dlq_format=dlq_format).awaitTermination()
         return paths
 
+    def stream_dlq_monitor(i: Inputs) -> DataFrame:
+        """Ingest writing the dead-letter topic as JSON, then the monitor stream's counters."""
+        from ticklake.streaming.dlq_monitor import run_monitor
+        paths = ingest(i, dlq_format="json")
+        counters = work_path(i.spark, "dlq-counters")
+        run_monitor(i.spark, paths.dlq, counters, counters + "_checkpoint", available_now=True).awaitTermination()
+        return i.spark.read.parquet(counters)
+
     def stream_throttled(i: Inputs) -> DataFrame:
         landing = work_path(i.spark, "ticks-landing")
         ticks = D.tick_base(i.events).select("event_id", "coin_id", "ts")
@@ -386,6 +394,7 @@ def _streaming(q: dict[str, Callable[[Inputs], DataFrame]]) -> None:
         "stream_raw": lambda i: ST.read_raw(i.spark, ingest(i)).drop("ingested_at"),
         "stream_dead_letters": lambda i: ST.read_dead_letters(i.spark, ingest(i)),
         "stream_throttled": stream_throttled,
+        "stream_dlq_monitor": stream_dlq_monitor,
     })
 
 

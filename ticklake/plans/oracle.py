@@ -173,6 +173,7 @@ UNION ALL {sel_clean} FROM fresh"""),
     q.update(ops_oracle())
     q.update(misc_oracle())
     q["stream_throttled"] = _throttle_sql(600)
+    q["stream_dlq_monitor"] = q["dlq_counts"]
     q["stream_dead_letters"] = _w(LOG, """SELECT topic AS source_topic, raw_value, reason,
   date_trunc('millisecond', kafka_ts) AS failed_at FROM classified WHERE reason IS NOT NULL""")
     q["stream_raw"] = _w(UNIFIED_IDS, """SELECT coin_id, source, symbol, CAST(price_usd AS DECIMAL(20,8)) AS price_usd,

@@ -78,7 +78,8 @@ def to_raw(good: DataFrame, ingested_at=None) -> DataFrame:
         "recorded_at", ing.alias("ingested_at"), "dt", "timestamp", "partition", "offset")
 
 
-def process_batch(batch: DataFrame, batch_id: int, paths: Paths, *, compat: bool = False) -> None:
+def process_batch(batch: DataFrame, batch_id: int, paths: Paths, *, compat: bool = False,
+                  dlq_format: str = "parquet") -> None:
     """Write one micro-batch to raw, lake and dead letters (idempotent)."""
     ensure_conf(batch.sparkSession)
     # the parsed batch is used by three writes: persist it once (recomputed
@@ -89,14 +90,20 @@ def process_batch(batch: DataFrame, batch_id: int, paths: Paths, *, compat: bool
         SK.upsert_by_key(to_raw(good).select(*RAW_OUT, "timestamp", "partition", "offset"), paths.raw,
                          list(KEY), ["timestamp", "partition", "offset"], batch_id=batch_id)
         SK.append_lake(good.select(*LAKE_OUT), paths.lake, batch_id)
-        (dead.withColumn(SK.BATCH_COL, F.lit(str(batch_id)))
-         .write.mode("overwrite").partitionBy(SK.BATCH_COL).parquet(paths.dlq))
+        if dlq_format == "json":
+            # the dead-letter topic's value: one JSON record per line
+            (DL.to_dlq_json(dead).withColumn(SK.BATCH_COL, F.lit(str(batch_id)))
+             .write.mode("overwrite").partitionBy(SK.BATCH_COL).text(paths.dlq))
+        else:
+            (dead.withColumn(SK.BATCH_COL, F.lit(str(batch_id)))
+             .write.mode("overwrite").partitionBy(SK.BATCH_COL).parquet(paths.dlq))
     finally:
         b.unpersist()
 
 
 def run_stream(spark: SparkSession, log: DataFrame, paths: Paths, *, trigger: str | None = CHECKPOINT_INTERVAL,
-               available_now: bool = False, compat: bool = False, name: str | None = None) -> StreamingQuery:
+               available_now: bool = False, compat: bool = False, name: str | None = None,
+               dlq_format: str = "parquet") -> StreamingQuery:
     """Start the ingest query (``log`` is a streaming log DataFrame)."""
     ensure_conf(spark)
     # live counters (no extra job): messages per topic-feed, reported in each progress event
@@ -104,7 +111,7 @@ def run_stream(spark: SparkSession, log: DataFrame, paths: Paths, *, trigger: st
                       F.count_if(F.col("topic") == TOPIC_SNAPSHOTS).alias("snapshot_messages"),
                       F.count_if(F.col("topic") == TOPIC_TRADES).alias("trade_messages"))
     w = (log.writeStream
-         .foreachBatch(lambda df, bid: process_batch(df, bid, paths, compat=compat))
+         .foreachBatch(lambda df, bid: process_batch(df, bid, paths, compat=compat, dlq_format=dlq_format))
          .option("checkpointLocation", paths.checkpoint))
     if name:
         w = w.queryName(name)
