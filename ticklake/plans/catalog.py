@@ -235,6 +235,16 @@ def _quality(q: dict[str, Callable[[Inputs], DataFrame]]) -> None:
         return QL.quality_results(QL.relations(raw, S.stg_prices(raw), clean, gold, as_of=i.as_of), as_of=i.as_of)
 
     q["dq_results"] = dq_results
+
+    def pipeline_model_tests(i: Inputs) -> DataFrame:
+        """A full model run (silver incremental-capable, gold tables), each model's
+        tests right after it; the run's test results."""
+        from ticklake.plans.pipeline import run_pipeline
+        from ticklake.session import work_path
+        res = run_pipeline(i.spark, i.raw, work_path(i.spark, "warehouse"), as_of=i.as_of)
+        return res.results
+
+    q["pipeline_model_tests"] = pipeline_model_tests
     q["source_volume"] = lambda i: C.source_volume(rels(i)["raw_24h"])
     q["coin_coverage"] = lambda i: C.coin_coverage(rels(i)["raw_24h"])
 

@@ -434,7 +434,12 @@ def quality_oracle() -> dict[str, str]:
   FROM (VALUES ('coingecko'), ('binance')) s(source)
   LEFT JOIN (SELECT source, count(DISTINCT coin_id) AS k, list(DISTINCT coin_id) AS seen FROM raw_24h
              WHERE coin_id IN ('bitcoin', 'ethereum', 'solana') GROUP BY source) c ON c.source = s.source"""
+    run_models = ("model:stg_crypto_prices", "model:crypto_prices_clean", "model:mart_latest_prices",
+                  "model:mart_latest_prices_by_source", "model:mart_source_price_comparison",
+                  "model:mart_daily_prices", "model:fct_price_changes")
+    model_parts = [_rule_sql(z, rel, r) for z, rel, rules in MODEL_TESTS if z in run_models for r in rules]
     return {
+        "pipeline_model_tests": _w(QUALITY, "\nUNION ALL\n".join(model_parts)),
         "dq_results": _w(QUALITY, "\nUNION ALL\n".join(parts)),
         "source_volume": _w(QUALITY, vol),
         "coin_coverage": _w(QUALITY, cov),
