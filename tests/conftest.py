@@ -12,10 +12,10 @@ SF_CHECK = "/root/testdata/sf0.01"
 
 @pytest.fixture(scope="session")
 def spark():
-    from ticklake.session import get_session
-    ckpt = tempfile.mkdtemp(prefix="ticklake-test-ckpt-")
-    s = get_session("local[4]", **{"spark.sql.shuffle.partitions": "8", "spark.checkpoint.dir": ckpt,
+    from ticklake.session import checkpoint_root, get_session
+    s = get_session("local[4]", **{"spark.sql.shuffle.partitions": "8",
                                    "spark.sql.execution.arrow.pyspark.enabled": "true"})
+    checkpoint_root(s)  # the session's spark.checkpoint.dir, or a fresh folder when unset
     yield s
     s.stop()
 

@@ -37,7 +37,7 @@ def test_kafka_options():
     assert o["startingOffsets"] == "earliest" and o["kafka.isolation.level"] == "read_committed"
     assert o["subscribe"] == "coingecko.prices.raw,binance.trades.raw" and o["maxOffsetsPerTrigger"] == "500"
     s = L.kafka_sink_options("broker:9093")
-    assert s["kafka.acks"] == "all" and s["kafka.enable.idempotence"] == "true" and s["topic"] == "crypto-pulse.dlq"
+    assert s["kafka.acks"] == "all" and s["kafka.enable.idempotence"] == "true" and s["topic"] == "prices.dead-letter"
 
 
 def test_publish_keys(spark):

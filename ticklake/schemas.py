@@ -21,10 +21,11 @@ PAIR_TO_COIN = {
     "ETHUSDT": ("ethereum", "eth"),
     "SOLUSDT": ("solana", "sol"),
 }
-# log topics and the dead-letter topic
+# log topics (their names are the dead letters' source_topic values) and the
+# default dead-letter topic (a deployment setting; no result depends on it)
 TOPIC_SNAPSHOTS = "coingecko.prices.raw"
 TOPIC_TRADES = "binance.trades.raw"
-TOPIC_DLQ = "crypto-pulse.dlq"
+TOPIC_DLQ = "prices.dead-letter"
 # event contract: required keys and all allowed keys, in schema order
 CONTRACT_REQUIRED = ("coin_id", "symbol", "price_usd", "event_time", "source")
 CONTRACT_FIELDS = ("coin_id", "symbol", "price_usd", "market_cap", "change_24h", "event_time", "source")
