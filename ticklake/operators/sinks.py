@@ -104,12 +104,12 @@ def upsert_by_key(batch: DataFrame, path: str, key: Sequence[str], order: Sequen
     else:
         # first write: nothing is read from the target, write it directly
         state = merge_by_key(None, batch, [*key, *parts], order, keep_first=keep_first)
-        state.select(*batch.columns).write.mode("overwrite").partitionBy(*parts).parquet(path)
+        state.select(*batch.columns).hint("rebalance", *parts).write.mode("overwrite").partitionBy(*parts).parquet(path)
         if batch_id is not None:
             _mark(spark, path, batch_id)
         return True
     staging = work_path(spark, "upsert-staging")
-    state.write.mode("overwrite").partitionBy(*parts).parquet(staging)
+    state.hint("rebalance", *parts).write.mode("overwrite").partitionBy(*parts).parquet(staging)
     # explicit schema: an empty batch leaves no data files to infer it from
     (spark.read.schema(state.schema).parquet(staging).select(*batch.columns)
      .write.mode("overwrite").partitionBy(*parts).parquet(path))
@@ -144,19 +144,17 @@ def append_if_absent(batch: DataFrame, path: str, key: Sequence[str], order: Seq
     w.parquet(path)
 
 
-def append_lake(df: DataFrame, path: str, batch_id: int | str, *, max_records_per_file: int = 1_000_000,
-                writers_per_partition: int = 1) -> None:
+def append_lake(df: DataFrame, path: str, batch_id: int | str, *, max_records_per_file: int = 1_000_000) -> None:
     """Land rows (LAKE columns) under source/coin_id/dt/batch=<id>; re-running
     the same batch id replaces exactly that batch's files.
 
-    Rows are clustered by partition so each partition gets few files;
-    ``writers_per_partition > 1`` spreads a hot partition over that many
-    tasks (for large backfills)."""
+    Rows are rebalanced by partition columns: each lake partition gets few
+    files, and AQE splits a hot partition (one coin-day holding a large share
+    of the rows) over several tasks instead of one."""
     spark = ensure_conf(df.sparkSession)
     out = df.select(*[c for c in df.columns if c not in (*LAKE_PARTITIONS, BATCH_COL)], *LAKE_PARTITIONS,
                     F.lit(str(batch_id)).alias(BATCH_COL))
-    spread = [F.pmod(F.xxhash64(*out.columns), F.lit(writers_per_partition))] if writers_per_partition > 1 else []
-    (out.repartition(*LAKE_PARTITIONS, *spread)
+    (out.hint("rebalance", *LAKE_PARTITIONS)
         .write.mode("overwrite").option("compression", "snappy")
         .option("maxRecordsPerFile", max_records_per_file)
         .partitionBy(*LAKE_PARTITIONS, BATCH_COL).parquet(path))
