@@ -108,3 +108,36 @@ def test_hot_buckets_split_at_quantiles(spark):
     got = {r.event_id for r in throttle(ticks, "coin_id", "ts", 600, tie_break=("event_id",),
                                         bucket_seconds=30 * 86400, max_rows=100).collect()}
     assert got == want
+
+
+def _dense(spark, seed=3, n=1500, id_base=0):
+    import random
+    rnd = random.Random(seed)
+    data = []
+    for key in ("bitcoin", "ethereum", "solana"):
+        t = dt.datetime(2024, 1, 1)
+        for _ in range(n):
+            t += dt.timedelta(seconds=rnd.choice([1, 2, 3, 5, 8]), microseconds=rnd.randint(0, 999999))
+            data.append({"event_id": id_base + len(data), "coin_id": key, "ts": t})
+    df = spark.createDataFrame([(r["event_id"], r["coin_id"], r["ts"].isoformat(sep=" ")) for r in data],
+                               "event_id long, coin_id string, ts string").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    return data, df
+
+
+def test_block_parallel_throttle_on_unbroken_dense_chains(spark):
+    """Every key is one chain (all gaps < N): blocks + pointer jumping = sequential rule."""
+    data, df = _dense(spark)
+    for n in (9, 25):
+        got = {r.event_id for r in throttle(df, "coin_id", "ts", n, tie_break=("event_id",), bucket_seconds=60,
+                                            algorithm="blocks").collect()}
+        assert got == _sequential(data, n), n
+
+
+def test_auto_routes_long_chains_to_blocks(spark):
+    data, df = _dense(spark, seed=5, n=600, id_base=10_000_000)
+    ticks = D.tick_base(D.table(spark, SF_CHECK, "events")).select("event_id", "coin_id", "ts")
+    mixed = df.unionByName(ticks.where(F.col("coin_id").isin("error", "signup")))
+    want = _sequential(data + rows(ticks.where(F.col("coin_id").isin("error", "signup"))), 9)
+    got = {r.event_id for r in throttle(mixed, "coin_id", "ts", 9, tie_break=("event_id",), bucket_seconds=60,
+                                        long_chain_rows=100).collect()}
+    assert got == want

@@ -14,9 +14,12 @@ Two facts make it distributable without changing the result:
    the first tick at or after ``last_kept + N`` (a binary search), so the
    work per chain is proportional to the kept ticks, not to all ticks.
 
-Rows are hash-partitioned by (key, chain) and sorted; ``mapInPandas`` then
-streams each partition in Arrow batches, carrying the chain state across
-batches, so a long chain is never collected into memory.
+Chains up to ``long_chain_rows`` rows are hash-partitioned by (key, chain)
+and sorted; ``mapInPandas`` streams each partition in Arrow batches,
+carrying the chain state across batches. Longer chains (a key that never
+pauses for N seconds) go to ``throttle_blocks``: time blocks of one chain
+are processed in parallel and stitched together by pointer jumping, so no
+task holds a whole chain.
 """
 
 from __future__ import annotations
@@ -31,6 +34,7 @@ from pyspark.sql import types as T
 
 from ticklake.functions.timefmt import micros
 from ticklake.operators.keyed import MAX_SEGMENT_ROWS, previous, running_max, segments
+from ticklake.session import work_path
 
 
 def chains(df: DataFrame, key: str, ts: str, seconds: float, *, bucket_seconds: int | None = 3600,
@@ -89,13 +93,40 @@ def _fold(key: str, n_us: int):
 
 def throttle(df: DataFrame, key: str, ts: str, seconds: float, *, tie_break: tuple[str, ...] = (),
              bucket_seconds: int | None = 3600, partitions: int | None = None,
-             max_rows: int = MAX_SEGMENT_ROWS) -> DataFrame:
+             max_rows: int = MAX_SEGMENT_ROWS, algorithm: str = "auto",
+             long_chain_rows: int = MAX_SEGMENT_ROWS) -> DataFrame:
     """Rows of ``df`` that pass the per-``key`` throttle on event time ``ts``.
 
     Ties on ``ts`` are ordered by ``tie_break`` columns (the first is kept).
     """
     n_us = int(round(seconds * 1_000_000))
     c = chains(df, key, ts, seconds, bucket_seconds=bucket_seconds, max_rows=max_rows)
+    from ticklake.operators.throttle_blocks import block_throttle
+
+    def blocks(x: DataFrame) -> DataFrame:
+        return block_throttle(x, key, seconds, list(df.columns), tie_break=tie_break,
+                              bucket_seconds=bucket_seconds or 3600)
+
+    if algorithm == "blocks":
+        return blocks(c)
+    if algorithm == "auto":
+        # chains longer than the bound are split into blocks; the rest are folded whole.
+        # The chain table is written once as a work table under spark.checkpoint.dir,
+        # so the size check and the fold read it instead of re-deriving the chains.
+        path = work_path(c.sparkSession, "throttle-chains")
+        c.write.parquet(path)
+        c = c.sparkSession.read.parquet(path)
+        sizes = c.groupBy(key, "_chain").agg(F.count(F.lit(1)).alias("_n"))
+        long = sizes.where(F.col("_n") > long_chain_rows).select(key, "_chain")
+        if long.limit(1).count() > 0:
+            short = c.join(long, on=[key, "_chain"], how="left_anti")
+            return _fold_all(short, df, key, n_us, tie_break, partitions).unionByName(
+                blocks(c.join(long, on=[key, "_chain"], how="left_semi")))
+    return _fold_all(c, df, key, n_us, tie_break, partitions)
+
+
+def _fold_all(c: DataFrame, df: DataFrame, key: str, n_us: int, tie_break: tuple[str, ...],
+              partitions: int | None) -> DataFrame:
     parts = [partitions] if partitions else []
     ordered = (c.repartition(*parts, key, "_chain")
                 .sortWithinPartitions(key, "_chain", "_ts_us", *tie_break))
