@@ -18,6 +18,7 @@ stateless, so late ticks are written, never dropped.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -87,16 +88,28 @@ def process_batch(batch: DataFrame, batch_id: int, paths: Paths, *, compat: bool
     b = classify_and_type(batch, compat=compat).persist()
     try:
         good, dead = split_batch(batch, typed=b)
-        SK.upsert_by_key(to_raw(good).select(*RAW_OUT, "timestamp", "partition", "offset"), paths.raw,
-                         list(KEY), ["timestamp", "partition", "offset"], batch_id=batch_id)
-        SK.append_lake(good.select(*LAKE_OUT), paths.lake, batch_id)
-        if dlq_format == "json":
-            # the dead-letter topic's value: one JSON record per line
-            (DL.to_dlq_json(dead).withColumn(SK.BATCH_COL, F.lit(str(batch_id)))
-             .write.mode("overwrite").partitionBy(SK.BATCH_COL).text(paths.dlq))
-        else:
-            (dead.withColumn(SK.BATCH_COL, F.lit(str(batch_id)))
-             .write.mode("overwrite").partitionBy(SK.BATCH_COL).parquet(paths.dlq))
+
+        def raw() -> None:
+            SK.upsert_by_key(to_raw(good).select(*RAW_OUT, "timestamp", "partition", "offset"), paths.raw,
+                             list(KEY), ["timestamp", "partition", "offset"], batch_id=batch_id)
+
+        def lake() -> None:
+            SK.append_lake(good.select(*LAKE_OUT), paths.lake, batch_id)
+
+        def dlq() -> None:
+            if dlq_format == "json":
+                # the dead-letter topic's value: one JSON record per line
+                (DL.to_dlq_json(dead).withColumn(SK.BATCH_COL, F.lit(str(batch_id)))
+                 .write.mode("overwrite").partitionBy(SK.BATCH_COL).text(paths.dlq))
+            else:
+                (dead.withColumn(SK.BATCH_COL, F.lit(str(batch_id)))
+                 .write.mode("overwrite").partitionBy(SK.BATCH_COL).parquet(paths.dlq))
+
+        # fill the cache once, then three independent writes as concurrent jobs
+        b.count()
+        with ThreadPoolExecutor(max_workers=3) as pool:
+            for f in [pool.submit(fn) for fn in (raw, lake, dlq)]:
+                f.result()
     finally:
         b.unpersist()
 
