@@ -119,6 +119,11 @@ def evaluate(alert: Alert, df: DataFrame, *, as_of, ts_col: str = "ts") -> DataF
         data = data.where(F.col(c) == v)
     steps = alert.hold_seconds // EVAL_STEP_SECONDS
     ts = F.col(ts_col)
+    if alert.kind in ("count", "gauge"):
+        # only the last (hold + range) seconds can matter: with a literal as_of
+        # this is a pushed scan filter, so the rule reads minutes, not history
+        lookback = alert.hold_seconds + alert.range_seconds
+        data = data.where((ts > t0 - F.expr(f"INTERVAL {lookback} SECONDS")) & (ts <= t0))
     metrics = []
     for k in range(steps + 1):
         t = t0 - F.expr(f"INTERVAL {k * EVAL_STEP_SECONDS} SECONDS")
