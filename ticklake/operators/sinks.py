@@ -1,12 +1,12 @@
 """Idempotent sinks on plain Parquet (no table format needed).
 
 * ``merge_by_key`` / ``upsert_by_key``: keyed upsert, last write wins, the
-  first ``ingested_at`` of a key is kept. Existing rows are read only from
-  the partitions the batch touches (the join carries the partition column,
-  so Spark prunes partitions, statically or dynamically). The new state of
-  those partitions is written to a staging copy first and then replaces
-  them with dynamic partition overwrite; a path is never overwritten while
-  it is being read.
+  first ``ingested_at`` of a key is kept. Only the key columns of the
+  partitions the batch touches are read to find clashing keys; batch rows in
+  partitions without a clash are appended (a stream of new ticks never
+  rewrites anything); partitions with a clash are merged, written to a
+  staging copy and then replace the originals by dynamic partition
+  overwrite, so a path is never overwritten while it is being read.
 * ``insert_if_absent``: in-batch dedupe (first wins) + anti join + append.
 * ``append_lake``: the Hive-partitioned lake (source/coin_id/dt). Each
   micro-batch lands under its own ``batch=`` partition level, written with
@@ -95,24 +95,37 @@ def upsert_by_key(batch: DataFrame, path: str, key: Sequence[str], order: Sequen
     if batch_id is not None and batch_done(spark, path, batch_id):
         return False
     parts = list(partition_by)
-    if _exists(spark, path):
-        existing = spark.read.parquet(path)
-        touched = batch.select(*parts).distinct()
-        # semi join on the partition columns: only touched partitions are read
-        existing = existing.join(touched, on=parts, how="left_semi").select(*batch.columns)
-        state = merge_by_key(existing, batch, [*key, *parts], order, keep_first=keep_first)
-    else:
+    if not _exists(spark, path):
         # first write: nothing is read from the target, write it directly
         state = merge_by_key(None, batch, [*key, *parts], order, keep_first=keep_first)
         state.select(*batch.columns).hint("rebalance", *parts).write.mode("overwrite").partitionBy(*parts).parquet(path)
         if batch_id is not None:
             _mark(spark, path, batch_id)
         return True
+    full_key = [*key, *parts]
+    new = latest_per_key(batch, full_key, order)
+    # which batch keys already exist: read only the key columns of the touched partitions
+    touched = new.select(*parts).distinct()
+    target_keys = (spark.read.schema(batch.schema).parquet(path).select(*full_key)
+                   .join(touched, on=parts, how="left_semi"))
+    clash_parts = new.join(target_keys, on=full_key, how="left_semi").select(*parts).distinct()
+    # partitions without a clash take a plain append (the common case for a
+    # stream of new ticks); only partitions with a clash are merged and rewritten
+    plain = new.join(clash_parts, on=parts, how="left_anti")
     staging = work_path(spark, "upsert-staging")
-    state.hint("rebalance", *parts).write.mode("overwrite").partitionBy(*parts).parquet(staging)
-    # explicit schema: an empty batch leaves no data files to infer it from
-    (spark.read.schema(state.schema).parquet(staging).select(*batch.columns)
-     .write.mode("overwrite").partitionBy(*parts).parquet(path))
+    clash_list = clash_parts.collect() if clash_parts.limit(1).count() else []  # bounded: touched partitions
+    if clash_list:
+        clash_df = spark.createDataFrame(clash_list, clash_parts.schema)
+        existing = (spark.read.schema(batch.schema).parquet(path)
+                    .join(clash_df, on=parts, how="left_semi").select(*batch.columns))
+        in_clash = new.join(clash_df, on=parts, how="left_semi")
+        state = merge_by_key(existing, in_clash, full_key, order, keep_first=keep_first)
+        state.hint("rebalance", *parts).write.mode("overwrite").partitionBy(*parts).parquet(staging)
+    plain.select(*batch.columns).hint("rebalance", *parts).write.mode("append").partitionBy(*parts).parquet(path)
+    if clash_list:
+        # explicit schema: an empty merge leaves no data files to infer it from
+        (spark.read.schema(batch.schema).parquet(staging).select(*batch.columns)
+         .write.mode("overwrite").partitionBy(*parts).parquet(path))
     if batch_id is not None:
         _mark(spark, path, batch_id)
     return True
