@@ -56,6 +56,15 @@ class Inputs:
     def clean(self) -> DataFrame:
         return S.clean_prices(self.stg)
 
+    @cached_property
+    def clean_table(self) -> DataFrame:
+        """Silver as a scheduled run finds it: written once under the work
+        folder and read back (for reports that read silver several times)."""
+        from ticklake.session import work_path
+        path = work_path(self.spark, "silver")
+        self.clean.write.parquet(path)
+        return self.spark.read.parquet(path)
+
     @cached_property
     def latest(self) -> DataFrame:
         return G.latest(self.clean)
@@ -129,7 +138,7 @@ def catalog() -> dict[str, Query]:
         "latest_by_source": lambda i: i.lbs,
         "source_comparison": lambda i: i.comparison,
         "daily_prices": lambda i: G.daily(i.clean),
-        "price_changes": lambda i: G.changes(i.clean),
+        "price_changes": lambda i: G.changes(i.clean_table),
         "price_changes_plain": lambda i: G.changes(i.clean, bucket_seconds=None),
         "zone_volume": lambda i: G.zone_volume(i.raw, i.clean, i.lbs, as_of=i.as_of),
         "freshness": lambda i: G.freshness(i.lbs, as_of=i.as_of),
