@@ -91,3 +91,10 @@ def test_lag_alert_gauge(spark):
     assert r.firing is True and r.value == 6000.0
     r = O.lag_alert(prog.where(F.col("batch_ts") >= "2024-01-01 11:52:00"), as_of=AS_OF).first()
     assert r.firing is False
+
+
+def test_ops_dispatch(spark):
+    log = _log(spark, [("2024-01-01 11:59:00", "coingecko", "published")]).withColumn(
+        "coin_id", F.lit("bitcoin")).withColumn("price_usd", F.lit(1.0)).withColumn("error_type", F.lit(None).cast("string"))
+    assert O.ops("poll_age", log, as_of=AS_OF).first()[0] == 60.0
+    assert O.ops("last_price", log, as_of=AS_OF).first().coin_id == "bitcoin"

@@ -104,3 +104,10 @@ def test_log_preview_is_display_only(spark):
     from ticklake.operators.deadletter import preview
     df = spark.createDataFrame([("x" * 300,), (None,)], "raw string")
     assert [len(r[0]) for r in df.select(preview(F.col("raw"))).collect()] == [200, 0]
+
+
+def test_parse_event_default_source(spark):
+    from ticklake.operators.normalize import parse_event
+    df = spark.createDataFrame([('{"coin_id": "bitcoin", "price_usd": 1, "event_time": "2024-01-01T00:00:00.000001+00:00"}',)],
+                               "raw_value string")
+    assert parse_event(df, default_source="coingecko").first().source == "coingecko"

@@ -133,3 +133,15 @@ def parse_events(log: DataFrame, *, value: str = "raw_value", feed: str = "feed"
     typed = jsonx.with_variant(log, value).select(
         *keep, *typed_fields(F.col("_v"), F.col(feed), strict_fraction=strict_fraction))
     return accepted(typed)
+
+
+def parse_event(df: DataFrame, *, default_source: str | None = None, compat: bool = False,
+                value: str = "raw_value", feed: str = "feed") -> DataFrame:
+    """The unified price view of one feed's log: ``parse_events`` with the
+    feed's default source given as a literal (or taken from ``feed``).
+
+    ``compat`` changes nothing here: in both modes a time without exactly six
+    fraction digits does not parse (the dead-letter side is where compat
+    differs)."""
+    src = df if default_source is None else df.withColumn(feed, F.lit(default_source))
+    return parse_events(src, value=value, feed=feed, strict_fraction=True)

@@ -157,3 +157,20 @@ def alerts(log: DataFrame, dlq: DataFrame, progress: DataFrame, *, as_of) -> Dat
         r = evaluate(a, df, as_of=as_of, ts_col=col)
         out = r if out is None else out.unionByName(r)
     return out
+
+
+def ops(name: str, log: DataFrame, dlq: DataFrame | None = None, progress: DataFrame | None = None, *,
+        as_of) -> DataFrame:
+    """Answer one operational question by name."""
+    questions = {
+        "throughput": lambda: throughput(log),
+        "last_price": lambda: last_price(log),
+        "counters": lambda: counters(log, dlq),
+        "errors_1h": lambda: window_count(log, as_of=as_of, seconds=3600, where=F.col("kind") == "error"),
+        "poll_age": lambda: poll_age(log, as_of=as_of),
+        "feed_b_10m": lambda: window_count(log, as_of=as_of, seconds=600,
+                                           where=(F.col("kind") == "published") & (F.col("service") == "binance")),
+        "lag": lambda: lag_alert(progress, as_of=as_of),
+        "alerts": lambda: alerts(log, dlq, progress, as_of=as_of),
+    }
+    return questions[name]()

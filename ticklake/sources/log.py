@@ -124,12 +124,13 @@ def to_log(df: DataFrame, *, key_cols: tuple[str, ...] = ("coin_id",),
     return df.select(key.alias("key"), val.alias("value"))
 
 
-def read_payloads(spark: SparkSession, path: str, *, streaming: bool = True) -> DataFrame:
-    """Landing directory of raw feed bodies (one body per line): (payload, received_at).
+def read_payloads(spark: SparkSession, path: str, feed: str | None = None, *, streaming: bool = True) -> DataFrame:
+    """Landing directory of raw feed bodies (one body per line): (payload, received_at, feed).
 
     ``received_at`` is the landing file's modification time (the poll/frame
     receive time of a file-based landing zone)."""
     reader = spark.readStream if streaming else spark.read
     df = reader.format("text").load(path)
     return df.select(F.col("value").alias("payload"),
-                     F.col("_metadata.file_modification_time").cast("timestamp_ntz").alias("received_at"))
+                     F.col("_metadata.file_modification_time").cast("timestamp_ntz").alias("received_at"),
+                     F.lit(feed).cast("string").alias("feed"))
