@@ -12,7 +12,7 @@ A. per (key, chain, block), plus a copy of the next block's first 2N
 B. pointer jumping over the entry graph: the chain's first tick enters its
    first block; doubling the "next block entry" map for log2(blocks) rounds
    yields every block's actual entry. Each round is a join; lineage is cut
-   with reliable checkpoints.
+   by writing each round as a work table under spark.checkpoint.dir.
 C. per (key, chain, block): run the rule from the actual entry and mark the
    kept ticks.
 
@@ -29,8 +29,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ticklake.operators.keyed import MAX_SEGMENT_ROWS
-from ticklake.session import checkpoint_root
+from ticklake.session import work_path
+
+
+def _materialize(df: DataFrame, name: str) -> DataFrame:
+    """Cut lineage: write a columnar work table under spark.checkpoint.dir, read it back."""
+    path = work_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def _entries_fn(key_type, n_us: int, w_us: int):
@@ -85,7 +91,6 @@ def _mark_fn(n_us: int, cols: list[str], order: list[str]):
 def block_throttle(c: DataFrame, key: str, seconds: float, out_cols: list[str], *, tie_break: tuple[str, ...] = (),
                    bucket_seconds: int = 3600) -> DataFrame:
     """Kept rows of ``c`` (rows with ``_ts_us`` and ``_chain`` from ``throttle.chains``)."""
-    spark = c.sparkSession
     n_us = int(round(seconds * 1_000_000))
     w_us = max(int(bucket_seconds) * 1_000_000, 2 * n_us)
     base = c.withColumn("_k", F.col(key)).withColumn("_blk", F.floor(F.col("_ts_us") / F.lit(w_us)).cast("long"))
@@ -102,9 +107,8 @@ def block_throttle(c: DataFrame, key: str, seconds: float, out_cols: list[str],
                                T.StructField("_blk", T.LongType()), T.StructField("_cand", T.LongType()),
                                T.StructField("_next", T.LongType())])
     entries = grouped_in.groupBy("_k", "_chain", "_blk").applyInPandas(_entries_fn(key_type, n_us, w_us), ent_schema)
-    checkpoint_root(spark)
-    jump = entries.select("_k", "_chain", "_blk", "_cand", (F.col("_blk") + 1).alias("_nblk"),
-                          F.col("_next").alias("_ncand")).checkpoint()
+    jump = _materialize(entries.select("_k", "_chain", "_blk", "_cand", (F.col("_blk") + 1).alias("_nblk"),
+                                       F.col("_next").alias("_ncand")), "throttle-jump")
     # B: reach every block's actual entry from the chain start by doubling the jump map
     reach = jump.where(F.col("_cand") == F.col("_chain")).where(
         F.col("_blk") == F.floor(F.col("_chain") / F.lit(w_us))).select("_k", "_chain", "_blk", "_cand")
@@ -114,14 +118,14 @@ def block_throttle(c: DataFrame, key: str, seconds: float, out_cols: list[str],
     for _ in range(rounds):
         step = (reach.join(jump, on=node, how="inner").where(F.col("_ncand").isNotNull())
                 .select("_k", "_chain", F.col("_nblk").alias("_blk"), F.col("_ncand").alias("_cand")))
-        reach = reach.unionByName(step).distinct().checkpoint()
+        reach = _materialize(reach.unionByName(step).distinct(), "throttle-reach")
         nxt = jump.select("_k", "_chain", F.col("_nblk").alias("_blk"), F.col("_ncand").alias("_cand"),
                           F.struct(*node).alias("_from"))
         two = (nxt.join(jump, on=node, how="left")
                .select(F.col("_from._k").alias("_k"), F.col("_from._chain").alias("_chain"),
                        F.col("_from._blk").alias("_blk"), F.col("_from._cand").alias("_cand"), "_nblk", "_ncand"))
         # a chain ends inside the jump: keep no successor
-        jump = two.checkpoint()
+        jump = _materialize(two, "throttle-jump")
     entry = reach.groupBy("_k", "_chain", "_blk").agg(F.min("_cand").alias("_entry"))
     # C: mark kept ticks inside each block from its actual entry
     marked_in = base.join(entry, on=["_k", "_chain", "_blk"], how="left")
