@@ -8,8 +8,8 @@ Two facts make it distributable without changing the result:
 1. A gap >= N between consecutive ticks of a key always restarts the rule
    (the last kept tick is no newer than the previous tick), so the key's
    history splits into independent *chains* at such gaps. Chains are found
-   with the time-bucketed ``previous``/``running_max`` operators, so no task
-   holds a whole key.
+   with the segmented ``previous``/``running_max`` operators (time buckets,
+   hot buckets split at row quantiles), so no task holds a whole key.
 2. Inside a chain the kept ticks are found by jumping: the next kept tick is
    the first tick at or after ``last_kept + N`` (a binary search), so the
    work per chain is proportional to the kept ticks, not to all ticks.
