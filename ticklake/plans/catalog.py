@@ -245,7 +245,7 @@ def _quality(q: dict[str, Callable[[Inputs], DataFrame]]) -> None:
 
     q["dq_results"] = dq_results
 
-    def pipeline_model_tests(i: Inputs) -> DataFrame:
+    def model_run_tests(i: Inputs) -> DataFrame:
         """A full model run (silver incremental-capable, gold tables), each model's
         tests right after it; the run's test results."""
         from ticklake.plans.pipeline import run_pipeline
@@ -253,7 +253,7 @@ def _quality(q: dict[str, Callable[[Inputs], DataFrame]]) -> None:
         res = run_pipeline(i.spark, i.raw, work_path(i.spark, "warehouse"), as_of=i.as_of)
         return res.results
 
-    q["pipeline_model_tests"] = pipeline_model_tests
+    q["model_run_tests"] = model_run_tests
     q["source_volume"] = lambda i: C.source_volume(rels(i)["raw_24h"])
     q["coin_coverage"] = lambda i: C.coin_coverage(rels(i)["raw_24h"])
 

@@ -439,7 +439,7 @@ def quality_oracle() -> dict[str, str]:
                   "model:mart_daily_prices", "model:fct_price_changes")
     model_parts = [_rule_sql(z, rel, r) for z, rel, rules in MODEL_TESTS if z in run_models for r in rules]
     return {
-        "pipeline_model_tests": _w(QUALITY, "\nUNION ALL\n".join(model_parts)),
+        "model_run_tests": _w(QUALITY, "\nUNION ALL\n".join(model_parts)),
         "dq_results": _w(QUALITY, "\nUNION ALL\n".join(parts)),
         "source_volume": _w(QUALITY, vol),
         "coin_coverage": _w(QUALITY, cov),
