@@ -144,3 +144,17 @@ def test_changes_with_split_hot_buckets_equal_plain(spark):
     key = ["coin_id", "source", "recorded_at"]
     split = rows(G.changes(clean, bucket_seconds=7 * 86400, max_rows=50), key)
     assert split == rows(G.changes(clean, bucket_seconds=None), key)
+
+
+def test_top1_join_method_equals_struct_method(spark, tmp_dir):
+    ev = D.table(spark, SF_CHECK, "events")
+    S.clean_prices(S.stg_prices(D.dirty_ticks(ev).drop("event_id"))).write.parquet(f"{tmp_dir}/silver")
+    clean = spark.read.parquet(f"{tmp_dir}/silver")
+    key = ["coin_id", "source"]
+    assert rows(G.latest_by_source(clean, method="join"), key) == rows(G.latest_by_source(clean), key)
+    assert rows(G.latest(clean, method="join"), ["coin_id"]) == rows(G.latest(clean), ["coin_id"])
+    ties = spark.createDataFrame([("a", 1, "x"), ("a", 1, "y"), ("b", 2, "z")], "k string, o long, p string")
+    from ticklake.operators.keyed import top1_by_key
+    assert rows(top1_by_key(ties, ["k"], "o", ["p"], method="join"), ["k"]) == rows(top1_by_key(ties, ["k"], "o", ["p"]), ["k"])
+    p = clean.transform(lambda d: G.latest_by_source(d, method="join"))._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate(keys=[coin_id, source], functions=[partial_max(recorded_at" in p.replace("#", " ") or "partial_max(recorded_at" in p

@@ -34,13 +34,25 @@ def _nulls_last_parts(cols: Sequence[str]) -> list[Column]:
     return parts
 
 
-def top1_by_key(df: DataFrame, keys: Sequence[str], order_desc: str, payload: Sequence[str]) -> DataFrame:
+def top1_by_key(df: DataFrame, keys: Sequence[str], order_desc: str, payload: Sequence[str], *,
+                method: str = "struct") -> DataFrame:
     """One row per ``keys``: the row with the greatest ``order_desc``.
 
     Equal to ``row_number() over (partition by keys order by order_desc desc) = 1``
     when ``order_desc`` is unique within a key; with ties the greatest payload
     wins, deterministically.
+
+    ``method="struct"``: one pass, max of a struct (sort-based partial
+    aggregation). ``method="join"`` for a materialised table: a hash partial
+    aggregate of ``max(order_desc)`` per key (fixed-width buffer), a join back
+    on (keys, max) whose small side has one row per key, and the tie-break
+    over the winners only; two scans, no sort of the input.
     """
+    if method == "join":
+        best = df.groupBy(*keys).agg(F.max(order_desc).alias("_best"))
+        cond = [df[k] == best[k] for k in keys] + [df[order_desc] == best["_best"]]
+        winners = df.join(best, on=cond, how="left_semi")
+        return top1_by_key(winners, keys, order_desc, payload)
     packed = F.max(F.struct(F.col(order_desc).alias("_o"), *[F.col(c) for c in payload])).alias("_top")
     out = df.groupBy(*keys).agg(packed)
     return out.select(*keys, F.col("_top._o").alias(order_desc), *[F.col(f"_top.{c}").alias(c) for c in payload])

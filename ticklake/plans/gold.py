@@ -17,15 +17,17 @@ from ticklake.schemas import FRESH_OK_MINUTES, FRESH_WARN_MINUTES, SPREAD
 LATEST_PAYLOAD = ("symbol", "price_usd", "market_cap", "change_24h")
 
 
-def latest(clean: DataFrame, *, source: str = "coingecko") -> DataFrame:
-    """Latest tick per coin of one feed (source pruned before the aggregate)."""
-    top = top1_by_key(clean.where(F.col("source") == source), ["coin_id"], "recorded_at", LATEST_PAYLOAD)
+def latest(clean: DataFrame, *, source: str = "coingecko", method: str = "struct") -> DataFrame:
+    """Latest tick per coin of one feed (source pruned before the aggregate).
+    ``method="join"`` suits a materialised silver table (see ``top1_by_key``)."""
+    top = top1_by_key(clean.where(F.col("source") == source), ["coin_id"], "recorded_at", LATEST_PAYLOAD,
+                      method=method)
     return top.select("coin_id", *LATEST_PAYLOAD, F.col("recorded_at").alias("last_recorded_at"))
 
 
-def latest_by_source(clean: DataFrame) -> DataFrame:
+def latest_by_source(clean: DataFrame, *, method: str = "struct") -> DataFrame:
     """Latest tick per (coin, source)."""
-    top = top1_by_key(clean, ["coin_id", "source"], "recorded_at", LATEST_PAYLOAD)
+    top = top1_by_key(clean, ["coin_id", "source"], "recorded_at", LATEST_PAYLOAD, method=method)
     return top.select("coin_id", "source", *LATEST_PAYLOAD, F.col("recorded_at").alias("last_recorded_at"))
 
 

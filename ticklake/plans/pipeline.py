@@ -77,8 +77,9 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, warehouse: str, *, as_of,
         # (name, deps, build, materialise)
         ("stg_prices", ("raw",), lambda t: S.stg_prices(t["raw"]), False),
         ("silver", ("stg_prices",), silver_build, False),
-        ("latest", ("silver",), lambda t: G.latest(t["silver"]), True),
-        ("latest_by_source", ("silver",), lambda t: G.latest_by_source(t["silver"]), True),
+        # silver is a written table here: top-1 by hash aggregate + join back
+        ("latest", ("silver",), lambda t: G.latest(t["silver"], method="join"), True),
+        ("latest_by_source", ("silver",), lambda t: G.latest_by_source(t["silver"], method="join"), True),
         ("daily", ("silver",), lambda t: G.daily(t["silver"]), True),
         ("changes", ("silver",), lambda t: G.changes(t["silver"]), True),
         ("comparison", ("latest_by_source",), lambda t: G.comparison(t["latest_by_source"]), True),
