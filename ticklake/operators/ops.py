@@ -111,7 +111,8 @@ def _cmp(x: Column, op: str, v: float) -> Column:
     return {">": x > v, "==": x == v, ">=": x >= v, "<": x < v}[op]
 
 
-def evaluate(alert: Alert, df: DataFrame, *, as_of, ts_col: str = "ts") -> DataFrame:
+def evaluate(alert: Alert, df: DataFrame, *, as_of, ts_col: str = "ts",
+             stale_lookback_seconds: int | None = 86400) -> DataFrame:
     """One row: name, severity, service, firing, value (metric at as_of)."""
     t0 = as_column(as_of)
     data = df
@@ -124,6 +125,13 @@ def evaluate(alert: Alert, df: DataFrame, *, as_of, ts_col: str = "ts") -> DataF
         # this is a pushed scan filter, so the rule reads minutes, not history
         lookback = alert.hold_seconds + alert.range_seconds
         data = data.where((ts > t0 - F.expr(f"INTERVAL {lookback} SECONDS")) & (ts <= t0))
+    elif alert.kind == "stale" and stale_lookback_seconds:
+        # if a sample exists in the look-back before the earliest evaluation
+        # step, every step's latest sample lies inside the window: read only it
+        earliest = t0 - F.expr(f"INTERVAL {alert.hold_seconds} SECONDS")
+        lo = earliest - F.expr(f"INTERVAL {int(stale_lookback_seconds)} SECONDS")
+        if data.where((ts > lo) & (ts <= earliest)).limit(1).count() > 0:
+            data = data.where((ts > lo) & (ts <= t0))
     metrics = []
     for k in range(steps + 1):
         t = t0 - F.expr(f"INTERVAL {k * EVAL_STEP_SECONDS} SECONDS")
