@@ -63,10 +63,17 @@ def window_count(log: DataFrame, *, as_of, seconds: int, where: Column) -> DataF
     return log.agg(F.count_if(cond).alias("value"))
 
 
-def poll_age(log: DataFrame, *, as_of, service: str = "coingecko") -> DataFrame:
-    """Seconds since the last successful poll (published message) of a feed."""
-    pub = log.where((F.col("kind") == "published") & (F.col("service") == service))
-    return pub.agg(seconds_between(as_column(as_of), F.max("ts")).alias("seconds_since_poll"))
+def poll_age(log: DataFrame, *, as_of, service: str = "coingecko", lookback_seconds: int | None = 86400) -> DataFrame:
+    """Seconds since the last successful poll (published message) of a feed.
+    When a poll exists in the look-back window only that window is read
+    (pushed filter); otherwise the whole history (exact either way)."""
+    t0 = as_column(as_of)
+    pub = log.where((F.col("kind") == "published") & (F.col("service") == service) & (F.col("ts") <= t0))
+    if lookback_seconds:
+        recent = pub.where(F.col("ts") > t0 - F.expr(f"INTERVAL {int(lookback_seconds)} SECONDS"))
+        if recent.limit(1).count() > 0:
+            pub = recent
+    return pub.agg(seconds_between(t0, F.max("ts")).alias("seconds_since_poll"))
 
 
 @dataclass(frozen=True)
