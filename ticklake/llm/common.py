@@ -76,6 +76,8 @@ def utf8(arr: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of a string column (null: empty) and the n + 1 offsets of its rows."""
     if isinstance(arr, pa.ChunkedArray):
         arr = arr.combine_chunks()
+    if pa.types.is_null(arr.type):
+        arr = arr.cast(pa.string())
     if arr.null_count:
         arr = arr.fill_null("")
     wide = pa.types.is_large_string(arr.type) or pa.types.is_large_binary(arr.type)

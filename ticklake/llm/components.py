@@ -76,11 +76,11 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         both = cur.unionByName(cur.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.least("a", F.min("b")).alias("m"))
         large = (both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")))
-        large = large.where("a <> b").groupBy("a", "b").agg().select("a", "b")
+        large = large.where("a <> b").select("a", "b").distinct()
         # every link now points from the larger to the smaller node
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(low, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        cur = saved(small.unionByName(low.select("a", F.col("m").alias("b"))).groupBy("a", "b").agg(), "links")
+        cur = saved(small.unionByName(low.select("a", F.col("m").alias("b"))).distinct(), "links")
         now = cur.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if now == before:
             return cur.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(

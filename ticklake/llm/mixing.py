@@ -31,7 +31,6 @@ SHARE = 1.5           # words of the mix against words of the corpus
 MAX_REPEAT = 2        # copies of a document, at most
 BINS = 4096           # hash ranges a pattern is cut into
 SEED = 11
-PARTS = ("_pattern", "_bin")
 
 
 def reshare(sizes: list[int], weights: list[float], total: float, most: float = MAX_REPEAT) -> list[float]:
@@ -103,53 +102,68 @@ def min_cost_flow(capacity: dict, quota: dict, repeats: int) -> dict:
 def mix_sources(docs: DataFrame, sources: str = "source", weights: tuple = WEIGHTS, share: float = SHARE,
                 max_repeat: int = MAX_REPEAT, seed: int = SEED, keep: tuple = ()) -> DataFrame:
     """doc_id, sources (array), size, source_size, target (both of the document's first source),
-    taken, and the columns named in `keep`. `sources` is a string or an array column."""
+    taken, and the columns named in `keep` (as keep_<name>). `sources` is a string or an array column."""
     many = docs.schema[sources].dataType.simpleString().startswith("array")
     member = F.col(sources) if many else F.array(F.col(sources).cast("string"))
     member = F.when(member.isNull() | (F.size(member) == 0), F.array(F.lit(None).cast("string"))).otherwise(F.array_distinct(member))
-    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.array_sort(member).alias("_member"),
+    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.array_sort(member).alias("sources"),
                        F.regexp_count(text_or_empty(), F.lit(WORD)).cast("long").alias("size"),
                        F.xxhash64(F.lit(seed), F.col("doc_id").cast("long")).alias("_order"),
-                       F.xxhash64(text_or_empty()).alias("_tie"), *[F.col(c).alias(f"_keep_{c}") for c in keep])
-    base = base.withColumns({"_pattern": F.to_json(F.struct(F.col("_member").alias("m")), {"ignoreNullFields": "false"}),
+                       F.xxhash64(text_or_empty()).alias("_tie"), *[F.col(c).alias(f"keep_{c}") for c in keep])
+    base = base.withColumns({"_pattern": F.to_json(F.struct(F.col("sources").alias("m")), {"ignoreNullFields": "false"}),
                              "_bin": F.pmod(F.shiftright("_order", 20), F.lit(BINS)).cast("int")})
     if not keep:
         base = saved(base, "mix-sizes")
-    hist = base.groupBy("_pattern", "_bin").agg(F.first("_member").alias("_member"), F.sum("size").alias("words"))
-    hist = saved(hist, "mix-bins")
-    pats = [(r["_pattern"], tuple(r["m"]), r["w"]) for r in
-            hist.groupBy("_pattern").agg(F.first("_member").alias("m"), F.sum("words").alias("w")).collect()]
-    capacity = {m: w for _, m, w in pats}
-    names = sorted({s for _, m, _ in pats for s in m}, key=lambda s: (s is None, [ord(c) for c in s or ""]))
-    sizes = {s: sum(w for m, w in capacity.items() if s in m) for s in names}
-    goal = reshare([sizes[s] for s in names], [weights[i % len(weights)] for i in range(len(names))],
-                   share * sum(capacity.values()), max_repeat)
-    quota = dict(zip(names, goal))
+    bins = saved(base.groupBy("_pattern", "_bin").agg(F.first("sources").alias("sources"), F.sum("size").alias("words")), "mix-bins")
+    found = [(r["_pattern"], tuple(r["m"]), r["w"]) for r in
+             bins.groupBy("_pattern").agg(F.first("sources").alias("m"), F.sum("words").alias("w")).collect()]
+    capacity = {m: w for _, m, w in found}
+    names = sorted({s for _, m, _ in found for s in m}, key=lambda s: (s is None, [ord(c) for c in s or ""]))
+    place = {s: i for i, s in enumerate(names)}
+    sizes = {s: 0 for s in names}
+    for m, w in capacity.items():
+        for s in m:
+            sizes[s] += w
+    quota = dict(zip(names, reshare([sizes[s] for s in names], [weights[i % len(weights)] for i in range(len(names))],
+                                    share * sum(capacity.values()), max_repeat)))
     flow = min_cost_flow(capacity, quota, max_repeat)
-    rows = []
-    for key, m, w in pats:
+    plan = []
+    for key, m, w in found:
         f = round(sum(flow[m, s] for s in m))
         whole = min(max_repeat, f // w) if w else 0
-        first = names[min(names.index(s) for s in m)]
-        rows.append((key, int(whole), int(f - whole * w) if whole < max_repeat else 0, int(sizes[first]), float(quota[first])))
-    spark = docs.sparkSession
-    plan = spark.createDataFrame(rows, "_pattern string, _whole long, _rest long, source_size long, target double")
-    # words before each bin of a pattern: at most BINS rows a pattern
-    before = hist.join(F.broadcast(plan), "_pattern").withColumn(
-        "_from", F.sum("words").over(Window.partitionBy("_pattern").orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)))
-    before = before.select("_pattern", "_bin", F.coalesce("_from", F.lit(0)).alias("_from"), "words", "_whole", "_rest", "source_size", "target")
-    j = base.join(before, ["_pattern", "_bin"])
-    # only the bin in which the pattern's share ends needs an order
-    cut = (F.col("_from") < F.col("_rest")) & (F.col("_from") + F.col("words") > F.col("_rest"))
-    out = ["doc_id", F.col("_member").alias("sources"), "size", "source_size", "target", "taken",
-           *[F.col(f"_keep_{c}").alias(c) for c in keep]]
-    whole = j.where(~cut).withColumn("taken", F.col("size") * (F.col("_whole") + (F.col("_from") < F.col("_rest")).cast("long")))
-    w = Window.partitionBy("_pattern", "_bin").orderBy("_order", "doc_id", "_tie").rowsBetween(Window.unboundedPreceding, -1)
-    part = j.where(cut).withColumn("_at", F.col("_from") + F.coalesce(F.sum("size").over(w), F.lit(0)))
+        first = min(m, key=place.__getitem__)
+        plan.append((key, int(whole), int(f - whole * w) if whole < max_repeat else 0, int(sizes[first]), float(quota[first])))
+    plan = docs.sparkSession.createDataFrame(plan, "_pattern string, _whole long, _rest long, source_size long, target double")
+    # the bin in which a pattern's further copies end, and the words before it: one row a pattern, as many as came to the driver
+    ahead = Window.partitionBy("_pattern").orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
+    ends = (bins.join(F.broadcast(plan), "_pattern").withColumn("_from", F.coalesce(F.sum("words").over(ahead), F.lit(0)))
+            .where("_from <= _rest AND _from + words > _rest").select("_pattern", F.col("_bin").alias("_end"), "_from"))
+    ends = F.broadcast(saved(plan.join(ends, "_pattern", "left"), "mix-plan"))
+    j = base.join(ends, "_pattern")
+    out = ["doc_id", "sources", "size", "source_size", "target", "taken", *[f"keep_{c}" for c in keep]]
+    cut = F.coalesce(F.col("_bin") == F.col("_end"), F.lit(False))
+    whole = j.where(~cut).withColumn("taken", F.col("size") * (F.col("_whole") + F.coalesce(F.col("_bin") < F.col("_end"), F.lit(False)).cast("long")))
+    # only this bin, one of BINS, needs an order
+    order = Window.partitionBy("_pattern").orderBy("_order", "doc_id", "_tie").rowsBetween(Window.unboundedPreceding, -1)
+    part = j.where(cut).withColumn("_at", F.col("_from") + F.coalesce(F.sum("size").over(order), F.lit(0)))
     part = part.withColumn("taken", F.col("size") * F.col("_whole") + F.least("size", F.greatest(F.lit(0), F.col("_rest") - F.col("_at"))))
     return whole.select(*out).unionByName(part.select(*out))
 
 
+def materialise(docs: DataFrame, **options) -> DataFrame:
+    """The mix itself, in the columns of `docs`: a row for each copy taken. A copy taken in part holds
+    its first words, joined by blanks, and its n_chars, where there is such a column, is theirs."""
+    mixed = mix_sources(docs, keep=tuple(docs.columns), **options).where("taken > 0")
+    rest = F.col("taken") % F.col("size")
+    mixed = mixed.withColumn("_copy", F.explode(F.expr("sequence(1, CAST(ceil(taken / size) AS int))")))
+    partial = (rest > 0) & (F.col("_copy") == F.ceil(F.col("taken") / F.col("size")))
+    words = F.slice(F.regexp_extract_all(F.col("keep_text"), F.lit(WORD), F.lit(0)), F.lit(1), rest.cast("int"))
+    mixed = mixed.withColumn("keep_text", F.when(partial, F.array_join(words, " ")).otherwise(F.col("keep_text")))
+    if "n_chars" in docs.columns:
+        mixed = mixed.withColumn("keep_n_chars", F.when(partial, F.length("keep_text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("keep_n_chars")))
+    return mixed.select(*[F.col(f"keep_{c}").alias(c) for c in docs.columns])
+
+
 def op6(spark, sf_dir: str) -> DataFrame:
     """The mix of all documents, each of one source."""
     return mix_sources(read(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")

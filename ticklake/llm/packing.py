@@ -44,15 +44,17 @@ class Encoder:
 
         import public_tokenizers as P
         import tiktoken
-        from tokenizers import Tokenizer
-        self.exact = Tokenizer.from_file(P.path(f"{name}.json"))
-        self.exact.encode_special_tokens = True
+        self.file, self.exact = P.path(f"{name}.json"), None
         with open(P.path(f"{name}.tiktoken"), "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.fast = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
     def __call__(self, text: str) -> np.ndarray:
         if _PLAIN.search(text):
+            if self.exact is None:
+                from tokenizers import Tokenizer
+                self.exact = Tokenizer.from_file(self.file)
+                self.exact.encode_special_tokens = True
             return np.array(self.exact.encode(text, add_special_tokens=False).ids, np.uint32)
         return np.array(self.fast.encode_ordinary(text), np.uint32)
 

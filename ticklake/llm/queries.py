@@ -2,14 +2,21 @@
 
 from __future__ import annotations
 
-from . import mixing, packing, warc
+from . import embeddings, lines, merkle, minhash, mixing, packing, quality, secrets, suffix, warc
 
 
 def queries() -> dict:
     return {
+        "op1_line_dedup": lines.op1,
+        "op2_embedding_dedup": embeddings.op2,
         "op3_warc": warc.op3,
+        "op4_secrets": secrets.op4,
+        "op5_suffix_dedup": suffix.op5,
         "op6_mixing": mixing.op6,
         "op7_packing": packing.op7,
+        "op8_quality": quality.op8,
+        "op9_merkle": merkle.op9,
+        "op10_minhash_dedup": minhash.op10,
     }
 
 
