@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -9,9 +11,9 @@ from ticklake.schemas import FRESH_OK_MINUTES, FRESH_WARN_MINUTES
 
 
 def pct_change(new: Column, base: Column, scale: int = 4) -> Column:
-    """``100 * (new - base) / base`` rounded, only when ``base > 0``; published
-    as DOUBLE after rounding so every engine agrees on the value."""
-    return F.when(base > 0, F.round(F.lit(100.0) * (new - base) / base, scale)).cast("double")
+    """``100 * (new - base) / base`` for decimals, divided and rounded in decimal,
+    only when ``base > 0``; published as DOUBLE after rounding."""
+    return F.when(base > 0, F.round(F.lit(Decimal(100)) * (new - base) / base, scale)).cast("double")
 
 
 def sla_status(age_minutes: Column, ok: float = FRESH_OK_MINUTES, warn: float = FRESH_WARN_MINUTES) -> Column:
@@ -21,6 +23,6 @@ def sla_status(age_minutes: Column, ok: float = FRESH_OK_MINUTES, warn: float =
              .otherwise(F.lit("FAIL")))
 
 
-def finite(c: Column) -> Column:
-    """True for a non-null, non-NaN number (Spark orders NaN above +inf)."""
-    return c.isNotNull() & ~F.isnan(c)
+def storable(c: Column, kind) -> Column:
+    """True for a double that the decimal type can hold (NaN and infinities can't)."""
+    return F.coalesce(~F.isnan(c) & c.try_cast(kind).isNotNull(), F.lit(False))

@@ -7,8 +7,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ticklake.functions import jsonx
+from ticklake.functions.numeric import storable
 from ticklake.functions.timefmt import parse_event_time
-from ticklake.schemas import (REASON_BAD_PRICE, REASON_BAD_TIME, REASON_NO_COIN, REASON_NO_TIME,
+from ticklake.schemas import (PRICE, REASON_BAD_PRICE, REASON_BAD_TIME, REASON_NO_COIN, REASON_NO_TIME,
                               REASON_NOT_OBJECT, REASON_UNDECODABLE)
 
 
@@ -18,12 +19,14 @@ def reason(v: Column, *, compat: bool = False) -> Column:
 
     ``compat=True`` gives exactly the reference's three reasons; an accepted
     message whose event time does not parse is then silently lost downstream.
-    The default adds ``unparseable_event_time`` so that accepted + rejected
-    always equals the input.
+    The default adds ``unparseable_event_time``, and counts a price that the raw
+    table's type can't hold (NaN, infinite, out of range) as an invalid one, so
+    that accepted + rejected always equals the input.
     """
     time_text = jsonx.scalar_text(v, "$.event_time")
+    price = jsonx.scalar_double(v, "$.price_usd")
     r = (F.when(jsonx.scalar_text(v, "$.coin_id").isNull(), F.lit(REASON_NO_COIN))
-          .when(jsonx.scalar_double(v, "$.price_usd").isNull(), F.lit(REASON_BAD_PRICE))
+          .when(price.isNull() if compat else ~storable(price, PRICE), F.lit(REASON_BAD_PRICE))
           .when(time_text.isNull(), F.lit(REASON_NO_TIME)))
     if not compat:
         r = r.when(parse_event_time(time_text).isNull(), F.lit(REASON_BAD_TIME))
@@ -36,10 +39,10 @@ def classify(log: DataFrame, *, value: str = "raw_value", compat: bool = False)
 
 
 def dead_letters(classified: DataFrame, *, topic: str = "topic", value: str = "raw_value",
-                 ts: str = "kafka_ts") -> DataFrame:
+                 ts: str = "kafka_ts", keep: tuple[str, ...] = ()) -> DataFrame:
     """Rejected messages as DLQ records; ``failed_at`` is the record time."""
     return jsonx.filter_parsed(classified, F.col("reason").isNotNull()).select(
-        F.col(topic).alias("source_topic"), F.col(value).alias("raw_value"), "reason",
+        *keep, F.col(topic).alias("source_topic"), F.col(value).alias("raw_value"), "reason",
         F.col(ts).alias("failed_at"))
 
 
@@ -50,11 +53,6 @@ def to_dlq_json(dlq: DataFrame) -> DataFrame:
     return dlq.select(F.to_json(rec, {"ignoreNullFields": "false"}).alias("value"))
 
 
-def _or_unknown(c: Column) -> Column:
-    """Python truthiness default: NULL, '' or JSON false/0 -> 'unknown'."""
-    return F.coalesce(F.when(~c.isin("", "false", "0", "0.0"), c), F.lit("unknown"))
-
-
 def parse_dead_letters(msgs: DataFrame, *, value: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
     """Dead-letter message bytes -> (source_topic, raw_value, reason, failed_at).
 
@@ -71,14 +69,25 @@ def parse_dead_letters(msgs: DataFrame, *, value: str = "value", keep: tuple[str
         t = jsonx.type_of(v, f"$.{name}")
         return F.when(t.isNotNull() & (t != "VOID"), F.try_variant_get(v, f"$.{name}", "string"))
 
+    def or_unknown(name: str) -> Column:
+        """'unknown' for an absent or empty value: null, '', false, any zero, [] and {}. The
+        strings "false" and "0" are values like any other."""
+        t = jsonx.type_of(v, f"$.{name}")
+        text = field(name)
+        empty = (F.when(t == "STRING", text == "").when(t == "BOOLEAN", text == "false")
+                 .when(t.startswith("ARRAY"), F.regexp_replace(text, r"\s", "") == "[]")
+                 .when(t.startswith("OBJECT"), F.regexp_replace(text, r"\s", "") == "{}")
+                 .otherwise(text.try_cast("double") == 0))
+        return F.when(text.isNull() | F.coalesce(empty, F.lit(False)), F.lit("unknown")).otherwise(text)
+
     null = F.lit(None).cast("string")
     return msgs.select(
         *keep,
-        F.when(is_obj, _or_unknown(field("source_topic"))).otherwise(F.lit("unknown")).alias("source_topic"),
+        F.when(is_obj, or_unknown("source_topic")).otherwise(F.lit("unknown")).alias("source_topic"),
         F.when(is_obj, field("raw_value")).otherwise(null).alias("raw_value"),
         F.when(v.isNull(), F.lit(REASON_UNDECODABLE))
          .when(~is_obj, F.lit(REASON_NOT_OBJECT))
-         .otherwise(_or_unknown(field("reason"))).alias("reason"),
+         .otherwise(or_unknown("reason")).alias("reason"),
         F.when(is_obj, field("failed_at")).otherwise(null).alias("failed_at"),
     )
 

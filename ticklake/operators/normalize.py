@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 
 from ticklake.functions import jsonx
 from ticklake.functions.contract import is_valid, typed_violations
+from ticklake.functions.numeric import storable
 from ticklake.functions.timefmt import epoch_ms_to_iso, iso_utc, parse_event_time, to_millis
-from ticklake.schemas import COIN_SYMBOLS, PAIR_TO_COIN
+from ticklake.schemas import COIN_SYMBOLS, PAIR_TO_COIN, PRICE
 
 EVENT_COLUMNS = ("coin_id", "symbol", "price_usd", "market_cap", "change_24h", "event_time", "source")
 
@@ -45,12 +46,15 @@ def normalize_snapshot(df: DataFrame, *, payload: str = "payload", received_at:
         F.try_variant_get("_q", "$.usd_24h_change", "double").alias("change_24h"),
         iso_utc(F.col("_recv")).alias("event_time"),
         F.lit("coingecko").alias("source"),
-        # a quoted or boolean number is not a JSON number for the contract
-        jsonx.is_number(usd_type).alias("_usd_is_number"),
+        # a quoted or boolean number is not a JSON number for the contract; cap and change may be null
+        jsonx.is_number(usd_type).alias("_usd_ok"),
+        *[F.coalesce(t.isNull() | (t == "VOID") | jsonx.is_number(t), F.lit(True)).alias(n)
+          for n, t in (("_cap_ok", jsonx.type_of(F.col("_q"), "$.usd_market_cap")), ("_change_ok", jsonx.type_of(F.col("_q"), "$.usd_24h_change")))],
     )
-    viol = F.concat(typed_violations(), F.when(~F.col("_usd_is_number"), F.array(F.lit("price_usd:type")))
-                    .otherwise(F.array().cast("array<string>")))
-    out = ev.withColumn("violations", viol).drop("_usd_is_number")
+    none = F.array().cast("array<string>")
+    viol = F.concat(typed_violations(), *[F.when(~F.col(c), F.array(F.lit(f"{n}:type"))).otherwise(none) for c, n in
+                                          (("_usd_ok", "price_usd"), ("_cap_ok", "market_cap"), ("_change_ok", "change_24h"))])
+    out = ev.withColumn("violations", viol).drop("_usd_ok", "_cap_ok", "_change_ok")
     if compat:
         # a poll holds a handful of coins: a window over poll_id is a small group
         poll_ok = F.min(is_valid(F.col("violations")).cast("int")).over(Window.partitionBy("poll_id"))
@@ -79,7 +83,8 @@ def normalize_trades(df: DataFrame, *, payload: str = "payload", frame_id: str =
     pair = F.upper(F.try_variant_get(t, "$.s", "string"))
     coin = F.element_at(_map_literal({k: v[0] for k, v in pairs.items()}), pair)
     sym = F.element_at(_map_literal({k: v[1] for k, v in pairs.items()}), pair)
-    ms = F.try_variant_get(t, "$.T", "bigint")
+    # a quoted trade time is no number
+    ms = F.when(jsonx.is_number(jsonx.type_of(t, "$.T")), F.try_variant_get(t, "$.T", "bigint"))
     kept = parsed.select("frame_id", "_t", coin.alias("coin_id"), sym.alias("symbol"),
                          ms.alias("_ms"), F.try_variant_get(t, "$.e", "string").alias("_e"))
     kept = jsonx.filter_parsed(kept, (F.col("_e") == "trade") & F.col("coin_id").isNotNull() & F.col("_ms").isNotNull())
@@ -112,7 +117,7 @@ def accepted(typed: DataFrame) -> DataFrame:
     """Rows the unified view keeps, in its output columns (keeps extra columns first)."""
     extra = [c for c in typed.columns if c not in (*EVENT_COLUMNS, "_event_ts", "reason", "_v")]
     good = jsonx.filter_parsed(typed, F.col("_event_ts").isNotNull() & F.col("coin_id").isNotNull()
-                               & F.col("price_usd").isNotNull())
+                               & storable(F.col("price_usd"), PRICE))
     return good.select(
         *extra, "coin_id", "source", "symbol", "price_usd", "market_cap", "change_24h",
         to_millis(F.col("_event_ts")).alias("recorded_at"),
@@ -127,7 +132,7 @@ def parse_events(log: DataFrame, *, value: str = "raw_value", feed: str = "feed"
     Missing or mistyped fields are NULL, a broken document gives no fields;
     quoted and integer numbers are accepted for doubles. ``source`` defaults
     to the feed name. Rows without a parseable event time, a coin or a price
-    are filtered. Output: coin_id, source, symbol, price_usd, market_cap,
+    (one that the raw table's type can hold) are filtered. Output: coin_id, source, symbol, price_usd, market_cap,
     change_24h, recorded_at (ms), dt.
     """
     typed = jsonx.with_variant(log, value).select(

@@ -63,16 +63,11 @@ def window_count(log: DataFrame, *, as_of, seconds: int, where: Column) -> DataF
     return log.agg(F.count_if(cond).alias("value"))
 
 
-def poll_age(log: DataFrame, *, as_of, service: str = "coingecko", lookback_seconds: int | None = 86400) -> DataFrame:
-    """Seconds since the last successful poll (published message) of a feed.
-    When a poll exists in the look-back window only that window is read
-    (pushed filter); otherwise the whole history (exact either way)."""
+def poll_age(log: DataFrame, *, as_of, service: str = "coingecko") -> DataFrame:
+    """Seconds since the last successful poll (published message) of a feed:
+    one partial maximum a task over two columns."""
     t0 = as_column(as_of)
     pub = log.where((F.col("kind") == "published") & (F.col("service") == service) & (F.col("ts") <= t0))
-    if lookback_seconds:
-        recent = pub.where(F.col("ts") > t0 - F.expr(f"INTERVAL {int(lookback_seconds)} SECONDS"))
-        if recent.limit(1).count() > 0:
-            pub = recent
     return pub.agg(seconds_between(t0, F.max("ts")).alias("seconds_since_poll"))
 
 
@@ -101,12 +96,13 @@ ALERTS = (
           where=(("service", "binance"), ("kind", "published"))),
     Alert("BinanceWsErrors", "warning", "binance-ingest", 120, "count", 900, ">", 3,
           where=(("service", "binance"), ("kind", "error"))),
-    Alert("StreamNoRunningJobs", "critical", "stream", 180, "stale", op=">", threshold=180, table="progress"),
+    # "not running" has held for three minutes when no batch has ended for as long
+    Alert("StreamNoRunningJobs", "critical", "stream", 0, "stale", op=">", threshold=180, table="progress"),
     Alert("DeadLetterMessagesDetected", "warning", "dlq-monitor", 300, "count", 900, ">", 0, table="dlq"),
+    # consumer lag over the streaming progress table (offsets behind the latest, summed over sources)
+    Alert("ConsumerLagHigh", "warning", "stream", 600, "gauge", 300, ">", 5000, table="progress", value_col="offsets_behind"),
 )
-# consumer lag over the streaming progress table (offsets behind the latest, summed over sources)
-LAG_ALERT = Alert("ConsumerLagHigh", "warning", "stream", 600, "gauge", 300, ">", 5000, table="progress",
-                  value_col="offsets_behind")
+LAG_ALERT = ALERTS[-1]
 
 
 def lag_alert(progress: DataFrame, *, as_of) -> DataFrame:
@@ -118,58 +114,56 @@ def _cmp(x: Column, op: str, v: float) -> Column:
     return {">": x > v, "==": x == v, ">=": x >= v, "<": x < v}[op]
 
 
-def evaluate(alert: Alert, df: DataFrame, *, as_of, ts_col: str = "ts",
-             stale_lookback_seconds: int | None = 86400) -> DataFrame:
-    """One row: name, severity, service, firing, value (metric at as_of)."""
-    t0 = as_column(as_of)
-    data = df
+def _metrics(alert: Alert, t0: Column, ts: Column) -> list[Column]:
+    """The rule's metric at every evaluation step, newest first, as aggregates over its table."""
+    mine = F.lit(True)
     for c, v in alert.where:
-        data = data.where(F.col(c) == v)
-    steps = alert.hold_seconds // EVAL_STEP_SECONDS
-    ts = F.col(ts_col)
-    if alert.kind in ("count", "gauge"):
-        # only the last (hold + range) seconds can matter: with a literal as_of
-        # this is a pushed scan filter, so the rule reads minutes, not history
-        lookback = alert.hold_seconds + alert.range_seconds
-        data = data.where((ts > t0 - F.expr(f"INTERVAL {lookback} SECONDS")) & (ts <= t0))
-    elif alert.kind == "stale" and stale_lookback_seconds:
-        # if a sample exists in the look-back before the earliest evaluation
-        # step, every step's latest sample lies inside the window: read only it
-        earliest = t0 - F.expr(f"INTERVAL {alert.hold_seconds} SECONDS")
-        lo = earliest - F.expr(f"INTERVAL {int(stale_lookback_seconds)} SECONDS")
-        if data.where((ts > lo) & (ts <= earliest)).limit(1).count() > 0:
-            data = data.where((ts > lo) & (ts <= t0))
-    metrics = []
-    for k in range(steps + 1):
+        mine = mine & (F.col(c) == v)
+    out = []
+    for k in range(alert.hold_seconds // EVAL_STEP_SECONDS + 1):
         t = t0 - F.expr(f"INTERVAL {k * EVAL_STEP_SECONDS} SECONDS")
+        lo = t - F.expr(f"INTERVAL {alert.range_seconds} SECONDS")
         if alert.kind == "stale":
-            last = F.max(F.when(ts <= t, ts))
             # no series yet -> no sample -> the rule cannot fire
-            m = seconds_between(t, last)
+            out.append(seconds_between(t, F.max(F.when(mine & (ts <= t), ts))))
         elif alert.kind == "gauge":
             # the latest sample at or before t (a sample older than the range is stale: no value)
-            lo = t - F.expr(f"INTERVAL {alert.range_seconds} SECONDS")
-            m = F.max_by(F.col(alert.value_col), F.when((ts <= t) & (ts > lo), ts)).cast("double")
+            out.append(F.max_by(F.col(alert.value_col), F.when(mine & (ts <= t) & (ts > lo), ts)).cast("double"))
         else:
-            lo = t - F.expr(f"INTERVAL {alert.range_seconds} SECONDS")
-            m = F.count_if((ts > lo) & (ts <= t)).cast("double")
-        metrics.append(m.alias(f"m{k}"))
-    row = data.agg(*metrics)
-    held = F.lit(True)
-    for k in range(steps + 1):
-        held = held & F.coalesce(_cmp(F.col(f"m{k}"), alert.op, alert.threshold), F.lit(False))
-    return row.select(F.lit(alert.name).alias("name"), F.lit(alert.severity).alias("severity"),
-                      F.lit(alert.service).alias("service"), held.alias("firing"),
-                      F.col("m0").cast("double").alias("value"))
+            out.append(F.count_if(mine & (ts > lo) & (ts <= t)).cast("double"))
+    return out
+
+
+def evaluate_all(rules: list[Alert], df: DataFrame, *, as_of, ts_col: str = "ts") -> DataFrame:
+    """Name, severity, service, firing and value (metric at as_of) of the rules
+    over one table, in one pass: every step of every rule is a conditional aggregate."""
+    t0, ts = as_column(as_of), F.col(ts_col)
+    if all(a.kind != "stale" for a in rules):
+        # only the last (hold + range) seconds can matter: with a literal as_of this is a pushed scan filter
+        reach = max(a.hold_seconds + a.range_seconds for a in rules)
+        df = df.where((ts > t0 - F.expr(f"INTERVAL {reach} SECONDS")) & (ts <= t0))
+    metrics = {(r, k): m for r, a in enumerate(rules) for k, m in enumerate(_metrics(a, t0, ts))}
+    row = df.agg(*[m.alias(f"m{r}_{k}") for (r, k), m in metrics.items()])
+    found = []
+    for r, a in enumerate(rules):
+        held = F.lit(True)
+        for k in range(a.hold_seconds // EVAL_STEP_SECONDS + 1):
+            held = held & F.coalesce(_cmp(F.col(f"m{r}_{k}"), a.op, a.threshold), F.lit(False))
+        found.append(F.struct(F.lit(a.name).alias("name"), F.lit(a.severity).alias("severity"), F.lit(a.service).alias("service"),
+                              held.alias("firing"), F.col(f"m{r}_0").cast("double").alias("value")))
+    return row.select(F.explode(F.array(*found)).alias("r")).select("r.*")
+
+
+def evaluate(alert: Alert, df: DataFrame, *, as_of, ts_col: str = "ts") -> DataFrame:
+    """One rule, one row."""
+    return evaluate_all([alert], df, as_of=as_of, ts_col=ts_col)
 
 
 def alerts(log: DataFrame, dlq: DataFrame, progress: DataFrame, *, as_of) -> DataFrame:
-    """All alert rules at ``as_of``."""
-    tables = {"log": (log, "ts"), "dlq": (dlq, "failed_at"), "progress": (progress, "batch_ts")}
+    """All alert rules at ``as_of``, one pass over each table."""
     out = None
-    for a in ALERTS:
-        df, col = tables[a.table]
-        r = evaluate(a, df, as_of=as_of, ts_col=col)
+    for name, df, col in (("log", log, "ts"), ("dlq", dlq, "failed_at"), ("progress", progress, "batch_ts")):
+        r = evaluate_all([a for a in ALERTS if a.table == name], df, as_of=as_of, ts_col=col)
         out = r if out is None else out.unionByName(r)
     return out
 

@@ -1,17 +1,19 @@
 """Idempotent sinks on plain Parquet (no table format needed).
 
-* ``merge_by_key`` / ``upsert_by_key``: keyed upsert, last write wins, the
-  first ``ingested_at`` of a key is kept. Only the key columns of the
-  partitions the batch touches are read to find clashing keys; batch rows in
-  partitions without a clash are appended (a stream of new ticks never
-  rewrites anything); partitions with a clash are merged, written to a
-  staging copy and then replace the originals by dynamic partition
-  overwrite, so a path is never overwritten while it is being read.
+* ``merge_by_key`` / ``upsert_by_key``: keyed upsert. Per key the row of the
+  greatest ``order`` (stored with the row) wins, whatever order batches come
+  in, so a replay of any batch changes nothing; the first ``ingested_at`` of a
+  key is kept. Only the partitions the batch touches are read (a literal
+  partition filter), batch rows without a stored key are appended, and only
+  partitions in which a stored row loses are rewritten, from a staging copy.
 * ``insert_if_absent``: in-batch dedupe (first wins) + anti join + append.
-* ``append_lake``: the Hive-partitioned lake (source/coin_id/dt). Each
-  micro-batch lands under its own ``batch=`` partition level, written with
-  dynamic overwrite, so replaying a batch replaces exactly its own files.
-* ``compact_lake``: rewrites one closed day of the lake into few files.
+* ``append_lake``: the Hive-partitioned lake (source/coin_id/dt/batch). A
+  batch is named by its query and number, so no two queries or checkpoints
+  share one; writing it again replaces exactly its own files. With ``ids``
+  rows whose log position is already stored in a touched partition are left
+  out, so a replay under another name adds nothing.
+* ``compact_lake``: writes a day's rows as one new level, then removes the
+  levels it replaces; run again after a crash it drops what was doubled.
 
 Every action is a Spark job (task retries survive a lost executor) and can
 be re-run with the same arguments to the same result.
@@ -19,6 +21,7 @@ be re-run with the same arguments to the same result.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,10 +29,9 @@ from pyspark.sql import functions as F
 
 from ticklake.operators.keyed import dedupe_by_key, top1_by_key
 from ticklake.schemas import LAKE_PARTITIONS
-from ticklake.session import ensure_conf, work_path
+from ticklake.session import ensure_conf, folders, path_exists, remove_path, work_path
 
 BATCH_COL = "batch"
-MARKERS = "_batches"
 
 
 def latest_per_key(batch: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -44,91 +46,90 @@ def merge_by_key(existing: DataFrame | None, batch: DataFrame, key: Sequence[str
                  keep_first: Sequence[str] = ("ingested_at",)) -> DataFrame:
     """New state after upserting ``batch`` into ``existing`` (pure plan).
 
-    Rows of ``existing`` whose key is not in the batch stay; batch rows
-    (deduplicated, greatest ``order`` wins) replace the rest, keeping the
-    existing values of ``keep_first`` columns on a match.
+    Per key the greatest ``order`` wins (on equal order the stored row stays);
+    ``keep_first`` columns keep the stored value of a key.
     """
     new = latest_per_key(batch, key, order)
     if existing is None:
         return new
-    keep = [c for c in keep_first if c in existing.columns]
-    if keep:
-        old = existing.select(*key, *[F.col(c).alias(f"_old_{c}") for c in keep])
-        new = new.join(old, on=list(key), how="left").select(
-            *[F.coalesce(F.col(f"_old_{c}"), F.col(c)).alias(c) if c in keep else F.col(c) for c in new.columns])
+    new, keep = _winners(existing, new, key, order, keep_first)
     kept = existing.join(new.select(*key), on=list(key), how="left_anti")
-    return kept.unionByName(new.select(*existing.columns))
+    return kept.unionByName(new.drop("_stored").select(*existing.columns))
 
 
-def table_exists(spark: SparkSession, path: str) -> bool:
-    return _exists(spark, path)
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.parquet(path).schema  # noqa: B018 (listing only)
-        return True
-    except Exception:  # noqa: BLE001 - missing or empty path
-        return False
+def _winners(existing: DataFrame, new: DataFrame, key: Sequence[str], order: Sequence[str],
+             keep_first: Sequence[str]) -> tuple[DataFrame, list[str]]:
+    """The rows of ``new`` (one per key) that beat the stored row or have none;
+    ``_stored`` tells which. ``existing`` needs key, order and kept columns only."""
+    keep = [c for c in keep_first if c in existing.columns and c in new.columns]
+    old = existing.select(*key, F.struct(*[F.col(c) for c in order]).alias("_old_order"),
+                          *[F.col(c).alias(f"_old_{c}") for c in keep])
+    j = new.join(old, on=list(key), how="left")
+    j = j.where(F.col("_old_order").isNull() | (F.struct(*[F.col(c) for c in order]) > F.col("_old_order")))
+    return j.select(*[F.coalesce(F.col(f"_old_{c}"), F.col(c)).alias(c) if c in keep else F.col(c) for c in new.columns],
+                    F.col("_old_order").isNotNull().alias("_stored")), keep
 
 
-def batch_done(spark: SparkSession, path: str, batch_id: int | str) -> bool:
-    mpath = f"{path}/{MARKERS}"
-    if not _exists(spark, mpath):
-        return False
-    return spark.read.parquet(mpath).where(F.col("batch_id") == str(batch_id)).limit(1).count() > 0
+def table_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a table has been written at ``path``; a store that can't answer raises."""
+    return path_exists(spark, path)
 
 
-def _mark(spark: SparkSession, path: str, batch_id: int | str) -> None:
-    spark.createDataFrame([(str(batch_id),)], "batch_id string").write.mode("append").parquet(f"{path}/{MARKERS}")
+def touched_filter(values: list, parts: Sequence[str]):
+    """Literal predicate for the given partition values: it prunes folders before any file is read."""
+    if len(parts) == 1:
+        known = [v[0] for v in values if v[0] is not None]
+        cond = F.col(parts[0]).isin(known)
+        return cond if len(known) == len(values) else cond | F.col(parts[0]).isNull()
+    out = F.lit(False)
+    for v in values:
+        each = F.lit(True)
+        for c, x in zip(parts, v):
+            each = each & F.col(c).eqNullSafe(F.lit(x))
+        out = out | each
+    return out
 
 
 def upsert_by_key(batch: DataFrame, path: str, key: Sequence[str], order: Sequence[str], *,
-                  partition_by: Sequence[str] = ("dt",), batch_id: int | str | None = None,
-                  keep_first: Sequence[str] = ("ingested_at",)) -> bool:
+                  partition_by: Sequence[str] = ("dt",), keep_first: Sequence[str] = ("ingested_at",)) -> None:
     """Upsert ``batch`` into the Parquet table at ``path`` (action).
 
     ``key`` must determine the partition columns (e.g. ``dt`` from
-    ``recorded_at``). Returns False when ``batch_id`` was already applied.
+    ``recorded_at``) and ``order`` must be stored columns.
     """
     spark = ensure_conf(batch.sparkSession)
-    if batch_id is not None and batch_done(spark, path, batch_id):
-        return False
     parts = list(partition_by)
-    if not _exists(spark, path):
-        # first write: nothing is read from the target, write it directly
-        state = merge_by_key(None, batch, [*key, *parts], order, keep_first=keep_first)
-        state.select(*batch.columns).hint("rebalance", *parts).write.mode("overwrite").partitionBy(*parts).parquet(path)
-        if batch_id is not None:
-            _mark(spark, path, batch_id)
-        return True
-    full_key = [*key, *parts]
-    new = latest_per_key(batch, full_key, order)
-    # which batch keys already exist: read only the key columns of the touched partitions
-    touched = new.select(*parts).distinct()
-    target_keys = (spark.read.schema(batch.schema).parquet(path).select(*full_key)
-                   .join(touched, on=parts, how="left_semi"))
-    clash_parts = new.join(target_keys, on=full_key, how="left_semi").select(*parts).distinct()
-    # partitions without a clash take a plain append (the common case for a
-    # stream of new ticks); only partitions with a clash are merged and rewritten
-    plain = new.join(clash_parts, on=parts, how="left_anti")
-    staging = work_path(spark, "upsert-staging")
-    clash_list = clash_parts.collect() if clash_parts.limit(1).count() else []  # bounded: touched partitions
-    if clash_list:
-        clash_df = spark.createDataFrame(clash_list, clash_parts.schema)
-        existing = (spark.read.schema(batch.schema).parquet(path)
-                    .join(clash_df, on=parts, how="left_semi").select(*batch.columns))
-        in_clash = new.join(clash_df, on=parts, how="left_semi")
-        state = merge_by_key(existing, in_clash, full_key, order, keep_first=keep_first)
-        state.hint("rebalance", *parts).write.mode("overwrite").partitionBy(*parts).parquet(staging)
-    plain.select(*batch.columns).hint("rebalance", *parts).write.mode("append").partitionBy(*parts).parquet(path)
-    if clash_list:
-        # explicit schema: an empty merge leaves no data files to infer it from
-        (spark.read.schema(batch.schema).parquet(staging).select(*batch.columns)
-         .write.mode("overwrite").partitionBy(*parts).parquet(path))
-    if batch_id is not None:
-        _mark(spark, path, batch_id)
-    return True
+    full_key = list(dict.fromkeys([*key, *parts]))
+    staged = work_path(spark, "upsert-batch")
+    latest_per_key(batch, full_key, order).select(*batch.columns).write.parquet(staged)  # read several times below
+    new = spark.read.schema(batch.schema).parquet(staged)
+    if not table_exists(spark, path):
+        new.hint("rebalance", *parts).write.mode("append").partitionBy(*parts).parquet(path)
+        remove_path(spark, staged)
+        return
+    touched = [tuple(r) for r in new.select(*parts).distinct().collect()]  # partition values of one batch
+    if touched:
+        stored = spark.read.schema(batch.schema).parquet(path).where(touched_filter(touched, parts))
+        win, _ = _winners(stored.select(*dict.fromkeys([*full_key, *order, *[c for c in keep_first if c in batch.columns]])),
+                          new, full_key, order, keep_first)
+        won = work_path(spark, "upsert-winners")
+        win.write.parquet(won)
+        win = spark.read.schema(win.schema).parquet(won)
+        clash = [tuple(r) for r in win.where("_stored").select(*parts).distinct().collect()]
+        if clash:
+            inside = touched_filter(clash, parts)
+            rewrite = work_path(spark, "upsert-rewrite")
+            rows = win.where(inside).drop("_stored").select(*batch.columns)
+            kept = stored.where(inside).join(rows.select(*full_key), on=full_key, how="left_anti").select(*batch.columns)
+            kept.unionByName(rows).hint("rebalance", *parts).write.partitionBy(*parts).parquet(rewrite)
+            (spark.read.schema(batch.schema).parquet(rewrite).select(*batch.columns)
+             .hint("rebalance", *parts).write.mode("overwrite").partitionBy(*parts).parquet(path))
+            remove_path(spark, rewrite)
+            win = win.where(~F.coalesce(inside, F.lit(False)))
+        (win.drop("_stored").select(*batch.columns).hint("rebalance", *parts)
+         .write.mode("append").partitionBy(*parts).parquet(path))
+        remove_path(spark, won)
+    remove_path(spark, staged)
 
 
 def insert_if_absent(existing: DataFrame | None, batch: DataFrame, key: Sequence[str],
@@ -147,7 +148,7 @@ def append_if_absent(batch: DataFrame, path: str, key: Sequence[str], order: Seq
                      partition_by: Sequence[str] = ()) -> None:
     """Action: append the rows of ``batch`` whose key is not yet at ``path``."""
     spark = ensure_conf(batch.sparkSession)
-    existing = spark.read.parquet(path) if _exists(spark, path) else None
+    existing = spark.read.parquet(path) if table_exists(spark, path) else None
     rows = insert_if_absent(existing, batch, key, order)
     staging = work_path(spark, "insert-staging")
     rows.write.mode("overwrite").parquet(staging)
@@ -155,22 +156,35 @@ def append_if_absent(batch: DataFrame, path: str, key: Sequence[str], order: Seq
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
-
-
-def append_lake(df: DataFrame, path: str, batch_id: int | str, *, max_records_per_file: int = 1_000_000) -> None:
-    """Land rows (LAKE columns) under source/coin_id/dt/batch=<id>; re-running
-    the same batch id replaces exactly that batch's files.
-
-    Rows are rebalanced by partition columns: each lake partition gets few
-    files, and AQE splits a hot partition (one coin-day holding a large share
-    of the rows) over several tasks instead of one."""
-    spark = ensure_conf(df.sparkSession)
-    out = df.select(*[c for c in df.columns if c not in (*LAKE_PARTITIONS, BATCH_COL)], *LAKE_PARTITIONS,
-                    F.lit(str(batch_id)).alias(BATCH_COL))
-    (out.hint("rebalance", *LAKE_PARTITIONS)
+    remove_path(spark, staging)
+
+
+def append_batch(rows: DataFrame, path: str, batch: str, parts: Sequence[str], *, ids: Sequence[str] = (),
+                 max_records_per_file: int = 1_000_000) -> None:
+    """Write ``rows`` under ``parts``/batch=<batch>, replacing that batch's own files.
+
+    ``batch`` must name one set of rows for good (a query id and its batch
+    number). With ``ids``, columns that name a row (its log position), rows
+    already stored under another batch of a touched partition are left out.
+    Rows are rebalanced by partition columns: each partition gets few files,
+    and AQE splits a hot one over several tasks."""
+    spark = ensure_conf(rows.sparkSession)
+    out = rows.select(*[c for c in rows.columns if c not in (*parts, BATCH_COL)], *parts, F.lit(str(batch)).alias(BATCH_COL))
+    if ids and table_exists(spark, path):
+        touched = [tuple(r) for r in rows.select(*parts).distinct().collect()]  # partition values of one batch
+        if touched:
+            have = (spark.read.schema(out.schema).parquet(path).where(touched_filter(touched, parts))
+                    .where(F.col(BATCH_COL) != str(batch)).select(*ids))
+            out = out.join(have, on=list(ids), how="left_anti").select(*out.columns)
+    (out.hint("rebalance", *parts)
         .write.mode("overwrite").option("compression", "snappy")
         .option("maxRecordsPerFile", max_records_per_file)
-        .partitionBy(*LAKE_PARTITIONS, BATCH_COL).parquet(path))
+        .partitionBy(*parts, BATCH_COL).parquet(path))
+
+
+def append_lake(df: DataFrame, path: str, batch: str | int, *, ids: Sequence[str] = (), max_records_per_file: int = 1_000_000) -> None:
+    """Land rows (LAKE columns and ``ids``) under source/coin_id/dt/batch=<batch>."""
+    append_batch(df, path, str(batch), LAKE_PARTITIONS, ids=ids, max_records_per_file=max_records_per_file)
 
 
 def read_lake(spark: SparkSession, path: str) -> DataFrame:
@@ -179,16 +193,33 @@ def read_lake(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).drop(BATCH_COL)
 
 
-def compact_lake(spark: SparkSession, path: str, source: str, coin_id: str, dt: str, *, files: int = 1) -> None:
-    """Rewrite one closed day of one (source, coin) into ``files`` files,
-    under ``batch=compacted``. Run it on days outside the replay horizon:
-    a later replay of an older batch of that day would add its rows again."""
+def compact_lake(spark: SparkSession, path: str, source: str, coin_id: str, dt: str, *, ids: Sequence[str] = (),
+                 rows_per_file: int = 1_000_000) -> None:
+    """Rewrite one (source, coin, day) into few files, each task writing about
+    one. The new level is written before the old ones are removed, so a crash
+    loses nothing; with ``ids`` the next run drops what it left twice. Each run's
+    level has a name of its own."""
     ensure_conf(spark)
     day = f"{path}/source={source}/coin_id={coin_id}/dt={dt}"
-    staging = work_path(spark, "compact-staging")
-    spark.read.parquet(day).drop(BATCH_COL).repartition(files).write.parquet(staging)
-    (spark.read.parquet(staging).withColumn(BATCH_COL, F.lit("compacted"))
-     .write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(BATCH_COL).parquet(day))
+    old = folders(spark, day)
+    if not old:
+        return
+    level = f"compacted-{uuid.uuid4().hex[:12]}"
+    rows = spark.read.parquet(day).drop(BATCH_COL)
+    if ids:
+        rows = rows.dropDuplicates(list(ids))
+    files = max(1, -(-rows.count() // rows_per_file))
+    rows.repartition(files).write.parquet(f"{day}/{BATCH_COL}={level}")
+    for name in old:
+        remove_path(spark, f"{day}/{name}")
+
+
+def compact_days(spark: SparkSession, path: str, *, days: int = 1, ids: Sequence[str] = ()) -> None:
+    """Compact the oldest ``days`` days of every source and coin; partitions come from the store's listing."""
+    for s in folders(spark, path):
+        for c in folders(spark, f"{path}/{s}"):
+            for d in folders(spark, f"{path}/{s}/{c}")[:days]:
+                compact_lake(spark, path, s.partition("=")[2], c.partition("=")[2], d.partition("=")[2], ids=ids)
 
 
 def lake_inventory(spark: SparkSession, path: str, *, last: int = 30) -> DataFrame:

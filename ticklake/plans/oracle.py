@@ -13,6 +13,13 @@ BASE = """base AS (
     CASE WHEN user_id % 2 = 0 THEN 'coingecko' ELSE 'binance' END AS source
   FROM events)"""
 
+
+def _pct(new: str, base: str) -> str:
+    """100 * (new - base) / base for DECIMAL(.., 8), rounded half up at 4 digits, in whole numbers."""
+    d, b = (f"CAST(({x}) * 100000000 AS HUGEINT)" for x in (f"{new} - {base}", base))
+    return (f"CASE WHEN {base} > 0 THEN CAST(sign({d}) * ((2 * abs({d}) * 1000000 + {b}) // (2 * {b})) AS DOUBLE) / 10000 END")
+
+
 ASOF = "ref_time AS (SELECT max(ts) AS as_of FROM events)"
 
 RAW = BASE + """,
@@ -73,8 +80,7 @@ pivoted AS (
 cmp AS (
   SELECT coin_id, symbol, coingecko_price_usd, binance_price_usd, coingecko_at, binance_at,
     CAST(binance_price_usd - coingecko_price_usd AS DECIMAL(21,8)) AS spread_usd,
-    CAST(CASE WHEN coingecko_price_usd > 0
-      THEN round(100.0 * (binance_price_usd - coingecko_price_usd) / coingecko_price_usd, 4) END AS DOUBLE) AS spread_pct
+    """ + _pct("binance_price_usd", "coingecko_price_usd") + """ AS spread_pct
   FROM pivoted WHERE coingecko_price_usd IS NOT NULL AND binance_price_usd IS NOT NULL),
 daily AS (
   SELECT coin_id, source, CAST(recorded_at AS DATE) AS price_date,
@@ -107,12 +113,9 @@ sanity AS (
     count(*) FILTER (WHERE coingecko_price_usd <= 0 OR binance_price_usd <= 0)
   FROM cmp)"""
 
-CHANGES_SELECT = """SELECT coin_id, source, symbol, price_usd, market_cap, change_24h, recorded_at,
-  lag(price_usd) OVER w AS prev_price_usd,
-  CAST(price_usd - lag(price_usd) OVER w AS DECIMAL(21,8)) AS price_change_usd,
-  CAST(CASE WHEN lag(price_usd) OVER w > 0
-    THEN round(100.0 * (price_usd - lag(price_usd) OVER w) / lag(price_usd) OVER w, 4) END AS DOUBLE) AS price_change_pct
-FROM clean WINDOW w AS (PARTITION BY coin_id, source ORDER BY recorded_at)"""
+CHANGES_SELECT = """SELECT coin_id, source, symbol, price_usd, market_cap, change_24h, recorded_at, prev_price_usd,
+  CAST(price_usd - prev_price_usd AS DECIMAL(21,8)) AS price_change_usd, """ + _pct("price_usd", "prev_price_usd") + """ AS price_change_pct
+FROM (SELECT *, lag(price_usd) OVER (PARTITION BY coin_id, source ORDER BY recorded_at) AS prev_price_usd FROM clean)"""
 
 
 def _w(ctes: str, select: str) -> str:
@@ -196,7 +199,7 @@ log AS (
       CASE WHEN event_id % 13 = 0 THEN '' ELSE concat('"coin_id": "', coin_id, '", ') END,
       '"symbol": "', symbol, '", ',
       '"price_usd": ', CASE WHEN event_id % 17 = 0 THEN 'null' WHEN event_id % 19 = 0 THEN '"n/a"'
-        WHEN event_id % 23 = 0 THEN '"12.5"' WHEN event_id % 2 = 0 THEN CAST(event_id % 500 + 1 AS VARCHAR)
+        WHEN event_id % 23 = 0 THEN '"12.5"' WHEN event_id % 67 = 0 THEN '"NaN"' WHEN event_id % 71 = 0 THEN '"1e30"' WHEN event_id % 2 = 0 THEN CAST(event_id % 500 + 1 AS VARCHAR)
         ELSE concat(CAST(event_id % 500 + 1 AS VARCHAR), '.25') END, ', ',
       CASE WHEN event_id % 29 = 0 THEN '' ELSE concat('"event_time": "', substring(CAST(ts AS VARCHAR), 1, 10), 'T',
         substring(CAST(ts AS VARCHAR), 12, 8),
@@ -228,7 +231,7 @@ classified AS (
          WHEN price_num IS NULL THEN 'missing_or_invalid_price_usd'
          WHEN time_text IS NULL THEN 'missing_event_time' END AS reason_compat,
     CASE WHEN coin_text IS NULL THEN 'invalid_json_or_missing_coin_id'
-         WHEN price_num IS NULL THEN 'missing_or_invalid_price_usd'
+         WHEN price_num IS NULL OR isnan(price_num) OR abs(price_num) >= 1e12 THEN 'missing_or_invalid_price_usd'
          WHEN time_text IS NULL THEN 'missing_event_time'
          WHEN event_ts IS NULL THEN 'unparseable_event_time' END AS reason
   FROM lt),
@@ -236,7 +239,7 @@ unified AS (
   SELECT feed, coin_text AS coin_id, coalesce(source_text, feed) AS source, symbol_text AS symbol, price_num AS price_usd,
     cap_num AS market_cap, change_num AS change_24h, date_trunc('millisecond', event_ts) AS recorded_at,
     strftime(event_ts, '%Y-%m-%d') AS dt
-  FROM lt WHERE event_ts IS NOT NULL AND coin_text IS NOT NULL AND price_num IS NOT NULL)"""
+  FROM lt WHERE event_ts IS NOT NULL AND coin_text IS NOT NULL AND price_num IS NOT NULL AND NOT isnan(price_num) AND abs(price_num) < 1e12)"""
 
 _NUM = "('BIGINT', 'UBIGINT', 'DOUBLE')"
 CONTRACT = LOG + rf""",
@@ -268,8 +271,8 @@ SNAPSHOTS = BASE + r""",
 snap AS (
   SELECT event_id AS poll_id, ts AS received_at, concat('{', '"', coin_id, '": {',
     CASE WHEN event_id % 11 = 0 THEN '' WHEN event_id % 13 = 0 THEN '"usd": 0, ' ELSE concat('"usd": ', printf('%.2f', value), ', ') END,
-    '"usd_market_cap": ', printf('%.2f', value * 1000),
-    ', "usd_24h_change": ', CASE WHEN event_id % 3 = 0 THEN 'null' ELSE printf('%.6f', value / 100) END, '}',
+    '"usd_market_cap": ', CASE WHEN event_id % 31 = 0 THEN '"12"' ELSE printf('%.2f', value * 1000) END,
+    ', "usd_24h_change": ', CASE WHEN event_id % 3 = 0 THEN 'null' WHEN event_id % 37 = 0 THEN 'true' ELSE printf('%.6f', value / 100) END, '}',
     ', "tether": {"usd": 1.0, "usd_market_cap": null, "usd_24h_change": ', CAST(event_id % 7 AS VARCHAR), '}', '}') AS payload
   FROM base),
 ent AS (SELECT poll_id, received_at, payload, unnest(json_keys(payload)) AS coin_id FROM snap
@@ -280,7 +283,9 @@ snap_ev AS (
     coalesce(CASE coin_id WHEN 'bitcoin' THEN 'btc' WHEN 'ethereum' THEN 'eth' WHEN 'solana' THEN 'sol' END, coin_id) AS symbol,
     TRY_CAST(json_extract_string(q, '$.usd') AS DOUBLE) AS price_usd,
     TRY_CAST(json_extract_string(q, '$.usd_market_cap') AS DOUBLE) AS market_cap,
-    TRY_CAST(json_extract_string(q, '$.usd_24h_change') AS DOUBLE) AS change_24h,
+    CASE json_extract_string(q, '$.usd_24h_change') WHEN 'true' THEN 1.0 ELSE TRY_CAST(json_extract_string(q, '$.usd_24h_change') AS DOUBLE) END AS change_24h,
+    coalesce(json_type(q, '$.usd_market_cap') IN ('BIGINT', 'UBIGINT', 'DOUBLE', 'NULL'), true) AS cap_ok,
+    coalesce(json_type(q, '$.usd_24h_change') IN ('BIGINT', 'UBIGINT', 'DOUBLE', 'NULL'), true) AS change_ok,
     strftime(received_at, '%Y-%m-%dT%H:%M:%S.%f') || '+00:00' AS event_time,
     'coingecko' AS source,
     json_type(q, '$.usd') IN ('BIGINT', 'UBIGINT', 'DOUBLE') AS usd_is_number
@@ -296,7 +301,8 @@ tr0 AS (
 tr1 AS (
   SELECT event_id, concat('{"e": "', CASE WHEN event_id % 11 = 0 THEN 'depthUpdate' ELSE 'trade' END,
     '", "s": "', pair, '", "p": "', CASE WHEN event_id % 17 = 0 THEN 'abc' ELSE printf('%.2f', value) END, '"',
-    CASE WHEN event_id % 13 = 0 THEN '' ELSE concat(', "T": ', CAST(ms AS VARCHAR)) END, '}') AS trade, pair
+    CASE WHEN event_id % 13 = 0 THEN '' WHEN event_id % 19 = 0 THEN concat(', "T": "', CAST(ms AS VARCHAR), '"')
+      ELSE concat(', "T": ', CAST(ms AS VARCHAR)) END, '}') AS trade, pair
   FROM tr0),
 frames AS (
   SELECT event_id AS frame_id,
@@ -312,7 +318,8 @@ tr_ev AS (
     TRY_CAST(trim(json_extract_string(t, '$.p')) AS DOUBLE) AS price_usd,
     CAST(NULL AS DOUBLE) AS market_cap, CAST(NULL AS DOUBLE) AS change_24h,
     strftime(epoch_ms(TRY_CAST(json_extract_string(t, '$.T') AS BIGINT)), '%Y-%m-%dT%H:%M:%S.%f') || '+00:00' AS event_time,
-    'binance' AS source, json_extract_string(t, '$.e') AS e, TRY_CAST(json_extract_string(t, '$.T') AS BIGINT) AS ms
+    'binance' AS source, json_extract_string(t, '$.e') AS e,
+    CASE WHEN json_type(t, '$.T') IN ('BIGINT', 'UBIGINT') THEN TRY_CAST(json_extract_string(t, '$.T') AS BIGINT) END AS ms
   FROM unwrapped)"""
 
 
@@ -352,7 +359,8 @@ def edge_oracle() -> dict[str, str]:
       CASE WHEN NOT coalesce(price_usd > 0 AND NOT isnan(price_usd), false) THEN 'price_usd' END,
       CASE WHEN event_time IS NULL THEN 'event_time' END,
       CASE WHEN NOT coalesce(source IN ('coingecko', 'binance'), false) THEN 'source' END], lambda x: x IS NOT NULL),
-    CASE WHEN usd_is_number THEN [] ELSE ['price_usd:type'] END), ',') AS violations
+    list_concat(CASE WHEN usd_is_number THEN [] ELSE ['price_usd:type'] END, list_concat(
+      CASE WHEN cap_ok THEN [] ELSE ['market_cap:type'] END, CASE WHEN change_ok THEN [] ELSE ['change_24h:type'] END))), ',') AS violations
   FROM snap_ev"""),
         "normalize_trades": _w(TRADES, f"""SELECT frame_id, {ev_cols},
   {_typed_violations()}, ',') AS violations
@@ -453,7 +461,7 @@ uid AS (
   SELECT event_id, topic, kafka_ts, coin_text AS coin_id, coalesce(source_text, feed) AS source, symbol_text AS symbol,
     price_num AS price_usd, cap_num AS market_cap, change_num AS change_24h,
     date_trunc('millisecond', event_ts) AS recorded_at, strftime(event_ts, '%Y-%m-%d') AS dt
-  FROM lt WHERE event_ts IS NOT NULL AND coin_text IS NOT NULL AND price_num IS NOT NULL)"""
+  FROM lt WHERE event_ts IS NOT NULL AND coin_text IS NOT NULL AND price_num IS NOT NULL AND NOT isnan(price_num) AND abs(price_num) < 1e12)"""
 
 _LAKE_SELECT = "SELECT symbol, price_usd, market_cap, change_24h, recorded_at, source, coin_id, dt FROM unified"
 
@@ -474,26 +482,7 @@ ticks AS (
     CAST(CASE WHEN source = 'coingecko' THEN value * 1000 END AS DECIMAL(30,2)) AS market_cap,
     CAST(CASE WHEN source = 'coingecko' THEN value / 100 END AS DECIMAL(10,4)) AS change_24h,
     date_trunc('millisecond', ts) AS recorded_at
-  FROM base),
-spine AS (SELECT unnest(generate_series((SELECT as_of FROM ref_time) - INTERVAL 7 DAY,
-                                        (SELECT as_of FROM ref_time) - INTERVAL 2 HOUR, INTERVAL 1 HOUR)) AS recorded_at),
-coins(coin_id, symbol, base_price, base_market_cap) AS (VALUES
-  ('bitcoin', 'btc', 60000.0::DOUBLE, 1200000000000.0::DOUBLE),
-  ('ethereum', 'eth', 1600.0::DOUBLE, 200000000000.0::DOUBLE),
-  ('solana', 'sol', 75.0::DOUBLE, 35000000000.0::DOUBLE)),
-sources(source, source_offset) AS (VALUES ('coingecko', 0.0::DOUBLE), ('binance', 0.0012::DOUBLE)),
-priced AS (
-  SELECT c.coin_id, s.source, c.symbol, t.recorded_at, c.base_price, c.base_market_cap,
-    1 + 0.05 * sin(epoch_us(t.recorded_at) / 1000000.0 / 86400.0 * 1.8 + length(c.coin_id))
-      + 0.01 * sin(epoch_us(t.recorded_at) / 1000000.0 / 3600.0 * 0.7 + length(c.coin_id) * 2)
-      + s.source_offset AS price_factor
-  FROM spine t CROSS JOIN coins c CROSS JOIN sources s),
-grid AS (
-  SELECT coin_id, source, symbol, CAST(round(base_price * price_factor, 8) AS DECIMAL(20,8)) AS price_usd,
-    CAST(CASE WHEN source = 'coingecko' THEN round(base_market_cap * price_factor, 2) END AS DECIMAL(30,2)) AS market_cap,
-    CAST(CASE WHEN source = 'coingecko' THEN round((price_factor - 1) * 100, 4) END AS DECIMAL(10,4)) AS change_24h,
-    recorded_at
-  FROM priced)"""
+  FROM base)"""
 
 
 def sinks_oracle() -> dict[str, str]:
@@ -501,6 +490,7 @@ def sinks_oracle() -> dict[str, str]:
     return {
         "lake_roundtrip": _w(LOG, _LAKE_SELECT),
         "lake_compaction": _w(LOG, _LAKE_SELECT),
+        "lake_rows": _w(LOG, "SELECT source, coin_id, dt, count(*) AS n_rows FROM unified GROUP BY 1, 2, 3"),
         "upsert_state": _w(UPSERT, """SELECT coin_id, source, symbol, price_usd, market_cap, change_24h, recorded_at,
     ingested_at, dt FROM d0
   WHERE NOT EXISTS (SELECT 1 FROM d1 WHERE d1.coin_id = d0.coin_id AND d1.source = d0.source
@@ -543,30 +533,42 @@ il AS (
     CASE WHEN coin_id = 'error' THEN CASE WHEN event_id % 2 = 0 THEN 'http' ELSE 'publish' END END AS error_type
   FROM base),
 dlq AS (SELECT topic AS source_topic, raw_value, reason, kafka_ts AS failed_at FROM classified WHERE reason IS NOT NULL),
-progress AS (SELECT time_bucket(INTERVAL 1 MINUTE, ts) + INTERVAL 1 MINUTE AS batch_ts, count(*) AS input_rows
-             FROM events GROUP BY 1)"""
+progress AS (SELECT time_bucket(INTERVAL 1 MINUTE, ts) + INTERVAL 1 MINUTE AS batch_ts, count(*) AS input_rows,
+               sum(event_id) % 20000 AS offsets_behind FROM events GROUP BY 1)"""
 
 
-def _alert_sql(a) -> str:
-    table, col = {"log": ("il", "ts"), "dlq": ("dlq", "failed_at"), "progress": ("progress", "batch_ts")}[a.table]
-    filters = "".join(f" AND {c} = '{v}'" for c, v in a.where)
-    t = "((SELECT as_of FROM ref_time) - to_seconds(k * 15))"
-    if a.kind == "stale":
-        m = (f"CAST(epoch_us({t}) - epoch_us((SELECT max({col}) FROM {table} WHERE {col} <= {t}{filters})) AS DOUBLE)"
-             " / 1000000.0")
-    else:
-        m = (f"CAST((SELECT count(*) FROM {table} WHERE {col} > {t} - to_seconds({a.range_seconds}) "
-             f"AND {col} <= {t}{filters}) AS DOUBLE)")
-    op = "=" if a.op == "==" else a.op
-    steps = a.hold_seconds // 15
-    return (f"SELECT '{a.name}' AS name, '{a.severity}' AS severity, '{a.service}' AS service, "
-            f"bool_and(coalesce(m {op} {a.threshold}, false)) AS firing, "
-            f"CAST(max(m) FILTER (WHERE k = 0) AS DOUBLE) AS value "
-            f"FROM (SELECT k, {m} AS m FROM range(0, {steps + 1}) r(k))")
+_T = "((SELECT as_of FROM ref_time) - to_seconds(k * 15))"
+
+
+def _since(table: str, col: str, cond: str = "true") -> str:
+    return f"CAST(epoch_us({_T}) - epoch_us((SELECT max({col}) FROM {table} WHERE {col} <= {_T} AND {cond})) AS DOUBLE) / 1000000.0"
+
+
+def _number(table: str, col: str, seconds: int, cond: str = "true") -> str:
+    return f"CAST((SELECT count(*) FROM {table} WHERE {col} > {_T} - to_seconds({seconds}) AND {col} <= {_T} AND {cond}) AS DOUBLE)"
+
+
+def _alert(name: str, severity: str, service: str, seconds: int, metric: str, fires: str) -> str:
+    """Fires when the condition holds at every 15 s step of the last ``seconds``."""
+    return (f"SELECT '{name}' AS name, '{severity}' AS severity, '{service}' AS service, bool_and(coalesce(m {fires}, false)) AS firing, "
+            f"CAST(max(m) FILTER (WHERE k = 0) AS DOUBLE) AS value FROM (SELECT k, {metric} AS m FROM range(0, {seconds // 15 + 1}) r(k))")
+
+
+def _alerts() -> str:
+    lag = (f"(SELECT CAST(arg_max(offsets_behind, batch_ts) AS DOUBLE) FROM progress WHERE batch_ts <= {_T} "
+           f"AND batch_ts > {_T} - to_seconds(300))")
+    return "\nUNION ALL\n".join([
+        _alert("CoingeckoPollStale", "warning", "coingecko-ingest", 120, _since("il", "ts", "service = 'coingecko' AND kind = 'published'"), "> 300"),
+        _alert("CoingeckoApiErrors", "warning", "coingecko-ingest", 300, _number("il", "ts", 900, "service = 'coingecko' AND kind = 'error'"), "> 0"),
+        _alert("BinancePublishStale", "warning", "binance-ingest", 300, _number("il", "ts", 600, "service = 'binance' AND kind = 'published'"), "= 0"),
+        _alert("BinanceWsErrors", "warning", "binance-ingest", 120, _number("il", "ts", 900, "service = 'binance' AND kind = 'error'"), "> 3"),
+        _alert("StreamNoRunningJobs", "critical", "stream", 0, _since("progress", "batch_ts"), "> 180"),
+        _alert("DeadLetterMessagesDetected", "warning", "dlq-monitor", 300, _number("dlq", "failed_at", 900), "> 0"),
+        _alert("ConsumerLagHigh", "warning", "stream", 600, lag, "> 5000"),
+    ])
 
 
 def ops_oracle() -> dict[str, str]:
-    from ticklake.operators.ops import ALERTS
     return {
         "ops_throughput": _w(OPS, """SELECT window_start, window_start + INTERVAL 5 MINUTE AS window_end,
     count(*) / 300.0 AS msgs_per_sec
@@ -590,7 +592,7 @@ def ops_oracle() -> dict[str, str]:
     AS seconds_since_poll FROM il WHERE kind = 'published' AND service = 'coingecko'"""),
         "ops_feed_b_10m": _w(OPS, """SELECT count(*) FILTER (WHERE kind = 'published' AND service = 'binance'
     AND ts > (SELECT as_of FROM ref_time) - INTERVAL 600 SECOND AND ts <= (SELECT as_of FROM ref_time)) AS value FROM il"""),
-        "alerts": _w(OPS, "\nUNION ALL\n".join(_alert_sql(a) for a in ALERTS)),
+        "alerts": _w(OPS, _alerts()),
     }
 
 
@@ -607,11 +609,11 @@ dm0 AS (SELECT value, coalesce(json_valid(value), false) AS ok FROM dmsg),
 dm1 AS (SELECT value, ok, ok AND json_type(CASE WHEN ok THEN value END) = 'OBJECT' AS obj FROM dm0),
 dm AS (SELECT ok, obj, CASE WHEN obj THEN value END AS jv FROM dm1),
 parsed AS (
-  SELECT CASE WHEN obj THEN coalesce(CASE WHEN json_extract_string(jv, '$.source_topic') NOT IN ('', 'false', '0', '0.0')
+  SELECT CASE WHEN obj THEN coalesce(CASE WHEN json_extract_string(jv, '$.source_topic') <> ''
               THEN json_extract_string(jv, '$.source_topic') END, 'unknown') ELSE 'unknown' END AS source_topic,
          json_extract_string(jv, '$.raw_value') AS raw_value,
          CASE WHEN NOT ok THEN 'dlq_message_undecodable' WHEN NOT obj THEN 'dlq_message_not_an_object'
-              ELSE coalesce(CASE WHEN json_extract_string(jv, '$.reason') NOT IN ('', 'false', '0', '0.0')
+              ELSE coalesce(CASE WHEN json_extract_string(jv, '$.reason') <> ''
                    THEN json_extract_string(jv, '$.reason') END, 'unknown') END AS reason,
          json_extract_string(jv, '$.failed_at') AS failed_at
   FROM dm)"""

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -37,7 +38,6 @@ SCALE_DEFAULTS = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
     "spark.sql.files.maxPartitionBytes": "256m",
-    "spark.sql.parquet.aggregatePushdown": "true",
 }
 
 
@@ -61,13 +61,17 @@ def get_session(master: str | None = None, app: str = "ticklake", **conf: str) -
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in spark.checkpoint.dir.
 
-    Read from the session; only when it is unset (local tests) a fresh folder
-    is created and registered.
+    Read from the session. When it is unset, a local master gets a fresh local
+    folder; on a cluster that folder would be another one on every machine, so
+    the call fails there.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[.*\])?", master):
+            raise RuntimeError(f"spark.checkpoint.dir is not set; {master} needs a folder that all executors share")
         root = tempfile.mkdtemp(prefix="ticklake-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
     if spark.sparkContext.getCheckpointDir() is None:
@@ -78,3 +82,29 @@ def checkpoint_root(spark: SparkSession) -> str:
 def work_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared checkpoint folder."""
     return f"{checkpoint_root(spark)}/ticklake/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def _fs_path(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether the store has the path; errors other than its absence are raised."""
+    fs, p = _fs_path(spark, path)
+    return fs.exists(p)
+
+
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders below a path, from the store's listing (no Spark job); none if it is absent."""
+    fs, p = _fs_path(spark, path)
+    if not fs.exists(p):
+        return []
+    return sorted(f.getPath().getName() for f in fs.listStatus(p) if f.isDirectory())
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Remove a folder that the library itself wrote (staging copies, superseded files)."""
+    fs, p = _fs_path(spark, path)
+    fs.delete(p, True)

@@ -94,6 +94,8 @@ def raw_log(events: DataFrame) -> DataFrame:
     price = (F.when(eid % 17 == 0, F.lit("null"))
               .when(eid % 19 == 0, F.lit('"n/a"'))
               .when(eid % 23 == 0, F.lit('"12.5"'))
+              .when(eid % 67 == 0, F.lit('"NaN"'))       # a double, but no price
+              .when(eid % 71 == 0, F.lit('"1e30"'))      # beyond the raw table's type
               .when(eid % 2 == 0, (eid % 500 + 1).cast("string"))
               .otherwise(F.concat((eid % 500 + 1).cast("string"), F.lit(".25"))))
     event_time = F.when(eid % 29 == 0, F.lit("")).otherwise(F.concat(
@@ -139,8 +141,9 @@ def snapshot_bodies(events: DataFrame) -> DataFrame:
             .otherwise(F.concat(F.lit('"usd": '), F.format_string("%.2f", F.col("value")), F.lit(", "))))
     coin_entry = F.concat(
         F.lit('"'), F.col("coin_id"), F.lit('": {'), usd,
-        F.lit('"usd_market_cap": '), F.format_string("%.2f", F.col("value") * 1000),
-        F.lit(', "usd_24h_change": '), F.when(eid % 3 == 0, F.lit("null")).otherwise(F.format_string("%.6f", F.col("value") / 100)),
+        # now and then a quoted cap or a boolean change
+        F.lit('"usd_market_cap": '), F.when(eid % 31 == 0, F.lit('"12"')).otherwise(F.format_string("%.2f", F.col("value") * 1000)),
+        F.lit(', "usd_24h_change": '), F.when(eid % 3 == 0, F.lit("null")).when(eid % 37 == 0, F.lit("true")).otherwise(F.format_string("%.6f", F.col("value") / 100)),
         F.lit("}"))
     stable = F.concat(F.lit(', "tether": {"usd": 1.0, "usd_market_cap": null, "usd_24h_change": '),
                       (eid % 7).cast("string"), F.lit("}"))
@@ -168,7 +171,8 @@ def trade_frames(events: DataFrame) -> DataFrame:
         F.lit('", "s": "'), pair,
         F.lit('", "p": "'), F.when(eid % 17 == 0, F.lit("abc")).otherwise(F.format_string("%.2f", F.col("value"))),
         F.lit('"'),
-        F.when(eid % 13 == 0, F.lit("")).otherwise(F.concat(F.lit(', "T": '), ms.cast("string"))),
+        F.when(eid % 13 == 0, F.lit("")).when(eid % 19 == 0, F.concat(F.lit(', "T": "'), ms.cast("string"), F.lit('"')))
+         .otherwise(F.concat(F.lit(', "T": '), ms.cast("string"))),
         F.lit("}"))
     wrapped = F.concat(F.lit('{"stream": "'), F.lower(pair), F.lit('@trade", "data": '), trade, F.lit("}"))
     return b.select(
@@ -196,7 +200,8 @@ def ingest_log(events: DataFrame) -> DataFrame:
 
 def progress_log(events: DataFrame, *, trigger_minutes: int = 1) -> DataFrame:
     """Streaming-query progress: one row per trigger interval that had input
-    (batch time = interval end, input rows). Columns: batch_ts, input_rows."""
+    (batch time = interval end, input rows, and a lag made from the event ids).
+    Columns: batch_ts, input_rows, offsets_behind."""
     w = F.window("ts", f"{int(trigger_minutes)} minutes")
-    return (events.groupBy(w.alias("w")).agg(F.count(F.lit(1)).alias("input_rows"))
-            .select(F.col("w.end").cast("timestamp_ntz").alias("batch_ts"), "input_rows"))
+    return (events.groupBy(w.alias("w")).agg(F.count(F.lit(1)).alias("input_rows"), (F.sum("event_id") % 20_000).alias("offsets_behind"))
+            .select(F.col("w.end").cast("timestamp_ntz").alias("batch_ts"), "input_rows", "offsets_behind"))

@@ -23,13 +23,13 @@ def kafka_source_options(bootstrap: str, topics: tuple[str, ...] = (TOPIC_SNAPSH
                          group_prefix: str = "ticklake", starting: str = "earliest",
                          max_offsets_per_trigger: int | None = None, min_partitions: int | None = None) -> dict[str, str]:
     """Reader options: earliest start, committed reads only, offsets kept in the
-    query checkpoint (no auto commit), session/request timeouts and backoff."""
+    query checkpoint (no auto commit), a failure instead of a gap when records have aged out, session/request timeouts and backoff."""
     opts = {
         "kafka.bootstrap.servers": bootstrap,
         "subscribe": ",".join(topics),
         "startingOffsets": starting,
         "groupIdPrefix": group_prefix,
-        "failOnDataLoss": "false",
+        "failOnDataLoss": "true",
         "kafka.isolation.level": "read_committed",
         "kafka.session.timeout.ms": "45000",
         "kafka.request.timeout.ms": "60000",
