@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from .common import saved
 from .components import components
 
-PIVOT_ROUNDS = 3
+PIVOT_ROUNDS = 1
 
 
 def _with_component(df: DataFrame, comp: DataFrame, item: str, name: str) -> DataFrame:
@@ -28,16 +28,17 @@ def _with_component(df: DataFrame, comp: DataFrame, item: str, name: str) -> Dat
     return df.join(c, F.col(item) == F.col("_node"), "left").withColumn(name, F.coalesce("_component", item)).drop("_node", "_component")
 
 
-def connect(keys: DataFrame, verify: Callable[[DataFrame], DataFrame], name: str) -> DataFrame:
-    """(node, component) over the items (longs) of `keys` (key, item). `verify` takes pairs (a, b)
-    and returns those that are links. Items without a link have no row."""
+def connect(keys: DataFrame, prepare: Callable[[DataFrame], Callable[[DataFrame], DataFrame]], name: str) -> DataFrame:
+    """(node, component) over the items (longs) of `keys` (key, item). `prepare` takes all items that
+    share a key with another, once, and returns the verification: from pairs (a, b) to those that
+    are links. Items without a link have no row."""
     pivots = keys.groupBy("key").agg(F.min("item").alias("pivot"), F.max("item").alias("_most")).where("pivot < _most").drop("_most")
     members = saved(keys.join(pivots, "key"), f"{name}-members")
+    verify = prepare(members.select("item").distinct())
 
     # first the smallest pivot of each item, then the others that are still elsewhere
     first = members.where("pivot < item").groupBy("item").agg(F.min("pivot").alias("a")).select("a", F.col("item").alias("b"))
-    links = saved(verify(first), f"{name}-links")
-    comp = components(links)
+    comp = components(saved(verify(first), f"{name}-links"))
 
     def unlinked(pairs: DataFrame) -> DataFrame:
         """Distinct pairs, smaller item first, of items in different components."""
@@ -45,11 +46,10 @@ def connect(keys: DataFrame, verify: Callable[[DataFrame], DataFrame], name: str
         return _with_component(_with_component(p, comp, "a", "_ca"), comp, "b", "_cb").where("_ca <> _cb").select("a", "b")
 
     def more(pairs: DataFrame) -> None:
-        nonlocal links, comp
+        nonlocal comp
         found = saved(verify(unlinked(pairs)), f"{name}-links")
         if not found.isEmpty():
-            links = links.unionByName(found)
-            comp = components(links)
+            comp = components(comp.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(found))
 
     more(members.select(F.col("pivot").alias("a"), F.col("item").alias("b")))
     for step in range(PIVOT_ROUNDS + 1):

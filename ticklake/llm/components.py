@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from .common import saved
 
 LINK = "a long, b long"
-LOCAL_LINKS = 1_000_000  # links a task reduces at a time
+LOCAL_NODES = 1_000_000  # nodes a task holds at a time
 
 
 class UnionFind:
@@ -54,14 +54,13 @@ def local_stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         far = nodes != roots
         return pa.RecordBatch.from_arrays([pa.array(nodes[far]), pa.array(roots[far])], ["a", "b"])
 
-    uf, seen = UnionFind(), 0
+    uf = UnionFind()
     for batch in batches:
         for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             uf.union(a, b)
-        seen += batch.num_rows
-        if seen >= LOCAL_LINKS:
+        if len(uf.up) >= LOCAL_NODES:
             yield stars(uf)
-            uf, seen = UnionFind(), 0
+            uf = UnionFind()
     yield stars(uf)
 
 
@@ -69,10 +68,12 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, component) for every node that has a link; component is the smallest
     node reachable. Nulls, self-links, repeated and reversed links are allowed; no links: no rows."""
     cur = saved(links.select(F.col(a).cast("long").alias("a"), F.col(b).cast("long").alias("b"))
-                .where("a IS NOT NULL AND b IS NOT NULL AND a <> b")
+                .where("a IS NOT NULL AND b IS NOT NULL AND a <> b").repartition("a")
                 .mapInArrow(local_stars, LINK), "links")
+    # links so few that AQE left them to one task are stars already
+    done = len(cur.inputFiles()) <= 1 and cur.count() < LOCAL_NODES // 2
     before = None
-    while True:
+    while not done:
         both = cur.unionByName(cur.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.least("a", F.min("b")).alias("m"))
         large = (both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")))
@@ -82,7 +83,6 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         small = large.join(low, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         cur = saved(small.unionByName(low.select("a", F.col("m").alias("b"))).distinct(), "links")
         now = cur.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if now == before:
-            return cur.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(
-                cur.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
-        before = now
+        done, before = now == before, now
+    return cur.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(
+        cur.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())

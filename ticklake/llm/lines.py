@@ -160,28 +160,17 @@ def _confirm(batches):
 def fuzzy_lines(docs: DataFrame) -> DataFrame:
     """doc_id, text_hash, line_no, line, component (null: no other line like it), first_doc,
     first_text, first_line (the line kept of its component), kept - for every line of every document."""
-    texts: list[DataFrame] = []
-
-    def fetch(pairs: DataFrame) -> DataFrame:
-        ids = pairs.select(F.explode(F.array("a", "b")).alias("line")).distinct()
-        for have in texts:
-            ids = ids.join(have.select("line"), "line", "left_anti")
-        ids = saved(ids, "lines-wanted")
-        if not texts or not ids.isEmpty():
-            texts.append(saved(_lines(docs).join(ids, "line", "left_semi").groupBy("line").agg(F.min("text").alias("text")), "lines-texts"))
-        out = texts[0]
-        for more in texts[1:]:
-            out = out.unionByName(more)
-        return out
-
-    def verify(pairs: DataFrame) -> DataFrame:
-        pairs = saved(pairs, "lines-pairs")
-        full = fetch(pairs)
-        t = {c: full.select(F.col("line").alias(c), F.col("text").alias(f"t_{c}")) for c in "ab"}
-        return pairs.join(t["a"], "a").join(t["b"], "b").select("a", "b", "t_a", "t_b").mapInArrow(_confirm, "a long, b long")
+    def prepare(items: DataFrame):
+        texts = saved(_lines(docs).join(items.select(F.col("item").alias("line")), "line", "left_semi")
+                      .groupBy("line").agg(F.min("text").alias("text")), "lines-texts")
+
+        def verify(pairs: DataFrame) -> DataFrame:
+            t = {c: texts.select(F.col("line").alias(c), F.col("text").alias(f"t_{c}")) for c in "ab"}
+            return pairs.join(t["a"], "a").join(t["b"], "b").select("a", "b", "t_a", "t_b").mapInArrow(_confirm, "a long, b long")
+        return verify
 
     seen = saved(occurrences(docs), "lines")
-    comp = connect(band_keys(docs), verify, "lines")
+    comp = connect(band_keys(docs), prepare, "lines")
     place = F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "text_hash", "line_no")
     by_line = seen.where("line IS NOT NULL").groupBy("line").agg(F.min(place).alias("first"), F.count("*").alias("n"))
     by_line = by_line.join(comp, F.col("line") == F.col("node"), "left").withColumn("component", F.coalesce("component", "line"))

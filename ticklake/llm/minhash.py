@@ -96,36 +96,25 @@ def near_duplicates(docs: DataFrame, k: int = 5) -> DataFrame:
     signed = saved(signatures(docs, k), "minhash-signatures")
     classes = saved(signed.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("h1", "h2", "n_shingles")
                     .agg(F.min("doc_id").alias("cls"), F.first("sig").alias("sig")), "minhash-classes")
-    sets: list[DataFrame] = []
-
-    def fetch(near: DataFrame) -> DataFrame:
-        """Full sets of the classes in `near`; texts are read again for those that have not been fetched yet."""
+    def prepare(items: DataFrame):
+        """Full sets of the classes that share a table key with another; texts are read again for them alone."""
         def expand(batches):
             for batch in batches:
                 s = shingle_sets(batch.column(1), k)
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([x.tobytes() for x in s], pa.binary())], ["cls", "shingles"])
-        ids = near.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
-        for have in sets:
-            ids = ids.join(have.select("cls"), "cls", "left_anti")
-        ids = saved(ids, "minhash-wanted")
-        if not sets or not ids.isEmpty():
-            d = docs.select(F.col("doc_id").cast("long").alias("cls"), text_or_empty().alias("text"))
-            sets.append(saved(d.join(ids, "cls", "left_semi").mapInArrow(expand, "cls long, shingles binary"), "minhash-sets"))
-        out = sets[0]
-        for more in sets[1:]:
-            out = out.unionByName(more)
-        return out
-
-    def verify(pairs: DataFrame) -> DataFrame:
-        side = {c: classes.select(F.col("cls").alias(c), F.col("sig").alias(f"sig_{c}"), F.col("n_shingles").alias(f"n_{c}")) for c in "ab"}
-        near = pairs.join(side["a"], "a").join(side["b"], "b")
-        near = near.where(f"{DEN} * least(n_a, n_b) >= {NUM} * greatest(n_a, n_b)")
-        near = saved(near.select("a", "b", "sig_a", "sig_b").mapInArrow(_agree, "a long, b long"), "minhash-pairs")
-        full = fetch(near)
-        s = {c: full.select(F.col("cls").alias(c), F.col("shingles").alias(f"s_{c}")) for c in "ab"}
-        return near.join(s["a"], "a").join(s["b"], "b").select("a", "b", "s_a", "s_b").mapInArrow(_confirm, "a long, b long")
-
-    comp = connect(table_keys(classes), verify, "minhash")
+        d = docs.select(F.col("doc_id").cast("long").alias("cls"), text_or_empty().alias("text"))
+        sets = saved(d.join(items.select(F.col("item").alias("cls")), "cls", "left_semi").mapInArrow(expand, "cls long, shingles binary"), "minhash-sets")
+
+        def verify(pairs: DataFrame) -> DataFrame:
+            sig = {c: classes.select(F.col("cls").alias(c), F.col("sig").alias(f"sig_{c}"), F.col("n_shingles").alias(f"n_{c}")) for c in "ab"}
+            near = pairs.join(sig["a"], "a").join(sig["b"], "b")
+            near = near.where(f"{DEN} * least(n_a, n_b) >= {NUM} * greatest(n_a, n_b)")
+            near = near.select("a", "b", "sig_a", "sig_b").mapInArrow(_agree, "a long, b long")
+            s = {c: sets.select(F.col("cls").alias(c), F.col("shingles").alias(f"s_{c}")) for c in "ab"}
+            return near.join(s["a"], "a").join(s["b"], "b").select("a", "b", "s_a", "s_b").mapInArrow(_confirm, "a long, b long")
+        return verify
+
+    comp = connect(table_keys(classes), prepare, "minhash")
     linked = classes.join(comp, F.col("cls") == F.col("node"), "left").select(
         "h1", "h2", F.col("n_shingles").alias("n"), F.coalesce("component", "cls").alias("component"))
     out = signed.join(linked, (signed.h1 == linked.h1) & (signed.h2 == linked.h2) & (F.col("n_shingles") == F.col("n"))
