@@ -10,6 +10,8 @@ from ticklake.operators import ops as O
 from ticklake.plans.pipeline import run_pipeline
 from ticklake.sources import derived as D
 
+OPEN = ("raw", "stg_prices")  # the fixture's raw rows are dirty on purpose
+
 AS_OF = dt.datetime(2024, 1, 1, 12, 0, 0)
 
 
@@ -50,16 +52,16 @@ def test_coverage_zero_fills_missing_source(spark):
 def test_pipeline_builds_gold_and_gates(spark, tmp_dir):
     raw = D.dirty_ticks(D.table(spark, SF_SMALL, "events")).drop("event_id")
     as_of = D.table(spark, SF_SMALL, "events").agg(F.max("ts")).first()[0]
-    res = run_pipeline(spark, raw, tmp_dir, as_of=as_of)
+    res = run_pipeline(spark, raw, tmp_dir, as_of=as_of, gate_off=OPEN)
     assert "sanity" in res.built and not res.failed
     assert spark.read.parquet(f"{tmp_dir}/latest_by_source").count() > 0
-    again = run_pipeline(spark, raw, tmp_dir, as_of=as_of)
+    again = run_pipeline(spark, raw, tmp_dir, as_of=as_of, gate_off=OPEN)
     assert spark.read.parquet(f"{tmp_dir}/silver").count() == spark.read.parquet(f"{tmp_dir}/silver").distinct().count()
     assert "silver" in again.built
-    full = run_pipeline(spark, raw, tmp_dir, as_of=as_of, full_refresh=True)
+    full = run_pipeline(spark, raw, tmp_dir, as_of=as_of, full_refresh=True, gate_off=OPEN)
     assert "silver" in full.built and spark.read.parquet(f"{tmp_dir}/silver").count() == \
         spark.read.parquet(f"{tmp_dir}/silver").select("coin_id", "source", "recorded_at").distinct().count()
-    gated = run_pipeline(spark, raw, tmp_dir + "/g", as_of=as_of, gate_on=("stg_prices",))
+    gated = run_pipeline(spark, raw, tmp_dir + "/g", as_of=as_of, gate_off=("raw",))
     assert "stg_prices" in gated.failed and "silver" in gated.skipped
 
 
@@ -93,6 +95,24 @@ def test_lag_alert_gauge(spark):
     assert r.firing is False
 
 
+def test_no_running_jobs_fires_after_three_minutes(spark):
+    rule = next(a for a in O.ALERTS if a.name == "StreamNoRunningJobs")
+    prog = spark.createDataFrame([("2024-01-01 11:00:00", 0)], "batch_ts string, offsets_behind long").withColumn(
+        "batch_ts", F.col("batch_ts").cast("timestamp_ntz"))
+    fires = [O.evaluate(rule, prog, as_of=dt.datetime(2024, 1, 1, 11, 0, 0) + dt.timedelta(seconds=s), ts_col="batch_ts").first().firing
+             for s in (0, 100, 180, 181, 200, 350, 4000)]
+    assert fires == [False, False, False, True, True, True, True]
+
+
+def test_a_feed_that_is_absent_fails_the_gate(spark):
+    from ticklake.plans import quality as QL
+    df = spark.createDataFrame([(c, "coingecko") for c in ("bitcoin", "ethereum", "solana")], "coin_id string, source string")
+    res = QL.feed_results(df)
+    assert {(r["check_name"], r["column_name"]) for r in rows(res) if not r["success"]} == {("source_volume", "binance"), ("coin_coverage", "binance")}
+    gate = rows(C.by_zone(res))
+    assert gate == [{"zone": "raw", "checks": 4, "failed_checks": 2, "passed": False}]
+
+
 def test_ops_dispatch(spark):
     log = _log(spark, [("2024-01-01 11:59:00", "coingecko", "published")]).withColumn(
         "coin_id", F.lit("bitcoin")).withColumn("price_usd", F.lit(1.0)).withColumn("error_type", F.lit(None).cast("string"))
@@ -108,8 +128,8 @@ def test_two_scheduled_runs_equal_full_refresh(spark, tmp_dir):
     raw = D.dirty_ticks(ev).drop("event_id")
     as_of = ev.agg(F.max("ts")).first()[0]
     cut = raw.select(F.percentile_approx("recorded_at", 0.6)).first()[0]
-    run_pipeline(spark, raw.where(F.col("recorded_at") < cut), tmp_dir, as_of=as_of)
-    run_pipeline(spark, raw, tmp_dir, as_of=as_of)
+    run_pipeline(spark, raw.where(F.col("recorded_at") < cut), tmp_dir, as_of=as_of, gate_off=OPEN)
+    run_pipeline(spark, raw, tmp_dir, as_of=as_of, gate_off=OPEN)
     key = ["coin_id", "source", "recorded_at"]
     got = rows(spark.read.parquet(f"{tmp_dir}/silver").select(*S.SILVER_COLUMNS), key)
     assert got == rows(S.clean_prices(S.stg_prices(raw)), key)

@@ -158,3 +158,14 @@ def test_top1_join_method_equals_struct_method(spark, tmp_dir):
     assert rows(top1_by_key(ties, ["k"], "o", ["p"], method="join"), ["k"]) == rows(top1_by_key(ties, ["k"], "o", ["p"]), ["k"])
     p = clean.transform(lambda d: G.latest_by_source(d, method="join"))._jdf.queryExecution().executedPlan().toString()
     assert "HashAggregate(keys=[coin_id, source], functions=[partial_max(recorded_at" in p.replace("#", " ") or "partial_max(recorded_at" in p
+
+
+def test_percent_ties_round_in_decimal(spark):
+    """Half-way cases at four digits, against whole-number arithmetic."""
+    from ticklake.functions.numeric import pct_change
+    data = [(Decimal(b) / 8, Decimal(b) / 8 + Decimal(d) / 10**8) for b in (8, 16, 40, 800) for d in range(-3000, 3000, 50)]
+    df = spark.createDataFrame(data, "base decimal(20,8), new decimal(20,8)")
+    for r in df.select("base", "new", pct_change(F.col("new"), F.col("base")).alias("p")).collect():
+        num, den = int((r.new - r.base) * 10**8), int(r.base * 10**8)
+        want = (2 * abs(num) * 10**6 + den) // (2 * den)
+        assert round(r.p * 10**4) == (want if num >= 0 else -want)

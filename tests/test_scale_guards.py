@@ -12,11 +12,10 @@ from conftest import SF_SMALL
 ACTIONS = {"lake_roundtrip", "lake_compaction", "lake_inventory", "upsert_state", "lake_replay", "stream_raw",
            "stream_dead_letters", "stream_throttled", "stream_dlq_monitor", "dq_results", "model_run_tests",
            "silver_incremental", "silver_late_arrivals", "price_changes", "throttled_ticks", "throttled_ticks_hourly"}
-ALLOWED_PLAIN = {"price_changes_plain"}       # the one-window reference form, kept for comparison
 SUMMARY_FUNCS = ("_last", "_bmax")            # per-segment tables: rows = keys x segments
 
 
-@pytest.mark.parametrize("name", sorted(set(E.queries()) - ACTIONS - ALLOWED_PLAIN))
+@pytest.mark.parametrize("name", sorted(set(E.queries()) - ACTIONS))
 def test_windows_are_segmented(spark, name):
     plan = E.queries()[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
     for line in plan.split("\n"):

@@ -26,16 +26,33 @@ def test_upsert_last_write_wins_keeps_first_ingested_at_and_replay_is_noop(spark
     b0 = _batch(spark, [("bitcoin", "binance", 1.0, "2024-01-01 00:00:00", 1),
                         ("bitcoin", "binance", 2.0, "2024-01-01 00:00:00", 2),
                         ("solana", "binance", 5.0, "2024-01-02 00:00:00", 3)], "2024-01-03 00:00:00")
-    assert SK.upsert_by_key(b0, path, KEY, ["off"], batch_id=0)
+    SK.upsert_by_key(b0, path, KEY, ["off"])
     b1 = _batch(spark, [("bitcoin", "binance", 9.0, "2024-01-01 00:00:00", 4)], "2024-01-04 00:00:00")
-    assert SK.upsert_by_key(b1, path, KEY, ["off"], batch_id=1)
-    assert not SK.upsert_by_key(b0, path, KEY, ["off"], batch_id=0)
+    SK.upsert_by_key(b1, path, KEY, ["off"])
+    SK.upsert_by_key(b0, path, KEY, ["off"])
     got = {r["coin_id"]: r for r in rows(spark.read.parquet(path))}
     assert got["bitcoin"]["price_usd"] == 9.0
     assert str(got["bitcoin"]["ingested_at"]) == "2024-01-03 00:00:00"
     assert got["solana"]["price_usd"] == 5.0 and len(got) == 2
 
 
+def test_upsert_filters_touched_partitions_by_literals(spark, tmp_dir):
+    path = f"{tmp_dir}/raw"
+    SK.upsert_by_key(_batch(spark, [("bitcoin", "binance", 1.0, f"2024-01-{d:02d} 00:00:00", d) for d in range(1, 9)], "2024-02-01 00:00:00"), path, KEY, ["off"])
+    read = spark.read.parquet(path).where(SK.touched_filter([("2024-01-02",), ("2024-01-03",)], ["dt"]))
+    plan = read._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [dt" in plan and "2024-01-02" in plan
+    assert {r.dt for r in read.select("dt").collect()} == {"2024-01-02", "2024-01-03"}
+
+
+def test_upsert_rows_without_a_partition_value(spark, tmp_dir):
+    path = f"{tmp_dir}/raw"
+    b = _batch(spark, [("bitcoin", "binance", 1.0, None, 1), ("solana", "binance", 2.0, "2024-01-02 00:00:00", 2)], "2024-02-01 00:00:00")
+    SK.upsert_by_key(b, path, KEY, ["off"])
+    SK.upsert_by_key(b.withColumn("off", F.col("off") + 10), path, KEY, ["off"])
+    assert spark.read.parquet(path).where("coin_id = 'solana'").first().off == 12
+
+
 def test_lake_replay_and_lake_at_least_raw(spark, tmp_dir):
     u = parse_events(D.raw_log(D.table(spark, SF_SMALL, "events")))
     lake = f"{tmp_dir}/lake"
@@ -59,6 +76,8 @@ def test_compaction_keeps_rows(spark, tmp_dir):
     before = SK.read_lake(spark, lake).count()
     SK.compact_lake(spark, lake, r.source, r.coin_id, r.dt)
     assert SK.read_lake(spark, lake).count() == before
+    SK.compact_days(spark, lake, days=1)
+    assert SK.read_lake(spark, lake).count() == before
     inv = SK.lake_inventory(spark, lake, last=1000)
     assert inv.where(F.col("partition") == f"source={r.source}/coin_id={r.coin_id}/dt={r.dt}").count() == 1
 

@@ -21,9 +21,9 @@ def test_stream_replay_and_batch_equality(spark, tmp_dir):
     assert prog.agg(F.sum(F.col("observed")["ingest_counters.messages"])).first()[0] == 1000
     raw1 = rows(ST.read_raw(spark, paths).drop("ingested_at"), ["coin_id", "source", "recorded_at"])
     lake1 = spark.read.parquet(paths.lake).count()
-    # a second query over the same landing dir with a new checkpoint re-applies batch ids 0..2
+    # a second query over the same landing dir, with a new checkpoint and batches of two files
     paths2 = ST.Paths(paths.raw, paths.lake, paths.dlq, f"{tmp_dir}/ck2")
-    ST.run_stream(spark, L.read_log(spark, landing, max_files_per_trigger=1), paths2, available_now=True).awaitTermination()
+    ST.run_stream(spark, L.read_log(spark, landing, max_files_per_trigger=2), paths2, available_now=True).awaitTermination()
     assert rows(ST.read_raw(spark, paths).drop("ingested_at"), ["coin_id", "source", "recorded_at"]) == raw1
     assert spark.read.parquet(paths.lake).count() == lake1
     # accepted + rejected = input
@@ -32,9 +32,38 @@ def test_stream_replay_and_batch_equality(spark, tmp_dir):
     assert ST.read_dead_letters(spark, paths).count() == dead.count()
 
 
+def _ticks(spark, offsets):
+    """Log records at the given offsets, each its own key."""
+    return spark.createDataFrame(
+        [("binance.trades.raw", None, f'{{"coin_id": "solana", "price_usd": {o + 1}, "event_time": "2024-03-01T00:00:{o:02d}.000000+00:00"}}', 0, o)
+         for o in offsets], "topic string, key string, value string, partition int, offset long").withColumn(
+        "timestamp", F.lit("2024-03-01 01:00:00").cast("timestamp_ntz"))
+
+
+def test_equal_batch_numbers_of_two_queries_lose_nothing(spark, tmp_dir):
+    """Five ticks as batch 0 of one query, seven others as batch 0 of another: twelve in raw and lake.
+    The same again under third names changes nothing."""
+    paths = ST.Paths(f"{tmp_dir}/raw", f"{tmp_dir}/lake", f"{tmp_dir}/dlq", f"{tmp_dir}/ck")
+    for name in ("q1", "q2", "q1", "q3"):
+        ST.process_batch(_ticks(spark, range(5) if name == "q1" else range(5, 12)), 0, paths, query_id=name)
+        if name == "q2":
+            assert ST.read_raw(spark, paths).count() == spark.read.parquet(paths.lake).count() == 12
+    assert ST.read_raw(spark, paths).count() == spark.read.parquet(paths.lake).count() == 12
+
+
+def test_unusable_prices_are_dead_letters(spark, tmp_dir):
+    paths = ST.Paths(f"{tmp_dir}/raw", f"{tmp_dir}/lake", f"{tmp_dir}/dlq", f"{tmp_dir}/ck")
+    bad = _ticks(spark, range(4)).withColumn("value", F.expr(
+        "replace(value, concat('\"price_usd\": ', offset + 1), concat('\"price_usd\": ', element_at(array('\"NaN\"', '1e40', '\"-Infinity\"', '5'), cast(offset + 1 as int))))"))
+    ST.process_batch(bad, 0, paths)
+    assert [float(r.price_usd) for r in ST.read_raw(spark, paths).collect()] == [5.0]
+    assert {r.reason for r in ST.read_dead_letters(spark, paths).collect()} == {"missing_or_invalid_price_usd"}
+    assert ST.read_dead_letters(spark, paths).count() == 3
+
+
 def test_kafka_options():
     o = L.kafka_source_options("broker:9093", max_offsets_per_trigger=500)
-    assert o["startingOffsets"] == "earliest" and o["kafka.isolation.level"] == "read_committed"
+    assert o["failOnDataLoss"] == "true" and o["startingOffsets"] == "earliest" and o["kafka.isolation.level"] == "read_committed"
     assert o["subscribe"] == "coingecko.prices.raw,binance.trades.raw" and o["maxOffsetsPerTrigger"] == "500"
     s = L.kafka_sink_options("broker:9093")
     assert s["kafka.acks"] == "all" and s["kafka.enable.idempotence"] == "true" and s["topic"] == "prices.dead-letter"

@@ -139,7 +139,7 @@ def catalog() -> dict[str, Query]:
         "source_comparison": lambda i: i.comparison,
         "daily_prices": lambda i: G.daily(i.clean),
         "price_changes": lambda i: G.changes(i.clean_table),
-        "price_changes_plain": lambda i: G.changes(i.clean, bucket_seconds=None),
+        "price_changes_plain": lambda i: G.changes(i.clean),   # over the silver view, not the written table
         "zone_volume": lambda i: G.zone_volume(i.raw, i.clean, i.lbs, as_of=i.as_of),
         "freshness": lambda i: G.freshness(i.lbs, as_of=i.as_of),
         "freshness_rollup": lambda i: G.freshness(i.lbs, as_of=i.as_of, roll_up=True),
@@ -207,6 +207,16 @@ def _edge(q: dict[str, Callable[[Inputs], DataFrame]]) -> None:
     })
 
 
+def _mart_counts(i: Inputs) -> DataFrame:
+    """Rows of every mart (the smoke test after a deployment)."""
+    gold = {**i.gold(), "changes": G.changes(i.clean)}
+    out = None
+    for name in ("latest", "latest_by_source", "comparison", "daily", "changes", "freshness", "zone_volume"):
+        r = gold[name].agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("mart"), "n_rows")
+        out = r if out is None else out.unionByName(r)
+    return out
+
+
 # --- throttle --------------------------------------------------------------
 
 def _throttle(q: dict[str, Callable[[Inputs], DataFrame]]) -> None:
@@ -216,6 +226,8 @@ def _throttle(q: dict[str, Callable[[Inputs], DataFrame]]) -> None:
         return D.tick_base(i.events).select("event_id", "coin_id", "ts")
 
     q["throttled_ticks"] = lambda i: throttle(ticks(i), "coin_id", "ts", 600, tie_break=("event_id",))
+    q["throttled_ticks_blocks"] = lambda i: throttle(ticks(i), "coin_id", "ts", 600, tie_break=("event_id",), algorithm="blocks",
+                                                    bucket_seconds=86_400)
     q["throttled_ticks_hourly"] = lambda i: throttle(ticks(i), "coin_id", "ts", 3600, tie_break=("event_id",))
 
 
@@ -241,16 +253,20 @@ def _quality(q: dict[str, Callable[[Inputs], DataFrame]]) -> None:
         lbs, latest = G.latest_by_source(clean), G.latest(clean)
         gold = {"latest": latest, "latest_by_source": lbs, "comparison": G.comparison(lbs), "daily": G.daily(clean),
                 "changes": G.changes(clean)}
-        return QL.quality_results(QL.relations(raw, S.stg_prices(raw), clean, gold, as_of=i.as_of), as_of=i.as_of)
+        rels = QL.relations(raw, S.stg_prices(raw), clean, gold, as_of=i.as_of)
+        return QL.quality_results(rels, as_of=i.as_of).unionByName(QL.feed_results(rels["raw_24h"]))
 
     q["dq_results"] = dq_results
+    q["dq_gate"] = lambda i: C.by_zone(dq_results(i))
+    q["mart_counts"] = lambda i: _mart_counts(i)
 
     def model_run_tests(i: Inputs) -> DataFrame:
         """A full model run (silver incremental-capable, gold tables), each model's
         tests right after it; the run's test results."""
         from ticklake.plans.pipeline import run_pipeline
         from ticklake.session import work_path
-        res = run_pipeline(i.spark, i.raw, work_path(i.spark, "warehouse"), as_of=i.as_of)
+        res = run_pipeline(i.spark, i.raw, work_path(i.spark, "warehouse"), as_of=i.as_of,
+                           gate_off=("raw", "stg_prices"))  # the fixture's raw rows are dirty on purpose
         return res.results
 
     q["model_run_tests"] = model_run_tests
@@ -330,6 +346,12 @@ def _sinks(q: dict[str, Callable[[Inputs], DataFrame]]) -> None:
         legacy = zone.drop("source")
         return zone.unionByName(BF.copy_legacy(legacy, zone))
 
+    def backfill_two_column(i: Inputs) -> DataFrame:
+        """Legacy rows from before there was a source, into a zone that lacks the last ten days: key (coin, time)."""
+        legacy = D.ticks(i.events).drop("source")
+        zone = legacy.where(F.col("recorded_at") < i.as_of - F.expr("INTERVAL 10 DAYS"))
+        return BF.copy_legacy(legacy, zone, source=None)
+
     def migration_key_check(i: Inputs) -> DataFrame:
         legacy = D.ticks(i.events).withColumn(
             "source", F.when(F.col("source") == "binance", F.col("source")))
@@ -344,6 +366,7 @@ def _sinks(q: dict[str, Callable[[Inputs], DataFrame]]) -> None:
         "upsert_state": upsert_state,
         "seed_history": seed_history,
         "backfill_legacy": backfill_legacy,
+        "backfill_two_column": backfill_two_column,
         "migration_key_check": migration_key_check,
     })
 
@@ -451,6 +474,28 @@ def _misc(q: dict[str, Callable[[Inputs], DataFrame]]) -> None:
         junk = i.table("documents").select(F.col("text").alias("value"))
         return dead.unionByName(junk).select(F.col("value").cast("binary").alias("value"))
 
+    def snapshots(i: Inputs) -> DataFrame:
+        return N.normalize_snapshot(D.snapshot_bodies(i.events)).where(F.size("violations") == 0)
+
+    def publish_snapshots(i: Inputs) -> DataFrame:
+        """Feed A's valid events as log records keyed by coin, read back from their JSON."""
+        recs = L.to_log(snapshots(i), key_cols=("coin_id",))
+        event = F.from_json("value", "coin_id string, symbol string, price_usd double, market_cap double, change_24h double, event_time string, source string")
+        return recs.select("key", event.alias("e")).select("key", "e.*")
+
+    def dead_letter_replay(i: Inputs) -> DataFrame:
+        """Dead letters, delivered twice, as records for their source topic: one for each log position."""
+        recs = L.log_records(D.raw_log(i.events))
+        dead = DL.dead_letters(DL.classify(recs, value="value"), value="value", ts="timestamp", keep=("topic", "partition", "offset"))
+        return DL.dedupe_delivered(dead.unionByName(dead)).select(F.col("source_topic").alias("topic"), F.col("raw_value").alias("value"))
+
+    def payload_events(i: Inputs) -> DataFrame:
+        """Trade frames landed as text, read back as payloads and normalised."""
+        landing = work_path(i.spark, "payloads")
+        D.trade_frames(i.events).select(F.col("payload").alias("value")).write.text(landing)
+        read = L.read_payloads(i.spark, landing, "binance", streaming=False).withColumn("frame_id", F.lit(0).cast("long"))
+        return N.normalize_trades(read).where(F.size("violations") == 0).select("coin_id", "symbol", "price_usd", "event_time", "source")
+
     def publish_records(i: Inputs) -> DataFrame:
         t = N.normalize_trades(D.trade_frames(i.events))
         return L.to_log(t.where(F.size("violations") == 0), key_cols=("coin_id", "source"))
@@ -481,6 +526,11 @@ def _misc(q: dict[str, Callable[[Inputs], DataFrame]]) -> None:
         "dlq_monitor_counts": lambda i: (DL.parse_dead_letters(dlq_messages(i)).groupBy("source_topic", "reason")
                                          .agg(F.count(F.lit(1)).alias("messages"))),
         "publish_records": publish_records,
+        "publish_snapshots": publish_snapshots,
+        # what the publisher writes to its own log: coin, price and change of each event
+        "publish_log": lambda i: snapshots(i).select("coin_id", "price_usd", "change_24h"),
+        "dead_letter_replay": dead_letter_replay,
+        "payload_events": payload_events,
         "latest_ticks_top": lambda i: i.clean.orderBy(F.col("recorded_at").desc(), "coin_id", "source").limit(10),
         "source_freshness": source_freshness,
         "lake_replay": lake_replay,

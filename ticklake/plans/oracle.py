@@ -184,7 +184,7 @@ UNION ALL {sel_clean} FROM fresh"""),
   FROM (SELECT *, row_number() OVER (PARTITION BY coin_id, source, recorded_at, dt
           ORDER BY date_trunc('millisecond', kafka_ts) DESC, event_id DESC) AS rn
         FROM uid) WHERE rn = 1""")
-    for name, n in (("throttled_ticks", 600), ("throttled_ticks_hourly", 3600)):
+    for name, n in (("throttled_ticks", 600), ("throttled_ticks_blocks", 600), ("throttled_ticks_hourly", 3600)):
         q[name] = _throttle_sql(n)
     return q
 
@@ -442,11 +442,21 @@ def quality_oracle() -> dict[str, str]:
   FROM (VALUES ('coingecko'), ('binance')) s(source)
   LEFT JOIN (SELECT source, count(DISTINCT coin_id) AS k, list(DISTINCT coin_id) AS seen FROM raw_24h
              WHERE coin_id IN ('bitcoin', 'ethereum', 'solana') GROUP BY source) c ON c.source = s.source"""
-    run_models = ("model:stg_crypto_prices", "model:crypto_prices_clean", "model:mart_latest_prices",
+    run_models = ("source:raw.crypto_prices", "model:stg_crypto_prices", "model:crypto_prices_clean", "model:mart_latest_prices",
                   "model:mart_latest_prices_by_source", "model:mart_source_price_comparison",
                   "model:mart_daily_prices", "model:fct_price_changes")
     model_parts = [_rule_sql(z, rel, r) for z, rel, rules in MODEL_TESTS if z in run_models for r in rules]
+    feeds = f"""SELECT zone, 'source_volume' AS check_name, source AS column_name, CAST(NOT success AS BIGINT) AS failed_rows,
+    row_count AS total_rows, success FROM ({vol})
+  UNION ALL
+  SELECT zone, 'coin_coverage', source, 3 - coins_seen, 3, success FROM ({cov})"""
+    parts.append(feeds)
+    marts = {"latest": "latest", "latest_by_source": "lbs", "comparison": "cmp", "daily": "daily", "changes": "changes",
+             "freshness": "fresh", "zone_volume": "zv"}
     return {
+        "dq_gate": _w(QUALITY, "SELECT zone, count(*) AS checks, count(*) FILTER (WHERE NOT success) AS failed_checks, "
+                      "bool_and(success) AS passed FROM (" + "\nUNION ALL\n".join(parts) + ") GROUP BY zone"),
+        "mart_counts": _w(QUALITY, "\nUNION ALL\n".join(f"SELECT '{m}' AS mart, count(*) AS n_rows FROM {t}" for m, t in marts.items())),
         "model_run_tests": _w(QUALITY, "\nUNION ALL\n".join(model_parts)),
         "dq_results": _w(QUALITY, "\nUNION ALL\n".join(parts)),
         "source_volume": _w(QUALITY, vol),
@@ -513,6 +523,12 @@ def sinks_oracle() -> dict[str, str]:
     FROM ticks) g
   WHERE rn = 1 AND NOT EXISTS (SELECT 1 FROM ticks t WHERE t.coin_id = g.coin_id AND t.source = g.source
                                AND t.recorded_at = g.recorded_at)"""),
+        "backfill_two_column": _w(SEED, """SELECT coin_id, symbol, price_usd, market_cap, change_24h, recorded_at FROM (
+    SELECT *, row_number() OVER (PARTITION BY coin_id, recorded_at
+      ORDER BY symbol NULLS LAST, price_usd NULLS LAST, market_cap NULLS LAST, change_24h NULLS LAST) AS rn
+    FROM ticks) g
+  WHERE rn = 1 AND NOT EXISTS (SELECT 1 FROM ticks t WHERE t.coin_id = g.coin_id AND t.recorded_at = g.recorded_at
+    AND t.recorded_at < (SELECT as_of FROM ref_time) - INTERVAL 10 DAY)"""),
         "migration_key_check": _w(SEED, """SELECT 'migration' AS zone, 'unique' AS check_name,
     'coin_id,source,recorded_at' AS column_name,
     (SELECT count(*) FROM (SELECT coin_id, coalesce(CASE WHEN source = 'binance' THEN source END, 'coingecko') AS s,
@@ -626,6 +642,13 @@ parsed AS (
         "publish_records": _w(TRADES, f"""SELECT coin_id || ':' || source AS key,
     CAST(to_json({{'coin_id': coin_id, 'symbol': symbol, 'price_usd': price_usd, 'market_cap': market_cap,
               'change_24h': change_24h, 'event_time': event_time, 'source': source}}) AS VARCHAR) AS value
+  FROM tr_ev WHERE e = 'trade' AND coin_id IS NOT NULL AND ms IS NOT NULL AND {_typed_violations()}, ',') = ''"""),
+        "publish_snapshots": _w(SNAPSHOTS, f"""SELECT coin_id AS key, coin_id, symbol, price_usd, market_cap, change_24h, event_time, source
+  FROM snap_ev WHERE usd_is_number AND cap_ok AND change_ok AND {_typed_violations()}, ',') = ''"""),
+        "publish_log": _w(SNAPSHOTS, f"""SELECT coin_id, price_usd, change_24h
+  FROM snap_ev WHERE usd_is_number AND cap_ok AND change_ok AND {_typed_violations()}, ',') = ''"""),
+        "dead_letter_replay": _w(LOG, "SELECT topic, raw_value AS value FROM classified WHERE reason IS NOT NULL"),
+        "payload_events": _w(TRADES, f"""SELECT coin_id, symbol, price_usd, event_time, source
   FROM tr_ev WHERE e = 'trade' AND coin_id IS NOT NULL AND ms IS NOT NULL AND {_typed_violations()}, ',') = ''"""),
         "latest_ticks_top": _w(CLEAN, "SELECT * FROM clean ORDER BY recorded_at DESC, coin_id, source LIMIT 10"),
         "source_freshness": _w(RAW + ",\n" + ASOF, """SELECT 'raw.crypto_prices' AS source_name, max(recorded_at) AS max_loaded_at,

@@ -69,3 +69,14 @@ def quality_results(rels: dict[str, DataFrame], *, as_of, suites=None) -> DataFr
         r = C.run_checks(rels[rel], zone, rules, as_of=as_of)
         out = r if out is None else out.unionByName(r)
     return out
+
+
+def feed_results(raw_24h: DataFrame) -> DataFrame:
+    """Source volume and coin coverage as result rows of the raw zone, one per
+    expected source, so that a run in which a whole feed is absent fails the gate."""
+    vol = C.source_volume(raw_24h).select("zone", F.lit("source_volume").alias("check_name"), F.col("source").alias("column_name"),
+                                          (~F.col("success")).cast("long").alias("failed_rows"), F.col("row_count").alias("total_rows"), "success")
+    cov = C.coin_coverage(raw_24h).select("zone", F.lit("coin_coverage").alias("check_name"), F.col("source").alias("column_name"),
+                                          (F.lit(len(TRACKED_COINS)) - F.col("coins_seen")).alias("failed_rows"),
+                                          F.lit(len(TRACKED_COINS)).cast("long").alias("total_rows"), "success")
+    return vol.unionByName(cov)
