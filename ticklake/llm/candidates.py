@@ -1,25 +1,41 @@
 """From table keys to verified components, without the pairs of a group.
 
 Items that share a key are candidates. The smallest item of a key is its
-pivot; items are verified against pivots first, and links join them into
-components. What stays unlinked inside a key is compared with further pivots,
-picked anew by a seeded hash, and after `PIVOT_ROUNDS` the rest exactly: every
-pair of items that share a key and still lie in different components. A link
-inside a component changes nothing, so such pairs are never made; no link
-between components is lost.
+pivot; items are verified against pivots, and links join them into components.
+What then shares a key across components is compared exactly, in blocks: the
+members of a group are split into blocks of about `BLOCK`, a task compares two
+blocks and returns only the links that join components, each once. A link
+inside a component changes nothing, so such pairs are never compared; no link
+between components is lost, and no pair is a row.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import saved
 from .components import components
 
-PIVOT_ROUNDS = 1
+BLOCK = 512
+
+
+@dataclass
+class Evidence:
+    """What it takes to compare items. `verify`: from pairs (a, b) to those that are links.
+    `payload`: (item, payload) for comparisons within a task by `matches(packs, a, others, apart)`,
+    which yields those of the positions `others` that may be links of position a and are still
+    `apart` from it. `groups`: (key, item), fewer and coarser keys than those of the tables, if there are such."""
+    verify: Callable[[DataFrame], DataFrame]
+    payload: DataFrame
+    pack: Callable
+    matches: Callable
+    groups: DataFrame | None = None
 
 
 def _with_component(df: DataFrame, comp: DataFrame, item: str, name: str) -> DataFrame:
@@ -28,42 +44,68 @@ def _with_component(df: DataFrame, comp: DataFrame, item: str, name: str) -> Dat
     return df.join(c, F.col(item) == F.col("_node"), "left").withColumn(name, F.coalesce("_component", item)).drop("_node", "_component")
 
 
-def connect(keys: DataFrame, prepare: Callable[[DataFrame], Callable[[DataFrame], DataFrame]], name: str) -> DataFrame:
-    """(node, component) over the items (longs) of `keys` (key, item). `prepare` takes all items that
-    share a key with another, once, and returns the verification: from pairs (a, b) to those that
-    are links. Items without a link have no row."""
-    pivots = keys.groupBy("key").agg(F.min("item").alias("pivot"), F.max("item").alias("_most")).where("pivot < _most").drop("_most")
+def joining_links(ids: np.ndarray, comp: np.ndarray, left: np.ndarray, right: np.ndarray, matches: Callable) -> list[tuple[int, int]]:
+    """Links that join components, between the positions `left` and `right`."""
+    comp, out = comp.copy(), []
+    inside = np.zeros(len(ids), bool)
+    inside[right] = True
+    # members of small components first: each of them looks for a link to the others
+    size = dict(zip(*np.unique(comp, return_counts=True)))
+    for a in sorted(left.tolist(), key=lambda i: size[comp[i]]):
+        others = np.flatnonzero(inside & (comp != comp[a]))
+        if not len(others):
+            continue
+        for b in matches(a, others, lambda b, a=a: comp[a] != comp[b]):
+            out.append((int(ids[a]), int(ids[b])))
+            comp[comp == comp[b]] = comp[a]
+    return out
+
+
+def connect(keys: DataFrame, prepare: Callable[[DataFrame], Evidence], name: str) -> DataFrame:
+    """(node, component) over the items (longs) of `keys` (key, item). `prepare` gets all items that
+    share a key with another, once. Items without a link have no row."""
+    pivots = (keys.groupBy("key").agg(F.min("item").alias("pivot"), F.max("item").alias("_most"), F.count("*").alias("many"))
+              .where("pivot < _most").drop("_most"))
     members = saved(keys.join(pivots, "key"), f"{name}-members")
-    verify = prepare(members.select("item").distinct())
+    by = prepare(members.select("item").distinct())
 
     # first the smallest pivot of each item, then the others that are still elsewhere
     first = members.where("pivot < item").groupBy("item").agg(F.min("pivot").alias("a")).select("a", F.col("item").alias("b"))
-    comp = components(saved(verify(first), f"{name}-links"))
+    comp = components(saved(by.verify(first), f"{name}-links"))
 
-    def unlinked(pairs: DataFrame) -> DataFrame:
-        """Distinct pairs, smaller item first, of items in different components."""
-        p = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a < b").distinct()
-        return _with_component(_with_component(p, comp, "a", "_ca"), comp, "b", "_cb").where("_ca <> _cb").select("a", "b")
-
-    def more(pairs: DataFrame) -> None:
+    def more(found: DataFrame) -> None:
         nonlocal comp
-        found = saved(verify(unlinked(pairs)), f"{name}-links")
+        found = saved(found, f"{name}-links")
         if not found.isEmpty():
             comp = components(comp.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(found))
 
-    more(members.select(F.col("pivot").alias("a"), F.col("item").alias("b")))
-    for step in range(PIVOT_ROUNDS + 1):
-        placed = _with_component(members.select("key", "item"), comp, "item", "component")
-        split = placed.groupBy("key").agg(F.min("component").alias("_lo"), F.max("component").alias("_hi")).where("_lo < _hi").select("key")
-        rest = saved(placed.join(split, "key"), f"{name}-rest")
-        if rest.isEmpty():
-            break
-        if step < PIVOT_ROUNDS:
-            # a random member most likely lies in the key's largest component
-            new = rest.groupBy("key").agg(F.min_by(F.struct("item", "component"), F.xxhash64("item", F.lit(step))).alias("p"))
-            more(rest.join(new, "key").where("component <> p.component").select(F.col("p.item").alias("a"), F.col("item").alias("b")))
-        else:
-            # of two keys with the same members left one is enough
-            other = rest.select("key", F.col("item").alias("b"), F.col("component").alias("_cb"))
-            more(rest.join(other, "key").where("component < _cb").select(F.col("item").alias("a"), "b"))
+    pairs = members.where("pivot < item").select(F.col("pivot").alias("a"), F.col("item").alias("b")).distinct()
+    apart = _with_component(_with_component(pairs, comp, "a", "_ca"), comp, "b", "_cb").where("_ca <> _cb").select("a", "b")
+    more(by.verify(apart))
+
+    # two items were verified directly; in larger groups others than the pivot may link
+    placed = _with_component(members.where("many > 2").select("key", "item"), comp, "item", "component")
+    split = placed.groupBy("key").agg(F.min("component").alias("_lo"), F.max("component").alias("_hi")).where("_lo < _hi").select("key")
+    active = saved(placed.join(split, "key").select("item", "component").distinct(), f"{name}-active")
+    if active.isEmpty():
+        return comp
+    groups = members.select("key", "item") if by.groups is None else by.groups
+    rows = groups.join(active, "item").distinct()
+    sizes = (rows.groupBy("key").agg(F.count("*").alias("n"), F.min("component").alias("_lo"), F.max("component").alias("_hi"))
+             .where("_lo < _hi").select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("parts")))
+    dealt = rows.join(sizes, "key").withColumn("block", F.pmod(F.xxhash64("item"), F.col("parts")).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    dealt = dealt.join(by.payload, "item").select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
+                                                  "block", "item", "component", "payload")
+    pack, matches = by.pack, by.matches
+
+    def compare(key, g: pd.DataFrame) -> pd.DataFrame:
+        ids, block = g["item"].to_numpy(), g["block"].to_numpy()
+        packs = pack(g["payload"].tolist())
+        found = joining_links(ids, g["component"].to_numpy(), np.flatnonzero(block == key[1]), np.flatnonzero(block == key[2]),
+                              lambda a, others, apart: matches(packs, a, others, apart))
+        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+
+    near = saved(dealt.groupBy("key", "i", "j").applyInPandas(compare, "a long, b long").distinct(), f"{name}-near")
+    more(by.verify(near))
     return comp

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .candidates import connect
+from .candidates import Evidence, connect
 from .common import _U, _powers, chunks, mix, read, saved, text_or_empty
 
 SHINGLE = 9
@@ -148,6 +148,20 @@ def jaccard(a: str, b: str) -> tuple[int, int]:
     return k, len(x) + len(y) - k
 
 
+def _pack(payloads: list[str]) -> list[set]:
+    return [{t[i:i + SHINGLE] for i in range(max(1, len(t) - SHINGLE + 1))} for t in payloads]
+
+
+def _matches(packs: list[set], a: int, others: np.ndarray, apart):
+    x = packs[a]
+    for b in others.tolist():
+        y = packs[b]
+        if DEN * min(len(x), len(y)) >= NUM * max(len(x), len(y)) and apart(b):
+            k = len(x & y)
+            if DEN * k >= NUM * (len(x) + len(y) - k):
+                yield b
+
+
 def _confirm(batches):
     for b in batches:
         ok = []
@@ -167,7 +181,7 @@ def fuzzy_lines(docs: DataFrame) -> DataFrame:
         def verify(pairs: DataFrame) -> DataFrame:
             t = {c: texts.select(F.col("line").alias(c), F.col("text").alias(f"t_{c}")) for c in "ab"}
             return pairs.join(t["a"], "a").join(t["b"], "b").select("a", "b", "t_a", "t_b").mapInArrow(_confirm, "a long, b long")
-        return verify
+        return Evidence(verify, texts.select(F.col("line").alias("item"), F.col("text").alias("payload")), _pack, _matches)
 
     seen = saved(occurrences(docs), "lines")
     comp = connect(band_keys(docs), prepare, "lines")

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .candidates import connect
+from .candidates import Evidence, connect
 from .common import _U, chunks, lower_ascii, minhashes, mix, read, saved, shingle_hashes, text_or_empty, word_hashes
 
 HALVES, HALF = 8, 3
@@ -56,21 +56,56 @@ def signatures(docs: DataFrame, k: int) -> DataFrame:
         sign, "doc_id long, n_shingles long, h1 long, h2 long, sig binary")
 
 
-def table_keys(classes: DataFrame) -> DataFrame:
-    """(key, item): HALVES^2 rows for each class."""
-    def keys(batches):
+def _halves(sigs: list[bytes]) -> np.ndarray:
+    """Half-keys of signatures: rows, two collections, HALVES."""
+    sig = np.frombuffer(b"".join(sigs), np.uint32).reshape(-1, 2, HALVES, HALF).astype(_U)
+    half = np.zeros(sig.shape[:3], _U)
+    for r in range(HALF):
+        half = mix(half * _U(31) + sig[..., r])
+    return mix(half + np.arange(1, 2 * HALVES + 1, dtype=_U).reshape(2, HALVES))  # no two tables share keys
+
+
+def _expand(make):
+    def run(batches):
         for batch in batches:
             for lo in range(0, batch.num_rows, 2000):
                 part = batch.slice(lo, 2000)
-                sig = np.frombuffer(b"".join(part.column(1).to_pylist()), np.uint32).reshape(-1, 2, HALVES, HALF).astype(_U)
-                half = np.zeros(sig.shape[:3], _U)
-                for r in range(HALF):
-                    half = mix(half * _U(31) + sig[..., r])
-                half = mix(half + np.arange(1, 2 * HALVES + 1, dtype=_U).reshape(2, HALVES))  # tables differ
-                key = mix(half[:, 0, :, None] * _U(31) + half[:, 1, None, :]).reshape(len(half), -1)
+                key = make(_halves(part.column(1).to_pylist())).reshape(part.num_rows, -1)
                 yield pa.RecordBatch.from_arrays([pa.array(key.ravel().view(np.int64)),
                                                   pa.array(np.repeat(part.column(0).to_numpy(), key.shape[1]))], ["key", "item"])
-    return classes.select("cls", "sig").mapInArrow(keys, "key long, item long")
+    return run
+
+
+def table_keys(classes: DataFrame) -> DataFrame:
+    """(key, item): HALVES^2 rows for each class, a key for each pair of half-keys."""
+    pairs = _expand(lambda h: mix(h[:, 0, :, None] * _U(31) + h[:, 1, None, :]))
+    return classes.select("cls", "sig").mapInArrow(pairs, "key long, item long")
+
+
+def half_keys(classes: DataFrame) -> DataFrame:
+    """(key, item) by the first collection alone: what shares a table key shares one of these."""
+    return classes.select("cls", "sig").mapInArrow(_expand(lambda h: np.ascontiguousarray(h[:, 0])), "key long, item long")
+
+
+def _pack(payloads: list[bytes]):
+    sig = np.frombuffer(b"".join(p[:4 * COUNT] for p in payloads), np.uint32).reshape(len(payloads), COUNT)
+    return sig, [np.frombuffer(p, np.uint32, offset=4 * COUNT) for p in payloads]
+
+
+def _matches(packs, a: int, others: np.ndarray, apart):
+    """Positions that reach the similarity on 32-bit shingle hashes, which never count too little; best estimate first."""
+    sig, sets = packs
+    estimate = (sig[others] == sig[a]).mean(1)
+    for k in np.argsort(-estimate, kind="stable"):
+        if estimate[k] < ESTIMATE:
+            return
+        x, y = sets[a], sets[others[k]]
+        if DEN * min(len(x), len(y)) >= NUM * max(len(x), len(y)) and apart(others[k]):
+            both = np.concatenate((x, y))
+            both.sort()
+            inter = int((both[1:] == both[:-1]).sum())
+            if DEN * inter >= NUM * (len(x) + len(y) - inter):
+                yield int(others[k])
 
 
 def _agree(batches):
@@ -112,7 +147,15 @@ def near_duplicates(docs: DataFrame, k: int = 5) -> DataFrame:
             near = near.select("a", "b", "sig_a", "sig_b").mapInArrow(_agree, "a long, b long")
             s = {c: sets.select(F.col("cls").alias(c), F.col("shingles").alias(f"s_{c}")) for c in "ab"}
             return near.join(s["a"], "a").join(s["b"], "b").select("a", "b", "s_a", "s_b").mapInArrow(_confirm, "a long, b long")
-        return verify
+
+        def shorten(batches):
+            """Signature and 32-bit hashes; a document's own hashes that fall together are told apart by nothing, so a
+            set may only seem smaller and an intersection larger, never a link be missed."""
+            for b in batches:
+                out = [g + (np.frombuffer(x, _U) >> _U(32)).astype(np.uint32).tobytes() for g, x in zip(b.column(1).to_pylist(), b.column(2).to_pylist())]
+                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.binary())], ["item", "payload"])
+        payload = classes.select("cls", "sig").join(sets, "cls").mapInArrow(shorten, "item long, payload binary")
+        return Evidence(verify, payload, _pack, _matches, half_keys(classes))
 
     comp = connect(table_keys(classes), prepare, "minhash")
     linked = classes.join(comp, F.col("cls") == F.col("node"), "left").select(
