@@ -10,7 +10,7 @@ from ticklake.operators import ops as O
 from ticklake.plans.pipeline import run_pipeline
 from ticklake.sources import derived as D
 
-OPEN = ("raw", "stg_prices")  # the fixture's raw rows are dirty on purpose
+OPEN = ("raw", "stg_prices", "latest")  # the fixture's raw rows are dirty on purpose
 
 AS_OF = dt.datetime(2024, 1, 1, 12, 0, 0)
 

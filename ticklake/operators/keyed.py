@@ -75,7 +75,8 @@ SPLIT_FANOUT = 64
 def segments(df: DataFrame, keys: Sequence[str], order_col: str, *, bucket_seconds: int = 3600,
              max_rows: int = MAX_SEGMENT_ROWS, fanout: int = SPLIT_FANOUT) -> DataFrame:
     """Add ``_seg``: a number increasing with ``order_col`` within each key,
-    such that no (key, _seg) group is much larger than ``max_rows``.
+    such that no (key, _seg) group is much larger than ``max_rows``, as long as
+    no (key, bucket) has more than ``fanout`` times as many rows.
 
     Segments are time buckets; a bucket holding more than ``max_rows`` rows
     (a burst, or a key with most of the data) is split at approximate row
