@@ -50,6 +50,14 @@ def test_warc_coalesced_ranges_give_the_same(spark):
     assert warc.read_records(warc.write_archives(pages(spark, []))).count() == 0
 
 
+def test_op3_equals_its_sql(spark):
+    import duckdb
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM read_parquet('{SF_CHECK}/pages.parquet')")
+    want = con.sql(warc.OP3_SQL)
+    assert sorted(want.fetchall()) == sorted(tuple(r[c] for c in want.columns) for r in warc.op3(spark, SF_CHECK).collect())
+
+
 def test_warc_damage_is_noticed(spark):
     folder = work_path(spark, "test-warc-damage")
     index = warc.write_archives(pages(spark, [(1, "http://a/", "hello")]), folder)
