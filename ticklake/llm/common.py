@@ -148,15 +148,27 @@ def shingle_hashes(words: np.ndarray, at: np.ndarray, k: int) -> list[np.ndarray
     return out
 
 
+def minima(x: np.ndarray, starts: np.ndarray, flip: np.uint32, mult: np.uint32, room: np.ndarray) -> np.ndarray:
+    """The minimum of one hash function over each run of `x` (uint32, well mixed); `room` is scratch of its size."""
+    np.bitwise_xor(x, flip, out=room)
+    np.multiply(room, mult, out=room)
+    return np.minimum.reduceat(room, starts)
+
+
+def hash_functions(count: int, seed: int) -> np.ndarray:
+    """Pairs (flip, odd multiplier) of 32 bits."""
+    return np.random.default_rng(seed).integers(0, 2**32, (count, 2), dtype=np.uint32) | np.array([0, 1], np.uint32)
+
+
 def minhashes(sets: list[np.ndarray], count: int, seed: int = 7) -> np.ndarray:
     """`count` minimum hashes of each non-empty set, as uint32 columns (rows: sets)."""
     size = np.array([len(s) for s in sets])
     out = np.zeros((len(sets), count), np.uint32)
     full = np.flatnonzero(size)
     if len(full):
-        x = np.concatenate([sets[i] for i in full])
+        x = (np.concatenate([sets[i] for i in full]) >> _U(32)).astype(np.uint32)
         at = np.concatenate(([0], np.cumsum(size[full])[:-1]))
-        mult = np.random.default_rng(seed).integers(1, 2**63, count, dtype=np.uint64) * _U(2) + _U(1)
-        for p in range(count):
-            out[full, p] = np.minimum.reduceat(((x ^ mult[count - 1 - p]) * mult[p] >> _U(32)).astype(np.uint32), at)
+        room = np.empty_like(x)
+        for p, (flip, mult) in enumerate(hash_functions(count, seed)):
+            out[full, p] = minima(x, at, flip, mult, room)
     return out

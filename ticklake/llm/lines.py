@@ -22,12 +22,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .candidates import Evidence, connect
-from .common import _U, _powers, chunks, mix, read, saved, text_or_empty
+from .common import _U, _powers, chunks, hash_functions, minima, mix, read, saved, text_or_empty
 
 SHINGLE = 9
 ROWS, BANDS = 4, 10
 NUM, DEN = 8, 10
-_MULT = np.random.default_rng(21).integers(1, 2**63, (2, ROWS * BANDS), dtype=np.uint64) * _U(2) + _U(1)
+_HASHES = hash_functions(ROWS * BANDS, 21)
 _CHAR = _U(0xD6E8FEB86659FD93)
 
 
@@ -113,12 +113,13 @@ def band_keys(docs: DataFrame) -> DataFrame:
                 if len(recent) > 200_000:
                     recent = dict.fromkeys(line[pick].tolist())
                 x, at = _shingles(c, start[pick], end[pick])
+                x = (x >> _U(32)).astype(np.uint32)
+                room = np.empty_like(x)
                 key = np.empty((len(pick), BANDS), _U)
                 for b in range(BANDS):
                     h = np.full(len(pick), b + 1, _U)
                     for r in range(b * ROWS, (b + 1) * ROWS):
-                        low = np.minimum.reduceat(((x ^ _MULT[1, r]) * _MULT[0, r] >> _U(32)).astype(np.uint32), at[:-1])
-                        h = mix(h * _U(31) + low)
+                        h = mix(h * _U(31) + minima(x, at[:-1], *_HASHES[r], room))
                     key[:, b] = h
                 yield pa.RecordBatch.from_arrays([pa.array(key.ravel().view(np.int64)),
                                                   pa.array(np.repeat(line[pick].view(np.int64), BANDS))], ["key", "item"])
