@@ -12,7 +12,7 @@ from conftest import SF_SMALL
 ACTIONS = {"lake_roundtrip", "lake_compaction", "lake_inventory", "upsert_state", "lake_replay", "stream_raw",
            "stream_dead_letters", "stream_throttled", "stream_dlq_monitor", "dq_results", "model_run_tests",
            "silver_incremental", "silver_late_arrivals", "price_changes", "throttled_ticks", "throttled_ticks_hourly",
-           "throttled_ticks_blocks", "lake_rows", "dq_gate", "payload_events"}
+           "throttled_ticks_blocks", "lake_rows", "dq_gate", "payload_events", "stream_progress"}
 SUMMARY_FUNCS = ("_last", "_bmax")            # per-segment tables: rows = keys x segments
 
 

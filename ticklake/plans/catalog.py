@@ -419,6 +419,22 @@ def _streaming(q: dict[str, Callable[[Inputs], DataFrame]]) -> None:
             ST.run_stream(i.spark, L.read_log(i.spark, landing, max_files_per_trigger=2), again, available_now=True).awaitTermination()
         return paths
 
+    def stream_progress(i: Inputs) -> DataFrame:
+        """The ingest's recorded progress: messages in, by feed, and those left behind at the end."""
+        from ticklake.streaming.progress import read_progress, record_progress
+        table = work_path(i.spark, "progress")
+        listener = record_progress(i.spark, table)
+        try:
+            ingest(i, dlq_format="json")
+            # reports come by the listener bus; a query's last one may still be on its way
+            i.spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(60_000)
+        finally:
+            i.spark.streams.removeListener(listener)
+        seen = lambda k: F.sum(F.col("observed")[f"ingest_counters.{k}"]).cast("long").alias(k)
+        return read_progress(i.spark, table).agg(F.sum("input_rows").cast("long").alias("input_rows"), seen("messages"),
+                                                 seen("snapshot_messages"), seen("trade_messages"),
+                                                 F.max("offsets_behind").alias("offsets_behind"))
+
     def stream_dlq_monitor(i: Inputs) -> DataFrame:
         """Ingest writing the dead-letter topic as JSON, then the monitor stream's counters."""
         from ticklake.streaming.dlq_monitor import run_monitor
@@ -445,6 +461,7 @@ def _streaming(q: dict[str, Callable[[Inputs], DataFrame]]) -> None:
         "stream_dead_letters": lambda i: ST.read_dead_letters(i.spark, ingest(i)),
         "stream_throttled": stream_throttled,
         "stream_dlq_monitor": stream_dlq_monitor,
+        "stream_progress": stream_progress,
     })
 
 

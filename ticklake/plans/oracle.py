@@ -177,6 +177,9 @@ UNION ALL {sel_clean} FROM fresh"""),
     q.update(misc_oracle())
     q["stream_throttled"] = _throttle_sql(600)
     q["stream_dlq_monitor"] = q["dlq_counts"]
+    q["stream_progress"] = _w(LOG, """SELECT count(*) AS input_rows, count(*) AS messages,
+  count(*) FILTER (WHERE topic = 'coingecko.prices.raw') AS snapshot_messages,
+  count(*) FILTER (WHERE topic = 'binance.trades.raw') AS trade_messages, CAST(0 AS BIGINT) AS offsets_behind FROM log""")
     q["stream_dead_letters"] = _w(LOG, """SELECT topic AS source_topic, raw_value, reason,
   date_trunc('millisecond', kafka_ts) AS failed_at FROM classified WHERE reason IS NOT NULL""")
     q["stream_raw"] = _w(UNIFIED_IDS, """SELECT coin_id, source, symbol, CAST(price_usd AS DECIMAL(20,8)) AS price_usd,

@@ -1,32 +1,69 @@
 """Streaming progress as a table (records out per second, consumer lag,
-liveness) for the ops questions and the no-running-job alert."""
+liveness) for the ops questions and the alerts.
+
+``record_progress`` adds a listener that appends every progress report of the
+session's queries to a Parquet table, so the history is complete;
+``progress_frame`` shows what a query itself remembers, its last reports.
+"""
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 PROGRESS_SCHEMA = ("query_name string, batch_id long, batch_ts timestamp_ntz, input_rows long, "
                    "input_rows_per_second double, processed_rows_per_second double, offsets_behind long, "
                    "observed map<string, bigint>")
 
 
-def progress_frame(spark: SparkSession, query: StreamingQuery) -> DataFrame:
-    """The query's recent progress reports (a bounded, driver-side ring of
-    metadata) as a DataFrame."""
-    rows = []
-    for p in query.recentProgress:
-        behind = 0
-        for s in p.sources:
-            m = s.metrics or {}
-            behind += int(float(m.get("maxOffsetsBehindLatest", 0) or 0))
-        ts = p.timestamp.replace("T", " ").rstrip("Z")
-        observed = {}
-        for name, row in (p.observedMetrics or {}).items():
-            for k, v in row.asDict().items():
-                observed[f"{name}.{k}"] = int(v) if v is not None else None
-        rows.append((p.name, p.batchId, ts, p.numInputRows, float(p.inputRowsPerSecond or 0.0),
-                     float(p.processedRowsPerSecond or 0.0), behind, observed))
+def _row(p: dict) -> tuple:
+    """One progress report (its JSON form) as a row of PROGRESS_SCHEMA, the time as text."""
+    behind = sum(int(float((s.get("metrics") or {}).get("maxOffsetsBehindLatest", 0) or 0)) for s in p.get("sources", []))
+    observed = {f"{name}.{k}": int(v) if v is not None else None
+                for name, row in (p.get("observedMetrics") or {}).items() for k, v in row.items()}
+    return (p.get("name"), p["batchId"], p["timestamp"].replace("T", " ").rstrip("Z"), p["numInputRows"],
+            float(p.get("inputRowsPerSecond") or 0.0), float(p.get("processedRowsPerSecond") or 0.0), behind, observed)
+
+
+def _frame(spark: SparkSession, rows: list[tuple]) -> DataFrame:
     df = spark.createDataFrame(rows, PROGRESS_SCHEMA.replace("batch_ts timestamp_ntz", "batch_ts string"))
     return df.selectExpr("query_name", "batch_id", "cast(batch_ts as timestamp_ntz) as batch_ts", "input_rows",
                          "input_rows_per_second", "processed_rows_per_second", "offsets_behind", "observed")
+
+
+class ProgressTable(StreamingQueryListener):
+    """Appends each report to the table at ``path`` as it arrives."""
+
+    def __init__(self, spark: SparkSession, path: str) -> None:
+        self.spark, self.path = spark, path
+
+    def onQueryStarted(self, event) -> None:  # noqa: N802
+        pass
+
+    def onQueryProgress(self, event) -> None:  # noqa: N802
+        _frame(self.spark, [_row(json.loads(event.progress.json))]).coalesce(1).write.mode("append").parquet(self.path)
+
+    def onQueryIdle(self, event) -> None:  # noqa: N802
+        pass
+
+    def onQueryTerminated(self, event) -> None:  # noqa: N802
+        pass
+
+
+def record_progress(spark: SparkSession, path: str) -> ProgressTable:
+    """Start recording; ``spark.streams.removeListener`` ends it."""
+    listener = ProgressTable(spark, path)
+    spark.streams.addListener(listener)
+    return listener
+
+
+def read_progress(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path)
+
+
+def progress_frame(spark: SparkSession, query: StreamingQuery) -> DataFrame:
+    """The query's recent progress reports (a bounded, driver-side ring of
+    metadata) as a DataFrame."""
+    return _frame(spark, [_row(json.loads(p.json) if hasattr(p, "json") else p) for p in query.recentProgress])
