@@ -28,9 +28,9 @@ BLOCK = 512
 @dataclass
 class Evidence:
     """What it takes to compare items. `verify`: from pairs (a, b) to those that are links.
-    `payload`: (item, payload) for comparisons within a task by `matches(packs, a, others, apart)`,
-    which yields those of the positions `others` that may be links of position a and are still
-    `apart` from it. `groups`: (key, item), fewer and coarser keys than those of the tables, if there are such."""
+    `payload`: (item, payload) for comparisons within a task: `pack(payloads, key)` prepares the members
+    of a group, `matches(packed, a, others, apart)` yields those of the positions `others` that may be
+    links of position a, share no earlier group with it and are still `apart` from it. `groups`: (key, item), fewer and coarser keys than those of the tables, if there are such."""
     verify: Callable[[DataFrame], DataFrame]
     payload: DataFrame
     pack: Callable
@@ -101,7 +101,7 @@ def connect(keys: DataFrame, prepare: Callable[[DataFrame], Evidence], name: str
 
     def compare(key, g: pd.DataFrame) -> pd.DataFrame:
         ids, block = g["item"].to_numpy(), g["block"].to_numpy()
-        packs = pack(g["payload"].tolist())
+        packs = pack(g["payload"].tolist(), key[0])
         found = joining_links(ids, g["component"].to_numpy(), np.flatnonzero(block == key[1]), np.flatnonzero(block == key[2]),
                               lambda a, others, apart: matches(packs, a, others, apart))
         return pd.DataFrame(found, columns=["a", "b"], dtype="int64")

@@ -28,6 +28,8 @@ SHINGLE = 9
 ROWS, BANDS = 4, 10
 NUM, DEN = 8, 10
 _HASHES = hash_functions(ROWS * BANDS, 21)
+_MORE = hash_functions(216, 22)  # with those of the bands 256, for estimates
+ESTIMATE = 0.72                  # of them must agree before sets are compared: 3 standard deviations below 0.8
 _CHAR = _U(0xD6E8FEB86659FD93)
 
 
@@ -94,6 +96,14 @@ def _shingles(c: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.nda
     return _hash(c, pos, np.minimum(pos + SHINGLE, np.repeat(end, count))), at
 
 
+def _band_keys(sig: np.ndarray) -> np.ndarray:
+    """A key for each band of minimum hashes: lines by bands."""
+    h = np.repeat(np.arange(1, BANDS + 1, dtype=_U)[None, :], len(sig), 0)
+    for r in range(ROWS):
+        h = mix(h * _U(31) + sig[:, r:ROWS * BANDS:ROWS])
+    return h.view(np.int64)
+
+
 def band_keys(docs: DataFrame) -> DataFrame:
     """(key, item) for the distinct lines of each chunk of documents."""
     def run(batches):
@@ -115,13 +125,8 @@ def band_keys(docs: DataFrame) -> DataFrame:
                 x, at = _shingles(c, start[pick], end[pick])
                 x = (x >> _U(32)).astype(np.uint32)
                 room = np.empty_like(x)
-                key = np.empty((len(pick), BANDS), _U)
-                for b in range(BANDS):
-                    h = np.full(len(pick), b + 1, _U)
-                    for r in range(b * ROWS, (b + 1) * ROWS):
-                        h = mix(h * _U(31) + minima(x, at[:-1], *_HASHES[r], room))
-                    key[:, b] = h
-                yield pa.RecordBatch.from_arrays([pa.array(key.ravel().view(np.int64)),
+                key = _band_keys(np.stack([minima(x, at[:-1], *f, room) for f in _HASHES], 1))
+                yield pa.RecordBatch.from_arrays([pa.array(key.ravel()),
                                                   pa.array(np.repeat(line[pick].view(np.int64), BANDS))], ["key", "item"])
     return docs.select(text_or_empty().alias("text")).mapInArrow(run, "key long, item long")
 
@@ -149,16 +154,34 @@ def jaccard(a: str, b: str) -> tuple[int, int]:
     return k, len(x) + len(y) - k
 
 
-def _pack(payloads: list[str]) -> list[set]:
-    return [{t[i:i + SHINGLE] for i in range(max(1, len(t) - SHINGLE + 1))} for t in payloads]
-
-
-def _matches(packs: list[set], a: int, others: np.ndarray, apart):
-    x = packs[a]
-    for b in others.tolist():
-        y = packs[b]
+def _pack(payloads: list[str], key: int):
+    """Signatures, band keys before the group's, and shingle hashes of some lines."""
+    buf = np.frombuffer("\n".join(payloads).encode("utf-8", "replace"), np.uint8)
+    _, start, end, _, c = _line_table(buf, np.array([0, len(buf)]))
+    x, at = _shingles(c, start, end)
+    short = (x >> _U(32)).astype(np.uint32)
+    room = np.empty_like(short)
+    sig = np.stack([minima(short, at[:-1], *f, room) for f in np.concatenate((_HASHES, _MORE))], 1)
+    keys = _band_keys(sig)
+    sets = []
+    for i, j in zip(at[:-1].tolist(), at[1:].tolist()):
+        s = np.sort(x[i:j])
+        sets.append(s[np.concatenate(([True], s[1:] != s[:-1]))])
+    return sig, keys[:, :int((keys[0] == key).argmax())], sets
+
+
+def _matches(packed, a: int, others: np.ndarray, apart):
+    sig, earlier, sets = packed
+    estimate = (sig[others] == sig[a]).mean(1)
+    able = (estimate >= ESTIMATE) & ~(earlier[others] == earlier[a]).any(1)
+    others, estimate = others[able], estimate[able]
+    x = sets[a]
+    for b in others[np.argsort(-estimate, kind="stable")].tolist():
+        y = sets[b]
         if DEN * min(len(x), len(y)) >= NUM * max(len(x), len(y)) and apart(b):
-            k = len(x & y)
+            both = np.concatenate((x, y))
+            both.sort()
+            k = int((both[1:] == both[:-1]).sum())
             if DEN * k >= NUM * (len(x) + len(y) - k):
                 yield b
 

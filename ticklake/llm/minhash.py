@@ -87,25 +87,28 @@ def half_keys(classes: DataFrame) -> DataFrame:
     return classes.select("cls", "sig").mapInArrow(_expand(lambda h: np.ascontiguousarray(h[:, 0])), "key long, item long")
 
 
-def _pack(payloads: list[bytes]):
-    sig = np.frombuffer(b"".join(p[:4 * COUNT] for p in payloads), np.uint32).reshape(len(payloads), COUNT)
-    return sig, [np.frombuffer(p, np.uint32, offset=4 * COUNT) for p in payloads]
+def _pack(payloads: list[bytes], key: int):
+    sigs = [p[:4 * COUNT] for p in payloads]
+    halves = _halves(sigs)[:, 0].view(np.int64)
+    sig = np.frombuffer(b"".join(sigs), np.uint32).reshape(len(payloads), COUNT)
+    return sig, halves[:, :int((halves[0] == key).argmax())], [np.frombuffer(p, np.uint32, offset=4 * COUNT) for p in payloads]
 
 
-def _matches(packs, a: int, others: np.ndarray, apart):
+def _matches(packed, a: int, others: np.ndarray, apart):
     """Positions that reach the similarity on 32-bit shingle hashes, which never count too little; best estimate first."""
-    sig, sets = packs
+    sig, earlier, sets = packed
     estimate = (sig[others] == sig[a]).mean(1)
-    for k in np.argsort(-estimate, kind="stable"):
-        if estimate[k] < ESTIMATE:
-            return
-        x, y = sets[a], sets[others[k]]
-        if DEN * min(len(x), len(y)) >= NUM * max(len(x), len(y)) and apart(others[k]):
+    able = (estimate >= ESTIMATE) & ~(earlier[others] == earlier[a]).any(1)
+    others, estimate = others[able], estimate[able]
+    x = sets[a]
+    for b in others[np.argsort(-estimate, kind="stable")].tolist():
+        y = sets[b]
+        if DEN * min(len(x), len(y)) >= NUM * max(len(x), len(y)) and apart(b):
             both = np.concatenate((x, y))
             both.sort()
             inter = int((both[1:] == both[:-1]).sum())
             if DEN * inter >= NUM * (len(x) + len(y) - inter):
-                yield int(others[k])
+                yield b
 
 
 def _agree(batches):
