@@ -11,11 +11,12 @@ between components is lost, and no pair is a row.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,6 +24,8 @@ from .common import saved
 from .components import components
 
 BLOCK = 512
+SMALL = 48        # members of a group that is compared without preparing it as a whole
+READY = 20_000    # payloads a task keeps ready for further groups
 
 
 @dataclass
@@ -30,11 +33,14 @@ class Evidence:
     """What it takes to compare items. `verify`: from pairs (a, b) to those that are links.
     `payload`: (item, payload) for comparisons within a task: `pack(payloads, key)` prepares the members
     of a group, `matches(packed, a, others, apart)` yields those of the positions `others` that may be
-    links of position a, share no earlier group with it and are still `apart` from it. `groups`: (key, item), fewer and coarser keys than those of the tables, if there are such."""
+    links of position a, share no earlier group with it and are still `apart` from it; for small groups
+    `similar(x, y)` tells it of two payloads made ready by `prepare_one`. `groups`: (key, item), fewer and coarser keys than those of the tables, if there are such."""
     verify: Callable[[DataFrame], DataFrame]
     payload: DataFrame
     pack: Callable
     matches: Callable
+    prepare_one: Callable
+    similar: Callable
     groups: DataFrame | None = None
 
 
@@ -61,6 +67,50 @@ def joining_links(ids: np.ndarray, comp: np.ndarray, left: np.ndarray, right: np
     return out
 
 
+def _compare(by: Evidence) -> Callable:
+    """The joining links of each group; rows come sorted by key, i and j."""
+    pack, matches, prepare_one, similar = by.pack, by.matches, by.prepare_one, by.similar
+
+    def small(rows: list[tuple], ready: dict) -> list[tuple[int, int]]:
+        comp, out, x = [r[5] for r in rows], [], []
+        for r in rows:
+            if r[4] not in ready:
+                ready[r[4]] = prepare_one(r[6])
+            x.append(ready[r[4]])
+        for a in range(len(rows)):
+            for b in range(a):
+                if comp[a] != comp[b] and similar(x[a], x[b]):
+                    out.append((rows[a][4], rows[b][4]))
+                    old, new = comp[b], comp[a]
+                    comp = [new if c == old else c for c in comp]
+        return out
+
+    def run(batches):
+        ready: dict = {}
+        stream = (r for batch in batches for r in zip(*(c.to_pylist() for c in batch.columns)))
+        found: list[tuple[int, int]] = []
+        for (key, i, j), rows in itertools.groupby(stream, key=lambda r: r[:3]):
+            rows = list(rows)
+            if len(rows) <= SMALL and i == j:
+                found += small(rows, ready)
+                if len(ready) > READY:
+                    ready.clear()
+            else:
+                block = np.array([r[3] for r in rows])
+                packed = pack([r[6] for r in rows], key)
+                found += joining_links(np.array([r[4] for r in rows]), np.array([r[5] for r in rows]), np.flatnonzero(block == i),
+                                       np.flatnonzero(block == j), lambda a, others, apart: matches(packed, a, others, apart))
+            if len(found) >= 10_000:
+                yield _links(found)
+                found = []
+        yield _links(found)
+    return run
+
+
+def _links(found: list[tuple[int, int]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)], ["a", "b"])
+
+
 def connect(keys: DataFrame, prepare: Callable[[DataFrame], Evidence], name: str) -> DataFrame:
     """(node, component) over the items (longs) of `keys` (key, item). `prepare` gets all items that
     share a key with another, once. Items without a link have no row."""
@@ -97,15 +147,8 @@ def connect(keys: DataFrame, prepare: Callable[[DataFrame], Evidence], name: str
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     dealt = dealt.join(by.payload, "item").select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
                                                   "block", "item", "component", "payload")
-    pack, matches = by.pack, by.matches
-
-    def compare(key, g: pd.DataFrame) -> pd.DataFrame:
-        ids, block = g["item"].to_numpy(), g["block"].to_numpy()
-        packs = pack(g["payload"].tolist(), key[0])
-        found = joining_links(ids, g["component"].to_numpy(), np.flatnonzero(block == key[1]), np.flatnonzero(block == key[2]),
-                              lambda a, others, apart: matches(packs, a, others, apart))
-        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
-
-    near = saved(dealt.groupBy("key", "i", "j").applyInPandas(compare, "a long, b long").distinct(), f"{name}-near")
+    near = saved(dealt.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "item")
+                 .select("key", "i", "j", "block", "item", "component", "payload")
+                 .mapInArrow(_compare(by), "a long, b long").distinct(), f"{name}-near")
     more(by.verify(near))
     return comp

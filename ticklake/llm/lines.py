@@ -186,6 +186,17 @@ def _matches(packed, a: int, others: np.ndarray, apart):
                 yield b
 
 
+def _ready(text: str) -> set:
+    return {text[i:i + SHINGLE] for i in range(max(1, len(text) - SHINGLE + 1))}
+
+
+def _similar(x: set, y: set) -> bool:
+    if DEN * min(len(x), len(y)) < NUM * max(len(x), len(y)):
+        return False
+    k = len(x & y)
+    return DEN * k >= NUM * (len(x) + len(y) - k)
+
+
 def _confirm(batches):
     for b in batches:
         ok = []
@@ -205,7 +216,7 @@ def fuzzy_lines(docs: DataFrame) -> DataFrame:
         def verify(pairs: DataFrame) -> DataFrame:
             t = {c: texts.select(F.col("line").alias(c), F.col("text").alias(f"t_{c}")) for c in "ab"}
             return pairs.join(t["a"], "a").join(t["b"], "b").select("a", "b", "t_a", "t_b").mapInArrow(_confirm, "a long, b long")
-        return Evidence(verify, texts.select(F.col("line").alias("item"), F.col("text").alias("payload")), _pack, _matches)
+        return Evidence(verify, texts.select(F.col("line").alias("item"), F.col("text").alias("payload")), _pack, _matches, _ready, _similar)
 
     seen = saved(occurrences(docs), "lines")
     comp = connect(band_keys(docs), prepare, "lines")

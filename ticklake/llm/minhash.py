@@ -111,6 +111,20 @@ def _matches(packed, a: int, others: np.ndarray, apart):
                 yield b
 
 
+def _ready(payload: bytes):
+    return np.frombuffer(payload, np.uint32, COUNT), np.frombuffer(payload, np.uint32, offset=4 * COUNT)
+
+
+def _similar(a, b) -> bool:
+    (s, x), (t, y) = a, b
+    if DEN * min(len(x), len(y)) < NUM * max(len(x), len(y)) or (s == t).mean() < ESTIMATE:
+        return False
+    both = np.concatenate((x, y))
+    both.sort()
+    inter = int((both[1:] == both[:-1]).sum())
+    return DEN * inter >= NUM * (len(x) + len(y) - inter)
+
+
 def _agree(batches):
     """Pairs whose estimated similarity leaves the threshold possible."""
     for b in batches:
@@ -158,7 +172,7 @@ def near_duplicates(docs: DataFrame, k: int = 5) -> DataFrame:
                 out = [g + (np.frombuffer(x, _U) >> _U(32)).astype(np.uint32).tobytes() for g, x in zip(b.column(1).to_pylist(), b.column(2).to_pylist())]
                 yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.binary())], ["item", "payload"])
         payload = classes.select("cls", "sig").join(sets, "cls").mapInArrow(shorten, "item long, payload binary")
-        return Evidence(verify, payload, _pack, _matches, half_keys(classes))
+        return Evidence(verify, payload, _pack, _matches, _ready, _similar, half_keys(classes))
 
     comp = connect(table_keys(classes), prepare, "minhash")
     linked = classes.join(comp, F.col("cls") == F.col("node"), "left").select(
