@@ -41,7 +41,7 @@ def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the tokenised documents, packed into sequences."""
-    return packing.pack(packing.tokenised(docs))
+    return packing.pack_documents(docs)
 
 
 STAGES = [("quality", good_documents), ("lines", distinct_lines), ("near_duplicates", distinct_documents),

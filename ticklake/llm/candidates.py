@@ -25,7 +25,7 @@ from .components import components
 
 BLOCK = 512
 SMALL = 48        # members of a group that is compared without preparing it as a whole
-READY = 20_000    # payloads a task keeps ready for further groups
+READY = 1_500     # payloads a task keeps ready for further groups
 
 
 @dataclass

@@ -29,6 +29,7 @@ OPEN = 64
 MIN_CUT = 24
 MERGE = 8             # tasks whose leftovers are merged together
 END_ID = 1
+ROWS = 500             # documents encoded at a time
 TOKENIZER = "byte_bpe_50k"
 PIECE = "doc_id long, start long, length long, doc_tokens long, ids binary, task long, window long, offset long, open boolean"
 #: Texts of these characters alone are split alike by both libraries' patterns.
@@ -118,23 +119,39 @@ def _rows(parts: list, task: int, window: int, open_: bool) -> list[tuple]:
     return out
 
 
-def tokenised(docs: DataFrame, encoder=Encoder) -> DataFrame:
-    """doc_id and the document's ids with the end id, as little-endian unsigned 32-bit binary."""
-    def encode(batches):
+def _encode(encoder=Encoder):
+    """Batches of (doc_id, text) to batches of (doc_id, ids), a few hundred documents at a time."""
+    def run(batches):
         enc = encoder()
         for batch in batches:
-            ids = [np.append(enc(t), np.uint32(END_ID)).astype("<u4").tobytes() for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary())], ["doc_id", "ids"])
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text")).mapInArrow(encode, "doc_id long, ids binary")
+            for lo in range(0, batch.num_rows, ROWS):
+                part = batch.slice(lo, ROWS)
+                ids = [np.append(enc(t), np.uint32(END_ID)).astype("<u4").tobytes() for t in part.column(1).to_pylist()]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.binary())], ["doc_id", "ids"])
+    return run
+
 
+def _texts(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
 
-def pack(tokens: DataFrame, size: int = WINDOW, count: int = OPEN, min_cut: int = MIN_CUT) -> DataFrame:
-    """Pieces of the documents in `tokens` (doc_id, ids): doc_id, start, length,
+
+def tokenised(docs: DataFrame, encoder=Encoder) -> DataFrame:
+    """doc_id and the document's ids with the end id, as little-endian unsigned 32-bit binary."""
+    return _texts(docs).mapInArrow(_encode(encoder), "doc_id long, ids binary")
+
+
+def pack_documents(docs: DataFrame, encoder=Encoder, **options) -> DataFrame:
+    """`pack(tokenised(docs))`, both in one pass of one Python worker a task."""
+    return pack(_texts(docs), before=_encode(encoder), **options)
+
+
+def pack(tokens: DataFrame, size: int = WINDOW, count: int = OPEN, min_cut: int = MIN_CUT, before=None) -> DataFrame:
+    """Pieces of the documents in `tokens` (doc_id, ids; or what `before` makes these batches of): doc_id, start, length,
     doc_tokens, ids (of the piece), sequence_id, offset. Every id lies in exactly one piece."""
     def first(batches):
         from pyspark import TaskContext
         task, windows, n = TaskContext.get().partitionId(), OpenWindows(size, count, min_cut), 0
-        for batch in batches:
+        for batch in before(batches) if before else batches:
             rows = []
             for doc, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 total = len(raw) // 4
@@ -163,7 +180,8 @@ def pack(tokens: DataFrame, size: int = WINDOW, count: int = OPEN, min_cut: int
                 n += 1
             yield _batch(out)
 
-    tail = saved(tokens.select("doc_id", "ids").mapInArrow(first, PIECE), "packed")
+    source = tokens if before else tokens.select("doc_id", "ids")
+    tail = saved(source.mapInArrow(first, PIECE), "packed")
     left = tail.where("open").withColumn("grp", F.expr(f"task div {MERGE}"))
     n = int(tokens.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     merged = (left.repartition(n, "grp").sortWithinPartitions("grp", "task", "window", "offset")
@@ -204,4 +222,4 @@ def digest(pieces: DataFrame) -> DataFrame:
 
 def op7(spark, sf_dir: str) -> DataFrame:
     """All documents, packed."""
-    return digest(pack(tokenised(read(spark, sf_dir, "documents"))))
+    return digest(pack_documents(read(spark, sf_dir, "documents")))
