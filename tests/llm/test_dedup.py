@@ -4,7 +4,8 @@ import hashlib
 import numpy as np
 import pytest
 from conftest import SF_CHECK, SF_SMALL
-from helpers import awkward, documents, nothing, roots, shingles
+from helpers import awkward, documents, nothing, roots, shingles, unit
+from pyspark.sql import functions as F
 
 from ticklake.llm import embeddings, lines, minhash, suffix
 from ticklake.llm.common import read
@@ -229,3 +230,31 @@ def test_hot_vector_group_spreads_and_counts(spark):
     want = plain_vectors(x.astype(float), list(range(len(x))))
     got = {r["vec_id"]: (r["n_links"], r["component_id"], r["kept"]) for r in embeddings.near_duplicates(v).collect()}
     assert np.mean([got[i] == want[i] for i in want]) >= 0.99
+
+
+def planted_vectors(rng, pairs, d, low, high):
+    """Pairs of unit vectors, each of a cosine between the bounds, in random places."""
+    x, z = unit(rng, pairs, d), unit(rng, pairs, d)
+    z -= (z * x).sum(1, keepdims=True) * x
+    cos = rng.uniform(low, high, (pairs, 1))
+    return np.concatenate((x, cos * x + np.sqrt(1 - cos ** 2) * z / np.linalg.norm(z, axis=1, keepdims=True)))
+
+
+def test_vectors_just_above_the_threshold_in_many_cells(spark, monkeypatch):
+    monkeypatch.setattr(embeddings, "PER_CELL", 20)
+    x = planted_vectors(np.random.default_rng(8), 3000, 64, 0.901, 0.93)
+    v = spark.createDataFrame([(i, e) for i, e in enumerate(x.tolist())], "vec_id long, embedding array<double>")
+    assert len(embeddings.fit_cells(v.select(F.col("vec_id").alias("cls"), F.col("embedding").alias("vec")))[64]) == 300
+    got = {r["vec_id"]: (r["n_links"], r["component_id"], r["kept"]) for r in embeddings.near_duplicates(v).collect()}
+    assert got == plain_vectors(x, list(range(len(x))))
+
+
+def test_vector_groups_that_meet_count_each_link_once(spark, monkeypatch):
+    monkeypatch.setattr(embeddings, "PER_CELL", 30)
+    monkeypatch.setattr(embeddings, "BLOCK", 50)
+    rng = np.random.default_rng(9)
+    base = unit(rng, 60, 12)
+    x = np.concatenate([b + rng.normal(scale=0.1, size=(40, 12)) for b in base] + [base[0] + rng.normal(scale=0.02, size=(600, 12))])
+    v = spark.createDataFrame([(i, e) for i, e in enumerate(x.tolist())], "vec_id long, embedding array<double>")
+    got = {r["vec_id"]: (r["n_links"], r["component_id"], r["kept"]) for r in embeddings.near_duplicates(v).collect()}
+    assert got == plain_vectors(x, list(range(len(x))))

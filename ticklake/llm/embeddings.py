@@ -1,12 +1,20 @@
-"""Near-duplicate vectors: spherical k-means cells, blocked cosine products inside them.
+"""Near-duplicate vectors: spherical k-means cells, blocked cosine products between those that a link can join.
 
 Equal vectors collapse to one class first. Cells are fitted on a bounded
-sample (`SAMPLE` vectors, in the order of a hash) and every vector is indexed
-in its `PROBES` nearest cells. A cell's members are split into blocks of about
-`BLOCK`; each pair of blocks is one task-sized matrix product in double
-precision, so a cell of any size spreads over many tasks. A pair that meets in
-several cells counts in the first of them only. Tasks send sums of links per
-vector and a spanning forest of the links, never the pairs.
+sample (`SAMPLE` vectors, in the order of a hash); every vector is at home in
+the cell of its nearest centre. No link is lost between cells: for unit vectors
+x at home in A and y in B with x.y >= t, (x - y).(A - B) <= sqrt(2 - 2t) |A - B|,
+and neither x.(A - B) nor y.(B - A) is negative, so one of the two is at most
+half the bound. A vector visits each cell that it is so close to, and a cell's
+members are compared with each other and with all visitors. The sample thus decides
+about work only, never about results.
+
+Cells are dealt to groups of a bounded size (a large cell to several) and each pair of
+groups of which one visits the other is one task, so each pair of vectors
+meets in one task only. Products are in double precision. Tasks send sums of
+links per vector and a spanning forest of the links, never the pairs. Vectors
+without close centres, as random ones of many dimensions, visit a large part
+of the cells: the work then grows with the square of the table.
 
 Edges: vectors that are null, empty, zero or hold null or non-finite
 components link with nothing and are kept; vectors of different lengths never
@@ -23,15 +31,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import read, saved
-from .components import UnionFind, components
+from .components import components
 
 THRESHOLD = 0.9
 SAMPLE = 20_000
 PER_CELL = 256        # sampled or counted vectors a cell is meant for
 MAX_CELLS = 2048      # the centres that tasks hold
-PROBES = 4
 ROUNDS = 8
-BLOCK = 512
+BLOCK = 512           # rows of a product
+GROUP = 1 << 19       # components that a group of cells is meant for
+GROUPS = 8            # groups of a table that has fewer components than so many groups hold
+SLACK = 1e-9          # for rounding, on the side of more comparisons
 
 
 def spherical_kmeans(x: np.ndarray, k: int, rounds: int = ROUNDS, seed: int = 3) -> np.ndarray:
@@ -64,71 +74,107 @@ def fit_cells(classes: DataFrame, sample: int = SAMPLE) -> dict[int, np.ndarray]
     return out
 
 
-def _cells(centres: dict[int, np.ndarray], probes: int):
+def _homes(centres: dict[int, np.ndarray]):
     def assign(batches):
         for batch in batches:
-            vecs = batch.column(1).to_pylist()
-            cells: list = [[]] * len(vecs)
-            for d in {len(v) for v in vecs}:
+            vecs = batch.column(2).to_pylist()
+            home = np.zeros(len(vecs), np.int32)  # a length that the sample missed: one cell
+            for d in {len(v) for v in vecs} & centres.keys():
                 rows = [i for i, v in enumerate(vecs) if len(v) == d]
-                if d not in centres:  # a length that the sample missed: one cell, split into blocks like any other
-                    for i in rows:
-                        cells[i] = [0]
-                    continue
-                s = _unit([vecs[i] for i in rows]) @ centres[d].T
-                p = min(probes, s.shape[1])
-                top = np.sort(np.argpartition(-s, p - 1, axis=1)[:, :p], axis=1)
-                for i, t in zip(rows, top.tolist()):
-                    cells[i] = t
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(cells, pa.list_(pa.int32()))], ["cls", "cells"])
+                home[rows] = (_unit([vecs[i] for i in rows]) @ centres[d].T).argmax(1)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([len(v) for v in vecs], pa.int32()), pa.array(home)],
+                                             ["cls", "many", "vec", "dim", "cell"])
     return assign
 
 
-def _blocks(threshold: float):
-    """Links between the blocks i and j of a cell: per class how many vectors it links to, and a forest of the links."""
+def _visits(x: np.ndarray, home: np.ndarray, c: np.ndarray, cells: np.ndarray, threshold: float) -> np.ndarray:
+    """Vectors by cells: whether the vector is at home in the cell or so close to it that it visits."""
+    half = np.sqrt(max(0.0, 2 - 2 * (threshold - SLACK))) / 2
+    out = np.empty((len(x), len(cells)), bool)
+    for a in np.unique(home):
+        rows = np.flatnonzero(home == a)
+        apart = c[a] - c[cells]
+        out[rows] = x[rows] @ apart.T <= half * np.linalg.norm(apart, axis=1) + SLACK
+    return out
+
+
+def _centres(centres: dict[int, np.ndarray], d: int) -> np.ndarray:
+    return centres[d] if d in centres else np.zeros((1, d))
+
+
+def _pack(centres: dict[int, np.ndarray], threshold: float):
+    """A group as one row: its vectors and their classes as bytes, and the cells its vectors are at home in or visit."""
     def run(key, g: pd.DataFrame) -> pd.DataFrame:
-        _, cell, i, j = key
-        x = np.array(g["vec"].tolist(), np.float64)
-        x /= np.linalg.norm(x, axis=1, keepdims=True)
-        left = np.flatnonzero(g["block"].to_numpy() == i)
-        right = np.flatnonzero(g["block"].to_numpy() == j)
-        cls, many, cells = g["cls"].to_numpy(), g["many"].to_numpy(), g["cells"].tolist()
-        count, uf = np.zeros(len(g), np.int64), UnionFind()
-        width = max(map(len, cells))
-        table = np.array([np.pad(c, (0, width - len(c)), constant_values=-1) for c in cells])
-        for lo in range(0, len(left), BLOCK):
-            rows = left[lo:lo + BLOCK]
-            a, b = np.nonzero(x[rows] @ x[right].T >= threshold)
-            a, b = rows[a], right[b]
-            if i == j:
-                a, b = a[a < b], b[a < b]
-            if not len(a):
-                continue
-            # a pair counts in the first of the cells that both are in
-            earlier = (table[a][:, :, None] == table[b][:, None, :]) & (table[a][:, :, None] >= 0) & (table[a][:, :, None] < cell)
-            first = ~earlier.any((1, 2))
-            np.add.at(count, a[first], many[b[first]])
-            np.add.at(count, b[first], many[a[first]])
-            for u, v in _forest(a[first], b[first]):
-                uf.union(int(cls[u]), int(cls[v]))
-        nodes = np.fromiter(uf.up, np.int64, len(uf.up))
-        roots = {int(x): uf.find(int(x)) for x in nodes}
-        hit = count > 0
-        return pd.DataFrame({"cls": cls[hit], "links": count[hit], "root": [roots.get(int(c), int(c)) for c in cls[hit]]})
+        x, home, c = np.array(g["vec"].tolist(), np.float64), g["cell"].to_numpy(), _centres(centres, key[0])
+        with np.errstate(over="ignore"):
+            short = x.astype(np.float32)
+        seen = _visits(x / np.linalg.norm(x, axis=1, keepdims=True), home, c, np.arange(len(c)), threshold).any(0)
+        return pd.DataFrame({"dim": [key[0]], "grp": [key[1]], "cls": [g["cls"].to_numpy(np.int64).tobytes()],
+                             "many": [g["many"].to_numpy(np.int64).tobytes()], "home": [home.astype(np.int32).tobytes()],
+                             "vecs": [(short if (short == x).all() else x).tobytes()],  # floats stay floats
+                             "cells": [np.unique(home).tolist()], "visits": [np.flatnonzero(seen).tolist()]})
     return run
 
 
-def _forest(a: np.ndarray, b: np.ndarray):
-    """A spanning forest of local pairs (positions)."""
-    uf = UnionFind()
-    for u, v in zip(a.tolist(), b.tolist()):
-        if uf.find(u) != uf.find(v):
-            uf.union(u, v)
-            yield u, v
+def _links(x, hx, y, hy, c, threshold: float, same: bool):
+    """Links between x and y (the same vectors: each link once) as arrays of positions, a part at a time."""
+    def products(u, hu, v, cells, visits):
+        for k, cell in enumerate(cells):
+            cols = np.flatnonzero(visits[:, k])
+            near, members = v[cols].T, np.flatnonzero(hu == cell)
+            for lo in range(0, len(members) if len(cols) else 0, BLOCK):
+                rows = members[lo:lo + BLOCK]
+                a, b = np.nonzero(u[rows] @ near >= threshold)
+                yield rows[a], cols[b]
+
+    cx, cy = np.unique(hx), np.unique(hy)
+    to_x = _visits(y, hy, c, cx, threshold)
+    for a, b in products(x, hx, y, cx, to_x):
+        if same:  # both may visit: the pair counts in the first of their cells
+            back = to_x[a, np.searchsorted(cx, hy[b])]
+            once = np.where(hx[a] == hy[b], a < b, ~back | (hx[a] < hy[b]))
+            a, b = a[once], b[once]
+        yield a, b
+    if not same:
+        for b, a in products(y, hy, x, cy, _visits(x, hx, c, cy, threshold)):
+            new = ~to_x[b, np.searchsorted(cx, hx[a])]
+            yield a[new], b[new]
+
+
+def _join(root: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The smallest position each position is connected to, links a-b added."""
+    while True:
+        u, v = root[a], root[b]
+        apart = u != v
+        if not apart.any():
+            return root
+        a, b, u, v = a[apart], b[apart], u[apart], v[apart]
+        np.minimum.at(root, np.maximum(u, v), np.minimum(u, v))
+        while (root[root] != root).any():
+            root = root[root]
+
+
+def _compare(centres: dict[int, np.ndarray], threshold: float):
+    """Links between two groups, or inside one: per class how many vectors it links to, and a forest of the links."""
+    def run(key, g: pd.DataFrame) -> pd.DataFrame:
+        d = key[0]
+        cls, many, home = (np.concatenate([np.frombuffer(v, t) for v in g[k]]) for k, t in (("cls", np.int64), ("many", np.int64), ("home", np.int32)))
+        x = np.concatenate([np.frombuffer(v, np.float32 if len(v) == len(w) // 8 * d * 4 else np.float64).astype(np.float64).reshape(-1, d)
+                            for v, w in zip(g["vecs"], g["cls"])])
+        x /= np.linalg.norm(x, axis=1, keepdims=True)
+        cut, same = len(g["cls"].iloc[0]) // 8, len(g) == 1
+        second = 0 if same else cut
+        count, root = np.zeros(len(cls), np.int64), np.arange(len(cls))
+        for a, b in _links(x[:cut], home[:cut], x[second:], home[second:], _centres(centres, d), threshold, same):
+            b = b + second
+            count += np.bincount(a, many[b], len(cls)).astype(np.int64) + np.bincount(b, many[a], len(cls)).astype(np.int64)
+            root = _join(root, a, b)
+        hit = count > 0
+        return pd.DataFrame({"cls": cls[hit], "links": count[hit], "root": cls[root[hit]]})
+    return run
 
 
-def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", threshold: float = THRESHOLD,
-                    probes: int = PROBES) -> DataFrame:
+def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", threshold: float = THRESHOLD) -> DataFrame:
     """vec_id, n_links, component_id, kept for each row."""
     spark: SparkSession = vectors.sparkSession
     v = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vec_col).cast("array<double>").alias("vec"))
@@ -140,18 +186,30 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "
     v = v.withColumn("vec", F.when(F.col("sound"), F.transform("vec", lambda e: e + 0.0)))
     classes = saved(v.where("sound").groupBy("vec").agg(F.min("vec_id").alias("cls"), F.count("*").alias("many")), "classes")
     centres = fit_cells(classes)
-    cells = classes.select("cls", "vec").mapInArrow(_cells(centres, probes), "cls long, cells array<int>")
+    placed = saved(classes.select("cls", "many", "vec").mapInArrow(
+        _homes(centres), "cls long, many long, vec array<double>, dim int, cell int"), "cells")
     # cell sizes: one row for each cell, at most lengths x MAX_CELLS
-    placed = saved(cells.join(classes, "cls").select("cls", "many", "vec", F.size("vec").alias("dim"), "cells",
-                                                     F.explode("cells").alias("cell")), "cells")
-    size = {(r["dim"], r["cell"]): r["n"] for r in placed.groupBy("dim", "cell").agg(F.count("*").alias("n")).collect()}
-    parts = [(d, c, -(-n // BLOCK)) for (d, c), n in size.items() if n > 1]
-    parts = F.broadcast(spark.createDataFrame(parts, "dim int, cell int, parts int"))
-    dealt = placed.join(parts, ["dim", "cell"]).withColumn("block", F.pmod(F.xxhash64("cls"), F.col("parts")).cast("int"))
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    dealt = dealt.select("dim", "cell", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
-                         "cls", "many", "vec", "cells", "block")
-    found = saved(dealt.groupBy("dim", "cell", "i", "j").applyInPandas(_blocks(threshold), "cls long, links long, root long"), "vector-links")
+    size = sorted((r["dim"], r["cell"], r["n"]) for r in placed.groupBy("dim", "cell").agg(F.count("*").alias("n")).collect())
+    total, before, layout = {}, {}, []
+    for d, _, n in size:
+        total[d] = total.get(d, 0) + n
+    for d, c, n in size:
+        room = max(BLOCK, min(total[d] // GROUPS, GROUP // d))
+        layout.append((d, c, n, -(-n // room), before.get(d, 0), room))
+        before[d] = before.get(d, 0) + n
+    layout = F.broadcast(spark.createDataFrame(layout, "dim int, cell int, n long, parts long, before long, room long"))
+    part = F.pmod(F.xxhash64("cls"), F.col("parts"))
+    dealt = placed.join(layout, ["dim", "cell"]).withColumn(
+        "grp", F.floor((F.col("before") + (part + 0.5) * F.col("n") / F.col("parts")) / F.col("room")).cast("int"))
+    groups = saved(dealt.select("dim", "grp", "cls", "many", "vec", "cell").groupBy("dim", "grp").applyInPandas(
+        _pack(centres, threshold), "dim int, grp int, cls binary, many binary, home binary, vecs binary, cells array<int>, visits array<int>"),
+        "vector-groups")
+    at_home = groups.select("dim", F.col("grp").alias("host"), F.explode("cells").alias("cell"))
+    meet = (groups.select("dim", "grp", F.explode("visits").alias("cell")).join(at_home, ["dim", "cell"])
+            .select("dim", F.least("grp", "host").alias("i"), F.greatest("grp", "host").alias("j")).distinct())
+    meet = meet.withColumn("grp", F.explode(F.array_distinct(F.array("i", "j"))))
+    found = saved(groups.select("dim", "grp", "cls", "many", "home", "vecs").join(meet, ["dim", "grp"]).groupBy("dim", "i", "j")
+                  .applyInPandas(_compare(centres, threshold), "cls long, links long, root long"), "vector-links")
     counts = found.groupBy("cls").agg(F.sum("links").alias("links"))
     comp = components(found, "cls", "root")
     per_class = (classes.join(counts, "cls", "left").join(comp.withColumnRenamed("node", "cls"), "cls", "left")
