@@ -106,6 +106,21 @@ def test_lines_against_brute_force(spark):
         assert got[p]["kept"] == (first.setdefault(c, p) == p)
 
 
+def test_large_line_groups_are_compared_exactly():
+    rng = np.random.default_rng(2)
+    lost = 0
+    for _ in range(10):
+        base = ["".join(rng.choice(list("abcdefghijklmnop"), 89 + lines.SHINGLE)) for _ in range(500)]
+        edited = [t[:-10] + "".join(rng.choice(list("qrstuvwxyz"), 10)) for t in base]  # 80 of 100 shingles in common
+        assert lines.jaccard(base[0], edited[0]) == (80, 100)
+        packed = lines._pack(base + edited, 0)
+        for a in range(500):
+            found = list(lines._matches(packed, a, np.arange(500, 1000), lambda b: True))
+            assert set(found) <= {a + 500}
+            lost += not found
+    assert lost == 0
+
+
 def test_op1_exact_copies_on_the_table(spark):
     """Every line of an equal text belongs to the same component; all lines are there."""
     docs = read(spark, SF_SMALL, "documents").collect()

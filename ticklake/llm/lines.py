@@ -28,8 +28,6 @@ SHINGLE = 9
 ROWS, BANDS = 4, 10
 NUM, DEN = 8, 10
 _HASHES = hash_functions(ROWS * BANDS, 21)
-_MORE = hash_functions(216, 22)  # with those of the bands 256, for estimates
-ESTIMATE = 0.72                  # of them must agree before sets are compared: 3 standard deviations below 0.8
 _CHAR = _U(0xD6E8FEB86659FD93)
 
 
@@ -155,35 +153,31 @@ def jaccard(a: str, b: str) -> tuple[int, int]:
 
 
 def _pack(payloads: list[str], key: int):
-    """Signatures, band keys before the group's, and shingle hashes of some lines."""
+    """Band keys before the group's, and the lines' distinct shingles, numbered within the group and laid end to end."""
     buf = np.frombuffer("\n".join(payloads).encode("utf-8", "replace"), np.uint8)
     _, start, end, _, c = _line_table(buf, np.array([0, len(buf)]))
     x, at = _shingles(c, start, end)
     short = (x >> _U(32)).astype(np.uint32)
     room = np.empty_like(short)
-    sig = np.stack([minima(short, at[:-1], *f, room) for f in np.concatenate((_HASHES, _MORE))], 1)
-    keys = _band_keys(sig)
-    sets = []
-    for i, j in zip(at[:-1].tolist(), at[1:].tolist()):
-        s = np.sort(x[i:j])
-        sets.append(s[np.concatenate(([True], s[1:] != s[:-1]))])
-    return sig, keys[:, :int((keys[0] == key).argmax())], sets
+    keys = _band_keys(np.stack([minima(short, at[:-1], *f, room) for f in _HASHES], 1))
+    known, number = np.unique(x, return_inverse=True)
+    line = np.repeat(np.arange(len(at) - 1), np.diff(at))
+    once = np.unique(line * len(known) + number)
+    begin = np.searchsorted(once, np.arange(len(at)) * len(known))
+    return keys[:, :int((keys[0] == key).argmax())], once % len(known), begin, np.zeros(len(known), bool)
 
 
 def _matches(packed, a: int, others: np.ndarray, apart):
-    sig, earlier, sets = packed
-    estimate = (sig[others] == sig[a]).mean(1)
-    able = (estimate >= ESTIMATE) & ~(earlier[others] == earlier[a]).any(1)
-    others, estimate = others[able], estimate[able]
-    x = sets[a]
-    for b in others[np.argsort(-estimate, kind="stable")].tolist():
-        y = sets[b]
-        if DEN * min(len(x), len(y)) >= NUM * max(len(x), len(y)) and apart(b):
-            both = np.concatenate((x, y))
-            both.sort()
-            k = int((both[1:] == both[:-1]).sum())
-            if DEN * k >= NUM * (len(x) + len(y) - k):
-                yield b
+    earlier, shingle, begin, mark = packed
+    others = others[~(earlier[others] == earlier[a]).any(1)]
+    size, own = np.diff(begin), shingle[begin[a]:begin[a + 1]]
+    mark[own] = True
+    both = np.add.reduceat(mark[shingle], begin[:-1], dtype=np.int64)[others]
+    mark[own] = False
+    similar = DEN * both >= NUM * (size[a] + size[others] - both)
+    for b in others[similar][np.argsort(-both[similar], kind="stable")].tolist():
+        if apart(b):
+            yield b
 
 
 def _ready(text: str) -> set:
