@@ -82,6 +82,28 @@ def test_compaction_keeps_rows(spark, tmp_dir):
     assert inv.where(F.col("partition") == f"source={r.source}/coin_id={r.coin_id}/dt={r.dt}").count() == 1
 
 
+def test_compaction_of_all_days_in_one_write(spark, tmp_dir):
+    u = parse_events(D.raw_log(D.table(spark, SF_SMALL, "events")), keep=("event_id",))
+    lake = f"{tmp_dir}/lake"
+    SK.append_lake(u, lake, 0)
+    SK.append_lake(u, lake, 1)  # each row twice
+    SK.compact_days(spark, lake, days=None, ids=("event_id",))
+    levels = spark.read.parquet(lake).select("source", "coin_id", "dt", "batch").distinct()
+    assert levels.count() == levels.select("source", "coin_id", "dt").distinct().count() == u.select("source", "coin_id", "dt").distinct().count()
+    assert levels.select("batch").distinct().count() == 1
+    cols = [c for c in u.columns if c in SK.read_lake(spark, lake).columns]
+    assert SK.read_lake(spark, lake).select(*cols).exceptAll(u.select(*cols)).isEmpty() and SK.read_lake(spark, lake).count() == u.count()
+
+
+def test_lake_compaction_query_leaves_one_level_a_day(spark, monkeypatch):
+    import __spark_entry__ as E
+    paths, append = set(), SK.append_lake
+    monkeypatch.setattr(SK, "append_lake", lambda df, path, *a, **k: paths.add(path) or append(df, path, *a, **k))
+    E.queries()["lake_compaction"](spark, SF_SMALL).count()
+    lake = spark.read.parquet(*paths)
+    assert lake.groupBy("source", "coin_id", "dt").agg(F.countDistinct("batch").alias("n")).where("n > 1").isEmpty()
+
+
 def test_insert_if_absent_first_wins_and_skips_conflicts(spark):
     ex = spark.createDataFrame([("a", 1)], "k string, v long")
     b = spark.createDataFrame([("a", 5), ("b", 3), ("b", 2)], "k string, v long")

@@ -12,8 +12,9 @@
   share one; writing it again replaces exactly its own files. With ``ids``
   rows whose log position is already stored in a touched partition are left
   out, so a replay under another name adds nothing.
-* ``compact_lake``: writes a day's rows as one new level, then removes the
-  levels it replaces; run again after a crash it drops what was doubled.
+* ``compact_lake`` / ``compact_days``: write the rows of one or many days as one
+  new level, in one job, then remove the levels it replaces; run again after a
+  crash they drop what was doubled.
 
 Every action is a Spark job (task retries survive a lost executor) and can
 be re-run with the same arguments to the same result.
@@ -193,33 +194,36 @@ def read_lake(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).drop(BATCH_COL)
 
 
+def _compact(spark: SparkSession, path: str, partitions: Sequence[str], ids: Sequence[str], rows_per_file: int) -> None:
+    """Rewrite the listed partitions (source=/coin_id=/dt= folders) as one new level, in one job. Only listed
+    levels are read and removed, so what lands meanwhile stays."""
+    ensure_conf(spark)
+    old = [f"{path}/{p}/{name}" for p in partitions for name in folders(spark, f"{path}/{p}")]
+    if not old:
+        return
+    rows = spark.read.option("basePath", path).parquet(*old).drop(BATCH_COL)
+    if ids:
+        rows = rows.dropDuplicates([*LAKE_PARTITIONS, *ids])
+    append = rows.withColumn(BATCH_COL, F.lit(f"compacted-{uuid.uuid4().hex[:12]}")).hint("rebalance", *LAKE_PARTITIONS).write.mode("append")
+    append.option("maxRecordsPerFile", rows_per_file).partitionBy(*LAKE_PARTITIONS, BATCH_COL).parquet(path)
+    for level in old:
+        remove_path(spark, level)
+
+
 def compact_lake(spark: SparkSession, path: str, source: str, coin_id: str, dt: str, *, ids: Sequence[str] = (),
                  rows_per_file: int = 1_000_000) -> None:
     """Rewrite one (source, coin, day) into few files, each task writing about
     one. The new level is written before the old ones are removed, so a crash
     loses nothing; with ``ids`` the next run drops what it left twice. Each run's
     level has a name of its own."""
-    ensure_conf(spark)
-    day = f"{path}/source={source}/coin_id={coin_id}/dt={dt}"
-    old = folders(spark, day)
-    if not old:
-        return
-    level = f"compacted-{uuid.uuid4().hex[:12]}"
-    rows = spark.read.parquet(day).drop(BATCH_COL)
-    if ids:
-        rows = rows.dropDuplicates(list(ids))
-    files = max(1, -(-rows.count() // rows_per_file))
-    rows.repartition(files).write.parquet(f"{day}/{BATCH_COL}={level}")
-    for name in old:
-        remove_path(spark, f"{day}/{name}")
-
-
-def compact_days(spark: SparkSession, path: str, *, days: int = 1, ids: Sequence[str] = ()) -> None:
-    """Compact the oldest ``days`` days of every source and coin; partitions come from the store's listing."""
-    for s in folders(spark, path):
-        for c in folders(spark, f"{path}/{s}"):
-            for d in folders(spark, f"{path}/{s}/{c}")[:days]:
-                compact_lake(spark, path, s.partition("=")[2], c.partition("=")[2], d.partition("=")[2], ids=ids)
+    _compact(spark, path, [f"source={source}/coin_id={coin_id}/dt={dt}"], ids, rows_per_file)
+
+
+def compact_days(spark: SparkSession, path: str, *, days: int | None = 1, ids: Sequence[str] = (), rows_per_file: int = 1_000_000) -> None:
+    """Compact the oldest ``days`` days (None: all) of every source and coin, in one
+    job as ``compact_lake`` does; partitions come from the store's listing."""
+    _compact(spark, path, [f"{s}/{c}/{d}" for s in folders(spark, path) for c in folders(spark, f"{path}/{s}")
+                           for d in folders(spark, f"{path}/{s}/{c}")[:days]], ids, rows_per_file)
 
 
 def lake_inventory(spark: SparkSession, path: str, *, last: int = 30) -> DataFrame:

@@ -304,9 +304,9 @@ def _sinks(q: dict[str, Callable[[Inputs], DataFrame]]) -> None:
         return SK.read_lake(i.spark, land(i)).select(*lake_cols)
 
     def lake_compaction(i: Inputs) -> DataFrame:
-        """Land, compact the oldest days of every source and coin, read back."""
+        """Land, compact all days of every source and coin, read back."""
         path = land(i)
-        SK.compact_days(i.spark, path, days=3, ids=("event_id",))
+        SK.compact_days(i.spark, path, days=None, ids=("event_id",))
         return SK.read_lake(i.spark, path).select(*lake_cols)
 
     def lake_rows(i: Inputs) -> DataFrame:
