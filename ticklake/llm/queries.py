@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import embeddings, lines, merkle, minhash, mixing, packing, quality, secrets, suffix, warc
+from . import ann, embeddings, lines, manifest, merkle, minhash, mixing, packing, periods, quality, secrets, suffix, warc
 
 
 def queries() -> dict:
@@ -17,8 +17,11 @@ def queries() -> dict:
         "op8_quality": quality.op8,
         "op9_merkle": merkle.op9,
         "op10_minhash_dedup": minhash.op10,
+        "op11_periodic_runs": periods.op11,
+        "op12_graph_ann": ann.op12,
+        "op13_merkle_manifest": manifest.op13,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_warc": warc.OP3_SQL}
+    return {"op3_warc": warc.OP3_SQL, "op13_merkle_manifest": manifest.OP13_SQL}
