@@ -3,7 +3,8 @@
 * ``merge_by_key`` / ``upsert_by_key``: keyed upsert. Per key the row of the
   greatest ``order`` (stored with the row) wins, whatever order batches come
   in, so a replay of any batch changes nothing; the first ``ingested_at`` of a
-  key is kept. Only the partitions the batch touches are read (a literal
+  key is kept. A batch may lack stored columns (a key keeps their values, new
+  keys have NULL) and bring new ones (see ``tables``); another type fails. Only the partitions the batch touches are read (a literal
   partition filter), batch rows without a stored key are appended, and only
   partitions in which a stored row loses are rewritten, from a staging copy.
 * ``insert_if_absent``: in-batch dedupe (first wins) + anti join + append.
@@ -27,7 +28,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from ticklake.operators import tables as TB
 from ticklake.operators.keyed import dedupe_by_key, top1_by_key
 from ticklake.schemas import LAKE_PARTITIONS
 from ticklake.session import ensure_conf, folders, path_exists, remove_path, work_path
@@ -53,13 +56,16 @@ def merge_by_key(existing: DataFrame | None, batch: DataFrame, key: Sequence[str
     new = latest_per_key(batch, key, order)
     if existing is None:
         return new
-    new, keep = _winners(existing, new, key, order, keep_first)
+    TB.check_types(existing.schema, new.schema)
+    absent = [f for f in existing.schema.fields if f.name not in new.columns]
+    new = new.withColumns({f.name: F.lit(None).cast(f.dataType) for f in absent})
+    new = _winners(existing, new, key, order, [*keep_first, *[f.name for f in absent]])
     kept = existing.join(new.select(*key), on=list(key), how="left_anti")
-    return kept.unionByName(new.drop("_stored").select(*existing.columns))
+    return kept.unionByName(new.drop("_stored"), allowMissingColumns=True)
 
 
 def _winners(existing: DataFrame, new: DataFrame, key: Sequence[str], order: Sequence[str],
-             keep_first: Sequence[str]) -> tuple[DataFrame, list[str]]:
+             keep_first: Sequence[str]) -> DataFrame:
     """The rows of ``new`` (one per key) that beat the stored row or have none;
     ``_stored`` tells which. ``existing`` needs key, order and kept columns only."""
     keep = [c for c in keep_first if c in existing.columns and c in new.columns]
@@ -68,7 +74,7 @@ def _winners(existing: DataFrame, new: DataFrame, key: Sequence[str], order: Seq
     j = new.join(old, on=list(key), how="left")
     j = j.where(F.col("_old_order").isNull() | (F.struct(*[F.col(c) for c in order]) > F.col("_old_order")))
     return j.select(*[F.coalesce(F.col(f"_old_{c}"), F.col(c)).alias(c) if c in keep else F.col(c) for c in new.columns],
-                    F.col("_old_order").isNotNull().alias("_stored")), keep
+                    F.col("_old_order").isNotNull().alias("_stored"))
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
@@ -92,11 +98,13 @@ def touched_filter(values: list, parts: Sequence[str]):
 
 
 def upsert_by_key(batch: DataFrame, path: str, key: Sequence[str], order: Sequence[str], *,
-                  partition_by: Sequence[str] = ("dt",), keep_first: Sequence[str] = ("ingested_at",)) -> None:
+                  partition_by: Sequence[str] = ("dt",), keep_first: Sequence[str] = ("ingested_at",), sync: bool = False) -> None:
     """Upsert ``batch`` into the Parquet table at ``path`` (action).
 
     ``key`` must determine the partition columns (e.g. ``dt`` from
-    ``recorded_at``) and ``order`` must be stored columns.
+    ``recorded_at``) and ``order`` must be stored columns. Columns that the
+    batch brings are added to the table; stored columns that it lacks keep
+    their values, or with ``sync`` are dropped from the whole table.
     """
     spark = ensure_conf(batch.sparkSession)
     parts = list(partition_by)
@@ -106,13 +114,17 @@ def upsert_by_key(batch: DataFrame, path: str, key: Sequence[str], order: Sequen
     new = spark.read.schema(batch.schema).parquet(staged)
     if not table_exists(spark, path):
         new.hint("rebalance", *parts).write.mode("append").partitionBy(*parts).parquet(path)
+        TB.declare(spark, path, T.StructType([*[f for f in batch.schema.fields if f.name not in parts], *[batch.schema[c] for c in parts]]))
         remove_path(spark, staged)
         return
+    schema = TB.evolve(spark, path, batch.schema, sync=sync, parts=tuple(parts))
+    absent = [c for c in schema.names if c not in batch.columns]
+    new = TB.fill(new, schema)
     touched = [tuple(r) for r in new.select(*parts).distinct().collect()]  # partition values of one batch
     if touched:
-        stored = spark.read.schema(batch.schema).parquet(path).where(touched_filter(touched, parts))
-        win, _ = _winners(stored.select(*dict.fromkeys([*full_key, *order, *[c for c in keep_first if c in batch.columns]])),
-                          new, full_key, order, keep_first)
+        stored = spark.read.schema(schema).parquet(path).where(touched_filter(touched, parts))
+        keep = [*[c for c in keep_first if c in batch.columns], *absent]
+        win = _winners(stored.select(*dict.fromkeys([*full_key, *order, *keep])), new, full_key, order, keep)
         won = work_path(spark, "upsert-winners")
         win.write.parquet(won)
         win = spark.read.schema(win.schema).parquet(won)
@@ -120,14 +132,14 @@ def upsert_by_key(batch: DataFrame, path: str, key: Sequence[str], order: Sequen
         if clash:
             inside = touched_filter(clash, parts)
             rewrite = work_path(spark, "upsert-rewrite")
-            rows = win.where(inside).drop("_stored").select(*batch.columns)
-            kept = stored.where(inside).join(rows.select(*full_key), on=full_key, how="left_anti").select(*batch.columns)
+            rows = win.where(inside).drop("_stored").select(*schema.names)
+            kept = stored.where(inside).join(rows.select(*full_key), on=full_key, how="left_anti").select(*schema.names)
             kept.unionByName(rows).hint("rebalance", *parts).write.partitionBy(*parts).parquet(rewrite)
-            (spark.read.schema(batch.schema).parquet(rewrite).select(*batch.columns)
+            (spark.read.schema(schema).parquet(rewrite).select(*schema.names)
              .hint("rebalance", *parts).write.mode("overwrite").partitionBy(*parts).parquet(path))
             remove_path(spark, rewrite)
             win = win.where(~F.coalesce(inside, F.lit(False)))
-        (win.drop("_stored").select(*batch.columns).hint("rebalance", *parts)
+        (win.drop("_stored").select(*schema.names).hint("rebalance", *parts)
          .write.mode("append").partitionBy(*parts).parquet(path))
         remove_path(spark, won)
     remove_path(spark, staged)

@@ -121,6 +121,18 @@ def _silver_late(i: Inputs) -> DataFrame:
     return S.clean_prices(i.stg, existing=first)
 
 
+def _silver_column_sync(i: Inputs) -> DataFrame:
+    """Three runs over a written table whose source has a grade at first, then a venue
+    instead, then both: a column is dropped from all days and comes back empty."""
+    from ticklake.session import work_path
+    path = work_path(i.spark, "silver-columns")
+    raw = i.raw.withColumns({"grade": F.floor("price_usd").cast("long") % 10, "venue": F.upper(F.trim("source"))})
+    until = lambda days: F.col("recorded_at") < i.as_of - F.expr(f"INTERVAL {days} DAYS")
+    for part in (raw.drop("venue").where(until(14)), raw.drop("grade").where(until(7)), raw):
+        out = S.refresh_silver(i.spark, S.stg_prices(part, S.source_columns(part)), path)
+    return out
+
+
 def _bi(name: str) -> Callable[[Inputs], DataFrame]:
     def f(i: Inputs) -> DataFrame:
         return B.bi(name, i.gold())
@@ -134,6 +146,7 @@ def catalog() -> dict[str, Query]:
         "silver_clean": lambda i: i.clean,
         "silver_incremental": _silver_incremental,
         "silver_late_arrivals": _silver_late,
+        "silver_column_sync": _silver_column_sync,
         "latest_prices": lambda i: i.latest,
         "latest_by_source": lambda i: i.lbs,
         "source_comparison": lambda i: i.comparison,

@@ -139,6 +139,13 @@ fresh AS ({_distinct_on("(SELECT * FROM stg WHERE recorded_at > (SELECT coalesce
             f"""{sel_clean} FROM first_load
 WHERE NOT EXISTS (SELECT 1 FROM fresh f WHERE f.coin_id = first_load.coin_id AND f.source = first_load.source AND f.recorded_at = first_load.recorded_at)
 UNION ALL {sel_clean} FROM fresh"""),
+        "silver_column_sync": _w(STG + ",\n" + ASOF + f""",
+run1 AS ({_distinct_on("(SELECT * FROM stg WHERE recorded_at < (SELECT as_of FROM ref_time) - INTERVAL 14 DAY)")}),
+run2 AS ({_distinct_on("(SELECT * FROM stg WHERE recorded_at < (SELECT as_of FROM ref_time) - INTERVAL 7 DAY AND recorded_at > (SELECT max(recorded_at) FROM run1))")}),
+run3 AS ({_distinct_on("(SELECT * FROM stg WHERE recorded_at > (SELECT max(recorded_at) FROM (SELECT * FROM run1 UNION ALL SELECT * FROM run2)))")})""",
+            """SELECT *, CAST(NULL AS VARCHAR) AS venue, CAST(NULL AS BIGINT) AS grade FROM run1
+UNION ALL SELECT *, upper(source), CAST(NULL AS BIGINT) FROM run2
+UNION ALL SELECT *, upper(source), CAST(floor(price_usd) AS BIGINT) % 10 FROM run3"""),
         "latest_prices": _w(GOLD, "SELECT * FROM latest"),
         "latest_by_source": _w(GOLD, "SELECT * FROM lbs"),
         "source_comparison": _w(GOLD, "SELECT * FROM cmp"),

@@ -14,10 +14,8 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ticklake.operators import checks as C
-from ticklake.operators import sinks as SK
 from ticklake.plans import gold as G
 from ticklake.plans import quality as QL
 from ticklake.plans import silver as S
@@ -49,7 +47,8 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, warehouse: str, *, as_of,
     """Build the models in dependency order (action).
 
     The source and every model are tested right after they are built; a failing
-    test stops the dependants, except of the names in ``gate_off``.
+    test stops the dependants, except of the names in ``gate_off``. Columns that
+    the source has gained reach silver, those it has lost leave it.
     """
     ensure_conf(spark)
     path = lambda m: f"{warehouse.rstrip('/')}/{m}"
@@ -58,24 +57,12 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, warehouse: str, *, as_of,
     results: list[DataFrame] = []
 
     def silver_build(t: dict[str, DataFrame]) -> DataFrame:
-        """Full refresh rewrites the table; an incremental run upserts only the
-        new rows into the day partitions they touch."""
-        existing = None
-        if not full_refresh and SK.table_exists(spark, path("silver")):
-            existing = spark.read.parquet(path("silver"))
-        if existing is None:
-            (S.clean_prices(t["stg_prices"]).withColumn("dt", F.date_format("recorded_at", "yyyy-MM-dd"))
-             .write.mode("overwrite").partitionBy("dt").parquet(path("silver")))
-        else:
-            new = S.new_rows(t["stg_prices"], existing.select(*S.SILVER_COLUMNS))
-            SK.upsert_by_key(new.withColumn("dt", F.date_format("recorded_at", "yyyy-MM-dd")), path("silver"),
-                             ["coin_id", "source", "recorded_at"], ["recorded_at"], keep_first=())
-        return spark.read.parquet(path("silver")).select(*S.SILVER_COLUMNS)
+        return S.refresh_silver(spark, t["stg_prices"], path("silver"), full_refresh=full_refresh)
 
     models: list[tuple[str, tuple[str, ...], Build, bool]] = [
         # (name, deps, build, materialise)
         ("raw", (), lambda t: t["raw"], False),
-        ("stg_prices", ("raw",), lambda t: S.stg_prices(t["raw"]), False),
+        ("stg_prices", ("raw",), lambda t: S.stg_prices(t["raw"], S.source_columns(raw)), False),
         ("silver", ("stg_prices",), silver_build, False),
         # silver is a written table here: top-1 by hash aggregate + join back
         ("latest", ("silver",), lambda t: G.latest(t["silver"], method="join"), True),

@@ -108,3 +108,30 @@ def remove_path(spark: SparkSession, path: str) -> None:
     """Remove a folder that the library itself wrote (staging copies, superseded files)."""
     fs, p = _fs_path(spark, path)
     fs.delete(p, True)
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file of the library's own, whole or not at all where the store renames atomically."""
+    fs, p = _fs_path(spark, path)
+    _, beside = _fs_path(spark, f"{path}.{uuid.uuid4().hex[:12]}.tmp")
+    out = fs.create(beside, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    jvm, jsc = spark.sparkContext._jvm, spark.sparkContext._jsc
+    rename = jvm.org.apache.hadoop.fs.Options.Rename
+    how = spark.sparkContext._gateway.new_array(rename, 1)
+    how[0] = rename.OVERWRITE
+    jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.makeQualified(p).toUri(), jsc.hadoopConfiguration()).rename(
+        fs.makeQualified(beside), fs.makeQualified(p), how)
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """Read a small file of the library's own."""
+    fs, p = _fs_path(spark, path)
+    stream = fs.open(p)
+    try:
+        return bytes(b & 0xFF for b in spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toByteArray(stream)).decode()
+    finally:
+        stream.close()

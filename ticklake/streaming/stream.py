@@ -33,6 +33,7 @@ from ticklake.functions import jsonx
 from ticklake.operators import deadletter as DL
 from ticklake.operators import normalize as N
 from ticklake.operators import sinks as SK
+from ticklake.operators import tables as TB
 from ticklake.schemas import CAP, CHANGE, CHECKPOINT_INTERVAL, KEY, PRICE, TOPIC_SNAPSHOTS, TOPIC_TRADES
 from ticklake.session import ensure_conf
 
@@ -154,7 +155,7 @@ def run_stream(spark: SparkSession, log: DataFrame, paths: Paths, *, trigger: st
 
 
 def read_raw(spark: SparkSession, paths: Paths) -> DataFrame:
-    return spark.read.parquet(paths.raw).select(*RAW_OUT)
+    return TB.read_table(spark, paths.raw).select(*RAW_OUT)
 
 
 def read_dead_letters(spark: SparkSession, paths: Paths) -> DataFrame:
