@@ -209,7 +209,6 @@ def exact_ids(texts):
     import public_tokenizers as P
     from tokenizers import Tokenizer
     t = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
     return {d: t.encode(x or "", add_special_tokens=False).ids + [1] for d, x in texts.items()}
 
 
@@ -227,6 +226,30 @@ def test_packing_edges(spark, tmp_path):
     assert again == packing.tokenised(awkward(spark)).selectExpr("sum(length(ids) / 4) AS n").first()["n"]
 
 
+def test_special_strings_are_the_tokens_of_the_file():
+    enc = packing.Encoder()
+    assert enc("a <|endoftext|> b").tolist() == [64, 220, 50256, 275]
+    assert enc("<|endoftext|><|endoftext|>").tolist() == [50256, 50256] and 50256 not in enc("<|endoftext |>").tolist()
+    assert list(exact_ids({0: "x<|endoftext|>"})[0]) == [*enc("x<|endoftext|>").tolist(), 1]
+
+
+def test_plain_texts_have_equal_ids_by_both_libraries():
+    """Every character of the plain alphabet alone, doubled and between others, and random strings of them."""
+    enc = packing.Encoder()
+    chars = [c for c in map(chr, range(0x250)) if not packing._PLAIN.search(c)]
+    assert len(chars) > 500
+    rng = np.random.default_rng(0)
+    texts = [form.replace("?", c) for c in chars for form in ("?", "??", "a?b", " ? ", "1? ?", "'?", "?'s\n", "\t?\r\n?")]
+    common = list("  \n\t\r'..,,-sdmtlvre019ABab")
+    for _ in range(3000):
+        n = int(rng.integers(1, 50))
+        texts.append("".join(rng.choice(common if rng.random() < 0.5 else chars, n)))
+        texts.append("".join(rng.choice(common, n)) + "".join(rng.choice(chars, n)))
+    want = exact_ids(dict(enumerate(texts)))
+    for k, t in enumerate(texts):
+        assert not enc.odd.search(t) and [*enc(t).tolist(), 1] == want[k], repr(t)
+
+
 def test_open_windows_prefers_the_best_fit():
     w = packing.OpenWindows(10, 3, min_cut=2)
     cut = lambda a, b: (a, b)
