@@ -443,11 +443,68 @@ def _streaming(q: dict[str, Callable[[Inputs], DataFrame]]) -> None:
             i.spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(60_000)
         finally:
             i.spark.streams.removeListener(listener)
+            listener.flush()
         seen = lambda k: F.sum(F.col("observed")[f"ingest_counters.{k}"]).cast("long").alias(k)
         return read_progress(i.spark, table).agg(F.sum("input_rows").cast("long").alias("input_rows"), seen("messages"),
                                                  seen("snapshot_messages"), seen("trade_messages"),
                                                  F.max("offsets_behind").alias("offsets_behind"))
 
+    def recorded(i: Inputs, run: Callable[[], None]) -> DataFrame:
+        """The progress reports of what ``run`` does."""
+        from ticklake.streaming.progress import read_progress, record_progress
+        table = work_path(i.spark, "progress")
+        listener = record_progress(i.spark, table)
+        try:
+            run()
+            i.spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(60_000)
+        finally:
+            i.spark.streams.removeListener(listener)
+            listener.flush()
+        return read_progress(i.spark, table)
+
+    def late_landing(i: Inputs, *, copies: bool) -> DataFrame:
+        """The feed log in five files by arrival, some records late and some twice, as a stream of one file a batch."""
+        landing = work_path(i.spark, "late-landing")
+        L.land_files(D.arrivals(i.events, copies=copies), landing, "arrival", files=5)
+        return L.read_log(i.spark, landing, max_files_per_trigger=1)
+
+    def stream_rates(i: Inputs) -> DataFrame:
+        """Closed windows of the deduplicated stream."""
+        from ticklake.streaming.eventtime import run_rates
+        out = work_path(i.spark, "rates")
+        run_rates(late_landing(i, copies=True), out, out + "_checkpoint", available_now=True).awaitTermination()
+        return i.spark.read.parquet(out)
+
+    def stream_late_rows(i: Inputs) -> DataFrame:
+        """What the same stream dropped, by batch of records."""
+        from ticklake.streaming.eventtime import run_rates
+        from ticklake.streaming.progress import late_rows
+        out, log = work_path(i.spark, "rates"), late_landing(i, copies=True)
+        reports = recorded(i, lambda: run_rates(log, out, out + "_checkpoint", available_now=True).awaitTermination())
+        return late_rows(reports).where("input_rows > 0").drop("query_name")
+
+    def stream_commits(i: Inputs) -> DataFrame:
+        """The lake's partitions after a stream with late rows: complete, and how often committed and reopened."""
+        from ticklake.streaming.commits import partition_status
+        log, base = late_landing(i, copies=False), work_path(i.spark, "stream")
+        paths = ST.Paths(f"{base}/raw", f"{base}/lake", f"{base}/dlq", f"{base}/_checkpoint", f"{base}/commits")
+        ST.run_stream(i.spark, log, paths, available_now=True).awaitTermination()
+        return partition_status(i.spark, paths.commits)
+
+    def stream_lag(i: Inputs) -> DataFrame:
+        """Records out and records still to come of each topic after each batch of an ingest that catches up."""
+        from ticklake.schemas import TOPIC_SNAPSHOTS, TOPIC_TRADES
+        from ticklake.streaming.progress import topic_lag
+        landing, base = work_path(i.spark, "landing"), work_path(i.spark, "stream")
+        L.land_log(L.log_records(D.raw_log(i.events)), landing, files=5)
+        paths = ST.Paths(f"{base}/raw", f"{base}/lake", f"{base}/dlq", f"{base}/_checkpoint")
+        log = L.read_log(i.spark, landing, max_files_per_trigger=1)
+        reports = recorded(i, lambda: ST.run_stream(i.spark, log, paths, available_now=True, name="ingest").awaitTermination())
+        ends = L.read_log(i.spark, landing, streaming=False).groupBy("topic").agg(F.count(F.lit(1)).alias("records"))
+        lag = topic_lag(reports, ends, {TOPIC_SNAPSHOTS: "ingest_counters.snapshot_messages", TOPIC_TRADES: "ingest_counters.trade_messages"})
+        return lag.select("query_name", "batch_id", "topic", "records_out", "records_so_far", "lag",
+                          (F.col("processed_rows_per_second") > 0).alias("flowing"))
+
     def stream_dlq_monitor(i: Inputs) -> DataFrame:
         """Ingest writing the dead-letter topic as JSON, then the monitor stream's counters."""
         from ticklake.streaming.dlq_monitor import run_monitor
@@ -475,6 +532,10 @@ def _streaming(q: dict[str, Callable[[Inputs], DataFrame]]) -> None:
         "stream_throttled": stream_throttled,
         "stream_dlq_monitor": stream_dlq_monitor,
         "stream_progress": stream_progress,
+        "stream_rates": stream_rates,
+        "stream_late_rows": stream_late_rows,
+        "stream_commits": stream_commits,
+        "stream_lag": stream_lag,
     })
 
 

@@ -187,6 +187,7 @@ UNION ALL SELECT *, upper(source), CAST(floor(price_usd) AS BIGINT) % 10 FROM ru
     q["stream_progress"] = _w(LOG, """SELECT count(*) AS input_rows, count(*) AS messages,
   count(*) FILTER (WHERE topic = 'coingecko.prices.raw') AS snapshot_messages,
   count(*) FILTER (WHERE topic = 'binance.trades.raw') AS trade_messages, CAST(0 AS BIGINT) AS offsets_behind FROM log""")
+    q.update(event_time_oracle())
     q["stream_dead_letters"] = _w(LOG, """SELECT topic AS source_topic, raw_value, reason,
   date_trunc('millisecond', kafka_ts) AS failed_at FROM classified WHERE reason IS NOT NULL""")
     q["stream_raw"] = _w(UNIFIED_IDS, """SELECT coin_id, source, symbol, CAST(price_usd AS DECIMAL(20,8)) AS price_usd,
@@ -483,6 +484,51 @@ uid AS (
     date_trunc('millisecond', event_ts) AS recorded_at, strftime(event_ts, '%Y-%m-%d') AS dt
   FROM lt WHERE event_ts IS NOT NULL AND coin_text IS NOT NULL AND price_num IS NOT NULL AND NOT isnan(price_num) AND abs(price_num) < 1e12)"""
 
+# arrival of each record, its file (a batch), and its event time where it is accepted (NULL else)
+def _arrivals(copies: bool) -> str:
+    again = """
+  UNION ALL SELECT event_id, event_id + (SELECT n // 20 FROM size) FROM log WHERE event_id % 50 = 0""" if copies else ""
+    return UNIFIED_IDS + f""",
+size AS (SELECT max(event_id) + 1 AS n FROM events),
+arr AS (SELECT event_id, event_id + CASE WHEN event_id % 41 = 0 THEN n // 2 WHEN event_id % 37 = 0 THEN n // 10 ELSE 0 END AS arrival FROM log, size{again}),
+filed AS (SELECT a.event_id, CAST(floor((arrival - lo) * 5 / CAST(hi - lo + 1 AS DOUBLE)) AS BIGINT) AS f, u.recorded_at, u.source, u.coin_id, u.dt
+  FROM arr a CROSS JOIN (SELECT min(arrival) AS lo, max(arrival) AS hi FROM arr) LEFT JOIN uid u ON u.event_id = a.event_id),
+-- the newest event time of the files before, and of those before the last but one
+mark AS (SELECT k AS f, (SELECT max(recorded_at) FROM filed WHERE f < k) - INTERVAL 15 SECOND AS wm,
+                (SELECT max(recorded_at) FROM filed WHERE f < k - 1) - INTERVAL 15 SECOND AS late_wm,
+                (SELECT max(recorded_at) FROM filed WHERE f <= k) - INTERVAL 15 SECOND AS after FROM range(0, 5) r(k))"""
+
+
+def event_time_oracle() -> dict[str, str]:
+    kept = """,
+timely AS (SELECT filed.*, recorded_at <= late_wm AS late FROM filed JOIN mark USING (f) WHERE recorded_at IS NOT NULL),
+kept AS (SELECT event_id, min(f) AS f, any_value(recorded_at) AS recorded_at, any_value(source) AS source FROM timely WHERE late IS NOT true GROUP BY event_id)"""
+    return {
+        "stream_rates": _w(_arrivals(True) + kept, """SELECT window_start, window_start + INTERVAL 5 MINUTE AS window_end, source, count(*) AS messages,
+    count(*) / 300.0 AS msgs_per_sec
+  FROM (SELECT time_bucket(INTERVAL 1 MINUTE, recorded_at) - to_minutes(k) AS window_start, source FROM kept, range(0, 5) r(k))
+  WHERE window_start + INTERVAL 5 MINUTE <= (SELECT max(after) FROM mark) GROUP BY window_start, source"""),
+        "stream_late_rows": _w(_arrivals(True) + kept, """SELECT m.f AS batch_id, coalesce(m.wm, TIMESTAMP '1970-01-01') AS watermark,
+    (SELECT count(*) FROM filed x WHERE x.f = m.f) AS input_rows,
+    (SELECT count(*) FROM timely x WHERE x.f = m.f AND late) AS late_rows,
+    (SELECT count(*) FROM timely x WHERE x.f = m.f AND late IS NOT true) - (SELECT count(*) FROM kept x WHERE x.f = m.f) AS duplicate_rows
+  FROM mark m"""),
+        "stream_commits": _w(_arrivals(False) + """,
+part AS (SELECT source, coin_id, dt, count(*) AS n_rows, list(DISTINCT f) AS files FROM filed WHERE recorded_at IS NOT NULL GROUP BY ALL),
+firsts AS (SELECT *, (SELECT min(m.f) FROM mark m WHERE m.f >= list_min(files) AND m.after >= CAST(dt AS TIMESTAMP) + INTERVAL 1 DAY + INTERVAL 1 MINUTE) AS c0 FROM part)""",
+            """SELECT source, coin_id, dt, n_rows, c0 IS NOT NULL AS complete,
+    CASE WHEN c0 IS NULL THEN 0 ELSE 1 + len(list_filter(files, lambda x: x > c0)) END AS commits,
+    CASE WHEN c0 IS NULL THEN 0 ELSE len(list_filter(files, lambda x: x > c0)) END AS reopens FROM firsts"""),
+        "stream_lag": _w(LOG + """,
+five AS (SELECT topic, CAST(floor((event_id - lo) * 5 / CAST(hi - lo + 1 AS DOUBLE)) AS BIGINT) AS f
+  FROM log CROSS JOIN (SELECT min(event_id) AS lo, max(event_id) AS hi FROM log)),
+grid AS (SELECT t.topic, k AS f FROM (SELECT DISTINCT topic FROM log) t, range(0, 5) r(k))""",
+            """SELECT 'ingest' AS query_name, g.f AS batch_id, g.topic, (SELECT count(*) FROM five x WHERE x.topic = g.topic AND x.f = g.f) AS records_out,
+    (SELECT count(*) FROM five x WHERE x.topic = g.topic AND x.f <= g.f) AS records_so_far,
+    (SELECT count(*) FROM five x WHERE x.topic = g.topic AND x.f > g.f) AS lag, true AS flowing FROM grid g"""),
+    }
+
+
 _LAKE_SELECT = "SELECT symbol, price_usd, market_cap, change_24h, recorded_at, source, coin_id, dt FROM unified"
 
 UPSERT = UNIFIED_IDS + """,

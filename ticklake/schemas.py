@@ -51,6 +51,7 @@ ALERT_POLL_STALE_SECONDS = 300
 MIN_ROWS_PER_SOURCE = 1
 # stream settings
 WATERMARK_DELAY = "15 seconds"
+COMMIT_DELAY = "1 minute"
 CHECKPOINT_INTERVAL = "30 seconds"
 # --- end of fixed values ---
 

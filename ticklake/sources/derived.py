@@ -126,6 +126,21 @@ def raw_log(events: DataFrame) -> DataFrame:
     )
 
 
+def arrivals(events: DataFrame, *, copies: bool = False) -> DataFrame:
+    """The feed log's records with ``arrival``, the order in which they reach the landing place:
+    every 37th a tenth of the log later than its position says, every 41st half of the log later;
+    with ``copies`` every 50th a second time, a twentieth of the log later."""
+    from ticklake.sources.log import log_records
+    last = events.agg(F.max("event_id")).first()[0]
+    n = (last if last is not None else 0) + 1
+    one = log_records(raw_log(events))
+    delay = F.when(F.col("offset") % 41 == 0, F.lit(n // 2)).when(F.col("offset") % 37 == 0, F.lit(n // 10)).otherwise(F.lit(0))
+    out = one.withColumn("arrival", F.col("offset") + delay)
+    if copies:
+        out = out.unionByName(one.where(F.col("offset") % 50 == 0).withColumn("arrival", F.col("offset") + F.lit(n // 20)))
+    return out
+
+
 def snapshot_bodies(events: DataFrame) -> DataFrame:
     """Feed-A poll bodies: ``{coin: {usd, usd_market_cap, usd_24h_change}, ...}``.
 

@@ -8,6 +8,7 @@
            raw      <- upsert by (coin_id, source, recorded_at), greatest log position wins
            lake     <- append under source/coin_id/dt/batch=<query>-<id>
            dlq      <- rejected rows under dt/batch=<query>-<id>
+           commits  <- which lake partitions are complete (optional)
 
 Offsets are committed in the query checkpoint only after the batch function
 returns. A retried batch replaces its own files; a batch that comes again
@@ -36,6 +37,7 @@ from ticklake.operators import sinks as SK
 from ticklake.operators import tables as TB
 from ticklake.schemas import CAP, CHANGE, CHECKPOINT_INTERVAL, KEY, PRICE, TOPIC_SNAPSHOTS, TOPIC_TRADES
 from ticklake.session import ensure_conf
+from ticklake.streaming import commits as CM
 
 # default source per topic when a message has none
 TOPIC_FEED = {TOPIC_SNAPSHOTS: "coingecko", TOPIC_TRADES: "binance"}
@@ -50,6 +52,7 @@ class Paths:
     lake: str
     dlq: str
     checkpoint: str
+    commits: str | None = None  # the ledger of complete partitions, if one is kept
 
 
 def _feed(topic_col: str = "topic"):
@@ -117,6 +120,8 @@ def process_batch(batch: DataFrame, batch_id: int, paths: Paths, *, query_id: st
         with ThreadPoolExecutor(max_workers=3) as pool:
             for f in [pool.submit(fn) for fn in (raw, lake, dlq)]:
                 f.result()
+        if paths.commits:
+            CM.advance(batch.sparkSession, paths.lake, paths.commits, name, good)
     finally:
         b.unpersist()
 
