@@ -2,18 +2,22 @@
 
 Counters become grouped counts, gauges become latest-value aggregates, and
 an alert's "held for d" (true at every 15 s evaluation step over d) becomes
-one conditional aggregate per evaluation step, all in a single pass over the
-input: the evaluation spine is a fixed, small set of offsets from ``as_of``.
+one conditional aggregate per evaluation step over the rows of the last
+(hold + range) seconds, a pushed filter; what is older matters to staleness
+alone, as one maximum. ``episodes`` answers the same for the whole history:
+every row changes a rule's metric at two steps at most, so steps at which
+something changes are summed up first and the firings are the islands of
+consecutive true steps.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ticklake.functions.timefmt import as_column, seconds_between
+from ticklake.functions.timefmt import as_column, micros, seconds_between
 from ticklake.operators.keyed import top1_by_key
 from ticklake.schemas import ALERT_POLL_STALE_SECONDS
 
@@ -114,18 +118,24 @@ def _cmp(x: Column, op: str, v: float) -> Column:
     return {">": x > v, "==": x == v, ">=": x >= v, "<": x < v}[op]
 
 
-def _metrics(alert: Alert, t0: Column, ts: Column) -> list[Column]:
-    """The rule's metric at every evaluation step, newest first, as aggregates over its table."""
-    mine = F.lit(True)
+def _mine(alert: Alert) -> Column:
+    cond = F.lit(True)
     for c, v in alert.where:
-        mine = mine & (F.col(c) == v)
+        cond = cond & (F.col(c) == v)
+    return cond
+
+
+def _metrics(alert: Alert, t0: Column, ts: Column, older: Column) -> list[Column]:
+    """The rule's metric at every evaluation step, newest first, as aggregates over its table's recent rows;
+    ``older``: the newest of its rows before these."""
+    mine = _mine(alert)
     out = []
     for k in range(alert.hold_seconds // EVAL_STEP_SECONDS + 1):
         t = t0 - F.expr(f"INTERVAL {k * EVAL_STEP_SECONDS} SECONDS")
         lo = t - F.expr(f"INTERVAL {alert.range_seconds} SECONDS")
         if alert.kind == "stale":
             # no series yet -> no sample -> the rule cannot fire
-            out.append(seconds_between(t, F.max(F.when(mine & (ts <= t), ts))))
+            out.append(seconds_between(t, F.greatest(F.max(F.when(mine & (ts <= t), ts)), older)))
         elif alert.kind == "gauge":
             # the latest sample at or before t (a sample older than the range is stale: no value)
             out.append(F.max_by(F.col(alert.value_col), F.when(mine & (ts <= t) & (ts > lo), ts)).cast("double"))
@@ -134,16 +144,25 @@ def _metrics(alert: Alert, t0: Column, ts: Column) -> list[Column]:
     return out
 
 
+def reach_seconds(rules: list[Alert]) -> int:
+    """How far back of ``as_of`` rows matter step by step."""
+    return max(a.hold_seconds + a.range_seconds for a in rules)
+
+
 def evaluate_all(rules: list[Alert], df: DataFrame, *, as_of, ts_col: str = "ts") -> DataFrame:
-    """Name, severity, service, firing and value (metric at as_of) of the rules
-    over one table, in one pass: every step of every rule is a conditional aggregate."""
+    """Name, severity, service, firing and value (metric at as_of) of the rules over one table. Every step of
+    every rule is a conditional aggregate over the rows of the last ``reach_seconds`` (a pushed filter with a literal
+    as_of); for staleness the newest older row of each such rule is found in one aggregate over the rest."""
     t0, ts = as_column(as_of), F.col(ts_col)
-    if all(a.kind != "stale" for a in rules):
-        # only the last (hold + range) seconds can matter: with a literal as_of this is a pushed scan filter
-        reach = max(a.hold_seconds + a.range_seconds for a in rules)
-        df = df.where((ts > t0 - F.expr(f"INTERVAL {reach} SECONDS")) & (ts <= t0))
-    metrics = {(r, k): m for r, a in enumerate(rules) for k, m in enumerate(_metrics(a, t0, ts))}
-    row = df.agg(*[m.alias(f"m{r}_{k}") for (r, k), m in metrics.items()])
+    since = t0 - F.expr(f"INTERVAL {reach_seconds(rules)} SECONDS")
+    stale = [r for r, a in enumerate(rules) if a.kind == "stale"]
+    recent = df.where((ts > since) & (ts <= t0))
+    metrics = {(r, k): m for r, a in enumerate(rules) for k, m in enumerate(
+        _metrics(a, t0, ts, F.max(f"_older{r}") if r in stale else F.lit(None).cast("timestamp_ntz")))}
+    if stale:
+        old = df.where(ts <= since).agg(*[F.max(F.when(_mine(rules[r]), ts)).cast("timestamp_ntz").alias(f"_older{r}") for r in stale])
+        recent = recent.unionByName(old, allowMissingColumns=True)  # a row without a time of its own
+    row = recent.agg(*[m.alias(f"m{r}_{k}") for (r, k), m in metrics.items()])
     found = []
     for r, a in enumerate(rules):
         held = F.lit(True)
@@ -159,15 +178,98 @@ def evaluate(alert: Alert, df: DataFrame, *, as_of, ts_col: str = "ts") -> DataF
     return evaluate_all([alert], df, as_of=as_of, ts_col=ts_col)
 
 
-def alerts(log: DataFrame, dlq: DataFrame, progress: DataFrame, *, as_of) -> DataFrame:
-    """All alert rules at ``as_of``, one pass over each table."""
-    out = None
+def _tables(log: DataFrame, dlq, progress: DataFrame, since: Column | None, until: Column):
+    """(rules, rows, time column) of each table. ``dlq`` may be a function (since, until) -> rows, for a table that
+    is parsed from records: their time is then filtered before the parse."""
     for name, df, col in (("log", log, "ts"), ("dlq", dlq, "failed_at"), ("progress", progress, "batch_ts")):
-        r = evaluate_all([a for a in ALERTS if a.table == name], df, as_of=as_of, ts_col=col)
+        rules = [a for a in ALERTS if a.table == name]
+        if callable(df):
+            df = df(since(rules) if since is not None else None, until)
+        yield rules, df, col
+
+
+def alerts(log: DataFrame, dlq, progress: DataFrame, *, as_of) -> DataFrame:
+    """All alert rules at ``as_of``."""
+    t0, out = as_column(as_of), None
+    for rules, df, col in _tables(log, dlq, progress, lambda r: t0 - F.expr(f"INTERVAL {reach_seconds(r)} SECONDS"), t0):
+        r = evaluate_all(rules, df, as_of=as_of, ts_col=col)
         out = r if out is None else out.unionByName(r)
     return out
 
 
+DAY_STEPS = 86_400 // EVAL_STEP_SECONDS
+
+
+def _step(us: Column, t0: Column) -> Column:
+    """The first evaluation step at or after a time in microseconds: steps are counted from as_of (0) backwards."""
+    return -F.floor((micros(t0) - us) / F.lit(EVAL_STEP_SECONDS * 1_000_000)).cast("long")
+
+
+def _true_steps(rules: list[Alert], df: DataFrame, t0: Column, ts: Column) -> DataFrame:
+    """(rule, first, end): stretches of steps at which a rule's condition holds, in parts that follow each other or not."""
+    us = micros(ts)
+    df = df.where(ts <= t0)
+    begin = df.agg(_step(F.min(us), t0).alias("b"))
+    changes, parts = [], []
+    for a in rules:
+        name = F.lit(a.name).alias("rule")
+        if a.kind == "gauge":
+            # a sample counts at its step and until it is too old; the latest of a step decides
+            reach = F.sequence(_step(us, t0), F.least(F.lit(0), _step(us + a.range_seconds * 1_000_000, t0) - 1))
+            at = df.where(_mine(a)).where(_step(us, t0) <= F.least(F.lit(0), _step(us + a.range_seconds * 1_000_000, t0) - 1)).select(
+                F.explode(reach).alias("first"), us.alias("_us"), F.col(a.value_col).alias("_v"))
+            at = at.groupBy("first").agg(F.max_by("_v", "_us").alias("v")).where(F.coalesce(_cmp(F.col("v"), a.op, a.threshold), F.lit(False)))
+            parts.append(at.select(name, "first", (F.col("first") + 1).alias("end")))
+        else:
+            # counted in (t - range, t]; stale is: none in [t - threshold, t]
+            gone = (_step(us + a.range_seconds * 1_000_000, t0) if a.kind == "count" else _step(us + int(a.threshold * 1_000_000) + 1, t0))
+            up, down = (F.struct(name, s.alias("step"), F.lit(d).alias("delta")) for s, d in ((_step(us, t0), 1), (gone, -1)))
+            changes.append(F.when(_mine(a), F.array(up, down)))
+    if changes:
+        # a row for each step at which a rule's count changes: bounded by time, not by rows
+        each = df.select(F.explode(F.flatten(F.filter(F.array(*changes), lambda x: x.isNotNull()))).alias("c")).select("c.*")
+        counted = [a.name for a in rules if a.kind == "count"]
+        zero = begin.where("b IS NOT NULL").select(F.explode(F.array(*[F.lit(n) for n in counted]).cast("array<string>")).alias("rule"), F.col("b").alias("step"),
+                                                   F.lit(0).alias("delta"))
+        steps = (each.unionByName(zero).where("step <= 0").groupBy("rule", "step").agg(F.sum("delta").alias("_step_delta"))
+                 .withColumn("day", F.floor(F.col("step") / DAY_STEPS)))
+        days = steps.groupBy("rule", "day").agg(F.sum("_step_delta").alias("_last"), F.min("step").alias("_first"))
+        by_day = Window.partitionBy("rule").orderBy("day")
+        days = days.select("rule", "day", F.coalesce(F.sum("_last").over(by_day.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"),
+                           F.lead("_first").over(by_day).alias("next_day"))
+        in_day = Window.partitionBy("rule", "day").orderBy("step")
+        steps = steps.select("rule", "day", "step", F.sum("_step_delta").over(in_day).alias("so_far"), F.lead("step").over(in_day).alias("next")).join(days, ["rule", "day"])
+        v, holds = (F.col("before") + F.col("so_far")).cast("double"), F.lit(False)
+        for a in rules:
+            if a.kind != "gauge":
+                holds = holds | ((F.col("rule") == a.name) & (v == 0 if a.kind == "stale" else _cmp(v, a.op, a.threshold)))
+        parts.append(steps.where(holds).select("rule", F.col("step").alias("first"), F.coalesce("next", "next_day", F.lit(1)).cast("long").alias("end")))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def episodes(log: DataFrame, dlq, progress: DataFrame, *, as_of) -> DataFrame:
+    """Every firing of every rule from the first row of its table until ``as_of``: since when its condition held, when it
+    had held long enough and fired, and the first step at which it no longer held (NULL: it still fires)."""
+    t0, out = as_column(as_of), None
+    rules = F.create_map(*[x for a in ALERTS for x in (F.lit(a.name), F.struct(
+        F.lit(a.severity).alias("severity"), F.lit(a.service).alias("service"), F.lit(a.hold_seconds // EVAL_STEP_SECONDS).alias("hold")))])
+    for each, df, col in _tables(log, dlq, progress, None, t0):
+        t = _true_steps(each, df, t0, F.col(col))
+        out = t if out is None else out.unionByName(t)
+    # islands; a row for each stretch of a rule, again bounded by the steps of the history
+    in_order = Window.partitionBy("rule").orderBy("_step_first")
+    out = out.withColumnRenamed("first", "_step_first")
+    starts = out.withColumn("_step_new", F.when(F.lag("end").over(in_order) == F.col("_step_first"), 0).otherwise(1))
+    found = starts.withColumn("island", F.sum("_step_new").over(in_order)).groupBy("rule", "island").agg(F.min("_step_first").alias("a"), F.max("end").alias("z"))
+    found = found.withColumn("r", rules[F.col("rule")]).where("z - 1 - a >= r.hold")
+    at = lambda step: t0 + F.make_dt_interval(secs=step * EVAL_STEP_SECONDS)
+    return found.select(F.col("rule").alias("name"), "r.severity", "r.service", at(F.col("a")).alias("pending_at"), at(F.col("a") + F.col("r.hold")).alias("fired_at"),
+                        F.when(F.col("z") <= 0, at(F.col("z"))).alias("resolved_at"))
+
+
 def ops(name: str, log: DataFrame, dlq: DataFrame | None = None, progress: DataFrame | None = None, *,
         as_of) -> DataFrame:
     """Answer one operational question by name."""

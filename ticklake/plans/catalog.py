@@ -396,6 +396,15 @@ def _ops(q: dict[str, Callable[[Inputs], DataFrame]]) -> None:
     def dlq(i: Inputs) -> DataFrame:
         return DL.dead_letters(DL.classify(D.raw_log(i.events)))
 
+    def dead_between(i: Inputs):
+        def rows(since: Column | None, until: Column) -> DataFrame:
+            """Dead letters of the records of a time, filtered before they are parsed."""
+            ev = i.events.where(F.col("ts") <= until + F.expr("INTERVAL 1 SECOND"))
+            if since is not None:
+                ev = ev.where(F.col("ts") >= since - F.expr("INTERVAL 1 SECOND"))
+            return DL.dead_letters(DL.classify(D.raw_log(ev)))
+        return rows
+
     q.update({
         "ops_throughput": lambda i: O.throughput(il(i)),
         "ops_last_price": lambda i: O.last_price(il(i)),
@@ -405,7 +414,8 @@ def _ops(q: dict[str, Callable[[Inputs], DataFrame]]) -> None:
         "ops_feed_b_10m": lambda i: O.window_count(
             il(i), as_of=i.as_of, seconds=600,
             where=(F.col("kind") == "published") & (F.col("service") == "binance")),
-        "alerts": lambda i: O.alerts(il(i), dlq(i), D.progress_log(i.events), as_of=i.as_of),
+        "alerts": lambda i: O.alerts(il(i), dead_between(i), D.progress_log(i.events), as_of=i.as_of),
+        "alert_episodes": lambda i: O.episodes(il(i), dead_between(i), D.progress_log(i.events), as_of=i.as_of),
     })
 
 

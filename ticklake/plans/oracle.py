@@ -640,6 +640,42 @@ def _alerts() -> str:
     ])
 
 
+def _episodes(name: str, severity: str, service: str, hold: int, table: str, col: str, cond: str, metric: str, fires: str) -> str:
+    """Steps of 15 s from the table's first row on, the metric at each by running counts, and the islands of true steps."""
+    return f"""SELECT '{name}' AS name, '{severity}' AS severity, '{service}' AS service, min(t) AS pending_at,
+    min(t) + to_seconds({hold}) AS fired_at,
+    CASE WHEN max(t) < (SELECT as_of FROM ref_time) THEN max(t) + to_seconds(15) END AS resolved_at
+  FROM (SELECT k, t, k - row_number() OVER (ORDER BY k) AS island FROM (
+      WITH mine AS (SELECT {col} AS at, row_number() OVER (ORDER BY {col}) AS c FROM {table} WHERE {cond}),
+      spine AS (SELECT k, (SELECT as_of FROM ref_time) - to_seconds(-k * 15) AS t
+        FROM range(-CAST(floor((epoch_us((SELECT as_of FROM ref_time)) - epoch_us((SELECT min({col}) FROM {table}))) / 15000000) AS BIGINT), 1) r(k))
+      {metric}) WHERE {fires})
+  GROUP BY island HAVING count(*) - 1 >= {hold // 15}"""
+
+
+def _counted(seconds: int) -> str:
+    """Rows in (t - seconds, t]."""
+    return f"""SELECT s.k, s.t, coalesce(a.c, 0) - coalesce(b.c, 0) AS m FROM (SELECT k, t, t - to_seconds({seconds}) AS t1 FROM spine) s
+      ASOF LEFT JOIN mine a ON a.at <= s.t ASOF LEFT JOIN mine b ON b.at <= s.t1"""
+
+
+_SINCE = "SELECT s.k, s.t, epoch_us(s.t) - epoch_us(a.at) AS m FROM spine s ASOF JOIN mine a ON a.at <= s.t"
+_GAUGE = """SELECT s.k, s.t, CASE WHEN a.at > s.t - to_seconds(300) THEN p.offsets_behind END AS m
+      FROM spine s ASOF JOIN mine a ON a.at <= s.t JOIN progress p ON p.batch_ts = a.at"""
+
+
+def _all_episodes() -> str:
+    return "\nUNION ALL\n".join("(" + _episodes(*x) + ")" for x in [
+        ("CoingeckoPollStale", "warning", "coingecko-ingest", 120, "il", "ts", "service = 'coingecko' AND kind = 'published'", _SINCE, "m > 300000000"),
+        ("CoingeckoApiErrors", "warning", "coingecko-ingest", 300, "il", "ts", "service = 'coingecko' AND kind = 'error'", _counted(900), "m > 0"),
+        ("BinancePublishStale", "warning", "binance-ingest", 300, "il", "ts", "service = 'binance' AND kind = 'published'", _counted(600), "m = 0"),
+        ("BinanceWsErrors", "warning", "binance-ingest", 120, "il", "ts", "service = 'binance' AND kind = 'error'", _counted(900), "m > 3"),
+        ("StreamNoRunningJobs", "critical", "stream", 0, "progress", "batch_ts", "true", _SINCE, "m > 180000000"),
+        ("DeadLetterMessagesDetected", "warning", "dlq-monitor", 300, "dlq", "failed_at", "true", _counted(900), "m > 0"),
+        ("ConsumerLagHigh", "warning", "stream", 600, "progress", "batch_ts", "true", _GAUGE, "m > 5000"),
+    ])
+
+
 def ops_oracle() -> dict[str, str]:
     return {
         "ops_throughput": _w(OPS, """SELECT window_start, window_start + INTERVAL 5 MINUTE AS window_end,
@@ -665,6 +701,7 @@ def ops_oracle() -> dict[str, str]:
         "ops_feed_b_10m": _w(OPS, """SELECT count(*) FILTER (WHERE kind = 'published' AND service = 'binance'
     AND ts > (SELECT as_of FROM ref_time) - INTERVAL 600 SECOND AND ts <= (SELECT as_of FROM ref_time)) AS value FROM il"""),
         "alerts": _w(OPS, _alerts()),
+        "alert_episodes": _w(OPS, _all_episodes()),
     }
 
 
