@@ -142,3 +142,23 @@ def test_add_source_column_checks_widened_key(spark):
     out, check = BF.add_source_column(df)
     assert {r.source for r in out.collect()} == {"coingecko"}
     assert check.first().success is False
+
+
+def test_insert_if_absent_reads_touched_partitions(spark, tmp_dir):
+    """Stored keys of other days aren't read (their files may be broken), a batch's copies go in once, new columns are added."""
+    import glob
+    path = f"{tmp_dir}/t"
+    first = _batch(spark, [("bitcoin", "binance", float(d), f"2024-01-{d:02d} 00:00:00", d) for d in range(1, 9)], "2024-02-01 00:00:00")
+    SK.append_if_absent(first, path, KEY, partition_by=("dt",))
+    for f in glob.glob(f"{path}/dt=2024-01-0[1-5]/*.parquet"):
+        with open(f, "wb") as broken:
+            broken.write(b"no parquet")
+    more = _batch(spark, [("bitcoin", "binance", 70.0, "2024-01-07 00:00:00", 70), ("solana", "binance", 7.5, "2024-01-07 00:00:00", 71),
+                          ("solana", "binance", 7.6, "2024-01-07 00:00:00", 72), ("solana", "binance", 9.5, "2024-01-09 00:00:00", 73)], "2024-02-02 00:00:00")
+    SK.append_if_absent(more.withColumn("note", F.lit("x")), path, KEY, order=["off"], partition_by=("dt",))
+    from ticklake.operators import tables as TB
+    got = TB.read_table(spark, path).where("dt >= '2024-01-06'")
+    assert {(r["coin_id"], r["off"], r["note"]) for r in rows(got)} == {("bitcoin", 6, None), ("bitcoin", 7, None), ("bitcoin", 8, None),
+                                                                        ("solana", 71, "x"), ("solana", 73, "x")}
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(dt" in plan

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from conftest import SF_CHECK, rows
 from ticklake.operators.throttle import throttle
 from ticklake.sources import derived as D
-from ticklake.streaming.throttle_stream import throttle_stream
+from ticklake.streaming.throttle_stream import read_throttled, throttle_batch, throttle_stream
 
 
 def _df(spark, data):
@@ -68,10 +68,9 @@ def test_stream_matches_batch(spark, tmp_dir):
     land_files(df, f"{tmp_dir}/in", "ts", files=3)
     src = (spark.readStream.schema("id long, coin_id string, ts timestamp_ntz").option("timestampNTZFormat", NTZ_FORMAT)
            .option("maxFilesPerTrigger", "1").json(f"{tmp_dir}/in"))
-    (throttle_stream(src, "coin_id", "ts", 7, tie_break=("id",)).writeStream.format("parquet")
-     .option("path", f"{tmp_dir}/out").option("checkpointLocation", f"{tmp_dir}/ck")
-     .trigger(availableNow=True).start().awaitTermination())
-    stream = {r.id for r in spark.read.parquet(f"{tmp_dir}/out").collect()}
+    throttle_stream(src, "coin_id", "ts", 7, path=f"{tmp_dir}/out", checkpoint=f"{tmp_dir}/ck", tie_break=("id",),
+                    available_now=True).awaitTermination()
+    stream = {r.id for r in read_throttled(spark, f"{tmp_dir}/out").collect()}
     batch = {r.id for r in throttle(df, "coin_id", "ts", 7).collect()}
     assert stream == batch
 
@@ -141,3 +140,32 @@ def test_auto_routes_long_chains_to_blocks(spark):
     got = {r.event_id for r in throttle(mixed, "coin_id", "ts", 9, tie_break=("event_id",), bucket_seconds=60,
                                         long_chain_rows=100).collect()}
     assert got == want
+
+
+def test_stream_batches_of_dense_keys_split_into_small_groups(spark, tmp_dir):
+    """Bursts of single chains in every micro-batch, groups of at most some hundred rows; batches done again change
+    nothing, and neither do late ticks."""
+    data, df = _dense(spark, seed=11, n=900)
+    span = [(0, 1200), (1200, 2500), (2500, 10**9)]
+    start = dt.datetime(2024, 1, 1)
+    cut = [df.where((F.col("ts") >= F.lit(start + dt.timedelta(seconds=a))) & (F.col("ts") < F.lit(start + dt.timedelta(seconds=min(b, 10**7)))))
+           for a, b in span]
+    late = cut[0].withColumn("event_id", F.col("event_id") + 100_000)
+    options = {"tie_break": ("event_id",), "long_chain_rows": 200, "max_rows": 150, "bucket_seconds": 60}
+    for k, b in [(0, cut[0]), (1, cut[1].unionByName(late)), (1, cut[1].unionByName(late)), (0, cut[0]), (1, cut[1]), (2, cut[2])]:
+        throttle_batch(b, k, tmp_dir, "coin_id", "ts", 25, **options)
+    got = {r.event_id for r in read_throttled(spark, tmp_dir).collect()}
+    assert got == _sequential(data, 25)
+    # a block is 60 s of one chain: the groups that tasks hold
+    sizes = df.groupBy("coin_id", F.floor(F.unix_timestamp(F.col("ts").cast("timestamp")) / 60)).count().agg(F.max("count")).first()[0]
+    assert sizes < 60 and df.groupBy("coin_id").count().agg(F.max("count")).first()[0] == 900
+
+
+def test_stream_state_is_a_row_a_key(spark, tmp_dir):
+    for k in range(6):
+        throttle_batch(_df(spark, [(k, None if k % 2 else "a", f"2024-01-01 00:00:{k:02d}")]), k, tmp_dir, "coin_id", "ts", 2)
+    from ticklake.session import folders
+    assert len(folders(spark, f"{tmp_dir}/state")) <= 4
+    assert sorted(r.id for r in read_throttled(spark, tmp_dir).collect()) == [0, 1, 2, 3, 4, 5]
+    throttle_batch(_df(spark, []), 6, tmp_dir, "coin_id", "ts", 2)
+    assert read_throttled(spark, tmp_dir).count() == 6

@@ -159,16 +159,32 @@ def insert_if_absent(existing: DataFrame | None, batch: DataFrame, key: Sequence
 
 def append_if_absent(batch: DataFrame, path: str, key: Sequence[str], order: Sequence[str] = (), *,
                      partition_by: Sequence[str] = ()) -> None:
-    """Action: append the rows of ``batch`` whose key is not yet at ``path``."""
+    """Action: append the rows of ``batch`` whose key is not yet at ``path``.
+
+    ``key`` must determine the partition columns: stored keys are read from the
+    partitions that the batch touches alone, by a literal filter, and their key
+    columns only. On a large side Spark adds its runtime Bloom filter to the join.
+    """
     spark = ensure_conf(batch.sparkSession)
-    existing = spark.read.parquet(path) if table_exists(spark, path) else None
-    rows = insert_if_absent(existing, batch, key, order)
+    parts = list(partition_by)
+    if not table_exists(spark, path):
+        rows, schema = insert_if_absent(None, batch, key, order), None
+    else:
+        schema = TB.evolve(spark, path, batch.schema, parts=tuple(parts))
+        stored = spark.read.schema(schema).parquet(path)
+        if parts:
+            touched = [tuple(r) for r in batch.select(*parts).distinct().collect()]  # partition values of one batch
+            stored = stored.where(touched_filter(touched, parts)) if touched else stored.limit(0)
+        rows = TB.fill(insert_if_absent(stored, batch, key, order), schema)
     staging = work_path(spark, "insert-staging")
     rows.write.mode("overwrite").parquet(staging)
-    w = spark.read.schema(rows.schema).parquet(staging).write.mode("append")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
+    w = spark.read.schema(rows.schema).parquet(staging)
+    if parts:
+        w.hint("rebalance", *parts).write.mode("append").partitionBy(*parts).parquet(path)
+    else:
+        w.write.mode("append").parquet(path)
+    if schema is None:
+        TB.declare(spark, path, T.StructType([*[f for f in rows.schema.fields if f.name not in parts], *[rows.schema[c] for c in parts]]))
     remove_path(spark, staging)
 
 

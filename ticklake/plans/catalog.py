@@ -425,7 +425,7 @@ def _streaming(q: dict[str, Callable[[Inputs], DataFrame]]) -> None:
     from ticklake.session import work_path
     from ticklake.sources import log as L
     from ticklake.streaming import stream as ST
-    from ticklake.streaming.throttle_stream import throttle_stream
+    from ticklake.streaming.throttle_stream import read_throttled, throttle_stream
 
     def ingest(i: Inputs, dlq_format: str = "parquet") -> ST.Paths:
         """Land the log in five time-ordered files, stream them one file per
@@ -530,11 +530,9 @@ def _streaming(q: dict[str, Callable[[Inputs], DataFrame]]) -> None:
         src = (i.spark.readStream.schema("event_id long, coin_id string, ts timestamp_ntz")
                .option("timestampNTZFormat", L.NTZ_FORMAT).option("maxFilesPerTrigger", "1").json(landing))
         out = work_path(i.spark, "throttled")
-        (throttle_stream(src, "coin_id", "ts", 600, tie_break=("event_id",))
-         .writeStream.format("parquet").option("path", out)
-         .option("checkpointLocation", out + "_checkpoint").trigger(availableNow=True)
-         .start().awaitTermination())
-        return i.spark.read.parquet(out).select("event_id", "coin_id", "ts")
+        throttle_stream(src, "coin_id", "ts", 600, path=out, checkpoint=out + "_checkpoint", tie_break=("event_id",),
+                        available_now=True).awaitTermination()
+        return read_throttled(i.spark, out).select("event_id", "coin_id", "ts")
 
     q.update({
         "stream_raw": lambda i: ST.read_raw(i.spark, ingest(i)).drop("ingested_at"),
