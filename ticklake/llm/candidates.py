@@ -1,7 +1,9 @@
 """From table keys to verified components, without the pairs of a group.
 
-Items that share a key are candidates. The smallest item of a key is its
-pivot; items are verified against pivots, and links join them into components.
+Items that share a key are candidates. Keys travel as blocks of numbers, dealt
+to buckets by their leading bits, and what a task has of one key is combined
+before: only its smallest item goes to the key's bucket, so a key of a third of
+all items is a few numbers a task. The smallest item of a key is its pivot; items are verified against pivots, and links join them into components.
 What then shares a key across components is compared exactly, in blocks: the
 members of a group are split into blocks of about `BLOCK`, a task compares two
 blocks and returns only the links that join components, each once. A link
@@ -24,24 +26,36 @@ from .common import saved
 from .components import components
 
 BLOCK = 512
+BLOCK_BYTES = 1 << 20  # payloads of a block
 SMALL = 48        # members of a group that is compared without preparing it as a whole
-READY = 1_500     # payloads a task keeps ready for further groups
+READY_BYTES = 1 << 18  # payloads a task keeps ready for further groups
+SLICE = 256       # rows of a batch that are Python objects at a time
 
 
 @dataclass
 class Evidence:
     """What it takes to compare items. `verify`: from pairs (a, b) to those that are links.
     `payload`: (item, payload) for comparisons within a task: `pack(payloads, key)` prepares the members
-    of a group, `matches(packed, a, others, apart)` yields those of the positions `others` that may be
-    links of position a, share no earlier group with it and are still `apart` from it; for small groups
-    `similar(x, y)` tells it of two payloads made ready by `prepare_one`. `groups`: (key, item), fewer and coarser keys than those of the tables, if there are such."""
+    of a group (with a key of None: earlier groups don't matter), `matches(packed, a, others, apart)` yields
+    those of the positions `others` that may be links of position a, share no earlier group with it and are
+    still `apart` from it; for groups of up to `small` members `similar(x, y)` tells it of two payloads made
+    ready by `prepare_one`. `weight`: (item, weight), a payload's bytes. `groups`: (key, item), fewer and
+    coarser keys than those of the tables, if there are such."""
     verify: Callable[[DataFrame], DataFrame]
     payload: DataFrame
     pack: Callable
     matches: Callable
     prepare_one: Callable
     similar: Callable
+    weight: DataFrame
     groups: DataFrame | None = None
+    small: int = SMALL
+
+
+def with_payload(pairs: DataFrame, payload: DataFrame, item: str, name: str) -> DataFrame:
+    """Join (item, payload) to the pairs as `name`. Join b first: a pivot a may have many pairs, whose side of its
+    sort-merge join AQE splits."""
+    return pairs.join(payload.select(F.col("item").alias(item), F.col("payload").alias(name)), item)
 
 
 def _with_component(df: DataFrame, comp: DataFrame, item: str, name: str) -> DataFrame:
@@ -69,7 +83,7 @@ def joining_links(ids: np.ndarray, comp: np.ndarray, left: np.ndarray, right: np
 
 def _compare(by: Evidence) -> Callable:
     """The joining links of each group; rows come sorted by key, i and j."""
-    pack, matches, prepare_one, similar = by.pack, by.matches, by.prepare_one, by.similar
+    pack, matches, prepare_one, similar, few = by.pack, by.matches, by.prepare_one, by.similar, by.small
 
     def small(rows: list[tuple], ready: dict) -> list[tuple[int, int]]:
         comp, out, x = [r[5] for r in rows], [], []
@@ -87,17 +101,21 @@ def _compare(by: Evidence) -> Callable:
 
     def run(batches):
         ready: dict = {}
-        stream = (r for batch in batches for r in zip(*(c.to_pylist() for c in batch.columns)))
+        held = 0
+        stream = (r for batch in batches for lo in range(0, batch.num_rows, SLICE)
+                  for r in zip(*(c.to_pylist() for c in batch.slice(lo, SLICE).columns)))
         found: list[tuple[int, int]] = []
         for (key, i, j), rows in itertools.groupby(stream, key=lambda r: r[:3]):
             rows = list(rows)
-            if len(rows) <= SMALL and i == j:
+            if len(rows) <= few and i == j:
+                held += sum(len(r[6]) for r in rows if r[4] not in ready)
                 found += small(rows, ready)
-                if len(ready) > READY:
+                if held > READY_BYTES:
                     ready.clear()
+                    held = 0
             else:
                 block = np.array([r[3] for r in rows])
-                packed = pack([r[6] for r in rows], key)
+                packed = pack([r[6] for r in rows], key if len(rows) > SMALL else None)
                 found += joining_links(np.array([r[4] for r in rows]), np.array([r[5] for r in rows]), np.flatnonzero(block == i),
                                        np.flatnonzero(block == j), lambda a, others, apart: matches(packed, a, others, apart))
             if len(found) >= 10_000:
@@ -111,13 +129,109 @@ def _links(found: list[tuple[int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)], ["a", "b"])
 
 
-def connect(keys: DataFrame, prepare: Callable[[DataFrame], Evidence], name: str) -> DataFrame:
-    """(node, component) over the items (longs) of `keys` (key, item). `prepare` gets all items that
+PAIRS = 1 << 20        # of a bucket, about
+FLUSH = 1 << 19        # pairs that a task combines at a time
+MEMBERS = "key long, item long, pivot long"
+
+
+def _combined(keys: list[np.ndarray], items: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct pairs, ascending (keys unsigned); whether a pair is its key's first; whether the key has several."""
+    k, i = np.concatenate(keys), np.concatenate(items)
+    order = np.lexsort((i, k))
+    k, i = k[order], i[order]
+    new = np.ones(len(k), bool)
+    new[1:] = (k[1:] != k[:-1]) | (i[1:] != i[:-1])
+    k, i = k[new], i[new]
+    first = np.ones(len(k), bool)
+    first[1:] = k[1:] != k[:-1]
+    begin = np.flatnonzero(first)
+    count = np.diff(np.append(begin, len(k)))
+    return k, i, first, np.repeat(count > 1, count)
+
+
+def _pivots(i: np.ndarray, first: np.ndarray) -> np.ndarray:
+    begin = np.flatnonzero(first)
+    return np.repeat(i[begin], np.diff(np.append(begin, len(i))))
+
+
+def _deal(expand: Callable, buckets: int):
+    """Blocks of (key, item) for the buckets, one pair of each key; and members of keys that several items here share."""
+    def flush(keys, items):
+        k, i, first, shared = _combined(keys, items)
+        pivot = _pivots(i, first)
+        member = np.stack((k.view(np.int64)[shared], i[shared], pivot[shared]))
+        own_k, own_i = k[first], i[first]
+        bucket = ((own_k >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
+        cut = np.searchsorted(bucket, np.arange(buckets + 1, dtype=np.uint64))
+        full = np.flatnonzero(np.diff(cut)).tolist()
+        pairs = [own_k[cut[b]:cut[b + 1]].tobytes() + own_i[cut[b]:cut[b + 1]].tobytes() for b in full]
+        known = [np.ascontiguousarray(member[:, lo:lo + 65_536]) for lo in range(0, member.shape[1], 65_536)]
+        place = [int(m[1, 0]) % buckets for m in known]
+        return pa.RecordBatch.from_arrays([pa.array(full + place, pa.int32()), pa.array(pairs + [None] * len(known), pa.binary()),
+                                           pa.array([None] * len(full) + [m.tobytes() for m in known], pa.binary())], ["bucket", "pairs", "known"])
+
+    def run(batches):
+        keys, items, held = [], [], 0
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 2_000):
+                k, i = expand(batch.slice(lo, 2_000))
+                keys.append(k.view(np.uint64))
+                items.append(i)
+                held += len(k)
+                if held >= FLUSH:
+                    yield flush(keys, items)
+                    keys, items, held = [], [], 0
+        if held:
+            yield flush(keys, items)
+    return run
+
+
+def _meet(batches):
+    """Members of the keys that several items share; rows come sorted by bucket."""
+    def emit(k, i, pivot):
+        for lo in range(0, len(k), 65_536):
+            yield pa.RecordBatch.from_arrays([pa.array(x[lo:lo + 65_536]) for x in (k, i, pivot)], ["key", "item", "pivot"])
+
+    def found(keys, items):
+        k, i, first, shared = _combined(keys, items)
+        yield from emit(k.view(np.int64)[shared], i[shared], _pivots(i, first)[shared])
+        return [k[first]], [i[first]]  # a key's smallest item stands for those that went out
+
+    here, keys, items, held = None, [], [], 0
+    for batch in batches:
+        for lo in range(0, batch.num_rows, SLICE):
+            part = batch.slice(lo, SLICE)
+            for bucket, pairs, known in zip(*(c.to_pylist() for c in part.columns)):
+                if bucket != here or held > 4 * PAIRS:
+                    if held:
+                        keys, items = yield from found(keys, items)
+                    if bucket != here:
+                        here, keys, items = bucket, [], []
+                    held = sum(map(len, keys))
+                if known is not None:
+                    yield from emit(*np.frombuffer(known, np.int64).reshape(3, -1))
+                if pairs is not None:
+                    n = len(pairs) // 16
+                    keys.append(np.frombuffer(pairs, np.uint64, n))
+                    items.append(np.frombuffer(pairs, np.int64, n, 8 * n))
+                    held += n
+    if held:
+        yield from found(keys, items)
+
+
+def shared_keys(signed: DataFrame, expand: Callable, each: int) -> DataFrame:
+    """(key, item, pivot) for every item of every key that several items have, perhaps repeated or with a pivot that is
+    another's partner; `expand` makes keys and items (arrays) of rows of `signed`, `each` keys of a row."""
+    buckets = max(int(signed.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-signed.count() * each // PAIRS))
+    return (signed.mapInArrow(_deal(expand, buckets), "bucket int, pairs binary, known binary").repartition(buckets, "bucket")
+            .sortWithinPartitions("bucket").mapInArrow(_meet, MEMBERS))
+
+
+def connect(signed: DataFrame, expand: Callable, each: int, prepare: Callable[[DataFrame], Evidence], name: str) -> DataFrame:
+    """(node, component) over the items (longs) of `signed`, see `shared_keys`. `prepare` gets all items that
     share a key with another, once. Items without a link have no row."""
-    pivots = (keys.groupBy("key").agg(F.min("item").alias("pivot"), F.max("item").alias("_most"), F.count("*").alias("many"))
-              .where("pivot < _most").drop("_most"))
-    members = saved(keys.join(pivots, "key"), f"{name}-members")
-    by = prepare(members.select("item").distinct())
+    members = saved(shared_keys(signed, expand, each), f"{name}-members")
+    by = prepare(saved(members.select("item").distinct(), f"{name}-items"))
 
     # first the smallest pivot of each item, then the others that are still elsewhere
     first = members.where("pivot < item").groupBy("item").agg(F.min("pivot").alias("a")).select("a", F.col("item").alias("b"))
@@ -134,15 +248,16 @@ def connect(keys: DataFrame, prepare: Callable[[DataFrame], Evidence], name: str
     more(by.verify(apart))
 
     # two items were verified directly; in larger groups others than the pivot may link
-    placed = _with_component(members.where("many > 2").select("key", "item"), comp, "item", "component")
-    split = placed.groupBy("key").agg(F.min("component").alias("_lo"), F.max("component").alias("_hi")).where("_lo < _hi").select("key")
-    active = saved(placed.join(split, "key").select("item", "component").distinct(), f"{name}-active")
+    placed = _with_component(members.select("key", "item"), comp, "item", "component")
+    split = (placed.groupBy("key").agg(F.min("component").alias("_lo"), F.max("component").alias("_hi"), F.count("*").alias("_n"))
+             .where("_lo < _hi AND _n > 2").select("key"))
+    active = saved(placed.join(split, "key").select("item", "component").distinct().join(by.weight, "item"), f"{name}-active")
     if active.isEmpty():
         return comp
-    groups = members.select("key", "item") if by.groups is None else by.groups
+    groups = members.select("key", "item").distinct() if by.groups is None else by.groups
     rows = groups.join(active, "item").distinct()
-    sizes = (rows.groupBy("key").agg(F.count("*").alias("n"), F.min("component").alias("_lo"), F.max("component").alias("_hi"))
-             .where("_lo < _hi").select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("parts")))
+    sizes = (rows.groupBy("key").agg(F.count("*").alias("n"), F.sum("weight").alias("_w"), F.min("component").alias("_lo"), F.max("component").alias("_hi"))
+             .where("_lo < _hi").select("key", F.greatest(F.ceil(F.col("n") / BLOCK), F.ceil(F.col("_w") / BLOCK_BYTES)).cast("int").alias("parts")))
     dealt = rows.join(sizes, "key").withColumn("block", F.pmod(F.xxhash64("item"), F.col("parts")).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     dealt = dealt.join(by.payload, "item").select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),

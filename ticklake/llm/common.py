@@ -12,18 +12,18 @@ from pyspark.sql import functions as F
 from ticklake.session import work_path
 
 WORD = "[^\\x20\\x09-\\x0D]+"  # a word, in Java, Python and RE2 syntax alike
-CHUNK_BYTES = 1 << 21          # texts are hashed in chunks of about this size
+CHUNK_BYTES = 1 << 18          # texts are hashed in chunks of about this size, whose arrays stay in the cache
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def saved(df: DataFrame, name: str) -> DataFrame:
+def saved(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """Write the frame to the shared work folder and read it back: later steps
     restart from these files, not from lineage, when executors are lost."""
     path = work_path(df.sparkSession, f"llm-{name}")
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

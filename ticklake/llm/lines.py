@@ -21,12 +21,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .candidates import Evidence, connect
+from .candidates import Evidence, connect, with_payload
 from .common import _U, _powers, chunks, hash_functions, minima, mix, read, saved, text_or_empty
 
 SHINGLE = 9
 ROWS, BANDS = 4, 10
 NUM, DEN = 8, 10
+LINE_CHUNK = 1 << 17     # bytes of text that are cut and signed at a time
+PAIRS = 512              # pairs of lines that are Python strings at a time
+RECENT = 200_000         # lines a task remembers to have signed
 _HASHES = hash_functions(ROWS * BANDS, 21)
 _CHAR = _U(0xD6E8FEB86659FD93)
 
@@ -41,6 +44,9 @@ def _codes(buf: np.ndarray) -> np.ndarray:
     return c
 
 
+_KNOWN = mix(np.arange(1 << 13, dtype=_U) * _CHAR)  # of the code points of most texts
+
+
 def _line_table(buf: np.ndarray, off: np.ndarray):
     """Row, start and end (in code points) of every line, the code points, and their prefix sums."""
     codes = _codes(buf)
@@ -49,12 +55,13 @@ def _line_table(buf: np.ndarray, off: np.ndarray):
     start = np.concatenate((at[:-1], breaks + 1))
     end = np.concatenate((at[1:], breaks))
     row = np.concatenate((np.arange(len(at) - 1), np.searchsorted(at, breaks, "right") - 1))
+    order = np.lexsort((end, row))
+    end = end[order]
     order = np.lexsort((start, row))
     start, row = start[order], row[order]
-    order = np.lexsort((end, np.concatenate((np.arange(len(at) - 1), np.searchsorted(at, breaks, "right") - 1))))
-    end = end[order]
     c = np.zeros(len(codes) + 1, _U)
-    np.cumsum(mix(codes.astype(_U) * _CHAR) * _powers(len(codes) + 1)[0][:-1], out=c[1:])
+    chars = _KNOWN[codes] if not len(codes) or codes.max() < len(_KNOWN) else mix(codes.astype(_U) * _CHAR)
+    np.cumsum(chars * _powers(len(codes) + 1)[0][:-1], out=c[1:])
     return row, start, end, codes, c
 
 
@@ -67,31 +74,19 @@ def _blank(codes: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     return solid[end] == solid[start]
 
 
-def occurrences(docs: DataFrame) -> DataFrame:
-    """doc_id, text_hash, line_no, line (hash; null: blank) for every line."""
-    def run(batches):
-        for batch in batches:
-            for i, j, buf, off in chunks(batch.column(2)):
-                row, start, end, codes, c = _line_table(buf, off)
-                first = np.searchsorted(row, np.arange(j - i))
-                pos = np.arange(len(row)) - first[row]
-                take = pa.array(row + i)
-                yield pa.RecordBatch.from_arrays([
-                    batch.column(0).take(take), batch.column(1).take(take), pa.array(pos.astype(np.int32)),
-                    pa.array(_hash(c, start, end).view(np.int64), mask=_blank(codes, start, end))], ["doc_id", "text_hash", "line_no", "line"])
-    return _texts(docs).mapInArrow(run, "doc_id long, text_hash long, line_no int, line long")
-
-
-def _texts(docs: DataFrame) -> DataFrame:
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text_or_empty()).alias("text_hash"), text_or_empty().alias("text"))
-
-
 def _shingles(c: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the shingles of the given lines, laid end to end, and where each line's begin."""
     count = np.maximum(end - start - SHINGLE + 1, 1)
     at = np.concatenate(([0], np.cumsum(count)))
     pos = np.arange(at[-1]) - np.repeat(at[:-1] - start, count)
-    return _hash(c, pos, np.minimum(pos + SHINGLE, np.repeat(end, count))), at
+    last = len(c) - 1 - SHINGLE
+    if last < 0:
+        return _hash(c, start, end), at  # every line is shorter than a shingle
+    whole = mix((c[SHINGLE:] - c[:last + 1]) * _powers(len(c))[1][:last + 1] + _U(SHINGLE))
+    x = whole[np.minimum(pos, last)]
+    short = end - start < SHINGLE
+    x[at[:-1][short]] = _hash(c, start[short], end[short])
+    return x, at
 
 
 def _band_keys(sig: np.ndarray) -> np.ndarray:
@@ -102,47 +97,51 @@ def _band_keys(sig: np.ndarray) -> np.ndarray:
     return h.view(np.int64)
 
 
-def band_keys(docs: DataFrame) -> DataFrame:
-    """(key, item) for the distinct lines of each chunk of documents."""
+def _signed(x: np.ndarray, at: np.ndarray) -> np.ndarray:
+    short = (x >> _U(32)).astype(np.uint32)
+    room = np.empty_like(short)
+    return _band_keys(np.stack([minima(short, at[:-1], *f, room) for f in _HASHES], 1))
+
+
+LINES = "doc_id long, text_hash long, line_no int, line long, keys array<long>, text string"
+
+
+def cut_lines(docs: DataFrame) -> DataFrame:
+    """A row for every line (see LINES): line is its hash (null: blank); keys (of the bands) and text
+    stand where a task meets the line for the first time, as far as it remembers, so each text is
+    cut once and each distinct line is signed about once a task."""
     def run(batches):
         recent: dict[int, None] = {}
         for batch in batches:
-            for _, _, buf, off in chunks(batch.column(0)):
-                _, start, end, codes, c = _line_table(buf, off)
-                line = _hash(c, start, end)
-                solid = np.flatnonzero(~_blank(codes, start, end))
+            for i, j, buf, off in chunks(batch.column(2), LINE_CHUNK):
+                row, start, end, codes, c = _line_table(buf, off)
+                pos = np.arange(len(row)) - np.searchsorted(row, np.arange(j - i))[row]
+                line, blank = _hash(c, start, end), _blank(codes, start, end)
+                solid = np.flatnonzero(~blank)
                 _, one = np.unique(line[solid], return_index=True)
                 pick = np.sort(solid[one])
-                # lines that this task has just sent need not go again
                 pick = pick[[h not in recent for h in line[pick].tolist()]] if len(pick) else pick
-                if not len(pick):
-                    continue
+                if len(recent) > RECENT:
+                    recent.clear()
                 recent |= dict.fromkeys(line[pick].tolist())
-                if len(recent) > 200_000:
-                    recent = dict.fromkeys(line[pick].tolist())
-                x, at = _shingles(c, start[pick], end[pick])
-                x = (x >> _U(32)).astype(np.uint32)
-                room = np.empty_like(x)
-                key = _band_keys(np.stack([minima(x, at[:-1], *f, room) for f in _HASHES], 1))
-                yield pa.RecordBatch.from_arrays([pa.array(key.ravel()),
-                                                  pa.array(np.repeat(line[pick].view(np.int64), BANDS))], ["key", "item"])
-    return docs.select(text_or_empty().alias("text")).mapInArrow(run, "key long, item long")
-
-
-def _lines(docs: DataFrame) -> DataFrame:
-    """(line, text) for the distinct lines of each chunk."""
-    def run(batches):
-        for batch in batches:
-            for _, _, buf, off in chunks(batch.column(0)):
-                _, start, end, codes, c = _line_table(buf, off)
-                line = _hash(c, start, end).view(np.int64)
-                solid = np.flatnonzero(~_blank(codes, start, end))
-                _, one = np.unique(line[solid], return_index=True)
-                pick = solid[one]
+                new = np.zeros(len(row), bool)
+                new[pick] = True
+                if len(pick):
+                    key = _signed(*_shingles(c, start[pick], end[pick])).ravel()
+                else:
+                    key = np.zeros(0, np.int64)
                 text = codes.tobytes().decode("utf-32-le", "replace")
-                yield pa.RecordBatch.from_arrays([pa.array(line[pick]), pa.array([text[a:b] for a, b in zip(start[pick].tolist(), end[pick].tolist())])],
-                                                 ["line", "text"])
-    return docs.select(text_or_empty().alias("text")).mapInArrow(run, "line long, text string")
+                # lists and texts of the new lines, nothing for the others
+                ends = np.concatenate(([0], np.cumsum(new))).astype(np.int32)
+                mask = pa.array(~new)
+                keys = pa.ListArray.from_arrays(pa.array(ends * BANDS), pa.array(key), mask=mask)
+                texts = pa.array([text[a:b] if n else None for n, a, b in zip(new.tolist(), start.tolist(), end.tolist())], pa.string())
+                take = pa.array(row + i)
+                yield pa.RecordBatch.from_arrays([
+                    batch.column(0).take(take), batch.column(1).take(take), pa.array(pos.astype(np.int32)),
+                    pa.array(line.view(np.int64), mask=blank), keys, texts], [f.split()[0] for f in LINES.split(", ")])
+    d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text_or_empty()).alias("text_hash"), text_or_empty().alias("text"))
+    return d.mapInArrow(run, LINES)
 
 
 def jaccard(a: str, b: str) -> tuple[int, int]:
@@ -152,19 +151,47 @@ def jaccard(a: str, b: str) -> tuple[int, int]:
     return k, len(x) + len(y) - k
 
 
-def _pack(payloads: list[str], key: int):
+def _distinct(x: np.ndarray) -> np.ndarray:
+    x = np.sort(x)
+    new = np.ones(len(x), bool)
+    new[1:] = x[1:] != x[:-1]
+    return x[new]
+
+
+def overlaps(left: list[str], right: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """`jaccard` of many pairs of lines, by 48-bit hashes of their shingles."""
+    sides = []
+    for texts in (left, right):
+        buf = np.frombuffer("\n".join(texts).encode("utf-8", "replace"), np.uint8)
+        _, start, end, _, c = _line_table(buf, np.array([0, len(buf)]))
+        x, at = _shingles(c, start, end)
+        pair = np.repeat(np.arange(len(texts), dtype=_U), np.diff(at))
+        sides.append(_distinct((pair << _U(48)) | (x >> _U(16))))
+    both = np.sort(np.concatenate(sides))
+    size = sum(np.bincount((s >> _U(48)).astype(np.int64), minlength=len(left)) for s in sides)
+    inter = np.bincount((both[1:][both[1:] == both[:-1]] >> _U(48)).astype(np.int64), minlength=len(left))
+    return inter, size - inter
+
+
+def _pack(payloads: list[str], key: int | None):
     """Band keys before the group's, and the lines' distinct shingles, numbered within the group and laid end to end."""
     buf = np.frombuffer("\n".join(payloads).encode("utf-8", "replace"), np.uint8)
     _, start, end, _, c = _line_table(buf, np.array([0, len(buf)]))
     x, at = _shingles(c, start, end)
-    short = (x >> _U(32)).astype(np.uint32)
-    room = np.empty_like(short)
-    keys = _band_keys(np.stack([minima(short, at[:-1], *f, room) for f in _HASHES], 1))
-    known, number = np.unique(x, return_inverse=True)
-    line = np.repeat(np.arange(len(at) - 1), np.diff(at))
-    once = np.unique(line * len(known) + number)
-    begin = np.searchsorted(once, np.arange(len(at)) * len(known))
-    return keys[:, :int((keys[0] == key).argmax())], once % len(known), begin, np.zeros(len(known), bool)
+    if key is None:
+        earlier = np.zeros((len(payloads), 0), np.int64)
+    else:
+        keys = _signed(x, at)
+        earlier = keys[:, :int((keys[0] == key).argmax())]
+    order = np.argsort(x)
+    new = np.ones(len(x), bool)
+    new[1:] = x[order][1:] != x[order][:-1]
+    number = np.empty(len(x), np.int64)
+    number[order] = np.cumsum(new) - 1
+    known = int(new.sum())
+    once = _distinct(np.repeat(np.arange(len(at) - 1), np.diff(at)) * known + number)
+    begin = np.searchsorted(once, np.arange(len(at)) * known)
+    return earlier, once % known, begin, np.zeros(known, bool)
 
 
 def _matches(packed, a: int, others: np.ndarray, apart):
@@ -192,28 +219,47 @@ def _similar(x: set, y: set) -> bool:
 
 
 def _confirm(batches):
-    for b in batches:
-        ok = []
-        for x, y in zip(b.column(2).to_pylist(), b.column(3).to_pylist()):
-            k, n = jaccard(x, y)
-            ok.append(DEN * k >= NUM * n)
-        yield b.filter(pa.array(ok, pa.bool_())).select(["a", "b"])
+    """Pairs that are links: by hashes, and by the strings themselves where two equal hashes could decide."""
+    for batch in batches:
+        lo = 0
+        while lo < batch.num_rows:
+            a, b, x, y = (c.to_pylist() for c in batch.slice(lo, PAIRS).columns)
+            n, total = 0, 0  # pairs of about LINE_CHUNK characters
+            while n < len(x) and (not n or total < LINE_CHUNK):
+                total += len(x[n]) + len(y[n])
+                n += 1
+            inter, union = overlaps(x[:n], y[:n])
+            gap = DEN * inter - NUM * union
+            ok = gap >= 0
+            for k in np.flatnonzero(np.abs(gap) <= 4 * DEN).tolist():
+                i, u = jaccard(x[k], y[k])
+                ok[k] = DEN * i >= NUM * u
+            yield pa.RecordBatch.from_arrays([pa.array([v for v, good in zip(c, ok.tolist()) if good], pa.int64()) for c in (a[:n], b[:n])], ["a", "b"])
+            lo += n
+
+
+def _pairs(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """Keys and lines of rows of (line, keys)."""
+    return batch.column(1).flatten().to_numpy(), np.repeat(batch.column(0).to_numpy(), BANDS)
 
 
 def fuzzy_lines(docs: DataFrame) -> DataFrame:
     """doc_id, text_hash, line_no, line, component (null: no other line like it), first_doc,
     first_text, first_line (the line kept of its component), kept - for every line of every document."""
+    cut = saved(cut_lines(docs), "lines", "zstd")
+    seen = cut.select("doc_id", "text_hash", "line_no", "line")
+
     def prepare(items: DataFrame):
-        texts = saved(_lines(docs).join(items.select(F.col("item").alias("line")), "line", "left_semi")
-                      .groupBy("line").agg(F.min("text").alias("text")), "lines-texts")
+        texts = saved(cut.where("text IS NOT NULL").select("line", "text").join(items.select(F.col("item").alias("line")), "line", "left_semi")
+                      .groupBy("line").agg(F.min("text").alias("text")).select(F.col("line").alias("item"), F.col("text").alias("payload")), "lines-texts", "zstd")
 
         def verify(pairs: DataFrame) -> DataFrame:
-            t = {c: texts.select(F.col("line").alias(c), F.col("text").alias(f"t_{c}")) for c in "ab"}
-            return pairs.join(t["a"], "a").join(t["b"], "b").select("a", "b", "t_a", "t_b").mapInArrow(_confirm, "a long, b long")
-        return Evidence(verify, texts.select(F.col("line").alias("item"), F.col("text").alias("payload")), _pack, _matches, _ready, _similar)
+            both = with_payload(with_payload(pairs, texts, "b", "t_b"), texts, "a", "t_a")
+            return both.select("a", "b", "t_a", "t_b").mapInArrow(_confirm, "a long, b long")
+        weight = texts.select("item", F.octet_length("payload").alias("weight"))
+        return Evidence(verify, texts, _pack, _matches, _ready, _similar, weight, small=3)
 
-    seen = saved(occurrences(docs), "lines")
-    comp = connect(band_keys(docs), prepare, "lines")
+    comp = connect(cut.where("keys IS NOT NULL").select("line", "keys"), _pairs, BANDS, prepare, "lines")
     place = F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "text_hash", "line_no")
     by_line = seen.where("line IS NOT NULL").groupBy("line").agg(F.min(place).alias("first"), F.count("*").alias("n"))
     by_line = by_line.join(comp, F.col("line") == F.col("node"), "left").withColumn("component", F.coalesce("component", "line"))
@@ -233,8 +279,10 @@ def drop_duplicate_lines(docs: DataFrame) -> DataFrame:
                  .groupBy(F.col("doc_id").alias("__llm_id"), F.col("text_hash").alias("__llm_hash")).agg(F.collect_list("line_no").alias("__llm_gone")), "lines-gone")
     d = docs.withColumn("__llm_h", F.xxhash64(text_or_empty()))
     d = d.join(gone, F.col("doc_id").cast("long").eqNullSafe(F.col("__llm_id")) & (F.col("__llm_h") == F.col("__llm_hash")), "left")
-    lines = F.split("text", "\n", -1)
-    left = F.filter(lines, lambda x, i: ~F.array_contains("__llm_gone", i))
+    # the stretches between the lines that go
+    d = d.withColumn("__llm_at", F.concat(F.array(F.lit(-1)), F.sort_array("__llm_gone"), F.array(F.size(F.split("text", "\n", -1)))))
+    d = d.withColumn("__llm_lines", F.when(F.col("__llm_gone").isNotNull(), F.split("text", "\n", -1)))
+    left = F.expr("flatten(transform(sequence(1, size(__llm_at) - 1), k -> slice(__llm_lines, __llm_at[k - 1] + 2, __llm_at[k] - __llm_at[k - 1] - 1)))")
     text = F.when(F.col("__llm_gone").isNull(), F.col("text")).otherwise(F.array_join(left, "\n"))
     full = F.col("__llm_gone").isNull() | F.exists(left, lambda x: x.rlike("[^\\x20\\x09-\\x0D]"))
     d = d.where(full).withColumn("text", text)

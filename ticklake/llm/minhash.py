@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .candidates import Evidence, connect
+from .candidates import Evidence, connect, with_payload
 from .common import _U, chunks, lower_ascii, minhashes, mix, read, saved, shingle_hashes, text_or_empty, word_hashes
 
 HALVES, HALF = 8, 3
@@ -65,26 +65,23 @@ def _halves(sigs: list[bytes]) -> np.ndarray:
     return mix(half + np.arange(1, 2 * HALVES + 1, dtype=_U).reshape(2, HALVES))  # no two tables share keys
 
 
-def _expand(make):
+def table_pairs(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """Keys and classes of rows of (cls, sig): HALVES^2 keys for each class, one for each pair of half-keys."""
+    h = _halves(batch.column(1).to_pylist())
+    key = mix(h[:, 0, :, None] * _U(31) + h[:, 1, None, :]).reshape(len(h), -1)
+    return key.ravel(), np.repeat(batch.column(0).to_numpy(), key.shape[1])
+
+
+def half_keys(classes: DataFrame) -> DataFrame:
+    """(key, item) by the first collection alone: what shares a table key shares one of these."""
     def run(batches):
         for batch in batches:
             for lo in range(0, batch.num_rows, 2000):
                 part = batch.slice(lo, 2000)
-                key = make(_halves(part.column(1).to_pylist())).reshape(part.num_rows, -1)
+                key = np.ascontiguousarray(_halves(part.column(1).to_pylist())[:, 0])
                 yield pa.RecordBatch.from_arrays([pa.array(key.ravel().view(np.int64)),
-                                                  pa.array(np.repeat(part.column(0).to_numpy(), key.shape[1]))], ["key", "item"])
-    return run
-
-
-def table_keys(classes: DataFrame) -> DataFrame:
-    """(key, item): HALVES^2 rows for each class, a key for each pair of half-keys."""
-    pairs = _expand(lambda h: mix(h[:, 0, :, None] * _U(31) + h[:, 1, None, :]))
-    return classes.select("cls", "sig").mapInArrow(pairs, "key long, item long")
-
-
-def half_keys(classes: DataFrame) -> DataFrame:
-    """(key, item) by the first collection alone: what shares a table key shares one of these."""
-    return classes.select("cls", "sig").mapInArrow(_expand(lambda h: np.ascontiguousarray(h[:, 0])), "key long, item long")
+                                                  pa.array(np.repeat(part.column(0).to_numpy(), HALVES))], ["key", "item"])
+    return classes.select("cls", "sig").mapInArrow(run, "key long, item long")
 
 
 def _pack(payloads: list[bytes], key: int):
@@ -158,12 +155,13 @@ def near_duplicates(docs: DataFrame, k: int = 5) -> DataFrame:
         sets = saved(d.join(items.select(F.col("item").alias("cls")), "cls", "left_semi").mapInArrow(expand, "cls long, shingles binary"), "minhash-sets")
 
         def verify(pairs: DataFrame) -> DataFrame:
-            sig = {c: classes.select(F.col("cls").alias(c), F.col("sig").alias(f"sig_{c}"), F.col("n_shingles").alias(f"n_{c}")) for c in "ab"}
-            near = pairs.join(sig["a"], "a").join(sig["b"], "b")
-            near = near.where(f"{DEN} * least(n_a, n_b) >= {NUM} * greatest(n_a, n_b)")
-            near = near.select("a", "b", "sig_a", "sig_b").mapInArrow(_agree, "a long, b long")
-            s = {c: sets.select(F.col("cls").alias(c), F.col("shingles").alias(f"s_{c}")) for c in "ab"}
-            return near.join(s["a"], "a").join(s["b"], "b").select("a", "b", "s_a", "s_b").mapInArrow(_confirm, "a long, b long")
+            short = classes.select(F.col("cls").alias("item"), F.struct("sig", "n_shingles").alias("payload"))
+            near = with_payload(with_payload(pairs, short, "b", "y"), short, "a", "x")
+            near = near.where(f"{DEN} * least(x.n_shingles, y.n_shingles) >= {NUM} * greatest(x.n_shingles, y.n_shingles)")
+            near = near.select("a", "b", F.col("x.sig").alias("sig_a"), F.col("y.sig").alias("sig_b")).mapInArrow(_agree, "a long, b long")
+            full = sets.select(F.col("cls").alias("item"), F.col("shingles").alias("payload"))
+            both = with_payload(with_payload(near, full, "b", "s_b"), full, "a", "s_a")
+            return both.select("a", "b", "s_a", "s_b").mapInArrow(_confirm, "a long, b long")
 
         def shorten(batches):
             """Signature and 32-bit hashes; a document's own hashes that fall together are told apart by nothing, so a
@@ -172,9 +170,10 @@ def near_duplicates(docs: DataFrame, k: int = 5) -> DataFrame:
                 out = [g + (np.frombuffer(x, _U) >> _U(32)).astype(np.uint32).tobytes() for g, x in zip(b.column(1).to_pylist(), b.column(2).to_pylist())]
                 yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.binary())], ["item", "payload"])
         payload = classes.select("cls", "sig").join(sets, "cls").mapInArrow(shorten, "item long, payload binary")
-        return Evidence(verify, payload, _pack, _matches, _ready, _similar, half_keys(classes))
+        weight = classes.select(F.col("cls").alias("item"), (4 * F.col("n_shingles")).alias("weight"))
+        return Evidence(verify, payload, _pack, _matches, _ready, _similar, weight, half_keys(classes))
 
-    comp = connect(table_keys(classes), prepare, "minhash")
+    comp = connect(classes.select("cls", "sig"), table_pairs, HALVES * HALVES, prepare, "minhash")
     linked = classes.join(comp, F.col("cls") == F.col("node"), "left").select(
         "h1", "h2", F.col("n_shingles").alias("n"), F.coalesce("component", "cls").alias("component"))
     out = signed.join(linked, (signed.h1 == linked.h1) & (signed.h2 == linked.h2) & (F.col("n_shingles") == F.col("n"))
