@@ -61,11 +61,38 @@ def test_minhash_equals_brute_force(spark, k):
     assert all(r["kept"] == (i == want[i]) for i, r in got.items())
 
 
+def missed_and_false(got, want):
+    """Documents of one true component that the result parts, and whether any of its components joins two true ones."""
+    true = {}
+    false = any(true.setdefault(c, want[i]) != want[i] for i, c in got.items())
+    return sum(got[i] != want[i] for i in want), false
+
+
 def test_op10_on_the_table(spark):
     docs = read(spark, SF_SMALL, "documents").collect()
     sets = {r["doc_id"]: shingles(r["text"], 2) for r in docs}
     want = roots(sets, links_of(sets))
-    assert {r["doc_id"]: r["component_id"] for r in minhash.op10(spark, SF_SMALL).collect()} == want
+    lost, false = missed_and_false({r["doc_id"]: r["component_id"] for r in minhash.op10(spark, SF_SMALL).collect()}, want)
+    assert not false and lost <= 1  # each pair may be missed, with the probability that the module states
+
+
+def test_minhash_recall_just_above_the_threshold(spark):
+    """A thousand planted pairs of a similarity of 0.80 to 0.82, none of them alike: at most a hundredth is missed, nothing
+    is linked below the threshold."""
+    rng = np.random.default_rng(12)
+    rows, close = [], 0
+    for p in range(1200):
+        words = [f"p{p}w{i}" for i in range(120)]
+        other = list(words)
+        # 2-word shingles: a changed word costs two of 119 (spread apart), so 6 changed leave 107 / 131 = 0.817, 7 leave 0.79
+        for at in rng.choice(np.arange(1, 119, 3), 6 if p % 6 else 7, replace=False):
+            other[int(at)] = f"q{p}x{at}"
+        rows += [(2 * p, " ".join(words), "s"), (2 * p + 1, " ".join(other), "s")]
+        close += p % 6 > 0
+    got = {r["doc_id"]: r["component_id"] for r in minhash.near_duplicates(documents(spark, rows), 2).collect()}
+    linked = [p for p in range(1200) if got[2 * p + 1] == 2 * p]
+    assert all(p % 6 for p in linked) and len(linked) >= 0.99 * close
+    assert all(got[2 * p] == 2 * p and got[2 * p + 1] in (2 * p, 2 * p + 1) for p in range(1200))
 
 
 def test_minhash_edges(spark):
@@ -273,3 +300,62 @@ def test_vector_groups_that_meet_count_each_link_once(spark, monkeypatch):
     v = spark.createDataFrame([(i, e) for i, e in enumerate(x.tolist())], "vec_id long, embedding array<double>")
     got = {r["vec_id"]: (r["n_links"], r["component_id"], r["kept"]) for r in embeddings.near_duplicates(v).collect()}
     assert got == plain_vectors(x, list(range(len(x))))
+
+
+def plain_shingles(line, n=9):
+    """Character shingles as the README states them, without the module."""
+    t = "".join(c.lower() if "A" <= c <= "Z" else c for c in line)
+    return {t[i:i + n] for i in range(max(1, len(t) - n + 1))}
+
+
+def test_overlaps_equal_sets_of_strings():
+    rng = np.random.default_rng(3)
+    left = ["".join(rng.choice(list("ab é漢 "), int(rng.integers(1, 80)))) for _ in range(300)]
+    right = [t if k % 5 == 0 else t[:int(rng.integers(0, len(t) + 1))] + "xyz" for k, t in enumerate(left)]
+    inter, union = lines.overlaps(left, right)
+    for k, (a, b) in enumerate(zip(left, right)):
+        x, y = plain_shingles(a), plain_shingles(b)
+        assert (inter[k], union[k]) == (len(x & y), len(x | y)) == lines.jaccard(a, b)
+
+
+def test_which_edits_of_a_line_stay_linked(spark):
+    """One changed character costs nine shingles: lines of 89 characters and more stay linked, shorter ones don't."""
+    rng = np.random.default_rng(14)
+    rows, want = [], {}
+    for k in range(400):
+        n = int(rng.integers(40, 200))
+        line = "".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz "), n - 2)) + "qz"
+        at = int(rng.integers(15, n - 15))
+        edited = line[:at] + "#" + line[at + 1:]
+        rows += [(2 * k, line, "s"), (2 * k + 1, edited.upper() if k % 2 else edited, "s")]
+        x, y = plain_shingles(line), plain_shingles(edited)
+        want[k] = 10 * len(x & y) >= 8 * len(x | y)
+        assert want[k] == (n >= 89)
+    got = {r["doc_id"]: r for r in lines.fuzzy_lines(documents(spark, rows)).collect()}
+    linked = {k: got[2 * k]["component"] is not None and got[2 * k]["component"] == got[2 * k + 1]["component"] for k in want}
+    assert not any(linked[k] for k in want if not want[k])
+    assert np.mean([linked[k] for k in want if want[k]]) >= 0.97
+    assert all(got[2 * k]["kept"] and got[2 * k + 1]["kept"] != linked[k] for k in want)
+
+
+def test_shared_keys_by_blocks(spark, monkeypatch):
+    """Members of shared keys, with one key of half of all items, however the blocks are cut."""
+    from ticklake.llm import candidates
+    rng = np.random.default_rng(15)
+    pairs = {(int(k), int(i)) for k, i in zip(rng.integers(0, 600, 1500), rng.integers(0, 2000, 1500))} | {(7, i) for i in range(0, 2000, 2)}
+    items = spark.createDataFrame([(i, k) for k, i in pairs], "item long, k long").repartition(5).selectExpr("item", "array(k * 4611686018427388) AS keys")
+
+    def expand(batch):
+        return batch.column(1).flatten().to_numpy(), batch.column(0).to_numpy()
+    want = {}
+    for k, i in pairs:
+        want.setdefault(k * 4611686018427388, set()).add(i)
+    want = {k: v for k, v in want.items() if len(v) > 1}
+    for flush, per in ((1 << 19, 1 << 20), (64, 16)):
+        monkeypatch.setattr(candidates, "FLUSH", flush)
+        monkeypatch.setattr(candidates, "PAIRS", per)
+        got = {}
+        for r in candidates.shared_keys(items, expand, 1).collect():
+            assert r["pivot"] <= r["item"] and r["pivot"] in want[r["key"]]
+            got.setdefault(r["key"], set()).add(r["item"])
+        assert got == want

@@ -4,7 +4,7 @@ Two collections of `HALVES` half-keys, `HALF` minimum hashes each, give
 HALVES x HALVES table keys by pairing one of either collection: 2 x HALVES x
 HALF minimum hashes serve as many tables as HALVES^2 x 2 x HALF would by plain
 banding. At a similarity of 0.8 a pair meets in a table with probability
-(1 - (1 - 0.8^3)^8)^2 = 0.994, at 0.85 with 0.999. Every link is confirmed on
+(1 - (1 - 0.8^3)^10)^2 = 0.9985, at 0.85 with 0.9998. Every link is confirmed on
 the full sets of shingles.
 
 Documents of equal sets form one class. Candidate classes are compared with
@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from .candidates import Evidence, connect, with_payload
 from .common import _U, chunks, lower_ascii, minhashes, mix, read, saved, shingle_hashes, text_or_empty, word_hashes
 
-HALVES, HALF = 8, 3
+HALVES, HALF = 10, 3
 COUNT = 2 * HALVES * HALF
 NUM, DEN = 80, 100       # a link: DEN * |A and B| >= NUM * |A or B|
 ESTIMATE = 0.55          # of the minimum hashes that must agree before sets are fetched: 4 standard deviations below 0.8
