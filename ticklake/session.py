@@ -90,6 +90,13 @@ def _fs_path(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with the scheme and authority under which Spark resolves it, as a URI that other libraries read."""
+    fs, p = _fs_path(spark, path)
+    uri = fs.makeQualified(p).toString()
+    return re.sub(r"^file:/+", "file:///", uri)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether the store has the path; errors other than its absence are raised."""
     fs, p = _fs_path(spark, path)
