@@ -26,7 +26,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ticklake.session import work_path
+from ticklake.session import qualified, work_path
 
 from .common import saved, text_or_empty
 
@@ -44,8 +44,8 @@ def _schema(ddl: str) -> pa.Schema:
 
 
 def _filesystem(path: str):
-    """The store and path of a URI; a plain path is local or a shared mount."""
-    return fs.FileSystem.from_uri(path) if ":/" in path else (fs.LocalFileSystem(), path)
+    """The store and path of a URI."""
+    return fs.FileSystem.from_uri(path)
 
 
 def classify(pages: DataFrame, min_revisit: int = MIN_REVISIT) -> DataFrame:
@@ -90,7 +90,9 @@ def write_archives(pages: DataFrame, folder: str | None = None, min_revisit: int
     """Write one archive a task below `folder` and return the index, itself a written table.
     An attempt has a file name of its own, and only files that the index names count:
     what a lost executor left half-written is never read."""
-    folder = folder or work_path(pages.sparkSession, "llm-warc")
+    # workers open the files themselves, so the folder is named as Spark resolves it: on a cluster whose default
+    # store isn't the local disk a path without a scheme is in that store
+    folder = qualified(pages.sparkSession, folder or work_path(pages.sparkSession, "llm-warc"))
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out, at, name = None, 0, f"{folder}/part-{uuid.uuid4().hex}.warc.gz"
