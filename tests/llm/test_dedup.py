@@ -264,6 +264,14 @@ def test_vector_edges(spark):
     assert embeddings.near_duplicates(v.limit(0)).count() == 0
 
 
+def test_vectors_of_extreme_length(spark):
+    """Squares of these overflow or vanish in double precision; their cosines don't."""
+    rows = [(1, [1e200, 1e200]), (2, [1e200, 1.01e200]), (3, [1.0, 1.0]), (4, [1e-200, 1e-200]), (5, [1e-200, -1e-200]), (6, [1e300, 0.0])]
+    v = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in embeddings.near_duplicates(v).collect()}
+    assert got == {1: (3, 1), 2: (3, 1), 3: (3, 1), 4: (3, 1), 5: (0, 5), 6: (0, 6)}
+
+
 def test_hot_vector_group_spreads_and_counts(spark):
     rng = np.random.default_rng(0)
     base = rng.normal(size=16)

@@ -58,7 +58,9 @@ def spherical_kmeans(x: np.ndarray, k: int, rounds: int = ROUNDS, seed: int = 3)
 
 
 def _unit(vectors) -> np.ndarray:
+    """Rows of length 1; scaling by a power of two first keeps squares from overflow and from vanishing, and changes no digit."""
     x = np.array(vectors, np.float64)
+    x = np.ldexp(x, -np.frexp(np.abs(x).max(1, keepdims=True))[1]) if x.size else x
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
@@ -108,7 +110,7 @@ def _pack(centres: dict[int, np.ndarray], threshold: float):
         x, home, c = np.array(g["vec"].tolist(), np.float64), g["cell"].to_numpy(), _centres(centres, key[0])
         with np.errstate(over="ignore"):
             short = x.astype(np.float32)
-        seen = _visits(x / np.linalg.norm(x, axis=1, keepdims=True), home, c, np.arange(len(c)), threshold).any(0)
+        seen = _visits(_unit(x), home, c, np.arange(len(c)), threshold).any(0)
         return pd.DataFrame({"dim": [key[0]], "grp": [key[1]], "cls": [g["cls"].to_numpy(np.int64).tobytes()],
                              "many": [g["many"].to_numpy(np.int64).tobytes()], "home": [home.astype(np.int32).tobytes()],
                              "vecs": [(short if (short == x).all() else x).tobytes()],  # floats stay floats
@@ -161,7 +163,7 @@ def _compare(centres: dict[int, np.ndarray], threshold: float):
         cls, many, home = (np.concatenate([np.frombuffer(v, t) for v in g[k]]) for k, t in (("cls", np.int64), ("many", np.int64), ("home", np.int32)))
         x = np.concatenate([np.frombuffer(v, np.float32 if len(v) == len(w) // 8 * d * 4 else np.float64).astype(np.float64).reshape(-1, d)
                             for v, w in zip(g["vecs"], g["cls"])])
-        x /= np.linalg.norm(x, axis=1, keepdims=True)
+        x = _unit(x)
         cut, same = len(g["cls"].iloc[0]) // 8, len(g) == 1
         second = 0 if same else cut
         count, root = np.zeros(len(cls), np.int64), np.arange(len(cls))
