@@ -127,7 +127,7 @@ def fold(leaf: Column, path: Column) -> Column:
 
 def proofs(docs: DataFrame) -> DataFrame:
     """doc_id, source key (grp), leaf, changed, subroot, root, path for each row."""
-    steps, subroots = ascend(numbered(leaves(docs), ["doc_id", "digest", "tie"]))
+    steps, subroots = ascend(numbered(saved(leaves(docs), "manifest-leaves"), ["doc_id", "digest", "tie"]))  # texts are read once
     sources = numbered(subroots.select(F.lit("").alias("grp"), F.col("grp").alias("member"), F.col("root").alias("digest")), ["member"])
     upper, root = ascend(sources)
     above = descend(upper, root.withColumn("path", F.array().cast(LINK)))
