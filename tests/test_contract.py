@@ -39,7 +39,7 @@ CASES = [
     ("event time not a string", _case(event_time=1), "event_time"),
     ("format not enforced", _case(event_time="yesterday"), ""),
     ("unknown source", _case(source="kraken"), "source"),
-    ("array", "[1, 2, 3]", "not_an_object"),
+    ("array", '[0, {}]', "not_an_object"),
     ("broken", '{"coin_id": "bitcoin"', "not_an_object"),
 ]
 

@@ -13,7 +13,7 @@ ACTIONS = {"lake_roundtrip", "lake_compaction", "lake_inventory", "upsert_state"
            "stream_dead_letters", "stream_throttled", "stream_dlq_monitor", "dq_results", "model_run_tests",
            "silver_incremental", "silver_late_arrivals", "price_changes", "throttled_ticks", "throttled_ticks_hourly",
            "throttled_ticks_blocks", "lake_rows", "dq_gate", "payload_events", "stream_progress", "stream_rates",
-           "stream_late_rows", "stream_commits", "stream_lag", "silver_column_sync"}
+           "stream_late_rows", "stream_commits", "stream_lag", "silver_column_sync", "landed_snapshots", "dq_incremental"}
 # per-segment tables (rows = keys x segments) and tables of evaluation steps (rows = rules x steps of 15 s)
 SUMMARY_FUNCS = ("_last", "_bmax", "_first", "_step_delta", "_step_first", "_step_new")
 

@@ -38,7 +38,9 @@ def history_grid(spark_or_df, as_of, *, days: int = 7, end_hours: int = 2,
                  sources: Sequence[tuple[str, float]] | None = None) -> DataFrame:
     """Hourly demo history: spine (as_of - days .. as_of - end_hours, 1 h) x
     coins x sources, prices from a slow and a fast sine swing plus a per-source
-    offset; feed B gets no cap/change."""
+    offset; feed B gets no cap/change. The swing is cut to fifteen digits and what
+    follows is whole-number arithmetic, so any engine gets the same digits. Base
+    prices and caps are whole numbers."""
     # fixed values: demo coins (id, symbol, base price, base market cap) and source offsets
     coins = coins or [("bitcoin", "btc", 60000.0, 1200000000000.0),
                       ("ethereum", "eth", 1600.0, 200000000000.0),
@@ -60,10 +62,14 @@ def history_grid(spark_or_df, as_of, *, days: int = 7, end_hours: int = 2,
     factor = (F.lit(1.0) + F.lit(0.05) * F.sin(ep / 86400.0 * 1.8 + n)
               + F.lit(0.01) * F.sin(ep / 3600.0 * 0.7 + n * 2) + F.col("source_offset"))
     cg = F.col("source") == "coingecko"
+    # from here on whole numbers: the swing in units of 1e-15, products rounded half away from zero
+    grid = grid.withColumns({"_f": F.floor(factor * 1e15).cast("decimal(17,0)"), "_p": F.col("base_price").cast("decimal(13,0)"),
+                             "_c": F.col("base_market_cap").cast("decimal(14,0)")})
+    change = F.expr("sign(_f - 1000000000000000) * ((abs(_f - 1000000000000000) + 500000000) div 1000000000)")
     return grid.select(
         "coin_id", "source", "symbol",
-        F.round(F.col("base_price") * factor, 8).cast(PRICE).alias("price_usd"),
-        F.when(cg, F.round(F.col("base_market_cap") * factor, 2)).cast(CAP).alias("market_cap"),
-        F.when(cg, F.round((factor - 1) * 100, 4)).cast(CHANGE).alias("change_24h"),
+        (F.expr("(_p * _f + 5000000) div 10000000").cast("decimal(18,0)") * F.expr("0.00000001BD")).cast(PRICE).alias("price_usd"),
+        F.when(cg, (F.expr("(_c * _f + 5000000000000) div 10000000000000").cast("decimal(20,0)") * F.expr("0.01BD")).cast(CAP)).alias("market_cap"),
+        F.when(cg, (change.cast("decimal(18,0)") * F.expr("0.0001BD")).cast(CHANGE)).alias("change_24h"),
         F.col("recorded_at").cast("timestamp_ntz").alias("recorded_at"),
     )

@@ -269,6 +269,20 @@ def _quality(q: dict[str, Callable[[Inputs], DataFrame]]) -> None:
         rels = QL.relations(raw, S.stg_prices(raw), clean, gold, as_of=i.as_of)
         return QL.quality_results(rels, as_of=i.as_of).unionByName(QL.feed_results(rels["raw_24h"]))
 
+    def dq_incremental(i: Inputs) -> DataFrame:
+        """Checks of a silver table written in two runs, from numbers that the second run takes of its own days alone."""
+        from ticklake.operators import check_store as CS
+        from ticklake.session import work_path
+        path, store = work_path(i.spark, "silver"), work_path(i.spark, "check-numbers")
+        rules = [C.not_null("coin_id"), C.not_null("market_cap"), C.accepted_values("source", ("coingecko",)), C.accepted_values("source", ("coingecko", "binance")),
+                 C.min_gt("price_usd", 0), C.min_gt("price_usd", 5), C.unique("coin_id", "source", "recorded_at"), C.unique("recorded_at"), C.unique("coin_id"),
+                 C.row_count_min(1), C.row_count_eq(5), C.freshness("recorded_at", 10)]
+        for part in (i.stg.where(F.col("recorded_at") < i.as_of - F.expr("INTERVAL 7 DAYS")), i.stg):
+            S.refresh_silver(i.spark, part, path)
+            CS.update(i.spark, path, store, rules)
+        return CS.results(i.spark, path, store, "silver", rules, as_of=i.as_of)
+
+    q["dq_incremental"] = dq_incremental
     q["dq_results"] = dq_results
     q["dq_gate"] = lambda i: C.by_zone(dq_results(i))
     q["mart_counts"] = lambda i: _mart_counts(i)
@@ -595,6 +609,18 @@ def _misc(q: dict[str, Callable[[Inputs], DataFrame]]) -> None:
         read = L.read_payloads(i.spark, landing, "binance", streaming=False).withColumn("frame_id", F.lit(0).cast("long"))
         return N.normalize_trades(read).where(F.size("violations") == 0).select("coin_id", "symbol", "price_usd", "event_time", "source")
 
+    def landed_snapshots(i: Inputs) -> DataFrame:
+        """Poll bodies landed as whole files by receive time, read back and normalised; the events carry that time."""
+        landing = work_path(i.spark, "bodies")
+        L.land_bodies(D.hourly_bodies(i.events), landing)
+        read = L.read_payloads(i.spark, landing, "coingecko", streaming=False, whole=True, received="received_us").withColumn("poll_id", F.lit(0).cast("long"))
+        ev = N.normalize_snapshot(read).where(F.size("violations") == 0)
+        return ev.select("coin_id", "symbol", "price_usd", "event_time", "source")
+
+    def dlq_previews(i: Inputs) -> DataFrame:
+        """What the monitor logs of each dead letter: the start of its raw text."""
+        return DL.parse_dead_letters(dlq_messages(i)).select("source_topic", "reason", DL.preview(F.col("raw_value")).alias("preview"))
+
     def publish_records(i: Inputs) -> DataFrame:
         t = N.normalize_trades(D.trade_frames(i.events))
         return L.to_log(t.where(F.size("violations") == 0), key_cols=("coin_id", "source"))
@@ -630,6 +656,8 @@ def _misc(q: dict[str, Callable[[Inputs], DataFrame]]) -> None:
         "publish_log": lambda i: snapshots(i).select("coin_id", "price_usd", "change_24h"),
         "dead_letter_replay": dead_letter_replay,
         "payload_events": payload_events,
+        "landed_snapshots": landed_snapshots,
+        "dlq_previews": dlq_previews,
         "latest_ticks_top": lambda i: i.clean.orderBy(F.col("recorded_at").desc(), "coin_id", "source").limit(10),
         "source_freshness": source_freshness,
         "lake_replay": lake_replay,

@@ -5,6 +5,9 @@ the DataFrame API."""
 
 from __future__ import annotations
 
+import re
+from types import SimpleNamespace
+
 # --- derived inputs (twins of ticklake.sources.derived) ---
 BASE = """base AS (
   SELECT event_id, ts, value,
@@ -206,7 +209,7 @@ log AS (
   SELECT event_id, source AS feed,
     CASE WHEN source = 'coingecko' THEN 'coingecko.prices.raw' ELSE 'binance.trades.raw' END AS topic,
     ts AS kafka_ts,
-    CASE WHEN event_id % 61 = 0 THEN '[1, 2, 3]' WHEN event_id % 59 = 0 THEN 'not json at all' ELSE concat('{',
+    CASE WHEN event_id % 61 = 0 THEN '["late", 0, {}]' WHEN event_id % 59 = 0 THEN '<frame cut' ELSE concat('{',
       CASE WHEN event_id % 13 = 0 THEN '' ELSE concat('"coin_id": "', coin_id, '", ') END,
       '"symbol": "', symbol, '", ',
       '"price_usd": ', CASE WHEN event_id % 17 = 0 THEN 'null' WHEN event_id % 19 = 0 THEN '"n/a"'
@@ -441,9 +444,50 @@ comparison AS (SELECT * FROM cmp),
 latest_by_source AS (SELECT * FROM lbs)"""
 
 
+# every suite's rules written out: `zone @ relation: rule; ...` with column!, column in (...), column > n, rows >= n, rows = n,
+# unique(...) and column within n (minutes)
+_COINS, _FEEDS = "bitcoin|ethereum|solana", "coingecko|binance"
+_SUITES = f"""
+raw @ raw_24h: rows >= 1; coin_id!; price_usd!; coin_id in {_COINS}; price_usd > 0; unique(coin_id,source,recorded_at); source in {_FEEDS}; recorded_at!; recorded_at within 10
+silver @ silver_24h: rows >= 1; coin_id!; price_usd!; coin_id in {_COINS}; price_usd > 0; unique(coin_id,source,recorded_at); source in {_FEEDS}; recorded_at!
+gold @ latest_as_ts: rows >= 1; coin_id!; price_usd!; coin_id in {_COINS}; price_usd > 0; recorded_at!; rows = 3
+gold_comparison @ comparison: rows >= 1
+"""
+_MODELS = f"""
+source:raw.crypto_prices @ raw: coin_id!; coin_id in {_COINS}; source!; source in {_FEEDS}; price_usd!; recorded_at!
+model:stg_crypto_prices @ stg: coin_id!; coin_id in {_COINS}; source!; source in {_FEEDS}; price_usd!; recorded_at!
+model:crypto_prices_clean @ clean: unique(coin_id,source,recorded_at); coin_id!; source!; price_usd!; recorded_at!
+model:mart_latest_prices @ latest: coin_id!; unique(coin_id); coin_id in {_COINS}; price_usd!; last_recorded_at!
+model:mart_latest_prices_by_source @ latest_by_source: unique(coin_id,source); coin_id!; source!; source in {_FEEDS}
+model:mart_source_price_comparison @ comparison: coin_id!; unique(coin_id); coingecko_price_usd!; binance_price_usd!
+model:mart_daily_prices @ daily: unique(coin_id,source,price_date); sample_count!
+model:fct_price_changes @ changes: coin_id!; source!; recorded_at!
+"""
+
+
+def _written(rule: str) -> SimpleNamespace:
+    kinds = [("not_null", r"(\w+)!"), ("accepted_values", r"(\w+) in (.+)"), ("min_gt", r"(\w+) > (\d+)"), ("row_count_min", r"()rows >= (\d+)"),
+             ("row_count_eq", r"()rows = (\d+)"), ("unique", r"unique\((.+)\)"), ("freshness", r"(\w+) within (\d+)")]
+    for kind, pattern in kinds:
+        m = re.fullmatch(pattern, rule)
+        if m:
+            more = m[2] if m.re.groups > 1 else ""
+            return SimpleNamespace(kind=kind, columns=tuple(m[1].split(",")) if m[1] else (), values=tuple(more.split("|")),
+                                   threshold=int(more) if more.isdigit() else None)
+    raise ValueError(rule)
+
+
+def _rules(text: str) -> list[str]:
+    out = []
+    for line in text.strip().split("\n"):
+        head, rules = line.split(": ", 1)
+        zone, relation = head.split(" @ ")
+        out += [_rule_sql(zone, relation, _written(r)) for r in rules.split("; ")]
+    return out
+
+
 def quality_oracle() -> dict[str, str]:
-    from ticklake.plans.quality import MODEL_TESTS, ZONE_SUITES
-    parts = [_rule_sql(z, rel, r) for z, rel, rules in ZONE_SUITES + MODEL_TESTS for r in rules]
+    parts = _rules(_SUITES + _MODELS.lstrip())
     vol = """SELECT 'raw' AS zone, s.source, coalesce(n, 0) AS row_count, coalesce(n, 0) >= 1 AS success
   FROM (VALUES ('coingecko'), ('binance')) s(source)
   LEFT JOIN (SELECT source, count(*) AS n FROM raw_24h GROUP BY source) c ON c.source = s.source"""
@@ -453,10 +497,7 @@ def quality_oracle() -> dict[str, str]:
   FROM (VALUES ('coingecko'), ('binance')) s(source)
   LEFT JOIN (SELECT source, count(DISTINCT coin_id) AS k, list(DISTINCT coin_id) AS seen FROM raw_24h
              WHERE coin_id IN ('bitcoin', 'ethereum', 'solana') GROUP BY source) c ON c.source = s.source"""
-    run_models = ("source:raw.crypto_prices", "model:stg_crypto_prices", "model:crypto_prices_clean", "model:mart_latest_prices",
-                  "model:mart_latest_prices_by_source", "model:mart_source_price_comparison",
-                  "model:mart_daily_prices", "model:fct_price_changes")
-    model_parts = [_rule_sql(z, rel, r) for z, rel, rules in MODEL_TESTS if z in run_models for r in rules]
+    model_parts = _rules(_MODELS)
     feeds = f"""SELECT zone, 'source_volume' AS check_name, source AS column_name, CAST(NOT success AS BIGINT) AS failed_rows,
     row_count AS total_rows, success FROM ({vol})
   UNION ALL
@@ -551,6 +592,20 @@ ticks AS (
   FROM base)"""
 
 
+# fixed values: the demo coins (id, symbol, base price, base market cap), the feeds' offsets, the swings' sizes and speeds
+_GRID = """,
+hours AS (SELECT (SELECT as_of FROM ref_time) - to_hours(168 - k) AS hr FROM range(0, 167) r(k)),
+swung AS (SELECT hr, c.*, f.*, CAST(floor((1.0 + 0.05 * sin(epoch_us(hr) / 1000000.0 / 86400.0 * 1.8 + len(c.id)) + 0.01 * sin(epoch_us(hr) / 1000000.0 / 3600.0 * 0.7 + len(c.id) * 2)
+    + f.apart) * 1e15) AS HUGEINT) AS swing
+  FROM hours, (VALUES ('bitcoin', 'btc', 60000, 1200000000000), ('ethereum', 'eth', 1600, 200000000000), ('solana', 'sol', 75, 35000000000)) c(id, sym, price, cap),
+       (VALUES ('coingecko', CAST(0.0 AS DOUBLE)), ('binance', CAST(0.0012 AS DOUBLE))) f(feed, apart)),
+grid AS (SELECT id AS coin_id, feed AS source, sym AS symbol,
+    CAST(CAST((price * swing + 5000000) // 10000000 AS DECIMAL(20,0)) * CAST(0.00000001 AS DECIMAL(8,8)) AS DECIMAL(20,8)) AS price_usd,
+    CASE feed WHEN 'coingecko' THEN CAST(CAST((cap * swing + 5000000000000) // 10000000000000 AS DECIMAL(28,0)) * CAST(0.01 AS DECIMAL(2,2)) AS DECIMAL(30,2)) END AS market_cap,
+    CASE feed WHEN 'coingecko' THEN CAST(CAST(sign(swing - 1000000000000000) * ((abs(swing - 1000000000000000) + 500000000) // 1000000000) AS DECIMAL(14,0))
+      * CAST(0.0001 AS DECIMAL(4,4)) AS DECIMAL(10,4)) END AS change_24h, hr AS recorded_at FROM swung)"""
+
+
 def sinks_oracle() -> dict[str, str]:
     raw_cols = "coin_id, source, symbol, price_usd, market_cap, change_24h, recorded_at"
     return {
@@ -566,10 +621,9 @@ def sinks_oracle() -> dict[str, str]:
     coalesce(d0.ingested_at, d1.ingested_at) AS ingested_at, d1.dt
   FROM d1 LEFT JOIN d0 ON d1.coin_id = d0.coin_id AND d1.source = d0.source AND d1.recorded_at = d0.recorded_at
     AND d1.dt = d0.dt"""),
-        # seed_history: no SQL oracle. Market caps near 1e12 with 2 decimals sit at
-        # the edge of double precision and the engines round doubles differently
-        # (shortest decimal text vs exact binary value); pytest checks it against a
-        # Python brute force with a tolerance instead.
+        "seed_history": _w(SEED + _GRID, f"""SELECT {raw_cols} FROM ticks
+  UNION ALL
+  SELECT {raw_cols} FROM grid g WHERE NOT EXISTS (SELECT 1 FROM ticks t WHERE t.coin_id = g.coin_id AND t.source = g.source AND t.recorded_at = g.recorded_at)"""),
         "backfill_legacy": _w(SEED, f"""SELECT {raw_cols} FROM ticks
   UNION ALL
   SELECT {raw_cols} FROM (
@@ -743,6 +797,29 @@ parsed AS (
         "dead_letter_replay": _w(LOG, "SELECT topic, raw_value AS value FROM classified WHERE reason IS NOT NULL"),
         "payload_events": _w(TRADES, f"""SELECT coin_id, symbol, price_usd, event_time, source
   FROM tr_ev WHERE e = 'trade' AND coin_id IS NOT NULL AND ms IS NOT NULL AND {_typed_violations()}, ',') = ''"""),
+        "dlq_previews": _w(dlq_msgs, "SELECT source_topic, reason, substr(coalesce(raw_value, ''), 1, 200) AS preview FROM parsed"),
+        "landed_snapshots": _w(BASE + """,
+hourly AS (SELECT date_trunc('hour', ts) + INTERVAL 1 HOUR AS hr, coin_id, arg_max(value, (ts, event_id)) AS value, arg_max(event_id, (ts, event_id)) AS id
+  FROM base GROUP BY 1, 2),
+quoted AS (SELECT coin_id, coalesce(CASE coin_id WHEN 'bitcoin' THEN 'btc' WHEN 'ethereum' THEN 'eth' WHEN 'solana' THEN 'sol' END, coin_id) AS symbol,
+    CAST(printf('%.2f', value) AS DOUBLE) AS price_usd, strftime(hr, '%Y-%m-%dT%H:%M:%S.%f') || '+00:00' AS event_time, 'coingecko' AS source
+  FROM hourly WHERE id % 9 <> 0)""", f"SELECT coin_id, symbol, price_usd, event_time, source FROM quoted WHERE {_typed_violations()}, ',') = ''"),
+        "dq_incremental": _w(CLEAN + ",\n" + ASOF + """,
+n AS (SELECT count(*) AS total FROM clean),
+found(check_name, column_name, failed_rows) AS (
+  SELECT 'not_null', 'coin_id', count(*) FILTER (WHERE coin_id IS NULL) FROM clean
+  UNION ALL SELECT 'not_null', 'market_cap', count(*) FILTER (WHERE market_cap IS NULL) FROM clean
+  UNION ALL SELECT 'accepted_values', 'source', count(*) FILTER (WHERE source <> 'coingecko') FROM clean
+  UNION ALL SELECT 'accepted_values', 'source', count(*) FILTER (WHERE source NOT IN ('coingecko', 'binance')) FROM clean
+  UNION ALL SELECT 'min_gt', 'price_usd', count(*) FILTER (WHERE price_usd <= 0) FROM clean
+  UNION ALL SELECT 'min_gt', 'price_usd', count(*) FILTER (WHERE price_usd <= 5) FROM clean
+  UNION ALL SELECT 'unique', 'coin_id,source,recorded_at', count(*) FROM (SELECT 1 FROM clean GROUP BY coin_id, source, recorded_at HAVING count(*) > 1)
+  UNION ALL SELECT 'unique', 'recorded_at', count(*) FROM (SELECT 1 FROM clean GROUP BY recorded_at HAVING count(*) > 1)
+  UNION ALL SELECT 'unique', 'coin_id', count(*) FROM (SELECT 1 FROM clean GROUP BY coin_id HAVING count(*) > 1)
+  UNION ALL SELECT 'row_count_min', '', CAST(count(*) < 1 AS BIGINT) FROM clean
+  UNION ALL SELECT 'row_count_eq', '', CAST(count(*) <> 5 AS BIGINT) FROM clean
+  UNION ALL SELECT 'freshness', 'recorded_at', CAST(coalesce(epoch_us((SELECT as_of FROM ref_time)) - epoch_us(max(recorded_at)) > 600000000, true) AS BIGINT) FROM clean)""",
+            """SELECT 'silver' AS zone, check_name, column_name, failed_rows, total AS total_rows, failed_rows = 0 AND total > 0 AS success FROM found, n"""),
         "latest_ticks_top": _w(CLEAN, "SELECT * FROM clean ORDER BY recorded_at DESC, coin_id, source LIMIT 10"),
         "source_freshness": _w(RAW + ",\n" + ASOF, """SELECT 'raw.crypto_prices' AS source_name, max(recorded_at) AS max_loaded_at,
     CAST(epoch_us((SELECT as_of FROM ref_time)) - epoch_us(max(recorded_at)) AS DOUBLE) / 1000000.0 AS age_seconds,

@@ -111,6 +111,15 @@ def folders(spark: SparkSession, path: str) -> list[str]:
     return sorted(f.getPath().getName() for f in fs.listStatus(p) if f.isDirectory())
 
 
+def files(spark: SparkSession, path: str) -> list[str]:
+    """Name, length and time of the data files directly below a path, from the store's listing."""
+    fs, p = _fs_path(spark, path)
+    if not fs.exists(p):
+        return []
+    return sorted(f"{f.getPath().getName()}:{f.getLen()}:{f.getModificationTime()}" for f in fs.listStatus(p)
+                  if f.isFile() and not f.getPath().getName().startswith(("_", ".")))
+
+
 def remove_path(spark: SparkSession, path: str) -> None:
     """Remove a folder that the library itself wrote (staging copies, superseded files)."""
     fs, p = _fs_path(spark, path)

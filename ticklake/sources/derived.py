@@ -114,8 +114,8 @@ def raw_log(events: DataFrame) -> DataFrame:
         F.when(eid % 47 == 0, F.lit(', "extra": 1')).otherwise(F.lit("")),
         F.when(eid % 53 == 0, F.lit("")).otherwise(F.lit("}")),
     )
-    raw = (F.when(eid % 61 == 0, F.lit("[1, 2, 3]"))
-            .when(eid % 59 == 0, F.lit("not json at all"))
+    raw = (F.when(eid % 61 == 0, F.lit('["late", 0, {}]'))
+            .when(eid % 59 == 0, F.lit("<frame cut"))
             .otherwise(obj))
     return b.select(
         "event_id",
@@ -169,6 +169,17 @@ def snapshot_bodies(events: DataFrame) -> DataFrame:
     )
 
 
+def hourly_bodies(events: DataFrame) -> DataFrame:
+    """Feed-A polls of one body an hour, over several lines: the latest value of every coin in the hour; now and then
+    a coin without a price. Columns: received_at (the hour's end), payload."""
+    hour = F.date_trunc("hour", F.col("ts")) + F.expr("INTERVAL 1 HOUR")
+    b = tick_base(events).groupBy(hour.cast("timestamp_ntz").alias("received_at"), "coin_id").agg(
+        F.max(F.struct("ts", "event_id", "value")).alias("t"))
+    usd = F.when(F.col("t.event_id") % 9 == 0, F.lit("")).otherwise(F.concat(F.lit('\n    "usd": '), F.format_string("%.2f", F.col("t.value")), F.lit(",")))
+    entry = F.concat(F.lit('  "'), F.col("coin_id"), F.lit('": {'), usd, F.lit('\n    "usd_market_cap": null\n  }'))
+    return b.groupBy("received_at").agg(F.concat(F.lit("{\n"), F.array_join(F.sort_array(F.collect_list(entry)), ",\n"), F.lit("\n}")).alias("payload"))
+
+
 def trade_frames(events: DataFrame) -> DataFrame:
     """Feed-B socket frames: ``{"e","s","p","T"}``, some wrapped as
     ``{"stream", "data"}``; with non-trade events, unknown pairs, lower-case

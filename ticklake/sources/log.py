@@ -124,13 +124,25 @@ def to_log(df: DataFrame, *, key_cols: tuple[str, ...] = ("coin_id",),
     return df.select(key.alias("key"), val.alias("value"))
 
 
-def read_payloads(spark: SparkSession, path: str, feed: str | None = None, *, streaming: bool = True) -> DataFrame:
-    """Landing directory of raw feed bodies (one body per line): (payload, received_at, feed).
+def read_payloads(spark: SparkSession, path: str, feed: str | None = None, *, streaming: bool = True, whole: bool = False,
+                  received: str | None = None) -> DataFrame:
+    """Landing directory of raw feed bodies: (payload, received_at, feed).
 
+    A body is a line, or with ``whole`` a file (a poll's JSON may span lines).
     ``received_at`` is the landing file's modification time (the poll/frame
-    receive time of a file-based landing zone)."""
-    reader = spark.readStream if streaming else spark.read
-    df = reader.format("text").load(path)
-    return df.select(F.col("value").alias("payload"),
-                     F.col("_metadata.file_modification_time").cast("timestamp_ntz").alias("received_at"),
-                     F.lit(feed).cast("string").alias("feed"))
+    receive time of a file-based landing zone), or where the landing place is
+    laid out by receive time the partition column ``received``, in
+    microseconds since the epoch."""
+    reader = (spark.readStream if streaming else spark.read).format("text").option("wholetext", str(whole).lower())
+    if received:
+        reader = reader.schema(f"value string, {received} long")
+    df = reader.load(path)
+    at = F.timestamp_micros(received) if received else F.col("_metadata.file_modification_time")
+    return df.select(F.col("value").alias("payload"), at.cast("timestamp_ntz").alias("received_at"), F.lit(feed).cast("string").alias("feed"))
+
+
+def land_bodies(bodies: DataFrame, path: str, received: str = "received_us") -> None:
+    """Write bodies (payload, received_at) as whole files below ``received``=<microseconds>/, one for each receive time."""
+    micros_ = F.unix_micros(F.col("received_at").cast("timestamp")).alias(received)
+    (bodies.select(F.col("payload").alias("value"), micros_).repartition(received).write.mode("append").option("lineSep", "\n")
+     .partitionBy(received).text(path))
