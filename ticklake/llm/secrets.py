@@ -2,9 +2,10 @@
 
 Two first-order Markov chains over characters are trained from labelled
 samples of the corpus itself: strings the patterns found (label random) and
-words that are plain identifiers (label ordinary). A token of `MIN_TOKEN` or
-more characters outside the pattern spans is a secret when the log-likelihood
-ratio of the two chains reaches `THRESHOLD`. All steps are DataFrame
+words that are plain identifiers, dotted names, paths and numbers (label ordinary). A
+stretch of `MIN_TOKEN` or more characters of the alphabet outside the pattern
+spans - a token, or what is left of one beside a span - is a secret when the
+log-likelihood ratio of the two chains reaches `THRESHOLD`. All steps are DataFrame
 expressions: texts are scanned once, in the JVM, and only spans go on.
 
 Edges: null and empty texts have no spans; an empty table gives no rows; with
@@ -27,10 +28,11 @@ ASSIGN = "((?i:password|passwd|secret|token|api_?key))[\"']?\\x20*[:=]\\x20*[\"'
 ACCESS = "AKIA[A-Z0-9]{14,}"
 HEX = "[0-9a-f]{16,}"
 MIN_VALUE = 12
-ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+_=-"
-MIN_TOKEN = 16
-TOKEN = f"[A-Za-z0-9+_=-]{{{MIN_TOKEN},}}"
-ORDINARY = "[A-Za-z]{3,}(?:[_-][A-Za-z]{2,})*"
+ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_.=-"
+MIN_TOKEN = 12         # as the shortest value that the patterns take
+TOKEN = f"[A-Za-z0-9+/_.=-]{{{MIN_TOKEN},}}"
+ORDINARY = "(?:[A-Za-z]{3,}|[0-9]{1,4})(?:[_./-](?:[A-Za-z]{2,}[0-9]?|[0-9]{1,4}))*[.]?"
+STRETCH = 256          # matches whose places are summed up at a time
 THRESHOLD = 12.0       # nats
 BACKOFF = 4.0          # weight of single characters against pairs in the ordinary chain
 SAMPLE_DOCS = 5_000    # documents that give ordinary words, at most about
@@ -40,13 +42,28 @@ _SPAN = "array<struct<kind:int,start:int,end:int,text:string>>"
 
 
 def _place(kind: int, found: str, pieces: str) -> Column:
-    """Spans of `found`, the matches of a pattern, from `pieces`, the text between them."""
-    return F.expr(f"""aggregate(
-        filter(zip_with({found}, {pieces}, (m, p) -> struct(length(p) AS gap, length(m) AS len, m AS m)), x -> x.m IS NOT NULL),
-        struct(0 AS at, CAST(array() AS {_SPAN}) AS spans),
-        (a, x) -> struct(a.at + x.gap + x.len AS at,
-                         array_append(a.spans, struct({kind} AS kind, a.at + x.gap AS start, a.at + x.gap + x.len AS end, x.m AS text)) AS spans),
-        a -> a.spans)""")
+    """Spans of `found`, the matches of a pattern, from `pieces`, the text between them. Running sums are taken over `STRETCH`
+    matches at a time, so a text of many matches doesn't copy all of them for each."""
+    return F.expr(f"""transform(
+        array(filter(zip_with({found}, {pieces}, (m, p) -> struct(length(p) AS gap, length(m) AS len, m AS m)), x -> x.m IS NOT NULL)),
+        z -> aggregate(sequence(0, greatest(0, size(z) - 1) div {STRETCH}), struct(0 AS at, CAST(array() AS array<{_SPAN}>) AS parts),
+            (a, k) -> transform(array(aggregate(slice(z, CAST(k * {STRETCH} + 1 AS int), {STRETCH}), struct(a.at AS at, CAST(array() AS {_SPAN}) AS spans),
+                (b, x) -> struct(b.at + x.gap + x.len AS at,
+                                 array_append(b.spans, struct({kind} AS kind, b.at + x.gap AS start, b.at + x.gap + x.len AS end, x.m AS text)) AS spans))),
+                r -> struct(r.at AS at, array_append(a.parts, r.spans) AS parts))[0],
+            a -> flatten(a.parts)))[0]""")
+
+
+def _outside(token: str) -> str:
+    """SQL for what a token has outside the base spans: stretches of `MIN_TOKEN` characters or more, as spans."""
+    touch = f"filter(base, b -> b.start < {token}.end AND {token}.start < b.end)"
+    part = (f"struct({token}.kind AS kind, {{a}} AS start, {{z}} AS end, substring({token}.text, {{a}} - {token}.start + 1, {{z}} - {{a}}) AS text)")
+    return f"""CASE WHEN NOT exists(base, b -> b.start < {token}.end AND {token}.start < b.end) THEN array({token}) ELSE filter(aggregate(
+        array_sort({touch}, (x, y) -> CASE WHEN x.start < y.start THEN -1 WHEN x.start > y.start THEN 1 ELSE 0 END),
+        struct({token}.start AS at, CAST(array() AS {_SPAN}) AS spans),
+        (a, b) -> struct(greatest(a.at, b.end) AS at, CASE WHEN b.start > a.at THEN array_append(a.spans, {part.format(a='a.at', z='b.start')}) ELSE a.spans END AS spans),
+        a -> CASE WHEN a.at < {token}.end THEN array_append(a.spans, {part.format(a='a.at', z=f'{token}.end')}) ELSE a.spans END),
+        p -> p.end - p.start >= {MIN_TOKEN}) END"""
 
 
 def pattern_spans(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> DataFrame:
@@ -60,7 +77,7 @@ def pattern_spans(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> DataFrame:
                        (("assign", ASSIGN), ("access", ACCESS), ("hex", HEX), ("token", TOKEN))}
                       | {"_value": F.regexp_extract_all(text, F.lit(ASSIGN), F.lit(2)),
                          "_words": F.when(F.col("_sampled"), F.array_distinct(F.regexp_extract_all(
-                             text, F.lit(f"(?<![A-Za-z0-9+_=-])({ORDINARY})(?![A-Za-z0-9+_=-])"), F.lit(1))))})
+                             text, F.lit(f"(?<![A-Za-z0-9+/_.=-])({ORDINARY})(?![A-Za-z0-9+/_.=-])"), F.lit(1))))})
     placed = {f"_at_{k}": F.when(F.size(f"_{k}") > 0, _place(i, f"_{k}", f"split(_text, '{quoted[k]}', -1)"))
               for i, k in enumerate(("assign", "access", "hex", "token"))}
     d = d.select("doc_id", "_value", "_words", *[c.alias(k) for k, c in placed.items()])
@@ -69,7 +86,7 @@ def pattern_spans(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> DataFrame:
         f"transform(filter(zip_with(_at_assign, _value, (s, v) -> struct(s AS s, v AS v)), x -> length(x.v) >= {MIN_VALUE}), x -> x.s)"))
     d = d.withColumn("base", F.expr(f"concat(coalesce(_at_assign, {none}), coalesce(_at_access, {none}), coalesce(_at_hex, {none}))"))
     return saved(d.select("doc_id", "base", F.expr(
-        f"filter(coalesce(_at_token, {none}), t -> NOT exists(base, b -> b.start < t.end AND t.start < b.end))").alias("tokens"),
+        f"flatten(transform(coalesce(_at_token, {none}), t -> {_outside('t')}))").alias("tokens"),
         F.expr(f"concat(coalesce(filter(_value, v -> length(v) >= {MIN_VALUE}), CAST(array() AS array<string>)), "
                "transform(filter(base, b -> b.kind > 0), b -> b.text))").alias("strings"),
         F.col("_words").alias("words")), "secret-spans")
