@@ -67,9 +67,9 @@ def dedupe_by_key(df: DataFrame, keys: Sequence[str], tie_break: Sequence[str],
     return out.select(*keys, *[F.col(f"_pick.{c}").alias(c) for c in (*tie_break, *rest)])
 
 
-# rows above which a (key, time bucket) is split further, and the split fan-out
+# rows above which a (key, time bucket) is split further, and the most parts it is split into
 MAX_SEGMENT_ROWS = 4_000_000
-SPLIT_FANOUT = 64
+SPLIT_FANOUT = 4096
 
 
 def segments(df: DataFrame, keys: Sequence[str], order_col: str, *, bucket_seconds: int = 3600,
@@ -80,7 +80,7 @@ def segments(df: DataFrame, keys: Sequence[str], order_col: str, *, bucket_secon
 
     Segments are time buckets; a bucket holding more than ``max_rows`` rows
     (a burst, or a key with most of the data) is split at approximate row
-    quantiles of ``order_col`` into up to ``fanout`` parts. Counting and the
+    quantiles of ``order_col`` into as many parts as its count asks for, up to ``fanout``. Counting and the
     quantile sketches are partial aggregates, so a hot bucket is summarised
     map-side; only hot buckets are sketched. Equal ``order_col`` values
     always share a segment.
@@ -91,7 +91,9 @@ def segments(df: DataFrame, keys: Sequence[str], order_col: str, *, bucket_secon
     hot = counts.where(F.col("_n") > max_rows).select(*keys, "_bkt")
     probs = [i / fanout for i in range(1, fanout)]
     bounds = (b.join(hot, on=[*keys, "_bkt"], how="left_semi")
-               .groupBy(*keys, "_bkt").agg(F.percentile_approx(us, probs, 10_000).alias("_bounds")))
+               .groupBy(*keys, "_bkt").agg(F.percentile_approx(us, probs, 10_000).alias("_all"),
+                                           F.least(F.lit(fanout), F.ceil(F.count(F.lit(1)) / max_rows)).cast("int").alias("_parts"))
+               .select(*keys, "_bkt", F.expr(f"transform(sequence(1, greatest(1, _parts - 1)), i -> _all[CAST(i * {fanout} / _parts AS int) - 1])").alias("_bounds")))
     seg = b.join(bounds, on=[*keys, "_bkt"], how="left")
     sub = F.coalesce(F.size(F.filter(F.col("_bounds"), lambda x: x <= us)), F.lit(0))
     return seg.withColumn("_seg", F.col("_bkt") * F.lit(fanout) + sub).drop("_bkt", "_bounds")
