@@ -6,8 +6,10 @@ vector, the pruning keeps a candidate unless a kept neighbour is closer to it
 by `ALPHA` (so edges point in diverse directions), and the reverse edges are
 pruned again where they overflow. What the entry can't reach in the end gets
 an edge from the nearest vector that it reaches. A query walks the graph of
-every shard with a beam of `SEARCH` vectors; these are scored again in double
-precision on the original vectors and the best of all shards are the answer.
+every shard with a beam of `SEARCH` vectors (twice the root of the shard's size
+where that is more, since a larger graph is searched less of); these are scored
+again in double precision on the original vectors and the best of all shards
+are the answer.
 
 Every vector is indexed; nothing is sampled. A shard holds 16 sqrt(n) vectors,
 2,048 at least and 65,536 at most (17 MB of 64 floats), so the work of all
@@ -36,7 +38,7 @@ from .common import read, saved
 
 DEGREE = 40              # edges that pruning leaves
 SLACK = 16               # reverse edges a node takes on before it is pruned again
-BUILD, SEARCH = 80, 160  # beams of the build and of queries
+BUILD, SEARCH = 80, 160  # beams of the build and, at least, of queries
 ALPHA = 1.2
 STEP = 4                 # nodes of a beam that are expanded at a time
 BATCH = 256              # vectors inserted, or queries searched, at a time
@@ -176,7 +178,7 @@ def search_graph(vecs: np.ndarray, x: np.ndarray, graph: np.ndarray, entry: int,
     out = []
     for lo in range(0, len(q), BATCH):
         part = unit(q[lo:lo + BATCH])
-        node, _ = beam(x, graph, entry, part.astype(np.float32), min(SEARCH, max(k + 1, len(x))))
+        node, _ = beam(x, graph, entry, part.astype(np.float32), min(max(SEARCH, int(2 * len(x) ** 0.5)), max(k + 1, len(x))))
         score = np.einsum("mwd,md->mw", unit(vecs[node.ravel()]).reshape(*node.shape, -1), part)
         score[node < 0] = -np.inf
         first = np.where(node >= 0, ids[node, 0], np.iinfo(np.int64).max)
