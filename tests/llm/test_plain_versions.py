@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 from conftest import SF_SMALL
-from helpers import WORD, awkward, nothing, roots, shingles
+from helpers import WORD, awkward, documents, nothing, roots, shingles
 
 import corpus_pipeline as P
 from ticklake.llm import mixing, packing, quality
@@ -196,6 +196,14 @@ def test_flow_is_the_exhaustive_optimum():
         assert (round(total, 6), round(-cost, 6)) == best
 
 
+def test_too_many_sources_fail_early(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "MAX_PATTERNS", 3)
+    docs = documents(spark, [(i, "a b c", f"s{i}") for i in range(4)])
+    with pytest.raises(ValueError, match="more than 3"):
+        mixing.mix_sources(docs)
+    assert mixing.mix_sources(docs.where("doc_id < 3")).count() == 3
+
+
 def test_targets_by_bisection():
     rng = np.random.default_rng(4)
     for _ in range(50):

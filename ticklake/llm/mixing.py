@@ -8,7 +8,9 @@ pattern then selects its share in a seeded order of documents: each document
 as often as the whole repetitions say, and those first in order once more.
 
 Only the aggregate by pattern (one row for each distinct set of sources, not
-for each document) reaches the driver. The order within a pattern is cut into
+for each document) reaches the driver, and the plan made of it is broadcast;
+both are bounded by `MAX_PATTERNS` rows (some 20 MB), beyond which the call
+fails before anything is collected: sources are corpora, not hosts. The order within a pattern is cut into
 `BINS` ranges of a hash; running sums are taken per range, so no source is
 ever sorted in one task.
 
@@ -30,6 +32,7 @@ WEIGHTS = (5, 2, 1)   # repeating, over the sources in order
 SHARE = 1.5           # words of the mix against words of the corpus
 MAX_REPEAT = 2        # copies of a document, at most
 BINS = 4096           # hash ranges a pattern is cut into
+MAX_PATTERNS = 100_000  # distinct sets of sources
 SEED = 11
 
 
@@ -116,7 +119,9 @@ def mix_sources(docs: DataFrame, sources: str = "source", weights: tuple = WEIGH
         base = saved(base, "mix-sizes")
     bins = saved(base.groupBy("_pattern", "_bin").agg(F.first("sources").alias("sources"), F.sum("size").alias("words")), "mix-bins")
     found = [(r["_pattern"], tuple(r["m"]), r["w"]) for r in
-             bins.groupBy("_pattern").agg(F.first("sources").alias("m"), F.sum("words").alias("w")).collect()]
+             bins.groupBy("_pattern").agg(F.first("sources").alias("m"), F.sum("words").alias("w")).limit(MAX_PATTERNS + 1).collect()]
+    if len(found) > MAX_PATTERNS:
+        raise ValueError(f"more than {MAX_PATTERNS} distinct sets of sources; group them before mixing")
     capacity = {m: w for _, m, w in found}
     names = sorted({s for _, m, _ in found for s in m}, key=lambda s: (s is None, [ord(c) for c in s or ""]))
     place = {s: i for i, s in enumerate(names)}
