@@ -14,7 +14,7 @@ multiple of the period of a run that is known already is recognised.
 A block is not transformed if one of its words doesn't occur within the window
 of distances (then no sum can be zero) or if it lies with its whole window in a
 run of period B or less (then all zeros are multiples of that period). Texts of
-about `CHUNK_BYTES` share one sequence, with word numbers of their own, so no
+about `SEQUENCE_BYTES` share one sequence, with word numbers of their own, so no
 match crosses a text; a longer text is a chunk of its own. Work is of order
 n log^2 n for the n words that are transformed. Memory is about 60 bytes a word
 beside the text and its distinct words, and at the largest scales as much again
@@ -43,6 +43,7 @@ LEAST = 12               # words of a run
 PRIME = 15 * 2**27 + 1   # 31 generates its units
 ROOT = 31
 ROOM = 1 << 18           # numbers of a batch of transforms
+SEQUENCE_BYTES = 1 << 21  # of texts that are searched as one sequence
 PIECE = 1 << 20          # bytes that are split into words at a time
 FEW = 16                 # words that seeds are extended by together
 RUNS = "doc_id long, runs array<struct<start:long,length:long,period:long>>, collapsed string"
@@ -236,7 +237,7 @@ def encode(raw: bytes) -> tuple[np.ndarray, list[bytes]]:
 
 def _collapse(batches):
     for batch in batches:
-        for i, j, buf, off in chunks(batch.column(1)):
+        for i, j, buf, off in chunks(batch.column(1), SEQUENCE_BYTES):
             texts = [encode(buf[a:b].tobytes()) for a, b in zip(off[:-1].tolist(), off[1:].tolist())]
             size = np.array([len(ids) for ids, _ in texts])
             at = np.concatenate(([0], np.cumsum(size)))
