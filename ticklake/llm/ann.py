@@ -36,9 +36,9 @@ from pyspark.sql import functions as F
 
 from .common import read, saved
 
-DEGREE = 40              # edges that pruning leaves
+DEGREE = 32              # edges that pruning leaves
 SLACK = 16               # reverse edges a node takes on before it is pruned again
-BUILD, SEARCH = 80, 160  # beams of the build and, at least, of queries
+BUILD, SEARCH = 64, 160  # beams of the build and, at least, of queries
 ALPHA = 1.2
 STEP = 4                 # nodes of a beam that are expanded at a time
 BATCH = 256              # vectors inserted, or queries searched, at a time
