@@ -44,3 +44,10 @@ def test_no_python_udf_outside_the_throttle(spark):
     for df in (G.changes(clean), G.comparison(G.latest_by_source(clean)), G.daily(clean)):
         p = _plan(df)
         assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p
+
+
+def test_counting_violations_parses_each_message_once(spark):
+    """No filter inferred from the explode repeats the parse for every field it reads."""
+    from ticklake.plans.catalog import catalog
+    df = catalog()["contract_rule_counts"](spark, SF_SMALL)
+    assert _plan(df).count("parseJson") == 1
