@@ -104,6 +104,18 @@ def test_lake_compaction_query_leaves_one_level_a_day(spark, monkeypatch):
     assert lake.groupBy("source", "coin_id", "dt").agg(F.countDistinct("batch").alias("n")).where("n > 1").isEmpty()
 
 
+def test_lake_queries_parse_the_log_once(spark, monkeypatch):
+    """The batches are cut from the written records: none of them parses the log again."""
+    import __spark_entry__ as E
+    plans, append = [], SK.append_lake
+    def seen(df, *a, **k):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        append(df, *a, **k)
+    monkeypatch.setattr(SK, "append_lake", seen)
+    E.queries()["lake_rows"](spark, SF_SMALL)
+    assert len(plans) == 5 and not any("parseJson" in p for p in plans)
+
+
 def test_insert_if_absent_first_wins_and_skips_conflicts(spark):
     ex = spark.createDataFrame([("a", 1)], "k string, v long")
     b = spark.createDataFrame([("a", 5), ("b", 3), ("b", 2)], "k string, v long")
