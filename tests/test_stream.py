@@ -92,3 +92,30 @@ def test_dlq_topic_and_monitor_stream(spark, tmp_dir):
     want = {(r["source_topic"], r["reason"]): r["count"] for r in rows(
         dead_letters(classify(D.raw_log(D.table(spark, SF_SMALL, "events")))).groupBy("source_topic", "reason").count())}
     assert got == want and sum(got.values()) > 0
+
+
+def test_landing_is_one_job_and_keeps_the_order(spark, tmp_dir):
+    """However many files, one job writes them; a stream that takes one at a time gets them by offset."""
+    from ticklake.session import file_times
+    recs = L.log_records(D.raw_log(D.table(spark, SF_SMALL, "events")))
+    jobs = []
+    for files in (2, 6):
+        spark.sparkContext.setJobGroup(f"landing-{files}", "landing")
+        L.land_log(recs, f"{tmp_dir}/{files}", files=files)
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(60_000)
+        jobs.append(len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"landing-{files}")))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs[0] == jobs[1]
+    times = file_times(spark, f"{tmp_dir}/6")
+    assert len(times) == 6 and len(set(times.values())) == 6
+    spans = [spark.read.schema("offset long").json(f"{tmp_dir}/6/{n}").agg(F.min("offset"), F.max("offset")).first()
+             for n in sorted(times, key=times.get)]
+    assert all(a[1] < b[0] for a, b in zip(spans, spans[1:]))
+    back = L.read_log(spark, f"{tmp_dir}/6", streaming=False).select(*recs.columns)
+    assert back.exceptAll(recs).isEmpty() and back.count() == recs.count()
+
+
+def test_landing_with_empty_ranges_keeps_every_record(spark, tmp_dir):
+    df = spark.createDataFrame([(1, "a"), (2, "b"), (100, "c"), (None, "d")], "n long, s string")
+    L.land_files(df, tmp_dir + "/gap", "n", files=5)
+    assert sorted(r.s for r in spark.read.schema("n long, s string").json(tmp_dir + "/gap").collect()) == ["a", "b", "c"]
