@@ -104,6 +104,15 @@ def test_lake_compaction_query_leaves_one_level_a_day(spark, monkeypatch):
     assert lake.groupBy("source", "coin_id", "dt").agg(F.countDistinct("batch").alias("n")).where("n > 1").isEmpty()
 
 
+def test_filter_of_many_partitions_is_not_a_deep_chain(spark):
+    """Thousands of (source, coin, day) values, nulls among them, select just their rows."""
+    values = [(f"s{k % 3}", None if k % 7 == 0 else f"c{k % 50}", None if k % 11 == 0 else f"d{k}") for k in range(3000)]
+    cond = SK.touched_filter(values[::2], ("a", "b", "c"))
+    df = spark.createDataFrame(values, "a string, b string, c string")
+    want = sorted(map(str, (v for v in values if v in set(values[::2]))))
+    assert sorted(str(tuple(r)) for r in df.where(cond).collect()) == want
+
+
 def test_lake_queries_parse_the_log_once(spark, monkeypatch):
     """The batches are cut from the written records: none of them parses the log again."""
     import __spark_entry__ as E
