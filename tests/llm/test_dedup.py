@@ -7,8 +7,9 @@ from conftest import SF_CHECK, SF_SMALL
 from helpers import awkward, documents, nothing, roots, shingles, unit
 from pyspark.sql import functions as F
 
+from ticklake.llm import components as components_module
 from ticklake.llm import embeddings, lines, minhash, suffix
-from ticklake.llm.common import read
+from ticklake.llm.common import read, saved
 from ticklake.llm.components import components
 
 
@@ -39,6 +40,39 @@ def test_components(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+@pytest.fixture()
+def many_parts(spark):
+    """Small tables stay in as many parts as shuffles make."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+def test_stars_need_no_round_to_confirm_them(spark, many_parts, monkeypatch):
+    written = []
+    monkeypatch.setattr(components_module, "saved", lambda df, name: written.append(name) or saved(df, name))
+    pairs = [(c * 100, c * 100 + k) for c in range(20) for k in range(1, 30)]
+    got = {r["node"]: r["component"] for r in components(spark.createDataFrame(pairs, "a long, b long")).collect()}
+    assert got == roots({x for p in pairs for x in p}, pairs)
+    assert len(written) == 2  # links reduced by each task, one round
+
+
+def test_unfinished_stars_connect_the_same(spark, many_parts):
+    rng = np.random.default_rng(3)
+    pairs = [(int(a), int(b)) for a, b in rng.integers(0, 300, (250, 2)) if a != b] + [(i, i + 1) for i in range(2000, 2080)]
+    nodes = {x for p in pairs for x in p}
+    for rounds in (0, 1):
+        links, done = components_module.stars(spark.createDataFrame(pairs, "a long, b long"), rounds=rounds)
+        links = [(r["a"], r["b"]) for r in links.collect()]
+        assert not done and all(a > b for a, b in links) and roots(nodes, links) == roots(nodes, pairs)
+
+
+def test_minhash_equals_brute_force_in_many_parts(spark, many_parts):
+    docs = small_texts(spark)
+    sets = {r["doc_id"]: shingles(r["text"], 2) for r in docs.collect()}
+    assert {r["doc_id"]: r["component_id"] for r in minhash.near_duplicates(docs, 2).collect()} == roots(sets, links_of(sets))
+
+
 def links_of(sets, num=80, den=100):
     out = []
     ids = [i for i in sets if sets[i]]

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import saved
-from .components import components
+from .components import nodes, stars
 
 BLOCK = 512
 BLOCK_BYTES = 1 << 20  # payloads of a block
@@ -58,6 +58,13 @@ def with_payload(pairs: DataFrame, payload: DataFrame, item: str, name: str) ->
     return pairs.join(payload.select(F.col("item").alias(item), F.col("payload").alias(name)), item)
 
 
+def _labels(links: DataFrame, done: bool) -> DataFrame:
+    """(node, component) by links from `stars`, where they aren't stars yet the smallest node that one points to: equal labels
+    mean one component, and a component of several labels is only compared more than it need be."""
+    return links.select(F.col("a").alias("node"), F.col("b").alias("component")) if done else (
+        links.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("component")))
+
+
 def _with_component(df: DataFrame, comp: DataFrame, item: str, name: str) -> DataFrame:
     """Add the component of `item`; an item without links is its own."""
     c = comp.select(F.col("node").alias("_node"), F.col("component").alias("_component"))
@@ -233,27 +240,29 @@ def connect(signed: DataFrame, expand: Callable, each: int, prepare: Callable[[D
     members = saved(shared_keys(signed, expand, each), f"{name}-members")
     by = prepare(saved(members.select("item").distinct(), f"{name}-items"))
 
-    # first the smallest pivot of each item, then the others that are still elsewhere
+    # first the smallest pivot of each item, then the others that are still elsewhere; what lies together is only
+    # worked out as far as one round goes, until all links are known
     first = members.where("pivot < item").groupBy("item").agg(F.min("pivot").alias("a")).select("a", F.col("item").alias("b"))
-    comp = components(saved(by.verify(first), f"{name}-links"))
+    links, done = stars(saved(by.verify(first), f"{name}-links"), rounds=1)
 
-    def more(found: DataFrame) -> None:
-        nonlocal comp
+    def more(found: DataFrame, rounds: int | None) -> None:
+        nonlocal links, done
         found = saved(found, f"{name}-links")
         if not found.isEmpty():
-            comp = components(comp.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(found))
+            links, done = stars(links.unionByName(found), rounds=rounds)
 
+    comp = _labels(links, done)
     pairs = members.where("pivot < item").select(F.col("pivot").alias("a"), F.col("item").alias("b")).distinct()
     apart = _with_component(_with_component(pairs, comp, "a", "_ca"), comp, "b", "_cb").where("_ca <> _cb").select("a", "b")
-    more(by.verify(apart))
+    more(by.verify(apart), 1)
 
     # two items were verified directly; in larger groups others than the pivot may link
-    placed = _with_component(members.select("key", "item"), comp, "item", "component")
+    placed = _with_component(members.select("key", "item"), _labels(links, done), "item", "component")
     split = (placed.groupBy("key").agg(F.min("component").alias("_lo"), F.max("component").alias("_hi"), F.count("*").alias("_n"))
              .where("_lo < _hi AND _n > 2").select("key"))
     active = saved(placed.join(split, "key").select("item", "component").distinct().join(by.weight, "item"), f"{name}-active")
     if active.isEmpty():
-        return comp
+        return nodes(links if done else stars(links)[0])
     groups = members.select("key", "item").distinct() if by.groups is None else by.groups
     rows = groups.join(active, "item").distinct()
     sizes = (rows.groupBy("key").agg(F.count("*").alias("n"), F.sum("weight").alias("_w"), F.min("component").alias("_lo"), F.max("component").alias("_hi"))
@@ -265,5 +274,5 @@ def connect(signed: DataFrame, expand: Callable, each: int, prepare: Callable[[D
     near = saved(dealt.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "item")
                  .select("key", "i", "j", "block", "item", "component", "payload")
                  .mapInArrow(_compare(by), "a long, b long").distinct(), f"{name}-near")
-    more(by.verify(near))
-    return comp
+    more(by.verify(near), None)
+    return nodes(links if done else stars(links)[0])

@@ -5,7 +5,7 @@ large-star and small-star rounds of Kiveris et al. ("Connected Components in
 MapReduce and Beyond", 2014) run until the links are stars around the smallest
 node of each component. Every round is written out, so a lost executor costs
 one round at most. Hubs are aggregated before the shuffle and AQE splits their
-side of the joins; nothing is gathered on the driver but two numbers a round.
+side of the joins; nothing is gathered on the driver but a number a round.
 """
 
 from __future__ import annotations
@@ -64,16 +64,22 @@ def local_stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield stars(uf)
 
 
-def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
-    """(node, component) for every node that has a link; component is the smallest
-    node reachable. Nulls, self-links, repeated and reversed links are allowed; no links: no rows."""
+def _are_stars(links: DataFrame) -> bool:
+    """Whether every node has one link to a smaller one at most, and what it points to has none."""
+    ends = links.select(F.col("a").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(
+        links.select(F.col("b").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+    return ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down")).where("up > 1 OR up = 1 AND down = 1").count() == 0
+
+
+def stars(links: DataFrame, a: str = "a", b: str = "b", rounds: int | None = None) -> tuple[DataFrame, bool]:
+    """Links (a, b) from larger to smaller nodes that connect what `links` connect, written; and whether they are stars
+    around the smallest nodes. With `rounds` they may not be there yet after so many."""
     cur = saved(links.select(F.col(a).cast("long").alias("a"), F.col(b).cast("long").alias("b"))
                 .where("a IS NOT NULL AND b IS NOT NULL AND a <> b").repartition("a")
                 .mapInArrow(local_stars, LINK), "links")
     # links so few that AQE left them to one task are stars already
     done = len(cur.inputFiles()) <= 1 and cur.count() < LOCAL_NODES // 2
-    before = None
-    while not done:
+    while not done and rounds != 0:
         both = cur.unionByName(cur.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.least("a", F.min("b")).alias("m"))
         large = (both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")))
@@ -82,7 +88,18 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(low, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         cur = saved(small.unionByName(low.select("a", F.col("m").alias("b"))).distinct(), "links")
-        now = cur.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        done, before = now == before, now
+        rounds = None if rounds is None else rounds - 1
+        done = rounds != 0 and _are_stars(cur)
+    return cur, done
+
+
+def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
+    """(node, component) for every node that has a link; component is the smallest
+    node reachable. Nulls, self-links, repeated and reversed links are allowed; no links: no rows."""
+    return nodes(stars(links, a, b)[0])
+
+
+def nodes(cur: DataFrame) -> DataFrame:
+    """(node, component) of stars."""
     return cur.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(
         cur.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
