@@ -101,3 +101,29 @@ def test_ann_edges(spark):
     assert [huge[0, r][0] for r in (1, 2, 3)] == [2, 3, 1] and abs(huge[0, 3][1] - 0.9999876) < 1e-6
     assert ann.nearest(vectors(spark, [[1.0, 2.0]])).count() == 0
     assert ann.nearest(vectors(spark, [[1.0]]).limit(0)).count() == 0
+
+
+def plain_beam(x, graph, entry, q, width):
+    """Expand the STEP nearest nodes of the beam that aren't yet, until none is left; one query, plain Python."""
+    far = lambda n: max(0.0, float(np.float32(1) - np.einsum("ij,ij->i", x[n:n + 1], q[None])[0]))
+    held, seen, expanded = [(far(entry), entry)], {entry}, set()
+    while todo := [n for _, n in held if n not in expanded][:ann.STEP]:
+        expanded |= set(todo)
+        new = {int(n) for t in todo for n in graph[t] if n >= 0} - seen
+        seen |= new
+        held = sorted(held + [(far(n), n) for n in new])[:width]
+    return [n for _, n in held]
+
+
+def test_beams_of_sorted_numbers():
+    """Many queries at once meet what one meets alone, also with fewer nodes than places; edges take 4 bytes each."""
+    rng = np.random.default_rng(8)
+    for n, width in ((700, 40), (30, 50)):
+        x = ann.unit(rng.normal(size=(n, 16))).astype(np.float32)
+        graph, entry = ann.build_graph(x)
+        assert graph.dtype == np.int32
+        q = np.concatenate([x[:5], ann.unit(rng.normal(size=(20, 16))).astype(np.float32)])
+        ids, far = ann.beam(x, graph, entry, q, width)
+        for i, row in enumerate(ids):
+            assert row[row >= 0].tolist() == plain_beam(x, graph, entry, q[i], width)
+        assert (ids < 0).sum() == (far == np.inf).sum() == (0 if n > width else len(q) * (width - n)) and (np.diff(far[:, :min(n, width)]) >= 0).all()

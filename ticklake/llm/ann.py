@@ -45,6 +45,8 @@ BATCH = 256              # vectors inserted, or queries searched, at a time
 SHARD = (2_048, 65_536)
 QUERY_BLOCK = 1_024
 TASK_BLOCKS = 64
+NODE = (1 << 31) - 1
+NO_NODE = int(np.float32(np.inf).view(np.int32)) << 32 | 1  # a place of a beam without a node
 
 
 def unit(x: np.ndarray) -> np.ndarray:
@@ -55,43 +57,59 @@ def unit(x: np.ndarray) -> np.ndarray:
 
 
 def beam(x: np.ndarray, graph: np.ndarray, entry: int, q: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """Greedy search for each query: ids of the `width` nearest nodes met (-1: none) and 1 - cosine, ascending."""
+    """Greedy search for each query: ids of the `width` nearest nodes met (-1: none) and 1 - cosine, ascending.
+
+    A place of a beam is one number, so that a plain sort keeps it in order: the bits of the distance (0 at least),
+    the node, and whether it is expanded."""
     m, n = len(q), len(x)
-    seen = np.zeros((m, n), bool)
-    ids, far, done = np.full((m, width), -1), np.full((m, width), np.inf, np.float32), np.ones((m, width), bool)
-    ids[:, 0], far[:, 0], done[:, 0], seen[:, entry] = entry, 1 - q @ x[entry], False, True
+    seen = np.zeros(m * n, bool)
+    held = np.full((m, width), NO_NODE)
+    held[:, 0] = _place(np.full(m, entry), 1 - q @ x[entry])
+    seen[np.arange(m) * n + entry] = True
     live = np.arange(m)
-    while len(live):
-        take = ~done[live]
-        take &= np.cumsum(take, 1) <= STEP
-        some = take.any(1)
-        live, take = live[some], take[some]
+    while True:
+        here = held[live]
+        take = here & 1 == 0
+        rank = np.cumsum(take, 1, dtype=np.int32)
+        some = rank[:, -1] > 0
+        if not some.all():
+            live, here, take, rank = live[some], here[some], take[some], rank[some]
         if not len(live):
             break
-        i, f = ids[live], far[live]
-        done[live] |= take
+        take &= rank <= STEP
         r, c = np.nonzero(take)
-        near = graph[i[r, c]]
-        row, node = np.repeat(live[r], near.shape[1]), near.ravel()
-        new = node >= 0
-        new[new] = ~seen[row[new], node[new]]
-        key = np.unique(row[new] * n + node[new])
-        row, node = key // n, key % n
-        seen[row, node] = True
-        if not len(row):
-            continue
-        at = np.searchsorted(row, live)
-        count = np.diff(np.append(at, len(row)))
-        more_i, more_f = np.full((len(live), count.max()), -1), np.full((len(live), count.max()), np.inf, np.float32)
-        where = np.repeat(np.arange(len(live)), count), np.arange(len(row)) - np.repeat(at, count)
-        more_i[where], more_f[where] = node, 1 - np.einsum("ij,ij->i", x[node], q[row])
-        i, f, d = np.concatenate([i, more_i], 1), np.concatenate([f, more_f], 1), np.concatenate([done[live], more_i < 0], 1)
-        best = np.argpartition(f, width - 1, 1)[:, :width]
-        best = np.take_along_axis(best, np.argsort(np.take_along_axis(f, best, 1), 1), 1)
-        ids[live], far[live], done[live] = (np.take_along_axis(t, best, 1) for t in (i, f, d))
+        near = np.full((len(live), STEP, graph.shape[1]), -1, graph.dtype)
+        near[r, rank[r, c] - 1] = graph[here[r, c] >> 1 & NODE]
+        near = near.reshape(len(live), -1)
+        near.sort(1)
+        new = near >= 0
+        new[:, 1:] &= near[:, 1:] != near[:, :-1]
+        r, c = np.nonzero(new)
+        node = near[r, c].astype(np.int64)
+        at = live[r] * n + node
+        new = ~seen[at]
+        r, node = r[new], node[new]
+        seen[at[new]] = True
+        far = 1 - np.einsum("ij,ij->i", x.take(node, 0), q.take(live[r], 0))
+        here |= take
+        place = _place(node, far)
+        new = place < here[r, -1]
+        r, place = r[new], place[new]
+        count = np.bincount(r, minlength=len(live))
+        more = np.full((len(live), count.max()), NO_NODE)
+        more[r, np.arange(len(r)) - np.repeat(np.cumsum(count) - count, count)] = place
+        here = np.concatenate([here, more], 1)
+        here.sort(1)
+        held[live] = here[:, :width]
+    ids, far = (held >> 1 & NODE).astype(int), (held >> 32).astype(np.int32).view(np.float32)
+    ids[far == np.inf] = -1
     return ids, far
 
 
+def _place(node: np.ndarray, far: np.ndarray) -> np.ndarray:
+    return np.maximum(far, 0).astype(np.float32).view(np.int32).astype(np.int64) << 32 | node << 1
+
+
 def prune(x: np.ndarray, p: np.ndarray, cand: np.ndarray, far: np.ndarray) -> np.ndarray:
     """Up to DEGREE neighbours of each p from its candidates (ascending by distance, -1 at the end): a candidate
     goes if a neighbour kept before is ALPHA times closer to it than p is (distances as 1 - cosine, so ALPHA squared)."""
@@ -147,7 +165,7 @@ def _reached(graph: np.ndarray, entry: int) -> np.ndarray:
 def build_graph(x: np.ndarray, seed: int = 0) -> tuple[np.ndarray, int]:
     """Neighbours of each unit vector (-1: none), and the node at which searches start."""
     n = len(x)
-    graph, size = np.full((n, DEGREE + SLACK), -1), np.zeros(n, int)
+    graph, size = np.full((n, DEGREE + SLACK), -1, np.int32), np.zeros(n, int)
     order = np.random.default_rng(seed).permutation(n)
     entry, done = int(order[0]), 1
     while done < n:
@@ -166,7 +184,7 @@ def build_graph(x: np.ndarray, seed: int = 0) -> tuple[np.ndarray, int]:
             rank = pd.Series(host).groupby(host).cumcount().to_numpy()
             wide = int((size[host] + rank).max()) + 1
             if wide > graph.shape[1]:
-                graph = np.concatenate([graph, np.full((n, wide - graph.shape[1]), -1)], 1)
+                graph = np.concatenate([graph, np.full((n, wide - graph.shape[1]), -1, np.int32)], 1)
             graph[host, size[host] + rank] = p
         lost = np.flatnonzero(~_reached(graph, entry))
     return graph, entry
