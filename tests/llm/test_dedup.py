@@ -67,6 +67,36 @@ def test_unfinished_stars_connect_the_same(spark, many_parts):
         assert not done and all(a > b for a, b in links) and roots(nodes, links) == roots(nodes, pairs)
 
 
+def test_few_links_need_no_rounds(spark, many_parts):
+    pairs = [(i, i + 1) for i in range(0, 400)] + [(1000 + i % 7, 1000 + i) for i in range(7, 200)]
+    links, done = components_module.stars(spark.createDataFrame(pairs, "a long, b long").repartition(8), rounds=1, rows=len(pairs))
+    want = roots({x for p in pairs for x in p}, pairs)
+    assert done and {r["a"]: r["b"] for r in links.collect()} == {a: b for a, b in want.items() if a != b}
+
+
+def test_small_steps_run_in_few_tasks(spark, many_parts, monkeypatch):
+    """Over hundreds of partitions, what is known to be small is written by as many tasks as there are cores."""
+    from ticklake.llm import candidates
+    files = {}
+
+    def counted(df, name, *args):
+        out = saved(df, name, *args)
+        files[name] = max(files.get(name, 0), len(out.inputFiles()))
+        return out
+    for module in (candidates, components_module, lines, minhash):
+        monkeypatch.setattr(module, "saved", counted)
+    was = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        docs = small_texts(spark)
+        sets = {r["doc_id"]: shingles(r["text"], 2) for r in docs.collect()}
+        assert {r["doc_id"]: r["component_id"] for r in minhash.near_duplicates(docs, 2).collect()} == roots(sets, links_of(sets))
+        lines.fuzzy_lines(docs).count()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", was)
+    assert max(files.values()) <= spark.sparkContext.defaultParallelism, files
+
+
 def test_minhash_equals_brute_force_in_many_parts(spark, many_parts):
     docs = small_texts(spark)
     sets = {r["doc_id"]: shingles(r["text"], 2) for r in docs.collect()}
@@ -360,6 +390,25 @@ def test_overlaps_equal_sets_of_strings():
         assert (inter[k], union[k]) == (len(x & y), len(x | y)) == lines.jaccard(a, b)
 
 
+@pytest.mark.parametrize("wide", [1 << 14, 50])
+def test_links_of_many_small_groups_at_once(monkeypatch, wide):
+    rng = np.random.default_rng(8)
+    monkeypatch.setattr(lines, "WIDE", wide)
+    payloads, begin, want = [], [0], set()
+    for size in (2, 3, 1, 12, 40):
+        base = "".join(rng.choice(list("abcdef \u00e9"), 90))
+        for k in range(size):
+            cut = int(rng.integers(0, 30))
+            payloads.append("ab" if k == 5 else base[:cut] + "#" * (k % 3) + base[cut:] if k % 4 else base[cut:])
+        begin.append(len(payloads))
+        for a in range(begin[-2], begin[-1]):
+            for b in range(a + 1, begin[-1]):
+                inter, union = lines.jaccard(payloads[a], payloads[b])
+                if lines.DEN * inter >= lines.NUM * union:
+                    want.add((a, b))
+    assert len(want) > 20 and set(zip(*lines._linked(payloads, np.array(begin)))) == want
+
+
 def test_which_edits_of_a_line_stay_linked(spark):
     """One changed character costs nine shingles: lines of 89 characters and more stay linked, shorter ones don't."""
     rng = np.random.default_rng(14)

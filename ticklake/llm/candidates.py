@@ -22,34 +22,36 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import saved
-from .components import nodes, stars
+from .common import few, saved
+from .components import UnionFind, nodes, stars
 
+PAIR_ROWS = 2_000  # pairs or members with payloads that are worth a task
 BLOCK = 512
 BLOCK_BYTES = 1 << 20  # payloads of a block
 SMALL = 48        # members of a group that is compared without preparing it as a whole
-READY_BYTES = 1 << 18  # payloads a task keeps ready for further groups
+READY_BYTES = 1 << 18  # payloads a task keeps ready for further groups, or of small groups that it compares together
 SLICE = 256       # rows of a batch that are Python objects at a time
 
 
 @dataclass
 class Evidence:
-    """What it takes to compare items. `verify`: from pairs (a, b) to those that are links.
+    """What it takes to compare items. `verify`: from pairs (a, b), and how many they are at most, to those that are links.
     `payload`: (item, payload) for comparisons within a task: `pack(payloads, key)` prepares the members
     of a group (with a key of None: earlier groups don't matter), `matches(packed, a, others, apart)` yields
     those of the positions `others` that may be links of position a, share no earlier group with it and are
-    still `apart` from it; for groups of up to `small` members `similar(x, y)` tells it of two payloads made
-    ready by `prepare_one`. `weight`: (item, weight), a payload's bytes. `groups`: (key, item), fewer and
-    coarser keys than those of the tables, if there are such."""
-    verify: Callable[[DataFrame], DataFrame]
+    still `apart` from it. For groups of up to `SMALL` members `similar(x, y)` tells it of two payloads made
+    ready by `prepare_one`; or `linked(payloads, begin)` gives the positions of all links within many such groups
+    at once, whose members lie end to end. `weight`: (item, weight), a payload's bytes. `groups`: from items (item) to
+    (key, item), fewer and coarser keys than those of the tables, if there are such."""
+    verify: Callable[[DataFrame, int], DataFrame]
     payload: DataFrame
     pack: Callable
     matches: Callable
-    prepare_one: Callable
-    similar: Callable
     weight: DataFrame
-    groups: DataFrame | None = None
-    small: int = SMALL
+    prepare_one: Callable | None = None
+    similar: Callable | None = None
+    linked: Callable | None = None
+    groups: Callable[[DataFrame], DataFrame] | None = None
 
 
 def with_payload(pairs: DataFrame, payload: DataFrame, item: str, name: str) -> DataFrame:
@@ -90,7 +92,7 @@ def joining_links(ids: np.ndarray, comp: np.ndarray, left: np.ndarray, right: np
 
 def _compare(by: Evidence) -> Callable:
     """The joining links of each group; rows come sorted by key, i and j."""
-    pack, matches, prepare_one, similar, few = by.pack, by.matches, by.prepare_one, by.similar, by.small
+    pack, matches, prepare_one, similar, linked = by.pack, by.matches, by.prepare_one, by.similar, by.linked
 
     def small(rows: list[tuple], ready: dict) -> list[tuple[int, int]]:
         comp, out, x = [r[5] for r in rows], [], []
@@ -106,15 +108,30 @@ def _compare(by: Evidence) -> Callable:
                     comp = [new if c == old else c for c in comp]
         return out
 
+    def together(groups: list[list[tuple]]) -> list[tuple[int, int]]:
+        rows, joined, out = [r for g in groups for r in g], UnionFind(), []
+        for a, b in zip(*linked([r[6] for r in rows], np.cumsum([0, *map(len, groups)]))):
+            if joined.find(rows[a][5]) != joined.find(rows[b][5]):
+                joined.union(rows[a][5], rows[b][5])
+                out.append((rows[a][4], rows[b][4]))
+        return out
+
     def run(batches):
         ready: dict = {}
+        waiting: list[list[tuple]] = []
         held = 0
         stream = (r for batch in batches for lo in range(0, batch.num_rows, SLICE)
                   for r in zip(*(c.to_pylist() for c in batch.slice(lo, SLICE).columns)))
         found: list[tuple[int, int]] = []
         for (key, i, j), rows in itertools.groupby(stream, key=lambda r: r[:3]):
             rows = list(rows)
-            if len(rows) <= few and i == j:
+            if len(rows) <= SMALL and i == j and linked:
+                waiting.append(rows)
+                held += sum(len(r[6]) for r in rows)
+                if held > READY_BYTES:
+                    found += together(waiting)
+                    waiting, held = [], 0
+            elif len(rows) <= SMALL and i == j:
                 held += sum(len(r[6]) for r in rows if r[4] not in ready)
                 found += small(rows, ready)
                 if held > READY_BYTES:
@@ -128,7 +145,7 @@ def _compare(by: Evidence) -> Callable:
             if len(found) >= 10_000:
                 yield _links(found)
                 found = []
-        yield _links(found)
+        yield _links(found + (together(waiting) if waiting else []))
     return run
 
 
@@ -206,22 +223,21 @@ def _meet(batches):
 
     here, keys, items, held = None, [], [], 0
     for batch in batches:
-        for lo in range(0, batch.num_rows, SLICE):
-            part = batch.slice(lo, SLICE)
-            for bucket, pairs, known in zip(*(c.to_pylist() for c in part.columns)):
-                if bucket != here or held > 4 * PAIRS:
-                    if held:
-                        keys, items = yield from found(keys, items)
-                    if bucket != here:
-                        here, keys, items = bucket, [], []
-                    held = sum(map(len, keys))
-                if known is not None:
-                    yield from emit(*np.frombuffer(known, np.int64).reshape(3, -1))
-                if pairs is not None:
-                    n = len(pairs) // 16
-                    keys.append(np.frombuffer(pairs, np.uint64, n))
-                    items.append(np.frombuffer(pairs, np.int64, n, 8 * n))
-                    held += n
+        # blocks are read where they lie in the batch, not copied into Python objects
+        for bucket, pairs, known in zip(batch.column(0).to_pylist(), *(map(lambda x: x.as_buffer(), c) for c in batch.columns[1:])):
+            if bucket != here or held > 4 * PAIRS:
+                if held:
+                    keys, items = yield from found(keys, items)
+                if bucket != here:
+                    here, keys, items = bucket, [], []
+                held = sum(map(len, keys))
+            if known is not None:
+                yield from emit(*np.frombuffer(known, np.int64).reshape(3, -1))
+            if pairs is not None:
+                n = len(pairs) // 16
+                keys.append(np.frombuffer(pairs, np.uint64, n))
+                items.append(np.frombuffer(pairs, np.int64, n, 8 * n))
+                held += n
     if held:
         yield from found(keys, items)
 
@@ -229,50 +245,57 @@ def _meet(batches):
 def shared_keys(signed: DataFrame, expand: Callable, each: int) -> DataFrame:
     """(key, item, pivot) for every item of every key that several items have, perhaps repeated or with a pivot that is
     another's partner; `expand` makes keys and items (arrays) of rows of `signed`, `each` keys of a row."""
-    buckets = max(int(signed.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-signed.count() * each // PAIRS))
-    return (signed.mapInArrow(_deal(expand, buckets), "bucket int, pairs binary, known binary").repartition(buckets, "bucket")
-            .sortWithinPartitions("bucket").mapInArrow(_meet, MEMBERS))
+    buckets = max(signed.sparkSession.sparkContext.defaultParallelism, -(-signed.count() * each // (PAIRS // 2)))
+    dealt = signed.mapInArrow(_deal(expand, buckets), "bucket int, pairs binary, known binary").repartition(buckets, "bucket")
+    return few(dealt, buckets, 1).sortWithinPartitions("bucket").mapInArrow(_meet, MEMBERS)
 
 
 def connect(signed: DataFrame, expand: Callable, each: int, prepare: Callable[[DataFrame], Evidence], name: str) -> DataFrame:
     """(node, component) over the items (longs) of `signed`, see `shared_keys`. `prepare` gets all items that
     share a key with another, once. Items without a link have no row."""
     members = saved(shared_keys(signed, expand, each), f"{name}-members")
-    by = prepare(saved(members.select("item").distinct(), f"{name}-items"))
+    n = members.count()
+    by = prepare(saved(few(members.select("item").distinct(), n), f"{name}-items"))
 
     # first the smallest pivot of each item, then the others that are still elsewhere; what lies together is only
     # worked out as far as one round goes, until all links are known
-    first = members.where("pivot < item").groupBy("item").agg(F.min("pivot").alias("a")).select("a", F.col("item").alias("b"))
-    links, done = stars(saved(by.verify(first), f"{name}-links"), rounds=1)
+    first = few(members.where("pivot < item").groupBy("item").agg(F.min("pivot").alias("a")), n).select("a", F.col("item").alias("b"))
+    links = saved(by.verify(first, n), f"{name}-links")
+    known = links.count()
+    links, done = stars(links, rounds=1, rows=known)
 
     def more(found: DataFrame, rounds: int | None) -> None:
-        nonlocal links, done
+        nonlocal links, done, known
         found = saved(found, f"{name}-links")
-        if not found.isEmpty():
-            links, done = stars(links.unionByName(found), rounds=rounds)
+        if new := found.count():
+            known += new
+            links, done = stars(links.unionByName(found), rounds=rounds, rows=known)
 
     comp = _labels(links, done)
-    pairs = members.where("pivot < item").select(F.col("pivot").alias("a"), F.col("item").alias("b")).distinct()
-    apart = _with_component(_with_component(pairs, comp, "a", "_ca"), comp, "b", "_cb").where("_ca <> _cb").select("a", "b")
-    more(by.verify(apart), 1)
+    pairs = few(members.where("pivot < item").select(F.col("pivot").alias("a"), F.col("item").alias("b")).distinct(), n)
+    apart = few(_with_component(pairs, comp, "a", "_ca"), n)
+    apart = few(_with_component(apart, comp, "b", "_cb"), n).where("_ca <> _cb").select("a", "b")
+    more(by.verify(apart, n), 1)
 
     # two items were verified directly; in larger groups others than the pivot may link
-    placed = _with_component(members.select("key", "item"), _labels(links, done), "item", "component")
-    split = (placed.groupBy("key").agg(F.min("component").alias("_lo"), F.max("component").alias("_hi"), F.count("*").alias("_n"))
-             .where("_lo < _hi AND _n > 2").select("key"))
-    active = saved(placed.join(split, "key").select("item", "component").distinct().join(by.weight, "item"), f"{name}-active")
+    placed = few(_with_component(members.select("key", "item"), _labels(links, done), "item", "component"), n)
+    split = few(placed.groupBy("key").agg(F.min("component").alias("_lo"), F.max("component").alias("_hi"), F.count("*").alias("_n")), n).where(
+        "_lo < _hi AND _n > 2").select("key")
+    active = few(few(placed.join(split, "key"), n).select("item", "component").distinct(), n)
+    active = saved(few(active.join(by.weight, "item"), n), f"{name}-active")
     if active.isEmpty():
         return nodes(links if done else stars(links)[0])
-    groups = members.select("key", "item").distinct() if by.groups is None else by.groups
-    rows = groups.join(active, "item").distinct()
-    sizes = (rows.groupBy("key").agg(F.count("*").alias("n"), F.sum("weight").alias("_w"), F.min("component").alias("_lo"), F.max("component").alias("_hi"))
-             .where("_lo < _hi").select("key", F.greatest(F.ceil(F.col("n") / BLOCK), F.ceil(F.col("_w") / BLOCK_BYTES)).cast("int").alias("parts")))
-    dealt = rows.join(sizes, "key").withColumn("block", F.pmod(F.xxhash64("item"), F.col("parts")).cast("int"))
+    groups = members.select("key", "item").distinct() if by.groups is None else by.groups(active.select("item").distinct())
+    rows = saved(few(few(groups.join(active, "item"), n).distinct(), n), f"{name}-groups")
+    n = rows.count()
+    sizes = few(rows.groupBy("key").agg(F.count("*").alias("n"), F.sum("weight").alias("_w"), F.min("component").alias("_lo"), F.max("component").alias("_hi")), n)
+    sizes = sizes.where("_lo < _hi").select("key", F.greatest(F.ceil(F.col("n") / BLOCK), F.ceil(F.col("_w") / BLOCK_BYTES)).cast("int").alias("parts"))
+    dealt = few(rows.join(sizes, "key"), n).withColumn("block", F.pmod(F.xxhash64("item"), F.col("parts")).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    dealt = dealt.join(by.payload, "item").select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
-                                                  "block", "item", "component", "payload")
-    near = saved(dealt.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "item")
-                 .select("key", "i", "j", "block", "item", "component", "payload")
-                 .mapInArrow(_compare(by), "a long, b long").distinct(), f"{name}-near")
-    more(by.verify(near), None)
+    dealt = few(dealt.join(by.payload, "item"), n).select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
+                                                          "block", "item", "component", "payload")
+    near = few(dealt.repartition("key", "i", "j"), n, PAIR_ROWS).sortWithinPartitions("key", "i", "j", "item").select(
+        "key", "i", "j", "block", "item", "component", "payload").mapInArrow(_compare(by), "a long, b long")
+    near = saved(few(near.distinct(), n), f"{name}-near")
+    more(by.verify(near, near.count()), None)
     return nodes(links if done else stars(links)[0])

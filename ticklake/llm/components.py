@@ -71,12 +71,14 @@ def _are_stars(links: DataFrame) -> bool:
     return ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down")).where("up > 1 OR up = 1 AND down = 1").count() == 0
 
 
-def stars(links: DataFrame, a: str = "a", b: str = "b", rounds: int | None = None) -> tuple[DataFrame, bool]:
+def stars(links: DataFrame, a: str = "a", b: str = "b", rounds: int | None = None, rows: int | None = None) -> tuple[DataFrame, bool]:
     """Links (a, b) from larger to smaller nodes that connect what `links` connect, written; and whether they are stars
-    around the smallest nodes. With `rounds` they may not be there yet after so many."""
-    cur = saved(links.select(F.col(a).cast("long").alias("a"), F.col(b).cast("long").alias("b"))
-                .where("a IS NOT NULL AND b IS NOT NULL AND a <> b").repartition("a")
-                .mapInArrow(local_stars, LINK), "links")
+    around the smallest nodes. With `rounds` they may not be there yet after so many. `rows`: how many links there are,
+    if that is known; as few as one task holds at a time need no rounds."""
+    far = links.select(F.col(a).cast("long").alias("a"), F.col(b).cast("long").alias("b")).where("a IS NOT NULL AND b IS NOT NULL AND a <> b")
+    if rows is not None and rows < LOCAL_NODES // 2:
+        return saved(far.coalesce(1).mapInArrow(local_stars, LINK), "links"), True
+    cur = saved(far.repartition("a").mapInArrow(local_stars, LINK), "links")
     # links so few that AQE left them to one task are stars already
     done = len(cur.inputFiles()) <= 1 and cur.count() < LOCAL_NODES // 2
     while not done and rounds != 0:

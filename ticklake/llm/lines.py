@@ -16,18 +16,21 @@ document and keep the same lines; an empty table gives no rows.
 
 from __future__ import annotations
 
+import itertools
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .candidates import Evidence, connect, with_payload
-from .common import _U, _powers, chunks, hash_functions, minima, mix, read, saved, text_or_empty
+from .candidates import PAIR_ROWS, Evidence, connect, with_payload
+from .common import _U, _powers, chunks, few, hash_functions, minima, mix, read, saved, text_or_empty
 
 SHINGLE = 9
 ROWS, BANDS = 4, 10
 NUM, DEN = 8, 10
 LINE_CHUNK = 1 << 17     # bytes of text that are cut and signed at a time
+WIDE = 1 << 14           # distinct shingles of a group that are counted at a time
 PAIRS = 512              # pairs of lines that are Python strings at a time
 RECENT = 200_000         # lines a task remembers to have signed
 _HASHES = hash_functions(ROWS * BANDS, 21)
@@ -207,15 +210,29 @@ def _matches(packed, a: int, others: np.ndarray, apart):
             yield b
 
 
-def _ready(text: str) -> set:
-    return {text[i:i + SHINGLE] for i in range(max(1, len(text) - SHINGLE + 1))}
-
-
-def _similar(x: set, y: set) -> bool:
-    if DEN * min(len(x), len(y)) < NUM * max(len(x), len(y)):
-        return False
-    k = len(x & y)
-    return DEN * k >= NUM * (len(x) + len(y) - k)
+def _linked(payloads: list[str], begin: np.ndarray) -> tuple[list[int], list[int]]:
+    """The links within groups of lines, each the payloads from one of `begin` to the next."""
+    buf = np.frombuffer("\n".join(payloads).encode("utf-8", "replace"), np.uint8)
+    _, start, end, _, c = _line_table(buf, np.array([0, len(buf)]))
+    x, at = _shingles(c, start, end)
+    left, right = [], []
+    for lo, hi in itertools.pairwise(begin.tolist()):
+        n, s = hi - lo, x[at[lo]:at[hi]]
+        order = np.argsort(s)
+        s, line = s[order], np.repeat(np.arange(n), np.diff(at[lo:hi + 1]))[order]
+        number = np.zeros(len(s), np.int64)
+        np.cumsum(s[1:] != s[:-1], out=number[1:])
+        inter = np.zeros((n, n))
+        for first in range(0, int(number[-1]) + 1, WIDE):
+            part = slice(*np.searchsorted(number, (first, first + WIDE)).tolist())
+            has = np.zeros((n, min(WIDE, int(number[-1]) + 1 - first)), np.float32)
+            has[line[part], number[part] - first] = 1
+            inter += has @ has.T
+        size = inter.diagonal()
+        for i, j in np.argwhere(np.triu((DEN + NUM) * inter >= NUM * (size[:, None] + size), 1)).tolist():
+            left.append(lo + i)
+            right.append(lo + j)
+    return left, right
 
 
 def _confirm(batches):
@@ -246,27 +263,33 @@ def _pairs(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
 def fuzzy_lines(docs: DataFrame) -> DataFrame:
     """doc_id, text_hash, line_no, line, component (null: no other line like it), first_doc,
     first_text, first_line (the line kept of its component), kept - for every line of every document."""
-    cut = saved(cut_lines(docs), "lines", "zstd")
+    return _fuzzy_lines(saved(cut_lines(docs), "lines", "zstd"))
+
+
+def _fuzzy_lines(cut: DataFrame) -> DataFrame:
+    """`fuzzy_lines` of the lines that `cut_lines` made, written."""
+    total = cut.count()
     seen = cut.select("doc_id", "text_hash", "line_no", "line")
 
     def prepare(items: DataFrame):
-        texts = saved(cut.where("text IS NOT NULL").select("line", "text").join(items.select(F.col("item").alias("line")), "line", "left_semi")
-                      .groupBy("line").agg(F.min("text").alias("text")).select(F.col("line").alias("item"), F.col("text").alias("payload")), "lines-texts", "zstd")
+        met = cut.where("text IS NOT NULL").select("line", "text").join(items.select(F.col("item").alias("line")).hint("shuffle_hash"), "line", "left_semi")
+        texts = saved(few(met.groupBy("line").agg(F.min("text").alias("text")), total).select(F.col("line").alias("item"), F.col("text").alias("payload")),
+                      "lines-texts", "zstd")
 
-        def verify(pairs: DataFrame) -> DataFrame:
-            both = with_payload(with_payload(pairs, texts, "b", "t_b"), texts, "a", "t_a")
+        def verify(pairs: DataFrame, rows: int) -> DataFrame:
+            both = few(with_payload(few(with_payload(pairs, texts, "b", "t_b"), rows), texts, "a", "t_a"), rows, PAIR_ROWS)
             return both.select("a", "b", "t_a", "t_b").mapInArrow(_confirm, "a long, b long")
         weight = texts.select("item", F.octet_length("payload").alias("weight"))
-        return Evidence(verify, texts, _pack, _matches, _ready, _similar, weight, small=3)
+        return Evidence(verify, texts, _pack, _matches, weight, linked=_linked)
 
     comp = connect(cut.where("keys IS NOT NULL").select("line", "keys"), _pairs, BANDS, prepare, "lines")
     place = F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "text_hash", "line_no")
     by_line = seen.where("line IS NOT NULL").groupBy("line").agg(F.min(place).alias("first"), F.count("*").alias("n"))
-    by_line = by_line.join(comp, F.col("line") == F.col("node"), "left").withColumn("component", F.coalesce("component", "line"))
+    by_line = few(by_line.join(comp, F.col("line") == F.col("node"), "left"), total).withColumn("component", F.coalesce("component", "line"))
     by_line = saved(by_line.where("n > 1 OR node IS NOT NULL").select("line", "component", "first"), "lines-firsts")
-    firsts = by_line.groupBy("component").agg(F.min("first").alias("first"))
-    nodes = by_line.select("line", "component").join(firsts, "component").select(F.col("line").alias("_line"), "component", "first")
-    out = seen.join(nodes, F.col("line") == F.col("_line"), "left")
+    firsts = few(by_line.groupBy("component").agg(F.min("first").alias("first")), total)
+    nodes = few(by_line.select("line", "component").join(firsts, "component"), total).select(F.col("line").alias("_line"), "component", "first")
+    out = few(seen.join(nodes, F.col("line") == F.col("_line"), "left"), total)
     kept = F.col("first").isNull() | F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "text_hash", "line_no").eqNullSafe(F.col("first"))
     return out.select("doc_id", "text_hash", "line_no", "line", "component", F.col("first.doc_id").alias("first_doc"),
                       F.col("first.text_hash").alias("first_text"), F.col("first.line_no").alias("first_line"), kept.alias("kept"))
@@ -275,10 +298,12 @@ def fuzzy_lines(docs: DataFrame) -> DataFrame:
 def drop_duplicate_lines(docs: DataFrame) -> DataFrame:
     """The documents without their duplicate lines, all columns kept. A document that loses every
     line that isn't blank is dropped; one that loses none stays as it is."""
-    gone = saved(fuzzy_lines(docs).where("NOT kept").select("doc_id", "text_hash", "line_no").distinct()
-                 .groupBy(F.col("doc_id").alias("__llm_id"), F.col("text_hash").alias("__llm_hash")).agg(F.collect_list("line_no").alias("__llm_gone")), "lines-gone")
+    cut = saved(cut_lines(docs), "lines", "zstd")
+    total = cut.count()
+    gone = saved(few(_fuzzy_lines(cut).where("NOT kept").select("doc_id", "text_hash", "line_no").distinct()
+                     .groupBy(F.col("doc_id").alias("__llm_id"), F.col("text_hash").alias("__llm_hash")).agg(F.collect_list("line_no").alias("__llm_gone")), total), "lines-gone")
     d = docs.withColumn("__llm_h", F.xxhash64(text_or_empty()))
-    d = d.join(gone, F.col("doc_id").cast("long").eqNullSafe(F.col("__llm_id")) & (F.col("__llm_h") == F.col("__llm_hash")), "left")
+    d = few(d.join(gone, F.col("doc_id").cast("long").eqNullSafe(F.col("__llm_id")) & (F.col("__llm_h") == F.col("__llm_hash")), "left"), total)
     # the stretches between the lines that go
     d = d.withColumn("__llm_at", F.concat(F.array(F.lit(-1)), F.sort_array("__llm_gone"), F.array(F.size(F.split("text", "\n", -1)))))
     d = d.withColumn("__llm_lines", F.when(F.col("__llm_gone").isNotNull(), F.split("text", "\n", -1)))

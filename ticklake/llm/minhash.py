@@ -24,8 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .candidates import Evidence, connect, with_payload
-from .common import _U, chunks, lower_ascii, minhashes, mix, read, saved, shingle_hashes, text_or_empty, word_hashes
+from .candidates import PAIR_ROWS, Evidence, connect, with_payload
+from .common import _U, chunks, few, lower_ascii, minhashes, mix, read, saved, shingle_hashes, text_or_empty, word_hashes
 
 HALVES, HALF = 10, 3
 COUNT = 2 * HALVES * HALF
@@ -143,8 +143,10 @@ def _confirm(batches):
 def near_duplicates(docs: DataFrame, k: int = 5) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for each row."""
     signed = saved(signatures(docs, k), "minhash-signatures")
-    classes = saved(signed.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("h1", "h2", "n_shingles")
-                    .agg(F.min("doc_id").alias("cls"), F.first("sig").alias("sig")), "minhash-classes")
+    n = signed.count()
+    classes = saved(few(signed.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("h1", "h2", "n_shingles")
+                        .agg(F.min("doc_id").alias("cls"), F.first("sig").alias("sig")), n), "minhash-classes")
+
     def prepare(items: DataFrame):
         """Full sets of the classes that share a table key with another; texts are read again for them alone."""
         def expand(batches):
@@ -152,15 +154,17 @@ def near_duplicates(docs: DataFrame, k: int = 5) -> DataFrame:
                 s = shingle_sets(batch.column(1), k)
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([x.tobytes() for x in s], pa.binary())], ["cls", "shingles"])
         d = docs.select(F.col("doc_id").cast("long").alias("cls"), text_or_empty().alias("text"))
-        sets = saved(d.join(items.select(F.col("item").alias("cls")), "cls", "left_semi").mapInArrow(expand, "cls long, shingles binary"), "minhash-sets")
+        items = items.select(F.col("item").alias("cls"))
+        sets = saved(few(d.join(items, "cls", "left_semi"), n, PAIR_ROWS).mapInArrow(expand, "cls long, shingles binary"), "minhash-sets")
+        met = saved(few(classes.select("cls", "sig", "n_shingles").join(items, "cls", "left_semi"), n), "minhash-met")
 
-        def verify(pairs: DataFrame) -> DataFrame:
-            short = classes.select(F.col("cls").alias("item"), F.struct("sig", "n_shingles").alias("payload"))
-            near = with_payload(with_payload(pairs, short, "b", "y"), short, "a", "x")
+        def verify(pairs: DataFrame, rows: int) -> DataFrame:
+            short = met.select(F.col("cls").alias("item"), F.struct("sig", "n_shingles").alias("payload"))
+            near = few(with_payload(few(with_payload(pairs, short, "b", "y"), rows), short, "a", "x"), rows)
             near = near.where(f"{DEN} * least(x.n_shingles, y.n_shingles) >= {NUM} * greatest(x.n_shingles, y.n_shingles)")
             near = near.select("a", "b", F.col("x.sig").alias("sig_a"), F.col("y.sig").alias("sig_b")).mapInArrow(_agree, "a long, b long")
             full = sets.select(F.col("cls").alias("item"), F.col("shingles").alias("payload"))
-            both = with_payload(with_payload(near, full, "b", "s_b"), full, "a", "s_a")
+            both = few(with_payload(few(with_payload(near, full, "b", "s_b"), rows, PAIR_ROWS), full, "a", "s_a"), rows, PAIR_ROWS)
             return both.select("a", "b", "s_a", "s_b").mapInArrow(_confirm, "a long, b long")
 
         def shorten(batches):
@@ -169,15 +173,18 @@ def near_duplicates(docs: DataFrame, k: int = 5) -> DataFrame:
             for b in batches:
                 out = [g + (np.frombuffer(x, _U) >> _U(32)).astype(np.uint32).tobytes() for g, x in zip(b.column(1).to_pylist(), b.column(2).to_pylist())]
                 yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.binary())], ["item", "payload"])
-        payload = classes.select("cls", "sig").join(sets, "cls").mapInArrow(shorten, "item long, payload binary")
-        weight = classes.select(F.col("cls").alias("item"), (4 * F.col("n_shingles")).alias("weight"))
-        return Evidence(verify, payload, _pack, _matches, _ready, _similar, weight, half_keys(classes))
+        payload = few(met.select("cls", "sig").join(sets, "cls"), n, PAIR_ROWS).mapInArrow(shorten, "item long, payload binary")
+        weight = met.select(F.col("cls").alias("item"), (4 * F.col("n_shingles")).alias("weight"))
+
+        def groups(active: DataFrame) -> DataFrame:
+            return half_keys(few(met.join(active.select(F.col("item").alias("cls")), "cls", "left_semi"), n))
+        return Evidence(verify, payload, _pack, _matches, weight, _ready, _similar, groups=groups)
 
     comp = connect(classes.select("cls", "sig"), table_pairs, HALVES * HALVES, prepare, "minhash")
-    linked = classes.join(comp, F.col("cls") == F.col("node"), "left").select(
+    linked = few(classes.join(comp, F.col("cls") == F.col("node"), "left"), n).select(
         "h1", "h2", F.col("n_shingles").alias("n"), F.coalesce("component", "cls").alias("component"))
-    out = signed.join(linked, (signed.h1 == linked.h1) & (signed.h2 == linked.h2) & (F.col("n_shingles") == F.col("n"))
-                      & F.col("doc_id").isNotNull(), "left")
+    out = few(signed.join(linked, (signed.h1 == linked.h1) & (signed.h2 == linked.h2) & (F.col("n_shingles") == F.col("n"))
+                          & F.col("doc_id").isNotNull(), "left"), n)
     component = F.coalesce("component", "doc_id")
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
 

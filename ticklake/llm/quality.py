@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, lower_ascii, mix, read, text_or_empty, word_hashes, word_spans
+from .common import chunks, few, lower_ascii, mix, read, text_or_empty, word_hashes, word_spans
 
 BUCKETS = 2048        # hashed words
 RANK = 8
@@ -167,7 +167,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
                  pa.array([x.tobytes() for _, x in bags], pa.binary()), pa.array([s.tobytes() for s in stats], pa.binary())],
                 ["doc_id", "y", "ids", "weights", "stats"])
 
-    rows = picked.mapInArrow(extract, "doc_id long, y double, ids binary, weights binary, stats binary").collect()
+    rows = few(picked, sample, 500).mapInArrow(extract, "doc_id long, y double, ids binary, weights binary, stats binary").collect()
     rows.sort(key=lambda r: r["doc_id"])
     bags = [(np.frombuffer(r["ids"], np.uint16), np.frombuffer(r["weights"], np.float32)) for r in rows]
     stats = np.array([np.frombuffer(r["stats"]) for r in rows]).reshape(-1, len(STATS) + 2 * len(META))
