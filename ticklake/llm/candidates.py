@@ -285,7 +285,7 @@ def connect(signed: DataFrame, expand: Callable, each: int, prepare: Callable[[D
     active = saved(few(active.join(by.weight, "item"), n), f"{name}-active")
     if active.isEmpty():
         return nodes(links if done else stars(links)[0])
-    groups = members.select("key", "item").distinct() if by.groups is None else by.groups(active.select("item").distinct())
+    groups = members.select("key", "item") if by.groups is None else by.groups(active.select("item").distinct())
     rows = saved(few(few(groups.join(active, "item"), n).distinct(), n), f"{name}-groups")
     n = rows.count()
     sizes = few(rows.groupBy("key").agg(F.count("*").alias("n"), F.sum("weight").alias("_w"), F.min("component").alias("_lo"), F.max("component").alias("_hi")), n)
