@@ -450,3 +450,20 @@ def test_shared_keys_by_blocks(spark, monkeypatch):
             assert r["pivot"] <= r["item"] and r["pivot"] in want[r["key"]]
             got.setdefault(r["key"], set()).add(r["item"])
         assert got == want
+
+
+def test_blocks_of_members_are_not_copied_at_once():
+    """A task that meets keys reads a batch of large blocks one by one."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from ticklake.llm import candidates
+    block = np.arange(3 * 10_000, dtype=np.int64).tobytes()
+    batch = pa.RecordBatch.from_arrays([pa.array([0] * 200, pa.int32()), pa.array([None] * 200, pa.binary()), pa.array([block] * 200, pa.binary())],
+                                       ["bucket", "pairs", "known"])
+    tracemalloc.start()
+    rows = sum(b.num_rows for b in candidates._meet(iter([batch])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert rows == 2_000_000 and peak < 10 * len(block) < batch.nbytes / 10
